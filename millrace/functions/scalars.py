@@ -60,7 +60,8 @@ def event_time(text: Column) -> Column:
 def map_values(value: Column, mapping: dict) -> Column:
     """Dictionary replacement; values without an entry pass through."""
     pairs = [F.lit(x) for entry in mapping.items() for x in entry]
-    return F.coalesce(F.try_element_at(F.create_map(*pairs), value), value)
+    to_text = all(isinstance(v, str) for v in mapping.values())
+    return F.coalesce(F.try_element_at(F.create_map(*pairs), value), value.cast("string") if to_text else value)
 
 
 def mask_quoted_spaces(message: Column) -> Column:
@@ -94,9 +95,8 @@ def subject_line(message: Column) -> Column:
 
 def remove_once(text: Column, part: Column) -> Column:
     """Drop the first occurrence of `part`; a missing part changes nothing."""
-    at = F.when(F.length(part) > 0, F.position(part, text))
-    rest = F.concat(F.substring(text, F.lit(1), at - 1), F.substring(text, at + F.length(part), F.length(text)))
-    return F.when(at > 0, rest).otherwise(text)
+    literal = F.replace(F.coalesce(part, F.lit("")), F.lit("\\E"), F.lit("\\E\\\\E\\Q"))
+    return F.regexp_replace(text, F.concat(F.lit("(?s)^(.*?)\\Q"), literal, F.lit("\\E")), F.lit("$1"))
 
 
 def short_address(name: Column, parts: list[Column]) -> Column:

@@ -25,6 +25,7 @@ def local_session(cores: int | str = 8, name: str = "millrace") -> SparkSession:
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.driver.memory", "20g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .getOrCreate()
     )
