@@ -84,7 +84,7 @@ select c_custkey as point_id, 39.0e0 + (c_custkey * 37 % 1000) / 1000.0e0 as lat
   116.0e0 + (c_custkey * 91 % 1000) / 1000.0e0 as lng, c_mktsegment as kind, c_acctbal as height from customer""",
     "places": """
 select s_suppkey as place_id, 39.0e0 + (s_suppkey * 193 % 1000) / 1000.0e0 as lat,
-  116.0e0 + (s_suppkey * 71 % 1000) / 1000.0e0 as lng, cast(s_nationkey % 8 as int) as heading from supplier""",
+  116.0e0 + (s_suppkey * 71 % 1000) / 1000.0e0 as lng, cast(s_nationkey % 8 as int) as heading, s_acctbal as altitude from supplier""",
     # consecutive lines of an order, one part per line number
     "links": """
 select distinct a.p as src, b.p as dst from
