@@ -113,7 +113,7 @@ def short_address(name: Column, parts: list[Column]) -> Column:
 
 def number_tokens(text: Column) -> Column:
     """Words of two or more characters; those starting with a digit or underscore become #NUMBER."""
-    words = F.regexp_extract_all(F.lower(text), F.lit(r"\b\w\w+\b"), F.lit(0))
+    words = F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}_]{2,}"), F.lit(0))
     return F.transform(words, lambda w: F.when(w.rlike(r"^[0-9_]"), "#NUMBER").otherwise(w))
 
 
