@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LinearSVC, LogisticRegression, OneVsRest, RandomForestClassifier
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler, VectorSlicer
 from pyspark.ml.regression import LinearRegression
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
@@ -119,8 +119,6 @@ def lasso_select(df: DataFrame, columns: list[str], target: str, most: int = 2,
     `step` until at most `most` features are left. Returns the names and the threshold."""
     data = assembled(df, columns, target).cache()
     lasso = LinearRegression(elasticNetParam=1.0, standardization=True)
-    from pyspark.ml.evaluation import RegressionEvaluator
-
     search = CrossValidator(estimator=lasso, estimatorParamMaps=ParamGridBuilder().addGrid(lasso.regParam, [0.001, 0.01, 0.1]).build(),
                             evaluator=RegressionEvaluator(metricName="rmse"), numFolds=3, seed=0, parallelism=3)
     weights = np.abs(search.fit(data).bestModel.coefficients.toArray())
@@ -156,8 +154,8 @@ def eliminate_features(df: DataFrame, columns: list[str], label: str, folds: int
     while left:
         view = VectorSlicer(inputCol="features", outputCol="kept", indices=left).transform(data).select(F.col("kept").alias("features"), "label")
         learner = base if classes == 2 else OneVsRest(classifier=base)
-        score = CrossValidator(estimator=learner, estimatorParamMaps=[{}], evaluator=accuracy, numFolds=folds, seed=seed, parallelism=folds).fit(view).avgMetrics[0]
-        model = learner.fit(view)
+        search = CrossValidator(estimator=learner, estimatorParamMaps=[{}], evaluator=accuracy, numFolds=folds, seed=seed, parallelism=folds).fit(view)
+        score, model = search.avgMetrics[0], search.bestModel
         weights = np.array([m.coefficients.toArray() for m in (model.models if classes > 2 else [model])])
         weakest = left[int(np.argmin((weights ** 2).sum(axis=0)))]
         out.append((len(left), float(score), columns[weakest]))
