@@ -43,12 +43,12 @@ def _(t):
 
 @query("grid_search")
 def _(t):
-    learner = LogisticRegression(featuresCol="reduced", maxIter=15)
+    learner = LogisticRegression(featuresCol="reduced", maxIter=8)
     pipe = Pipeline(stages=[])
     kbest = UnivariateFeatureSelector(featuresCol="features", outputCol="reduced", labelCol="label", selectionMode="numTopFeatures")
     kbest.setFeatureType("continuous").setLabelType("categorical")
     candidates = []
-    for k in (4, 8):
+    for k in (6,):
         for reducer in (PCA(k=k, inputCol="features", outputCol="reduced"), kbest.copy({kbest.selectionThreshold: k})):
             for c in (0.001, 0.1):
                 candidates.append({pipe.stages: [reducer, learner.copy({learner.regParam: c})]})

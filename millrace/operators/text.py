@@ -6,6 +6,8 @@ from pyspark.ml.feature import HashingTF
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.session import cut
+
 WORD = r"[\p{L}\p{N}_]{2,}"
 
 
@@ -34,7 +36,11 @@ def document_frequency(counts: DataFrame) -> DataFrame:
 
 
 def limit_vocabulary(counts: DataFrame, documents: int, min_df: int = 1, max_df: float = 1.0, max_features: int | None = None) -> DataFrame:
-    """Keep terms by document frequency, then the most frequent ones overall."""
+    """Keep terms by document frequency, then the most frequent ones overall.
+
+    The counts are written once, so the texts are not split again for the second use.
+    """
+    counts = cut(counts)
     vocabulary = document_frequency(counts).where((F.col("df") >= min_df) & (F.col("df") <= max_df * documents))
     if max_features is not None:
         vocabulary = vocabulary.orderBy(F.desc("total"), "term").limit(max_features)
@@ -44,8 +50,8 @@ def limit_vocabulary(counts: DataFrame, documents: int, min_df: int = 1, max_df:
 def tfidf(counts: DataFrame, key: str, documents: int, sublinear: bool = False) -> DataFrame:
     """tf * (ln((1+n)/(1+df)) + 1), scaled to unit length per document."""
     tf = F.log("n") + 1 if sublinear else F.col("n").cast("double")
-    # asking for the totals keeps this plan equal to `counts`, so its shuffle is reused
-    frequencies = document_frequency(counts).where("total > 0").select("term", "df")
+    counts = cut(counts)  # used four times below; the texts are read once
+    frequencies = document_frequency(counts).select("term", "df")
     weighted = counts.join(frequencies, "term").select(key, "term", (tf * (F.log((1.0 + documents) / (1 + F.col("df"))) + 1)).alias("w"))
     norms = weighted.groupBy(key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     return weighted.join(norms, key).select(key, "term", (F.col("w") / F.col("norm")).alias("weight"))
