@@ -277,14 +277,14 @@ def isolation_forest(df: DataFrame, key: str, vector: str, trees: int = 50, samp
     return scored.withColumn("outlier", F.col("score") > edge)
 
 
-def one_class_linear(df: DataFrame, key: str, vector: str, width: int, nu: float = 0.1, gamma: float = 0.1, components: int = 50,
-                     steps: int = 15, rate: float = 0.5, seed: int = 0) -> DataFrame:
-    """One-class margin on random Fourier features; the nu share with the lowest score is novel.
+def one_class_fit(df: DataFrame, vector: str, width: int, nu: float = 0.1, gamma: float = 0.1, components: int = 50,
+                  steps: int = 15, rate: float = 0.5, seed: int = 0) -> dict:
+    """One-class margin on random Fourier features.
 
     Each step is one aggregation: the mean of the mapped rows that fall below the margin.
+    The final threshold leaves the share nu of the training rows below it.
     """
-    mapped = random_fourier(df.select(key, vector), vector, width, components, gamma, seed, "z").select(key, "z")
-    mapped = cut(mapped)
+    mapped = cut(random_fourier(df.select(vector), vector, width, components, gamma, seed, "z").select("z"))
     n = mapped.count()
     w = mapped.select(Summarizer.mean(array_to_vector("z"))).first()[0].toArray()
     rho = 0.0
@@ -295,9 +295,16 @@ def one_class_linear(df: DataFrame, key: str, vector: str, width: int, nu: float
         scale = rate / (step + 1)
         w = w - scale * (w - pull)
         rho = rho - scale * (misses / (nu * n) - 1)
-    scored = mapped.select(key, dot(F.col("z"), literal_vector(w)).alias("score"))
-    edge = quantiles(scored, [], "score", {"q": nu}).first()["q"]
-    return scored.select(key, (F.col("score") - edge).alias("score"), (F.col("score") < edge).alias("novel"))
+    edge = quantiles(mapped.select(dot(F.col("z"), literal_vector(w)).alias("s")), [], "s", {"q": nu}).first()["q"]
+    return {"weights": w, "edge": edge, "map": (width, components, gamma, seed)}
+
+
+def one_class_score(df: DataFrame, vector: str, model: dict) -> DataFrame:
+    """Add `score` (distance to the threshold) and `novel` (below it)."""
+    width, components, gamma, seed = model["map"]
+    mapped = random_fourier(df, vector, width, components, gamma, seed, "_z")
+    scored = mapped.withColumn("score", dot(F.col("_z"), literal_vector(model["weights"])) - float(model["edge"])).drop("_z")
+    return scored.withColumn("novel", F.col("score") < 0)
 
 
 def project(vector: str | Column, matrix: np.ndarray) -> Column:

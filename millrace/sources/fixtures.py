@@ -113,6 +113,10 @@ select c_custkey, case when c_custkey % 5 < 3 then r_name end as province, case
   case when c_custkey % 5 < 2 then c_mktsegment end as district, case when c_custkey % 5 < 2 then concat('T', cast(c_nationkey as STR)) end as township,
   concat(r_name, n_name, c_mktsegment, case c_custkey % 5 when 3 then '街道' when 4 then '镇' else concat('T', cast(c_nationkey as STR)) end, c_name) as name
   from customer join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey""",
+    "passengers": """
+select c_custkey as passenger_id, case when c_custkey % 2 = 0 then 'female' else 'male' end as sex, case when c_custkey % 40 = 7 then null when c_nationkey < 5 then 'C' when c_nationkey < 10 then 'Q' else 'S' end as embarked,
+  case when c_custkey % 50 = 3 then null else c_acctbal end as fare, case when c_custkey % 9 = 4 then null else cast(c_custkey * 7 % 80 as double) end as age,
+  cast(c_nationkey % 3 + 1 as int) as pclass, cast(c_custkey % 4 as int) as parch, cast(c_custkey % 3 as int) as sibsp, c_name as name, c_mktsegment as cabin from customer""",
     # labelled documents; quality is the class
     "labelled": "select d.doc_id, d.text, d.lang, l.quality as label from documents d join labels l on d.doc_id = l.doc_id",
 }
