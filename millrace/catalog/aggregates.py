@@ -2,11 +2,11 @@
 
 from pyspark.sql import functions as F
 
-from millrace.catalog import query
+from millrace.catalog import Inputs, query
 from millrace.functions.scalars import rounded
 from millrace.operators import aggregates as a
 from millrace.operators import joins, ordered, rows
-from millrace.session import scratch_path
+from millrace.session import prepare, scratch_path
 
 BIN = "case when m < 5 then 5 when m < 10 then 10 when m < 20 then 20 when m < 30 then 30 when m < 60 then 60 when m < 120 then 120 when m < 240 then 240 when m < 360 then 360 when m < 600 then 600 else 10000 end"
 
@@ -90,12 +90,13 @@ select 'with_rounds', count(*) from service_order o left join (select distinct s
        "service_order order_ext dispatch_detail")
 def _(t):
     steps = a.StepCounter()
+    main, t = t.spark, Inputs(prepare(t.spark.newSession()), t.sf_dir)
     orders = steps.watch(t.service_order.select("service_order_id"), "orders")
     extended = steps.watch(orders.join(t.order_ext.drop("dt"), "service_order_id", "left"), "with_ext")
     rounds = t.dispatch_detail.select("service_order_id", "round").distinct()
     final = steps.watch(extended.join(rounds, "service_order_id", "left"), "with_rounds")
     final.write.parquet(scratch_path(t.spark, "staged"))
-    return t.spark.createDataFrame(steps.counts(), "stage string, n bigint")
+    return main.createDataFrame(steps.counts(), "stage string, n bigint")
 
 
 @query("describe", """

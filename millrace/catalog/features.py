@@ -121,8 +121,7 @@ def _(t):
 
 @query("hash_vectors")
 def _(t):
-    out = text.hashed(t.documents.select("doc_id", "text"), text.words(F.col("text")), 1 << 16)
-    return out.select("doc_id", F.size(F.filter(f.to_array("features"), lambda v: v > 0)).alias("buckets"), f.array_sum(f.to_array("features")).alias("words"))
+    return text.hashed_counts(t.documents, "doc_id", text.words(F.col("text")), 1 << 16)
 
 
 @query("number_tokens", """

@@ -107,7 +107,11 @@ def top_shares(df: DataFrame, group: str, category: str, k: int) -> DataFrame:
 
 
 class StepCounter:
-    """Counts rows passing each step of a plan during the one action that runs it."""
+    """Counts rows passing each step of a plan during the one action that runs it.
+
+    Build the plan in a session of its own (`spark.newSession()`): a session that has observed
+    something can no longer be shipped inside fitted models.
+    """
 
     def __init__(self):
         self._seen: list[tuple[str, Observation]] = []

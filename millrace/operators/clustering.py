@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators.components import connected_components
 from millrace.operators.features import as_doubles, dot, literal_vector, matrix_map, random_fourier
-from millrace.operators.moments import moments
+from millrace.operators.moments import moments, partition_sum
 from millrace.operators.neighbours import nearest_of
 from millrace.operators.ordered import quantiles
 from millrace.operators.sampling import hash_number, unit_number
@@ -176,10 +176,16 @@ def dbscan(points: DataFrame, eps: float, min_samples: int) -> DataFrame:
 # --- outliers ----------------------------------------------------------------
 
 def mahalanobis2(vector: Column, centre: np.ndarray, inverse: np.ndarray) -> Column:
-    """Squared distance as a column: quadratic form with literal centre and inverse."""
-    gaps = F.zip_with(vector, literal_vector(centre), lambda x, m: x - m)
-    lines = F.array(*[literal_vector(line) for line in inverse])
-    return F.aggregate(F.zip_with(F.transform(lines, lambda line: dot(line, gaps)), gaps, lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
+    """Squared distance under an inverse covariance, in Arrow batches."""
+
+    @F.pandas_udf("double")
+    def measure(rows: pd.Series) -> pd.Series:
+        if rows.empty:
+            return pd.Series([], dtype="float64")
+        gaps = np.stack(rows.to_numpy()).astype("float64") - centre
+        return pd.Series(np.einsum("ij,jk,ik->i", gaps, inverse, gaps))
+
+    return measure(vector)
 
 
 def elliptic_envelope(df: DataFrame, key: str, vector: str, contamination: float, refits: int = 1, support: float = 0.75) -> DataFrame:
@@ -289,13 +295,16 @@ def one_class_fit(df: DataFrame, vector: str, width: int, nu: float = 0.1, gamma
     w = mapped.select(Summarizer.mean(array_to_vector("z"))).first()[0].toArray()
     rho = 0.0
     for step in range(steps):
-        below = mapped.withColumn("s", dot(F.col("z"), literal_vector(w))).where(F.col("s") < rho)
-        row = below.withColumn("_g", F.lit(0)).groupBy("_g").agg(F.count("*").alias("n"), Summarizer.sum(array_to_vector("z")).alias("g")).first()
-        pull, misses = (row["g"].toArray() / (nu * n), row["n"]) if row else (np.zeros_like(w), 0)
+        def below(batch, w=w, rho=rho):
+            z = np.stack(batch["z"].to_numpy())
+            z = z[z @ w < rho]
+            return np.append(z.sum(axis=0), len(z))
+
+        row = partition_sum(mapped, below, len(w) + 1)
         scale = rate / (step + 1)
-        w = w - scale * (w - pull)
-        rho = rho - scale * (misses / (nu * n) - 1)
-    edge = quantiles(mapped.select(dot(F.col("z"), literal_vector(w)).alias("s")), [], "s", {"q": nu}).first()["q"]
+        w = w - scale * (w - row[:-1] / (nu * n))
+        rho = rho - scale * (row[-1] / (nu * n) - 1)
+    edge = quantiles(mapped.select(matrix_map("z", w[:, None])[0].alias("s")), [], "s", {"q": nu}).first()["q"]
     return {"weights": w, "edge": edge, "map": (width, components, gamma, seed)}
 
 
@@ -303,9 +312,6 @@ def one_class_score(df: DataFrame, vector: str, model: dict) -> DataFrame:
     """Add `score` (distance to the threshold) and `novel` (below it)."""
     width, components, gamma, seed = model["map"]
     mapped = random_fourier(df, vector, width, components, gamma, seed, "_z")
-    scored = mapped.withColumn("score", dot(F.col("_z"), literal_vector(model["weights"])) - float(model["edge"])).drop("_z")
+    scored = mapped.withColumn("score", matrix_map("_z", model["weights"][:, None])[0] - float(model["edge"])).drop("_z")
     return scored.withColumn("novel", F.col("score") < 0)
 
-
-def project(vector: str | Column, matrix: np.ndarray) -> Column:
-    return matrix_map(vector, matrix)

@@ -11,7 +11,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.features import as_doubles, dot, literal_vector
+from millrace.operators.features import as_doubles, dot
 from millrace.operators.ordered import running
 from millrace.operators.sampling import unit_number
 from millrace.session import bounded_collect, cut
@@ -174,14 +174,24 @@ def silhouette_rows(df: DataFrame, key: str, vector: str, cluster: str) -> DataF
     rows = df.select(key, cluster, as_doubles(vector).alias("_v")).withColumn("_sq", dot(F.col("_v"), F.col("_v")))
     stats = rows.groupBy(cluster).agg(F.count("*").alias("n"), Summarizer.mean(array_to_vector("_v")).alias("m"), F.avg("_sq").alias("sq"))
     known = bounded_collect(stats.orderBy(cluster), 2_000, "clusters")
-    described = F.array(*[F.struct(F.lit(r[cluster]).alias("c"), F.lit(r["n"]).alias("n"), F.lit(r["sq"]).alias("sq"), literal_vector(r["m"].toArray()).alias("m")) for r in known])
-    means = F.transform(described, lambda c: F.struct((F.col("_sq") - dot(F.col("_v"), c["m"]) * 2 + c["sq"]).alias("d"), c["c"].alias("c"), c["n"].alias("n")))
-    staged = rows.withColumn("_d", means)
-    own = F.filter("_d", lambda c: c["c"] == F.col(cluster))[0]
-    staged = staged.withColumn("_a", own["d"] * own["n"] / F.when(own["n"] > 1, own["n"] - 1)).withColumn(
-        "_b", F.array_min(F.transform(F.filter("_d", lambda c: c["c"] != F.col(cluster)), lambda c: c["d"])))
-    value = F.coalesce(F.try_divide(F.col("_b") - F.col("_a"), F.greatest("_a", "_b")), F.lit(0.0))
-    return staged.select(key, cluster, value.alias("silhouette"))
+    names, sizes = [r[cluster] for r in known], np.array([r["n"] for r in known], dtype="float64")
+    means, squares = np.array([r["m"].toArray() for r in known]), np.array([r["sq"] for r in known])
+    place = {c: i for i, c in enumerate(names)}
+
+    @F.pandas_udf("double")
+    def value(vectors: pd.Series, labels: pd.Series) -> pd.Series:
+        if vectors.empty:
+            return pd.Series([], dtype="float64")
+        x, own = np.stack(vectors.to_numpy()), labels.map(place).to_numpy()
+        at = np.arange(len(x))
+        d = (x * x).sum(axis=1)[:, None] - 2 * x @ means.T + squares
+        a = d[at, own] * sizes[own] / np.maximum(sizes[own] - 1, 1)
+        d[at, own] = np.inf
+        b = d.min(axis=1)
+        top = np.maximum(a, b)
+        return pd.Series(np.where((sizes[own] > 1) & (top > 0), (b - a) / np.where(top > 0, top, 1), 0.0))
+
+    return rows.select(key, cluster, value("_v", cluster).alias("silhouette"))
 
 
 def silhouette_sample(df: DataFrame, key: str, vector: str, cluster: str, size: int = 300, seed: int = 0) -> float:

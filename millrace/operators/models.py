@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators.clustering import mahalanobis2
 from millrace.operators.features import as_doubles, dot, literal_vector
-from millrace.operators.moments import grouped_moments, moments
+from millrace.operators.moments import grouped_moments, moments, partition_sum
 from millrace.operators.neighbours import assign_nearest, nearest_rows
 from millrace.session import bounded_collect, cut
 
@@ -101,24 +101,24 @@ def averaged_learner(train: DataFrame, vector: str, label: str, kind: str, passe
 
     kind "perceptron" adds y*x of wrong rows, "passive_aggressive" moves each row just over
     the margin (at most `limit`), "hinge" follows the hinge loss with a shrinking step.
-    A pass is one aggregation: updates of all rows are averaged, then applied.
+    A pass sums the updates of all rows per partition, then applies their average.
     """
     rows = cut(_signed(train, vector, label))
     n = rows.count()
     w = np.zeros(len(rows.first()["x"]))
     for step in range(passes):
-        margin = F.col("y") * dot(F.col("x"), literal_vector(w))
-        if kind == "perceptron":
-            weight = F.when(margin <= 0, F.col("y"))
-        elif kind == "passive_aggressive":
-            weight = F.when(margin < 1, F.col("y") * F.least(F.lit(limit), (1 - margin) / dot(F.col("x"), F.col("x"))))
-        else:
-            weight = F.when(margin < 1, F.col("y") / (1 + step * 0.1))
-        moving = rows.withColumn("t", weight).where("t is not null").withColumn("_g", F.lit(0))
-        total = moving.groupBy("_g").agg(Summarizer.sum(array_to_vector(F.transform("x", lambda v: v * F.col("t")))).alias("s")).first()
-        if total is None:
-            break
-        w = w + total["s"].toArray() / n
+        def update(batch, w=w, step=step):
+            x, y = np.stack(batch["x"].to_numpy()), batch["y"].to_numpy()
+            margin = y * (x @ w)
+            if kind == "perceptron":
+                t = np.where(margin <= 0, y, 0.0)
+            elif kind == "passive_aggressive":
+                t = np.where(margin < 1, y * np.minimum(limit, (1 - margin) / (x * x).sum(axis=1)), 0.0)
+            else:
+                t = np.where(margin < 1, y / (1 + step * 0.1), 0.0)
+            return t @ x
+
+        w = w + partition_sum(rows, update, len(w)) / n
     return w
 
 

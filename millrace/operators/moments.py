@@ -1,4 +1,4 @@
-"""Counts, sums and cross products of vector rows: one JVM aggregation, merged by addition.
+"""Counts, sums and cross products of vector rows: added up per partition, then merged.
 
 Everything built on mean and covariance (components, discriminants, envelopes, factors)
 starts from these, so the rows are read once and only d x d numbers reach the driver.
@@ -6,9 +6,11 @@ starts from these, so the rows are read once and only d x d numbers reach the dr
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
@@ -41,16 +43,48 @@ class Moments:
         return Moments(self.n + other.n, self.total + other.total, self.cross + other.cross)
 
 
+def _reduced(rows: DataFrame, keys: list[str], columns: list[str]) -> list:
+    """Add up per-partition arrays; one row per key value comes to the driver."""
+    sums = rows.groupBy(*keys).agg(*[Summarizer.sum(array_to_vector(c)).alias(c) for c in columns])
+    return bounded_collect(sums, MAX_GROUPS, "groups with sums")
+
+
+def partition_sum(df: DataFrame, fn: Callable[[pd.DataFrame], np.ndarray], width: int) -> np.ndarray:
+    """Sum of fn(batch) over all Arrow batches; every partition sends one array."""
+
+    def per_partition(batches):
+        total, any_rows = np.zeros(width), False
+        for batch in batches:
+            if len(batch):
+                total, any_rows = total + fn(batch), True
+        if any_rows:
+            yield pd.DataFrame({"v": [total]})
+
+    rows = _reduced(df.mapInPandas(per_partition, "v array<double>").withColumn("_g", F.lit(0)), ["_g"], ["v"])
+    return rows[0]["v"].toArray() if rows else np.zeros(width)
+
+
 def grouped_moments(df: DataFrame, vector: str, group: str | None = None) -> dict:
     """Moments per value of `group` (one entry under None without a group)."""
     rows = df.select(F.col(group).alias("_g") if group else F.lit(0).alias("_g"), as_doubles(vector).alias("_v"))
-    outer = F.flatten(F.transform("_v", lambda x: F.transform("_v", lambda y: x * y)))
-    sums = rows.groupBy("_g").agg(
-        F.count("*").alias("n"), Summarizer.sum(array_to_vector("_v")).alias("s"), Summarizer.sum(array_to_vector(outer)).alias("c"))
+
+    def per_partition(batches):
+        held: dict = {}
+        for batch in batches:
+            for g, part in batch.groupby("_g"):
+                x = np.stack(part["_v"].to_numpy())
+                n, s, c = held.get(g, (0.0, 0.0, 0.0))
+                held[g] = (n + len(x), s + x.sum(axis=0), c + x.T @ x)
+        if held:
+            yield pd.DataFrame({"_g": list(held), "n": [[float(n)] for n, _, _ in held.values()], "s": [s for _, s, _ in held.values()],
+                                "c": [c.ravel() for _, _, c in held.values()]})
+
+    kind = rows.schema["_g"].dataType.simpleString()
+    parts = rows.mapInPandas(per_partition, f"_g {kind}, n array<double>, s array<double>, c array<double>")
     out = {}
-    for r in bounded_collect(sums, MAX_GROUPS, "groups with moments"):
+    for r in _reduced(parts, ["_g"], ["n", "s", "c"]):
         s = r["s"].toArray()
-        out[r["_g"] if group else None] = Moments(float(r["n"]), s, r["c"].toArray().reshape(len(s), len(s)))
+        out[r["_g"] if group else None] = Moments(float(r["n"][0]), s, r["c"].toArray().reshape(len(s), len(s)))
     return out
 
 

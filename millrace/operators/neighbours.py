@@ -11,33 +11,60 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A codebook up to this many numbers is written into the plan as a literal.
-LITERAL_NUMBERS = 20_000
+# A codebook up to this many numbers is sent to every task as a whole.
+CODEBOOK_NUMBERS = 1_000_000
 # Rows of either side that one task compares at a time.
 BLOCK = 2_000
 
 
-def squared_distance(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, v: s + v)
+def distances_to(vector: Column, codebook: np.ndarray) -> Column:
+    """Distances to every codebook row, in Arrow batches; the codebook travels with the closure."""
+    per_slice = max(1, 2_000_000 // max(codebook.size, 1))
+
+    @F.pandas_udf("array<double>")
+    def measure(rows: pd.Series) -> pd.Series:
+        if rows.empty:
+            return rows
+        data, out = np.stack(rows.to_numpy()).astype("float64"), []
+        for at in range(0, len(data), per_slice):
+            gaps = data[at:at + per_slice, None, :] - codebook[None, :, :]
+            out.extend(np.sqrt((gaps * gaps).sum(axis=2)))
+        return pd.Series(out)
+
+    return measure(vector)
 
 
 def nearest_of(vector: Column, codebook: list[tuple]) -> Column:
-    """struct(dist2, id) of the closest entry of a literal codebook; ties go to the lower id."""
-    entries = F.array(*[
-        F.struct(F.lit(i).alias("id"), F.array(*[F.lit(float(x)) for x in v]).alias("v")) for i, v in codebook])
-    scored = F.transform(entries, lambda e: F.struct(squared_distance(vector, e["v"]).alias("dist2"), e["id"].alias("id")))
-    return F.array_min(scored)
+    """struct(dist2, id) of the closest of (id, vector) entries; ties go to the lower id."""
+    ordered = sorted(codebook, key=lambda e: e[0])
+    ids, book = np.array([i for i, _ in ordered], dtype="int64"), np.array([[float(x) for x in v] for _, v in ordered])
+    per_slice = max(1, 2_000_000 // max(book.size, 1))
+
+    @F.pandas_udf("dist2 double, id bigint")
+    def closest(rows: pd.Series) -> pd.DataFrame:
+        if rows.empty:
+            return pd.DataFrame({"dist2": pd.Series(dtype="float64"), "id": pd.Series(dtype="int64")})
+        data, dist, best = np.stack(rows.to_numpy()).astype("float64"), [], []
+        for at in range(0, len(data), per_slice):
+            gaps = data[at:at + per_slice, None, :] - book[None, :, :]
+            d = (gaps * gaps).sum(axis=2)
+            pick = d.argmin(axis=1)
+            best.append(ids[pick])
+            dist.append(d[np.arange(len(pick)), pick])
+        return pd.DataFrame({"dist2": np.concatenate(dist), "id": np.concatenate(best)})
+
+    return closest(vector)
 
 
 def assign_nearest(points: DataFrame, point_id: str, vector: str, centres: DataFrame, centre_id: str, centre_vector: str) -> DataFrame:
-    """(point_id, centre_id, distance). Small codebooks stay in the JVM; larger ones go
+    """(point_id, centre_id, distance). A small codebook goes to every task; a larger one
     through the partitioned neighbour search."""
     width = centres.select(F.max(F.size(centre_vector)), F.count("*")).first()
-    if (width[0] or 0) * width[1] <= LITERAL_NUMBERS:
+    if (width[0] or 0) * width[1] <= CODEBOOK_NUMBERS:
         book = [(r[0], r[1]) for r in centres.select(centre_id, centre_vector).orderBy(centre_id).collect()]
         best = nearest_of(F.col(vector).cast("array<double>"), book)
         return points.withColumn("_best", best).select(
-            point_id, F.col("_best.id").alias(centre_id), F.sqrt("_best.dist2").alias("distance"))
+            point_id, F.col("_best.id").cast(centres.schema[centre_id].dataType).alias(centre_id), F.sqrt("_best.dist2").alias("distance"))
     found = nearest_rows(points.select(F.col(point_id).alias("query_id"), F.col(vector).alias("vector")),
                          centres.select(F.col(centre_id).alias("row_id"), F.col(centre_vector).alias("vector")), 1)
     return found.select(F.col("query_id").alias(point_id), F.col("row_id").alias(centre_id), "distance")
@@ -80,23 +107,23 @@ def nearest_rows(queries: DataFrame, rows: DataFrame, k: int, pivots: int = 32)
     book = [(i, r["vector"]) for i, r in enumerate(chosen)]
     as_doubles = F.col("vector").cast("array<double>")
     placed = rows.select("row_id", as_doubles.alias("vector")).withColumn("_c", nearest_of(F.col("vector"), book))
-    placed = placed.select("row_id", "vector", F.col("_c.id").alias("cell"), F.sqrt("_c.dist2").alias("_d"))
+    placed = placed.select("row_id", "vector", F.col("_c.id").cast("int").alias("cell"), F.sqrt("_c.dist2").alias("_d"))
     cells = {r["cell"]: r for r in placed.groupBy("cell").agg(F.count("*").alias("n"), F.max("_d").alias("radius")).collect()}
-    described = F.array(*[
-        F.struct(F.lit(i).alias("cell"), F.lit(cells[i]["n"]).alias("n"), F.lit(cells[i]["radius"]).alias("radius"),
-                 F.lit(math.ceil(cells[i]["n"] / BLOCK)).alias("chunks"), F.array(*[F.lit(float(x)) for x in v]).alias("v"))
-        for i, v in book if i in cells])
-    bounds = F.transform(described, lambda c: F.struct(
-        (F.sqrt(squared_distance(F.col("vector"), c["v"])) + c["radius"]).alias("far"),
-        (F.sqrt(squared_distance(F.col("vector"), c["v"])) - c["radius"]).alias("near"), c["n"].alias("n"), c["cell"].alias("cell"), c["chunks"].alias("chunks")))
-    asked = queries.select("query_id", as_doubles.alias("vector")).withColumn("_b", F.array_sort(bounds))
+    known = [(i, v) for i, v in book if i in cells]
+    described = F.array(*[F.struct(F.lit(i).alias("cell"), F.lit(cells[i]["n"]).alias("n"), F.lit(cells[i]["radius"]).alias("radius"),
+                                   F.lit(math.ceil(cells[i]["n"] / BLOCK)).alias("chunks")) for i, _ in known])
+    asked = queries.select("query_id", as_doubles.alias("vector"))
+    asked = asked.withColumn("_d", distances_to(F.col("vector"), np.array([[float(x) for x in v] for _, v in known])))
+    bounds = F.zip_with("_d", described, lambda d, c: F.struct(
+        (d + c["radius"]).alias("far"), (d - c["radius"]).alias("near"), c["n"].alias("n"), c["cell"].alias("cell"), c["chunks"].alias("chunks")))
+    asked = asked.withColumn("_b", F.array_sort(bounds))
     # smallest distance that certainly covers k rows
     reach = F.aggregate(
         "_b", F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(float("inf")).alias("reach")),
         lambda acc, c: F.struct((acc["n"] + c["n"]).alias("n"), F.when((acc["n"] < k) & (acc["n"] + c["n"] >= k), c["far"]).otherwise(acc["reach"]).alias("reach")),
         lambda acc: acc["reach"])
-    asked = asked.withColumn("_reach", reach * (1 + 1e-9))
-    asked = asked.select("query_id", "vector", F.explode(F.filter("_b", lambda c: c["near"] <= F.col("_reach"))).alias("c"))
+    asked = asked.withColumn("_reach", reach * (1 + 1e-9) + 1e-12)
+    asked = asked.select("query_id", "vector", F.explode(F.filter("_b", lambda c: c["near"] - c["far"] * 1e-9 <= F.col("_reach"))).alias("c"))
     asked = asked.select("query_id", "vector", F.col("c.cell").alias("cell"), F.explode(F.sequence(F.lit(0), F.col("c.chunks") - 1)).alias("chunk"))
     busy = {r["cell"]: r["n"] for r in asked.where("chunk = 0").groupBy("cell").agg(F.count("*").alias("n")).collect()}
     size_of = lambda counts: F.create_map(*[x for c in cells for x in (F.lit(c), F.lit(max(1, math.ceil(counts.get(c, 1) / BLOCK))))])

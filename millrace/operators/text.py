@@ -57,6 +57,12 @@ def tfidf(counts: DataFrame, key: str, documents: int, sublinear: bool = False)
     return weighted.join(norms, key).select(key, "term", (F.col("w") / F.col("norm")).alias("weight"))
 
 
+def hashed_counts(docs: DataFrame, key: str, tokens: Column, buckets: int) -> DataFrame:
+    """(key, bucket, n): hashed term counts in long form."""
+    exploded = docs.select(key, F.explode(tokens).alias("w"))
+    return exploded.groupBy(key, F.pmod(F.xxhash64("w"), F.lit(buckets)).alias("bucket")).agg(F.count("*").alias("n"))
+
+
 def hashed(docs: DataFrame, tokens: Column, buckets: int, name: str = "features") -> DataFrame:
     """Sparse term counts in a fixed number of buckets; needs no pass to fit."""
     return HashingTF(numFeatures=buckets, inputCol="_tokens", outputCol=name).transform(docs.withColumn("_tokens", tokens)).drop("_tokens")

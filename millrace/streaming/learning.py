@@ -11,15 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.clustering import minibatch_update
-from millrace.operators.text import words
+from millrace.operators import text
 
 BUCKETS = 1 << 18
 
 
-def hashed_counts(docs: DataFrame, key: str, buckets: int = BUCKETS) -> DataFrame:
-    """(key, bucket, n) of hashed words."""
-    exploded = docs.select(key, F.explode(words(F.col("text"))).alias("w"))
-    return exploded.groupBy(key, F.pmod(F.xxhash64("w"), F.lit(buckets)).alias("bucket")).agg(F.count("*").alias("n"))
+def hashed_counts(docs: DataFrame, key: str) -> DataFrame:
+    return text.hashed_counts(docs, key, text.words(F.col("text")), BUCKETS)
 
 
 def _version(spark: SparkSession, path: str, batch_id: int, schema: str) -> DataFrame:
