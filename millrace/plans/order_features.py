@@ -37,29 +37,32 @@ RATES = [("min_add_rate", F.min, "driver_add_rate"), ("min_bidding_rate", F.min,
          ("max_add_rate", F.max, "driver_add_rate"), ("max_bidding_rate", F.max, "customer_add_rate")]
 
 
+# fixed value: the fields read from an extension row's JSON
+ESTIMATE = "distance int, time_length int, end_latitude double, end_longitude double, estimate_price string"
+
+
 def order_base(orders: DataFrame, ext: DataFrame) -> DataFrame:
     """Orders with calendar fields, flags and the estimates from their extension row."""
-    snap = F.col("estimate_snap")
     one_ext = joins.one_per_key(ext.select(KEY, "estimate_snap"), [KEY])
-    merged = joins.left_nullsafe(orders, one_ext, {KEY: KEY})
-    length = s.json_field(snap, "$.time_length", "int")
+    parsed = one_ext.select(KEY, F.from_json("estimate_snap", ESTIMATE).alias("est"))
+    merged = joins.left_nullsafe(orders, parsed, {KEY: KEY})
+    length = F.col("est.time_length")
     end = F.coalesce(first_positive(F.col("expect_end_time")), F.when(length > 0, F.col("expect_start_time") + length))
     merged = merged.withColumns({
-        "predict_distance": s.json_field(snap, "$.distance", "int"),
-        "expect_end_latitude": F.coalesce("expect_end_latitude", s.json_field(snap, "$.end_latitude", "double")),
-        "expect_end_longitude": F.coalesce("expect_end_longitude", s.json_field(snap, "$.end_longitude", "double")),
+        "predict_distance": F.col("est.distance"),
+        "expect_end_latitude": F.coalesce("expect_end_latitude", "est.end_latitude"),
+        "expect_end_longitude": F.coalesce("expect_end_longitude", "est.end_longitude"),
         "expect_end_time": end,
         "dispatch_type": s.dispatch_type(F.col("flag")),
         "is_auto_dispatch": s.auto_dispatch(F.col("flag")),
     })
-    prices = F.get_json_object(snap, "$.estimate_price")
-    priced = {c: F.when(F.col(c).eqNullSafe(0), s.price_from_json(prices, F.col("car_type_id"))).otherwise(F.col(c))
+    priced = {c: F.when(F.col(c).eqNullSafe(0), s.price_from_json(F.col("est.estimate_price"), F.col("car_type_id"))).otherwise(F.col(c))
               for c in ("predict_origin_amount", "predict_amount")}
     calendar = {}
     for side in ("start", "end"):
         calendar[f"expect_{side}_day_of_week"] = s.weekday_number(F.col(f"expect_{side}_time"))
         calendar[f"expect_{side}_hour_of_day"] = s.hour_of_day(F.col(f"expect_{side}_time"))
-    return merged.withColumns({**priced, **calendar}).drop("estimate_snap")
+    return merged.withColumns({**priced, **calendar}).drop("est")
 
 
 def round_table(details: DataFrame) -> DataFrame:
