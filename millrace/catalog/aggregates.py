@@ -36,7 +36,7 @@ def _(t):
 
 
 @query("group_count_mean", """
-, last as (select service_order_id, driver_id, arg_max(distance, (round, batch, tie)) as distance from dispatch_detail group by 1, 2)
+, last as (select service_order_id, driver_id, arg_max(distance, (round, batch, tie, distance)) as distance from dispatch_detail group by 1, 2)
 select service_order_id, count(driver_id) as sum_valid_driver, round(avg(distance), 6) as mean_driver_distance from last group by 1""", "dispatch_detail")
 def _(t):
     last = joins.last_per_key(t.dispatch_detail, ["service_order_id", "driver_id"], ["round", "batch", "tie"], ["distance"])

@@ -17,7 +17,7 @@ def _(t):
 
 @query("join_left_composite", """
 select o.service_order_id, o.driver_id, o.total_amount, d.distance, d.rate from service_order o left join
-  (select service_order_id, driver_id, arg_max(distance, (round, batch, tie)) as distance, max(driver_add_rate) as rate from dispatch_detail group by 1, 2) d
+  (select service_order_id, driver_id, arg_max(distance, (round, batch, tie, distance)) as distance, max(driver_add_rate) as rate from dispatch_detail group by 1, 2) d
   on o.service_order_id is not distinct from d.service_order_id and o.driver_id is not distinct from d.driver_id""", "service_order dispatch_detail")
 def _(t):
     latest = t.dispatch_detail.groupBy("service_order_id", "driver_id").agg(
@@ -55,7 +55,7 @@ def _(t):
 
 @query("nearest_codebook", """
 , centres as (select heading, avg(lat) as clat, avg(lng) as clng from places group by heading)
-select point_id, arg_min(heading, (round((lat - clat) * (lat - clat) + (lng - clng) * (lng - clng), 12), heading)) as heading,
+select point_id, arg_min(heading, ((lat - clat) * (lat - clat) + (lng - clng) * (lng - clng), heading)) as heading,
   round(sqrt(min((lat - clat) * (lat - clat) + (lng - clng) * (lng - clng))), 6) as distance from points, centres group by point_id""", "points places")
 def _(t):
     centres = t.places.groupBy("heading").agg(F.array(F.avg("lat"), F.avg("lng")).alias("centre"))
