@@ -151,7 +151,7 @@ def _(t):
     return rows.select("id", F.inline(f.chi2_kernel(F.col("v"), landmarks, 0.5)).alias("landmark", "k")).withColumn("k", rounded(F.col("k"), 6))
 
 
-_U = "(cast('0x' || substr(md5('5:{0}:' || cast(vec_id as varchar)), 1, 8) as bigint) / 4294967296.0e0)"
+_U = "(cast('0x' || substr(md5('5:{0}:' || cast(vec_id as varchar)), 1, 15) as bigint) / 1152921504606846976.0e0)"
 
 
 @query("noise_columns", "select vec_id, " + ", ".join(

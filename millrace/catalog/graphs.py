@@ -17,7 +17,7 @@ def _(t):
 
 
 @query("link_index", RESOLVED + """, e as (select distinct coalesce(a.target, l.src) as src, coalesce(b.target, l.dst) as dst from links l left join resolved a on a.src = l.src left join resolved b on b.src = l.dst),
-  n as (select name, cast(row_number() over (order by name) - 1 as int) as i from (select src as name from e union select dst from e) x)
+  n as (select name, cast(row_number() over (order by name) - 1 as bigint) as i from (select src as name from e union select dst from e) x)
 select a.i as i, b.i as j from e join n a on a.name = e.src join n b on b.name = e.dst""", "redirects links")
 def _(t):
     edges, _nodes = graph.link_index(t.links, graph.resolve_redirects(t.redirects))

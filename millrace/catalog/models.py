@@ -18,7 +18,7 @@ from millrace.functions.scalars import rounded
 from millrace.operators import features, models, sampling, selection, text, tuning
 from millrace.operators.sampling import split_by_hash
 
-SPLIT = """, e as (select vec_id, label, embedding::double[] as v, cast('0x' || substr(md5('0:' || cast(vec_id as varchar)), 1, 8) as bigint) / 4294967296.0e0 < 0.7 as is_train from embeddings)"""
+SPLIT = """, e as (select vec_id, label, embedding::double[] as v, cast('0x' || substr(md5('0:' || cast(vec_id as varchar)), 1, 15) as bigint) / 1152921504606846976.0e0 < 0.7 as is_train from embeddings)"""
 
 
 def _split(t, classes=None):
@@ -51,8 +51,9 @@ def _(t):
 
 @query("isotonic")
 def _(t):
-    data = t.lineitem.select(F.col("l_quantity").alias("features"), F.col("l_extendedprice").alias("label"))
-    model = IsotonicRegression().fit(data)
+    # equal positions are pooled first: the fit is the same and sees one row per distinct value
+    data = t.lineitem.groupBy(F.col("l_quantity").alias("features")).agg(F.avg("l_extendedprice").alias("label"), F.count("*").cast("double").alias("w"))
+    model = IsotonicRegression(weightCol="w").fit(data)
     rows = list(zip(map(float, model.boundaries), map(float, model.predictions)))
     return t.spark.createDataFrame(rows, "boundary double, fitted double")
 

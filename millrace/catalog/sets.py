@@ -7,7 +7,7 @@ from millrace.functions.scalars import rounded
 from millrace.operators import sampling as p
 from millrace.operators import windows
 
-H = "cast('0x' || substr(md5({}), 1, 8) as bigint)"
+H = "cast('0x' || substr(md5({}), 1, 15) as bigint)"
 
 
 @query("order_by", "select o_orderkey, o_orderpriority, o_totalprice from orders order by o_orderpriority, o_totalprice desc, o_orderkey")
@@ -25,7 +25,7 @@ def _(t):
     return p.drop_extremes(t.orders.select("o_orderkey", "o_totalprice"), "o_orderkey", "o_totalprice", 2)
 
 
-@query("random_split", f"select o_orderkey, case when {H.format(chr(39) + '7:' + chr(39) + ' || cast(o_orderkey as varchar)')} / 4294967296.0 < 0.7 then 'train' else 'test' end as part from orders")
+@query("random_split", f"select o_orderkey, case when {H.format(chr(39) + '7:' + chr(39) + ' || cast(o_orderkey as varchar)')} / 1152921504606846976.0e0 < 0.7 then 'train' else 'test' end as part from orders")
 def _(t):
     return p.split_by_hash(t.orders.select("o_orderkey"), "o_orderkey", 0.7, seed=7)
 

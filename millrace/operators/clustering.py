@@ -17,7 +17,7 @@ from millrace.operators.features import as_doubles, dot, literal_vector, matrix_
 from millrace.operators.moments import moments, partition_sum
 from millrace.operators.neighbours import nearest_of
 from millrace.operators.ordered import quantiles
-from millrace.operators.sampling import hash_number, unit_number
+from millrace.operators.sampling import hash_number
 from millrace.session import cut
 
 
@@ -246,8 +246,9 @@ def isolation_forest(df: DataFrame, key: str, vector: str, trees: int = 50, samp
     rows = df.select(key, as_doubles(vector).alias("v"))
     total = rows.count()
     share = min(1.0, 2.0 * sample / max(total, 1))
-    chosen = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: unit_number(F.lit(seed), t, F.col(key)) < share)
-    drawn = rows.withColumn("tree", F.explode(chosen)).withColumn("h", hash_number(F.lit(seed + 1), F.col("tree"), F.col(key)))
+    lucky = lambda t: F.shiftrightunsigned(F.xxhash64(F.lit(seed), t, F.col(key)), 11) / float(1 << 53) < share
+    chosen = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lucky)
+    drawn = rows.withColumn("tree", F.explode(chosen)).withColumn("h", hash_number(F.lit(seed), F.col("tree"), F.col(key)))
 
     def build(group: pd.DataFrame) -> pd.DataFrame:
         picked = group.sort_values(["h", key]).head(sample)

@@ -21,7 +21,8 @@ MAX_DUMMIES = 5_000
 
 def label_encode(df: DataFrame, column: str, name: str) -> DataFrame:
     """Sorted distinct values as 0..n-1; NULL stays NULL."""
-    return df.join(dense_index(df, column, name), column, "left")
+    index = dense_index(df, column, name)
+    return df.join(index.withColumn(name, F.col(name).cast("int")), column, "left")
 
 
 def one_hot(df: DataFrame, column: str, values: list | None = None) -> DataFrame:

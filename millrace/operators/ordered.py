@@ -81,7 +81,7 @@ def number_rows(df: DataFrame, order: list, name: str, keys: list[str] | None =
 def dense_index(values: DataFrame, column: str, name: str) -> DataFrame:
     """0-based position of each distinct value in sorted order."""
     distinct = values.select(column).where(F.col(column).isNotNull()).distinct()
-    return number_rows(distinct, [column], "_n").select(column, (F.col("_n") - 1).cast("int").alias(name))
+    return number_rows(distinct, [column], "_n").select(column, (F.col("_n") - 1).alias(name))
 
 
 def quantiles(df: DataFrame, keys: list[str], column: str, probabilities: dict[str, float]) -> DataFrame:

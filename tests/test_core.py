@@ -144,3 +144,18 @@ def test_order_features_keep_one_row_per_order(spark, given):
     out = order_features.build(orders, given.order_ext, given.dispatch_detail)
     want = orders.join(given.dispatch_detail, "service_order_id", "left_semi").count()
     assert len(order_features.OUTPUT) == 63 and out.count() == want
+
+
+@pytest.mark.parametrize("name", ["order_features", "join_left_nullsafe", "join_left_composite", "halfhour_counts", "radius_join", "nearest_codebook", "roc_mean", "tfidf", "running_sum"])
+def test_plans_have_no_pair_joins_and_no_single_task_windows(spark, name):
+    from conftest import SF_DIR
+
+    from millrace import catalog
+
+    catalog.load_all()
+    plan = catalog.QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    lines = plan.split("\n")
+    for i, line in enumerate(lines):
+        if "Window [" in line and any("SinglePartition" in x for x in lines[i + 1:i + 4]):
+            assert "_b#" in line  # only the totals of whole partitions meet in one place
