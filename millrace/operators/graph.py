@@ -74,7 +74,7 @@ def pagerank(edges: DataFrame, alpha: float = 0.85, rounds: int = 100, tolerance
 
     Dangling nodes spread their score evenly. Stops when the largest change relative to the
     largest score is below n * tolerance. Each round joins edges with one row per node and
-    sums per target (combined before the shuffle); its result is cut, so a lost executor
+    sums per target (combined before the shuffle); its result is written, so a lost executor
     repeats at most one round.
     """
     edges = cut(edges.select("src", "dst").distinct())

@@ -60,9 +60,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise to reliable storage so that later steps start from files."""
-    scratch_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write to the shared folder and go on from the files.
+
+    A written table cuts the lineage like a reliable checkpoint does, and later readers get
+    column pruning, compression and real sizes for the choice of joins.
+    """
+    path = scratch_path(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def bounded_collect(df: DataFrame, limit: int, what: str) -> list:
