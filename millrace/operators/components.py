@@ -7,59 +7,31 @@ from pyspark.sql import functions as F
 
 from millrace.session import cut
 
-# Edge lists up to this length are finished on the driver; contraction shrinks larger ones.
-SMALL_EDGES = 200_000
-
-
-def _roots_of(pairs: list[tuple]) -> list[tuple]:
-    """(vertex, smallest vertex of its component) for a short edge list."""
-    parent: dict = {}
-
-    def find(v):
-        while parent.setdefault(v, v) != v:
-            parent[v] = parent[parent[v]]
-            v = parent[v]
-        return v
-
-    for a, b in pairs:
-        a, b = find(a), find(b)
-        parent[max(a, b)] = min(a, b)
-    return [(v, find(v)) for v in list(parent)]
-
 
 def _follow(parents: DataFrame, rounds: int = 60) -> DataFrame:
     """Pointer doubling on (v, p) with p < v for non-roots, until every p is a root."""
     for _ in range(rounds):
         up = parents.select(F.col("v").alias("_v"), F.col("p").alias("_p"))
-        step = parents.join(up, F.col("p") == F.col("_v"), "left").select("v", F.coalesce("_p", "p").alias("np"), (F.coalesce("_p", "p") != F.col("p")).alias("moved"))
-        step = cut(step)
+        step = cut(parents.join(up, F.col("p") == F.col("_v"), "left").select("v", F.coalesce("_p", "p").alias("np"), (F.coalesce("_p", "p") != F.col("p")).alias("moved")))
         parents = step.select("v", F.col("np").alias("p"))
         if step.where("moved").isEmpty():
             return parents
     raise RuntimeError("pointers did not settle")
 
 
-def df_of(vertices: DataFrame, roots: list[tuple]) -> DataFrame:
-    return vertices.sparkSession.createDataFrame(roots, "_v bigint, _p bigint")
-
-
-def connected_components(vertices: DataFrame, edges: DataFrame, rounds: int = 60, small: int = SMALL_EDGES) -> DataFrame:
+def connected_components(vertices: DataFrame, edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(v, component): component is the smallest vertex id that can be reached.
 
     `vertices` has column v, `edges` columns a, b. Each round every vertex hooks onto its
     smallest neighbour (a combined minimum, so star centres are no hot spot), chains are
     shortened by pointer doubling, and edges are rewritten to the roots and deduplicated.
-    Once at most `small` edges are left they are finished in one place.
+    Every size takes this road; nothing is gathered on the driver.
     """
     labels = vertices.select("v", F.col("v").alias("component"))
     left = cut(edges.where("a <> b").select("a", "b").distinct())
     for _ in range(rounds):
-        few = left.limit(small + 1).collect()
-        if len(few) <= small:
-            if not few:
-                return labels
-            roots = df_of(vertices, _roots_of([(r["a"], r["b"]) for r in few]))
-            return labels.join(roots, F.col("component") == F.col("_v"), "left").select("v", F.coalesce("_p", "component").alias("component"))
+        if left.isEmpty():
+            return labels
         both = left.unionByName(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
         hooked = both.groupBy(F.col("a").alias("v")).agg(F.least(F.min("b"), F.first("a")).alias("p"))
         roots = _follow(cut(hooked))
