@@ -1,0 +1,64 @@
+"""Byte-level BPE of whole texts with the tokenizers library and a cache of text chunks.
+
+The pre-tokenizer never lets a token hold a space that follows a visible character together
+with that character. So a text can be cut before every single space between two visible
+characters, and the tokens of the chunks are the tokens of the text. Frequent chunks are
+encoded once per worker.
+"""
+
+from __future__ import annotations
+
+import re
+
+import numpy as np
+
+CHUNKS = 400_000  # cached chunks of a worker; the cache starts anew beyond it
+_CUT = re.compile(r" (?<=\S )(?=\S)")
+
+
+class ChunkEncoder:
+    """Ids, and if asked for character spans, of whole texts."""
+
+    def __init__(self, path: str, spans: bool = False):
+        from tokenizers import Tokenizer
+
+        self.encoder = Tokenizer.from_file(path)
+        special = self.encoder.get_added_tokens_decoder().values()
+        self.special = [t.content for t in special]
+        self.spans = spans
+        self.known: dict[str, bytes | tuple[bytes, bytes, bytes]] = {}
+
+    def _learn(self, chunks: list[str]) -> None:
+        if self.spans:
+            for chunk, e in zip(chunks, self.encoder.encode_batch(chunks, add_special_tokens=False)):
+                at = np.array(e.offsets, np.uint32).reshape(-1, 2)
+                self.known[chunk] = (np.array(e.ids, np.uint32).tobytes(), at[:, 0].tobytes(), at[:, 1].tobytes())
+        else:
+            for chunk, e in zip(chunks, self.encoder.encode_batch_fast(chunks, add_special_tokens=False)):
+                self.known[chunk] = np.array(e.ids, np.uint32).tobytes()
+
+    def _chunks(self, text: str) -> list[str]:
+        if any(s in text for s in self.special):  # special tokens are found before the text is cut
+            chunks = [text]
+        else:
+            first, *rest = _CUT.split(text)
+            chunks = [first, *[" " + r for r in rest]]
+        if len(self.known) > CHUNKS:
+            self.known.clear()
+        if missing := [c for c in set(chunks) if c not in self.known]:
+            self._learn(missing)
+        return chunks
+
+    def ids(self, text: str | None) -> np.ndarray:
+        known = self.known
+        chunks = self._chunks(text) if text else []
+        return np.frombuffer(b"".join([known[c] for c in chunks]), np.uint32)
+
+    def tokens(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """ids, first characters and ends of all tokens; tokens of one character's bytes share its span."""
+        chunks = self._chunks(text) if text else []
+        found = [self.known[c] for c in chunks]
+        ids, starts, ends = (np.frombuffer(b"".join([f[k] for f in found]), np.uint32) for k in range(3))
+        base = np.cumsum([0, *map(len, chunks)])[:-1] if chunks else np.empty(0, np.int64)
+        shift = np.repeat(base, [len(f[0]) // 4 for f in found])
+        return ids, starts + shift, ends + shift

@@ -5,9 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm import host_quality, near_dedup
+from millrace.llm import chat_format, containment, host_quality, near_dedup, segment_sampling, sharding, token_counts, token_files, url_filter
 from millrace.llm.registry import CHECKS, QUERIES, query  # noqa: F401
 
+
+
+def tokenizer_path(name: str) -> str:
+    """Place of a public tokenizer's file; it is installed on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 # Words of a text, as in texts.BLANKS.
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 FOLDED = f"translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -57,3 +66,71 @@ JUDGED = f"with {MEASURES.strip()}{HOSTS}\n, bad as ({' union '.join(f'select ho
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and (host is null or host not in (select host from bad)) kept from m""")
 def op2(read) -> DataFrame:
     return host_quality.judge(read("documents")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+_HITS = "|".join("".join("\\" + c if c in "[]|\\" else c for c in control) for control in chat_format.CONTROLS)
+_LENGTH = f"""length(regexp_replace(replace({{0}}, '\\', '\\\\'), '{_HITS}', '..', 'g'))"""
+
+
+@query("op5_chat_format", sql=f"""
+with c as (select conv_id, turn, coalesce(role, '') as r, coalesce(text, '') as t from conversations
+           union all select -7, 0, 'user', '</s>[INST] ok [/INST]' union all select -7, 1, 'assistant', '</s>[INST] ok [/INST]')
+select conv_id, count(*) as n_turns, sha256(string_agg(r || chr(10) || t || chr(10), '' order by turn, r, t)) as turns_sha256,
+       sum(case when r = 'assistant' then length(t) else 0 end)::bigint as loss_chars,
+       sha256(coalesce(string_agg(case when r = 'assistant' then t else '' end, '' order by turn, r, t), '')) as loss_sha256,
+       sum({len("<|im_start|><|im_sep|><|im_end|>") + 1} + {_LENGTH.format("r")} + {_LENGTH.format("t")})::bigint as formatted_chars
+from c group by conv_id""")
+def op5(read) -> DataFrame:
+    turns = read("conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    probe = turns.sparkSession.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], turns.schema)
+    return chat_format.digests(chat_format.format_conversations(turns.unionByName(probe)))
+
+
+@query("op6_url_filter")
+def op6(read) -> DataFrame:
+    return url_filter.filter_urls(read("pages"))
+
+
+@query("op7_containment", sql=rf"""
+with w as (select doc_id, regexp_extract_all({FOLDED}, '[^\x20\x09-\x0D]+') ws from documents),
+v as (select item_id, regexp_extract_all({FOLDED}, '[^\x20\x09-\x0D]+') ws from benchmark),
+s as (select distinct doc_id, unnest(case when len(ws) = 0 then [] when len(ws) <= 5 then [array_to_string(ws, ' ')]
+        else [array_to_string(ws[i : i + 4], ' ') for i in range(1, len(ws) - 3)] end) g from w),
+b as (select distinct item_id, unnest(case when len(ws) = 0 then [] when len(ws) <= 5 then [array_to_string(ws, ' ')]
+        else [array_to_string(ws[i : i + 4], ' ') for i in range(1, len(ws) - 3)] end) g from v),
+q as (select item_id, count(*) n from b group by 1),
+h as (select doc_id, item_id, count(*) c from s join b using (g) group by 1, 2),
+f as (select doc_id, item_id, c / n as share from h join q using (item_id) where 100 * c >= 80 * n)
+select doc_id, count(item_id) n_items, coalesce(string_agg(item_id::varchar, ',' order by item_id), '') item_ids,
+       coalesce(max(share), 0.0)::double containment, count(item_id) > 0 contaminated
+from (select distinct doc_id from documents) left join f using (doc_id) group by 1""")
+def op7(read) -> DataFrame:
+    found = containment.contamination(read("documents"), read("benchmark"))
+    return found.withColumn("item_ids", F.array_join("item_ids", ","))
+
+
+@query("op8_token_counts")
+def op8(read) -> DataFrame:
+    return token_counts.section_tokens(read("documents"), tokenizer_path("byte_bpe_50k.json"), rule="most")
+
+
+@query("op9_token_files")
+def op9(read) -> DataFrame:
+    return token_files.token_file_digest(read("documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
+@query("op3_sharding")
+def op3(read) -> DataFrame:
+    return sharding.shard_documents(read("documents"), shards=24)
+
+
+def sampled_digest(docs: DataFrame) -> DataFrame:
+    """One row per sampled segmentation: its size and checksum, scores, and whether it decodes to the text."""
+    samples = segment_sampling.sample_segmentations(docs, tokenizer_path("piece_bpe_32k.model"), k=3)
+    return samples.select("doc_id", "rank", (F.octet_length("ids") / 4).cast("bigint").alias("n_pieces"), F.crc32("ids").alias("ids_crc32"), "log_prob", "score", "inclusion", "exact")
+
+
+@query("op10_segment_sampling")
+def op10(read) -> DataFrame:
+    return sampled_digest(read("documents"))
