@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm import chat_format, containment, host_quality, near_dedup, segment_sampling, sharding, token_counts, token_files, url_filter
+from millrace.llm import chat_format, containment, host_quality, near_dedup, repeats, segment_sampling, sharding, token_counts, token_files, url_filter
 from millrace.llm.registry import CHECKS, QUERIES, query  # noqa: F401
 
 
@@ -134,3 +134,10 @@ def sampled_digest(docs: DataFrame) -> DataFrame:
 @query("op10_segment_sampling")
 def op10(read) -> DataFrame:
     return sampled_digest(read("documents"))
+
+
+@query("op4_repeats")
+def op4(read) -> DataFrame:
+    found = repeats.repeated_spans(read("documents"), span=50)
+    removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda a, s: a + s["end"] - s["start"])
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
