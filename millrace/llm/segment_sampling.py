@@ -350,7 +350,8 @@ def sample_segmentations(docs: DataFrame, model: str, k: int = 3, seed: int = 0,
     ids are little-endian unsigned 32-bit piece ids. Ranks 0 to k - 1 fall by perturbed score;
     inclusion is the probability that the sample holds this segmentation, given the threshold.
     A text with fewer than k segmentations gives them all, with inclusion 1 for each if none
-    is left. `exact` says whether decoding the ids gives the text back; it does unless the
+    is left; what is left of a word below 2e-12 of its probability counts as nothing, as
+    doubles cannot tell. `exact` says whether decoding the ids gives the text back; it does unless the
     text holds the character U+2581, which stands for a space and is decoded as one. A null or
     empty text has one segmentation, without ids. Rows are keyed by id and text: repeated rows
     give equal samples, each for itself, null ids count as 0; an empty table gives no rows.
