@@ -3,7 +3,7 @@
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression, NaiveBayes, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
-from pyspark.ml.feature import PCA, CountVectorizer, UnivariateFeatureSelector
+from pyspark.ml.feature import PCA, UnivariateFeatureSelector
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
@@ -134,16 +134,13 @@ def _(t):
     return table.select(*[F.round(c, 2 if c == "mse" else 6).alias(c) for c in table.columns])
 
 
-@query("top_terms_per_class")
+@query("top_terms_per_class", r"""
+, tok as (select doc_id, label, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]{2,}')) as term from labelled), tc as (select label, term, count(*) as n from tok group by 1, 2),
+  voc as (select count(distinct term)::double as v from tok), sums as (select label, sum(n)::double as s from tc group by 1),
+  ranked as (select label, term, round(ln((n + 0.01) / (s + 0.01 * v)), 6) as weight, row_number() over (partition by label order by n desc, term) as rank from tc join sums using (label), voc)
+select label, term, weight, rank from ranked where rank <= 10""", "labelled")
 def _(t):
-    rows = t.labelled.select("doc_id", F.col("label").cast("double").alias("label"), text.words(F.col("text")).alias("tokens"))
-    counter = CountVectorizer(inputCol="tokens", outputCol="features", vocabSize=2000, minDF=2)
-    model = Pipeline(stages=[counter, LogisticRegression(regParam=0.05, maxIter=20, family="multinomial")]).fit(rows)
-    vocabulary, matrix = model.stages[0].vocabulary, model.stages[1].coefficientMatrix.toArray()
-    weights = [(c, v, float(w)) for c, line in enumerate(matrix) for v, w in zip(vocabulary, line)]
-    table = t.spark.createDataFrame(weights, "class int, term string, weight double")
-    ranked = number_rows(table, [F.desc("weight"), "term"], "rank", ["class"])
-    return ranked.where("rank <= 10")
+    return text.top_terms(t.labelled, "doc_id", "label", text.words(F.col("text")), 10, 0.01).withColumn("weight", rounded(F.col("weight"), 6))
 
 
 @query("cluster_scores", """

@@ -25,7 +25,7 @@ def haversine(lat1: Column, lng1: Column, lat2: Column, lng2: Column) -> Column:
     """Great-circle distance in metres."""
     dlat, dlng = F.radians(lat2 - lat1) / 2, F.radians(lng2 - lng1) / 2
     a = F.sin(dlat) * F.sin(dlat) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.sin(dlng) * F.sin(dlng)
-    return F.asin(F.sqrt(a)) * 2 * EARTH_KM * 1000
+    return F.asin(F.sqrt(F.least(a, F.lit(1.0)))) * 2 * EARTH_KM * 1000
 
 
 def destination(lat: Column, lng: Column, bearing: Column, metres: Column) -> tuple[Column, Column]:
@@ -37,26 +37,26 @@ def destination(lat: Column, lng: Column, bearing: Column, metres: Column) -> tu
     return F.degrees(lat2), F.degrees(lng2)
 
 
+def _cube(lat: Column, lng: Column, edge: float) -> list[Column]:
+    """Cell of a point on the unit sphere in a grid of cubes; it knows no pole and no date line."""
+    p, q = F.radians(lat), F.radians(lng)
+    return [F.floor(c / edge) for c in (F.cos(p) * F.cos(q), F.cos(p) * F.sin(q), F.sin(p))]
+
+
 def pairs_within(points: DataFrame, places: DataFrame, metres: float) -> DataFrame:
     """(point_id, place columns.., distance) for all places within the radius.
 
-    Both sides meet in grid cells of at least the radius; each point looks into 3 x 3 cells.
-    Cells tile the full circle of longitudes, so the date line needs no special case.
+    Both sides meet in cubes whose edge is the chord of the radius; a point looks into the
+    27 cubes around its own, of which the sphere's surface crosses about nine.
     """
-    farthest = points.agg(F.max(F.abs("lat"))).first()[0] or 0.0
-    step_lat = metres / METRES_PER_DEGREE
-    widest = min(abs(farthest) + step_lat, 89.0)
-    columns = max(1, int(360 * math.cos(math.radians(widest)) / step_lat * 0.999))
-    cell_x = lambda lng: F.floor((lng + 180) / (360.0 / columns))
-    cell_y = lambda lat: F.floor(lat / step_lat)
-    around = F.array_distinct(F.array(*[F.pmod(cell_x(F.col("lng")) + d, F.lit(columns)) for d in (-1, 0, 1)]))
-    near = points.select("point_id", F.col("lat").alias("_plat"), F.col("lng").alias("_plng"), F.explode(around).alias("_x"),
-                         cell_y(F.col("lat")).alias("_y0"))
-    near = near.select("point_id", "_plat", "_plng", "_x", F.explode(F.array(*[F.col("_y0") + d for d in (-1, 0, 1)])).alias("_y"))
-    held = places.withColumn("_x", F.pmod(cell_x(F.col("lng")), F.lit(columns))).withColumn("_y", cell_y(F.col("lat")))
-    joined = near.join(held, ["_x", "_y"])
+    edge = max(2 * math.sin(min(metres / (EARTH_KM * 2000), math.pi / 2)) * (1 + 1e-9), 1e-12)
+    x, y, z = _cube(F.col("lat"), F.col("lng"), edge)
+    steps = F.array(*[F.struct(*[F.lit(d).alias(n) for n, d in zip("ijk", (i, j, k))]) for i in (-1, 0, 1) for j in (-1, 0, 1) for k in (-1, 0, 1)])
+    near = points.select("point_id", F.col("lat").alias("_plat"), F.col("lng").alias("_plng"), x.alias("_x0"), y.alias("_y0"), z.alias("_z0"), F.explode(steps).alias("_s"))
+    near = near.select("point_id", "_plat", "_plng", (F.col("_x0") + F.col("_s.i")).alias("_x"), (F.col("_y0") + F.col("_s.j")).alias("_y"), (F.col("_z0") + F.col("_s.k")).alias("_z"))
+    joined = near.join(places.withColumns({"_x": x, "_y": y, "_z": z}), ["_x", "_y", "_z"])
     distance = haversine(F.col("_plat"), F.col("_plng"), F.col("lat"), F.col("lng"))
-    return joined.withColumn("distance", distance).where(F.col("distance") <= metres).drop("_x", "_y", "_plat", "_plng")
+    return joined.withColumn("distance", distance).where(F.col("distance") <= metres).drop("_x", "_y", "_z", "_plat", "_plng")
 
 
 def radius_join(points: DataFrame, places: DataFrame, metres: float) -> DataFrame:

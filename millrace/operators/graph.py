@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.ordered import dense_index
-from millrace.session import cut
+from millrace.session import cut, drop_cut
 
 
 def _advance(table: DataFrame) -> DataFrame:
@@ -26,7 +26,9 @@ def resolve_redirects(redirects: DataFrame, rounds: int = 64) -> DataFrame:
     first = cut(redirects.select("src", F.col("dst").alias("at")))
     walked, seen = first, None
     for _ in range(rounds):
-        walked = cut(_advance(walked.select("src", "at")))
+        last, walked = walked, cut(_advance(walked.select("src", "at")))
+        if last is not first:
+            drop_cut(last)
         row = walked.where("open").agg(F.count("*"), F.count_distinct("at")).first()
         if row[0] == 0 or tuple(row) == seen:
             break
@@ -91,11 +93,12 @@ def pagerank(edges: DataFrame, alpha: float = 0.85, rounds: int = 100, tolerance
         received = edges.join(giving, "src").groupBy(F.col("dst").alias("node")).agg(F.sum("share").alias("got"))
         base = alpha * dangling / n + (1 - alpha) * total / n
         fresh = (F.coalesce("got", F.lit(0.0)) * alpha + base).alias("score")
-        table = cut(table.withColumnRenamed("score", "old").join(received, "node", "left").select("node", "out", "old", fresh))
+        last, table = table, cut(table.withColumnRenamed("score", "old").join(received, "node", "left").select("node", "out", "old", fresh))
         change, top, dangling, total = table.agg(
             F.max(F.abs(F.col("score") - F.col("old"))), F.max(F.abs("score")),
             F.sum(F.when(F.col("out") == 0, F.col("score")).otherwise(0.0)), F.sum("score")).first()
         table = table.drop("old")
+        drop_cut(last)
         if early_stop and change / (top or 1.0) < n * tolerance:
             break
     return table.select("node", "score")

@@ -7,9 +7,11 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from millrace.operators.ordered import number_rows
+from millrace.session import cut
 
 # A codebook up to this many numbers is sent to every task as a whole.
 CODEBOOK_NUMBERS = 1_000_000
@@ -57,84 +59,65 @@ def nearest_of(vector: Column, codebook: list[tuple]) -> Column:
 
 
 def assign_nearest(points: DataFrame, point_id: str, vector: str, centres: DataFrame, centre_id: str, centre_vector: str) -> DataFrame:
-    """(point_id, centre_id, distance). A small codebook goes to every task; a larger one
-    through the partitioned neighbour search."""
-    width = centres.select(F.max(F.size(centre_vector)), F.count("*")).first()
-    if (width[0] or 0) * width[1] <= CODEBOOK_NUMBERS:
-        book = [(r[0], r[1]) for r in centres.select(centre_id, centre_vector).orderBy(centre_id).collect()]
-        best = nearest_of(F.col(vector).cast("array<double>"), book)
-        return points.withColumn("_best", best).select(
-            point_id, F.col("_best.id").cast(centres.schema[centre_id].dataType).alias(centre_id), F.sqrt("_best.dist2").alias("distance"))
-    found = nearest_rows(points.select(F.col(point_id).alias("query_id"), F.col(vector).alias("vector")),
-                         centres.select(F.col(centre_id).alias("row_id"), F.col(centre_vector).alias("vector")), 1)
-    return found.select(F.col("query_id").alias(point_id), F.col("row_id").alias(centre_id), "distance")
-
-
-def _compare(k: int):
+    """(point_id, centre_id, distance), ties to the lower centre id; ids of any type keep it.
+
+    Centres are numbered in id order and found by number. A codebook of a checked size goes to
+    every task, a larger one through the tile search, with the same result.
+    """
+    numbered = cut(number_rows(centres.select(F.col(centre_id).alias("_id"), F.col(centre_vector).cast("array<double>").alias("_vector")), ["_id"], "_at"))
+    size = numbered.select(F.max(F.size("_vector")), F.count("*")).first()
+    if (size[0] or 0) * size[1] <= CODEBOOK_NUMBERS:
+        book = [(r["_at"], r["_vector"]) for r in numbered.collect()]
+        found = points.withColumn("_best", nearest_of(F.col(vector).cast("array<double>"), book)).select(
+            point_id, F.col("_best.id").alias("_at"), F.sqrt("_best.dist2").alias("distance"))
+    else:
+        found = nearest_rows(points.select(F.col(point_id).alias("query_id"), F.col(vector).alias("vector")),
+                             numbered.select(F.col("_at").alias("row_id"), F.col("_vector").alias("vector")), 1).select(F.col("query_id").alias(point_id), F.col("row_id").alias("_at"), "distance")
+    return found.join(numbered.select("_at", F.col("_id").alias(centre_id)), "_at").select(point_id, centre_id, "distance")
+
+
+def _compare(k: int, slice_rows: int = 512):
     def compare(queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         if queries.empty or rows.empty:
-            return pd.DataFrame({"query_id": [], "row_id": [], "distance": []}).astype({"query_id": "int64", "row_id": "int64", "distance": "float64"})
-        ids = rows["row_id"].to_numpy()
-        by_id = np.argsort(ids, kind="stable")
-        ids = ids[by_id]
-        base = np.stack(rows["vector"].to_numpy())[by_id].astype("float64")
-        asked = queries["query_id"].to_numpy()
-        kept = min(k, len(ids))
-        out_q, out_r, out_d = [], [], []
-        for at in range(len(asked)):
-            q = np.asarray(queries["vector"].iat[at], dtype="float64")
-            d = np.sqrt(((base - q) ** 2).sum(axis=1))
-            best = np.argsort(d, kind="stable")[:kept]
-            out_q.append(np.full(kept, asked[at])); out_r.append(ids[best]); out_d.append(d[best])
-        return pd.DataFrame({"query_id": np.concatenate(out_q), "row_id": np.concatenate(out_r), "distance": np.concatenate(out_d)})
+            return pd.DataFrame({"query_id": queries["query_id"][:0], "row_id": np.empty(0, "int64"), "distance": np.empty(0)})
+        by_id = np.argsort(rows["row_id"].to_numpy(), kind="stable")
+        ids = rows["row_id"].to_numpy()[by_id]
+        base, asked = (np.stack(t["vector"].to_numpy()).astype("float64") for t in (rows, queries))
+        base = base[by_id]
+        kept, square = min(k, len(ids)), (base * base).sum(axis=1)
+        out = []
+        for at in range(0, len(asked), slice_rows):
+            part = asked[at : at + slice_rows]
+            # The matrix product finds candidates; what may be among the k nearest is measured exactly.
+            rough = square - 2 * part @ base.T
+            limit = np.partition(rough, kept - 1, axis=1)[:, kept - 1]
+            slack = 1e-9 * (np.abs(limit) + (part * part).sum(axis=1) + square.max() + 1e-300)
+            which, near = np.nonzero(rough <= (limit + slack)[:, None])
+            exact = np.sqrt(((base[near] - part[which]) ** 2).sum(axis=1))
+            order = np.lexsort((near, exact, which))
+            which, near, exact = which[order], near[order], exact[order]
+            first = np.searchsorted(which, np.arange(len(part)))
+            keep = np.arange(len(which)) - first[which] < kept
+            out.append(pd.DataFrame({"query_id": queries["query_id"].to_numpy()[at + which[keep]], "row_id": ids[near[keep]], "distance": exact[keep]}))
+        return pd.concat(out)
 
     return compare
 
 
-def nearest_rows(queries: DataFrame, rows: DataFrame, k: int, pivots: int = 32) -> DataFrame:
-    """Exact k nearest `rows` (row_id, vector) of each of `queries` (query_id, vector).
+def nearest_rows(queries: DataFrame, rows: DataFrame, k: int) -> DataFrame:
+    """Exact k nearest `rows` (row_id, vector) of each of `queries` (query_id, vector), with ranks from 1.
 
-    Rows are placed in cells around pivot rows. A cell is skipped for a query when the
-    triangle inequality shows that k rows in other cells are closer than anything in it.
-    Surviving (query, cell) pairs are compared in blocks: both sides of a cell are cut into
-    chunks by hash, so no task holds a whole cell, and each block returns at most k per query.
+    Both sides are cut into blocks of about BLOCK rows by hash. Every pair of blocks is one
+    tile: a matrix product, of which each query keeps at most k rows. A rank limit, applied
+    before the last shuffle too, leaves the k best of all tiles. Ties go to the lower row id.
     """
-    total = rows.count()
-    if total == 0:
-        return queries.sparkSession.createDataFrame([], "query_id bigint, row_id bigint, distance double")
-    wanted = max(1, min(pivots, total // 64))
-    chosen = rows.orderBy(F.xxhash64("row_id"), "row_id").limit(wanted).collect()
-    book = [(i, r["vector"]) for i, r in enumerate(chosen)]
-    as_doubles = F.col("vector").cast("array<double>")
-    placed = rows.select("row_id", as_doubles.alias("vector")).withColumn("_c", nearest_of(F.col("vector"), book))
-    placed = placed.select("row_id", "vector", F.col("_c.id").cast("int").alias("cell"), F.sqrt("_c.dist2").alias("_d"))
-    cells = {r["cell"]: r for r in placed.groupBy("cell").agg(F.count("*").alias("n"), F.max("_d").alias("radius")).collect()}
-    known = [(i, v) for i, v in book if i in cells]
-    described = F.array(*[F.struct(F.lit(i).alias("cell"), F.lit(cells[i]["n"]).alias("n"), F.lit(cells[i]["radius"]).alias("radius"),
-                                   F.lit(math.ceil(cells[i]["n"] / BLOCK)).alias("chunks")) for i, _ in known])
-    asked = queries.select("query_id", as_doubles.alias("vector"))
-    asked = asked.withColumn("_d", distances_to(F.col("vector"), np.array([[float(x) for x in v] for _, v in known])))
-    bounds = F.zip_with("_d", described, lambda d, c: F.struct(
-        (d + c["radius"]).alias("far"), (d - c["radius"]).alias("near"), c["n"].alias("n"), c["cell"].alias("cell"), c["chunks"].alias("chunks")))
-    asked = asked.withColumn("_b", F.array_sort(bounds))
-    # smallest distance that certainly covers k rows
-    reach = F.aggregate(
-        "_b", F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(float("inf")).alias("reach")),
-        lambda acc, c: F.struct((acc["n"] + c["n"]).alias("n"), F.when((acc["n"] < k) & (acc["n"] + c["n"] >= k), c["far"]).otherwise(acc["reach"]).alias("reach")),
-        lambda acc: acc["reach"])
-    asked = asked.withColumn("_reach", reach * (1 + 1e-9) + 1e-12)
-    asked = asked.select("query_id", "vector", F.explode(F.filter("_b", lambda c: c["near"] - c["far"] * 1e-9 <= F.col("_reach"))).alias("c"))
-    asked = asked.select("query_id", "vector", F.col("c.cell").alias("cell"), F.explode(F.sequence(F.lit(0), F.col("c.chunks") - 1)).alias("chunk"))
-    busy = {r["cell"]: r["n"] for r in asked.where("chunk = 0").groupBy("cell").agg(F.count("*").alias("n")).collect()}
-    size_of = lambda counts: F.create_map(*[x for c in cells for x in (F.lit(c), F.lit(max(1, math.ceil(counts.get(c, 1) / BLOCK))))])
-    row_chunks, query_chunks = size_of({c: r["n"] for c, r in cells.items()}), size_of(busy)
-    slot = lambda key, chunks: F.pmod(F.xxhash64(key), F.try_element_at(chunks, F.col("cell"))).cast("int")
-    left = asked.withColumn("slot", slot("query_id", query_chunks))
-    right = placed.drop("_d").withColumn("chunk", slot("row_id", row_chunks)).withColumn(
-        "slot", F.explode(F.sequence(F.lit(0), F.try_element_at(query_chunks, F.col("cell")) - 1)))
-    keys = ["cell", "chunk", "slot"]
-    schema = T.StructType([T.StructField("query_id", T.LongType()), T.StructField("row_id", T.LongType()), T.StructField("distance", T.DoubleType())])
-    blocks = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(_compare(k), schema)
-    best = blocks.groupBy("query_id").agg(F.slice(F.array_sort(F.collect_list(F.struct("distance", "row_id"))), 1, k).alias("b"))
-    return best.select("query_id", F.posexplode("b").alias("pos", "hit")).select(
-        "query_id", F.col("hit.row_id").alias("row_id"), F.col("hit.distance").alias("distance"), (F.col("pos") + 1).alias("rank"))
+    row_blocks, query_blocks = (max(1, math.ceil(df.count() / BLOCK)) for df in (rows, queries))
+    as_doubles = F.col("vector").cast("array<double>").alias("vector")
+    block = lambda key, n: F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = queries.select("query_id", as_doubles, block("query_id", query_blocks).alias("q"), every(row_blocks).alias("r"))
+    right = rows.select("row_id", as_doubles, block("row_id", row_blocks).alias("r"), every(query_blocks).alias("q"))
+    kind = queries.schema["query_id"].dataType.simpleString()
+    tiles = left.groupBy("q", "r").cogroup(right.groupBy("q", "r")).applyInPandas(_compare(k), f"query_id {kind}, row_id bigint, distance double")
+    order = Window.partitionBy("query_id").orderBy("distance", "row_id")
+    return tiles.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)

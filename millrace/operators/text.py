@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.feature import HashingTF
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.session import cut
@@ -66,3 +66,18 @@ def hashed_counts(docs: DataFrame, key: str, tokens: Column, buckets: int) -> Da
 def hashed(docs: DataFrame, tokens: Column, buckets: int, name: str = "features") -> DataFrame:
     """Sparse term counts in a fixed number of buckets; needs no pass to fit."""
     return HashingTF(numFeatures=buckets, inputCol="_tokens", outputCol=name).transform(docs.withColumn("_tokens", tokens)).drop("_tokens")
+
+
+def top_terms(docs: DataFrame, key: str, label: str, tokens: Column, k: int, alpha: float) -> DataFrame:
+    """(label, term, weight, rank): the k terms of highest smoothed log-probability per class, ties by term.
+
+    Counts stay in long form over the whole vocabulary; a rank limit is applied before the
+    last shuffle. A class with fewer than k terms of its own has only these.
+    """
+    counts = cut(docs.select(label, F.explode(tokens).alias("term")).groupBy(label, "term").agg(F.count("*").alias("n")))
+    size = counts.select(F.countDistinct("term")).first()[0]
+    sums = counts.groupBy(label).agg(F.sum("n").alias("s"))
+    best = Window.partitionBy(label).orderBy(F.desc("n"), "term")
+    own = counts.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    weight = F.log((F.col("n") + alpha) / (F.col("s") + alpha * size))
+    return own.join(sums, label).select(label, "term", weight.alias("weight"), F.col("rank").cast("bigint").alias("rank"))

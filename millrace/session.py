@@ -70,6 +70,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_cut(*frames: DataFrame) -> None:
+    """Delete the folders of cuts that nothing reads any more, such as a loop's last round."""
+    for df in frames:
+        for folder in {os.path.dirname(f) for f in df.inputFiles()}:
+            if os.path.basename(folder).startswith("cut-"):
+                path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 def bounded_collect(df: DataFrame, limit: int, what: str) -> list:
     """Bring a table to the driver only if it has at most `limit` rows."""
     rows = df.limit(limit + 1).collect()

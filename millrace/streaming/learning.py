@@ -64,19 +64,23 @@ def bayes_update(batch: DataFrame, path: str, batch_id: int, key: str = "doc_id"
 
 
 def bayes_accuracy(test: DataFrame, path: str, batch_id: int, key: str = "doc_id", alpha: float = 0.01, buckets: int = BUCKETS) -> float:
+    """Share of test rows whose class has the highest score, over all classes in the state; ties go to the larger."""
     state = test.sparkSession.read.parquet(f"{path}/v={batch_id}")
-    sizes = {r["label"]: r for r in state.groupBy("label").agg(
-        F.sum(F.when(F.col("bucket") < 0, F.col("n"))).alias("docs"), F.sum(F.when(F.col("bucket") >= 0, F.col("n"))).alias("words")).collect()}
-    total = sum(r["docs"] for r in sizes.values())
+    sizes = state.groupBy("label").agg(F.coalesce(F.sum(F.when(F.col("bucket") < 0, F.col("n"))), F.lit(0)).alias("docs"),
+                                       F.coalesce(F.sum(F.when(F.col("bucket") >= 0, F.col("n"))), F.lit(0)).alias("words"))
+    total = sizes.agg(F.sum("docs")).first()[0]
     counts = hashed_counts(test, key)
-    value = {c: np.log(alpha / ((r["words"] or 0) + alpha * buckets)) for c, r in sizes.items()}
-    terms = state.where("bucket >= 0").groupBy("bucket").pivot("label", [0, 1]).sum("n")
-    joined = counts.join(terms, "bucket", "left")
-    score = lambda c: F.sum(F.col("n") * (F.lit(float(value.get(c, 0.0))) + F.log((F.coalesce(F.col(str(c)), F.lit(0)) + alpha) / alpha)))
-    prior = lambda c: float(np.log(sizes[c]["docs"] / total)) if c in sizes else float("-inf")
-    judged = joined.groupBy(key).agg(score(0).alias("s0"), score(1).alias("s1"))
-    positive = F.coalesce(F.col("s1"), F.lit(0.0)) + F.lit(prior(1)) > F.coalesce(F.col("s0"), F.lit(0.0)) + F.lit(prior(0))
-    return test.select(key, "label").join(judged, key, "left").agg(F.avg((positive == (F.col("label") > 0)).cast("double"))).first()[0]
+    lengths = test.select(key).join(counts.groupBy(key).agg(F.sum("n").alias("length")), key, "left").select(key, F.coalesce("length", F.lit(0)).alias("length"))
+    # Every class starts from its prior and unseen words; words that it has seen add their gain.
+    known = counts.join(state.where("bucket >= 0").withColumnRenamed("n", "seen"), "bucket").groupBy(key, "label").agg(
+        F.sum(F.col("n") * F.log((F.col("seen") + alpha) / alpha)).alias("gain"))
+    classes = sizes.agg(F.collect_list(F.struct("label", "docs", "words")).alias("classes")).first()["classes"]
+    each = F.explode(F.array(*[F.struct(F.lit(c["label"]).alias("label"), F.lit(float(np.log(c["docs"] / total))).alias("prior"),
+                                        F.lit(float(np.log(alpha / (c["words"] + alpha * buckets)))).alias("unseen")) for c in classes if c["docs"]]))
+    scores = lengths.select(key, "length", each.alias("c")).select(key, F.col("c.label").alias("label"), (F.col("c.prior") + F.col("length") * F.col("c.unseen")).alias("base"))
+    scores = scores.join(known, [key, "label"], "left").select(key, F.struct((F.col("base") + F.coalesce("gain", F.lit(0.0))).alias("s"), "label").alias("best"))
+    judged = scores.groupBy(key).agg(F.max("best")["label"].alias("guess"))
+    return test.select(key, "label").join(judged, key, "left").agg(F.avg((F.col("guess") == F.col("label")).cast("double"))).first()[0]
 
 
 def record_progress(path: str, batch_id: int, values: dict, spark: SparkSession) -> None:

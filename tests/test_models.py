@@ -64,6 +64,59 @@ def test_nearest_rows_is_exact_over_many_blocks(spark, monkeypatch):
     assert (got["row_id"].to_numpy().reshape(60, 5) == np.argsort(d, axis=1)[:, :5]).all()
 
 
+def test_nearest_rows_limit_before_the_last_shuffle(spark):
+    rows = spark.range(50).selectExpr("id as row_id", "array(double(id), 1.0) as vector")
+    found = neighbours.nearest_rows(rows.withColumnRenamed("row_id", "query_id"), rows, 3)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "Partial" in plan.split("WindowGroupLimit", 2)[-1]
+
+
+@pytest.mark.parametrize("limit", [1_000_000, 0])
+def test_codebook_ids_keep_their_type(spark, monkeypatch, limit):
+    monkeypatch.setattr(neighbours, "CODEBOOK_NUMBERS", limit)
+    points = spark.createDataFrame([(i, [float(i), 0.0]) for i in range(10)], "p int, v array<double>")
+    for ids, kind in ((["b", "a", "c"], "string"), ([7, 3, 9], "int")):
+        centres = spark.createDataFrame(list(zip(ids, [[1.0, 0.0], [1.0, 0.0], [8.0, 0.0]])), f"c {kind}, w array<double>")
+        found = neighbours.assign_nearest(points, "p", "v", centres, "c", "w")
+        assert dict(found.dtypes)["c"] == kind
+        assert {r["p"]: r["c"] for r in found.collect()} == {i: ids[1] if i < 5 else ids[2] for i in range(10)}
+
+
+def test_radius_join_near_the_poles(spark):
+    rng = np.random.default_rng(3)
+    spots = [(89.99, 0.0), (89.99, 90.0), (-90.0, 10.0), (90.0, -170.0)] + [(float(a), float(b)) for a, b in zip(rng.choice([0.0, 60.0, 89.5, 89.98, -89.99], 150) + rng.normal(0, 0.01, 150), rng.uniform(-180, 180, 150)) if abs(a) <= 90]
+    spots += [(0.0, 179.995), (0.0, -179.995), (0.004, -180.0)]
+    frame = spark.createDataFrame([(i, *s) for i, s in enumerate(spots)], "point_id int, lat double, lng double")
+    got = {(r["point_id"], r["place_id"]) for r in geo.pairs_within(frame, frame.withColumnRenamed("point_id", "place_id"), 3000.0).collect()}
+    p, q = np.radians(np.array(spots)).T
+    a = np.sin((p[:, None] - p) / 2) ** 2 + np.cos(p[:, None]) * np.cos(p) * np.sin((q[:, None] - q) / 2) ** 2
+    d = 2 * geo.EARTH_KM * 1000 * np.arcsin(np.sqrt(np.minimum(a, 1)))
+    assert got == set(zip(*(x.tolist() for x in np.nonzero(d <= 3000)))) and (0, 1) in got
+
+
+def test_loops_leave_no_folders(spark):
+    import os
+
+    from millrace.session import scratch_root
+
+    edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(40, 0), (5, 30), (50, 1)], "src bigint, dst bigint")
+    folder = scratch_root(spark).removeprefix("file:")
+    for run, kept in ((lambda: graph.pagerank(edges, rounds=8, early_stop=False), 2), (lambda: components.connected_components(spark.range(60).withColumnRenamed("id", "v"), edges.toDF("a", "b")), 1)):
+        before = set(os.listdir(folder))
+        run().collect()
+        assert len(set(os.listdir(folder)) - before) <= kept
+
+
+def test_pagerank_converges_to_the_fixed_point(spark, given):
+    links = given.links.select("src", "dst").distinct()
+    got = graph.pagerank(links).toPandas().set_index("node")["score"]
+    pairs = links.toPandas()
+    out = pairs.groupby("src").size()
+    new = pairs.assign(s=[got[a] / out[a] for a in pairs["src"]]).groupby("dst")["s"].sum().reindex(got.index).fillna(0)
+    loose = got[[n for n in got.index if n not in out.index]].sum()
+    assert np.allclose(0.85 * new + 0.85 * loose / len(got) + 0.15 * got.sum() / len(got), got, atol=1e-8)
+
+
 def test_redirects_with_cycles_and_self_loops(spark):
     table = {1: 2, 2: 3, 3: 4, 5: 6, 6: 5, 7: 5, 8: 7, 9: 9, 10: 9, 11: 10, 12: 13, 13: 14, 14: 12, 15: 14, 16: 15}
     want = {}
