@@ -93,7 +93,7 @@ def _signed(docs: DataFrame, id_col: str, text_col: str, size: int, n_hashes: in
 
 def _bands(signed: DataFrame, bands: int, rows: int) -> DataFrame:
     keys = F.array(*[F.xxhash64(F.lit(i), *[F.col("sig")[i * rows + j] for j in range(rows)]) for i in range(bands)])
-    return signed.select("doc_id", F.explode(keys).alias("band"))
+    return signed.select("doc_id", F.posexplode(keys).alias("turn", "band"))
 
 
 def _matrix(column: pa.Array, width: int) -> np.ndarray:
@@ -135,35 +135,85 @@ def _linked(pairs: DataFrame, pool: DataFrame, size: int, percent: int) -> DataF
 
 
 def _mixed_buckets(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """(band, doc_id, component) of buckets over several components; of equal buckets one is left."""
+    """(turn, band, doc_id, component, n) of buckets over several components; of equal buckets the first is left."""
     labelled = members.join(labels.select(F.col("v").alias("doc_id"), "component"), "doc_id")
-    buckets = labelled.groupBy("band").agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high"),
+    buckets = labelled.groupBy("band").agg(F.min("turn").alias("turn"), F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high"),
                                            F.sum(F.xxhash64("doc_id").cast("decimal(38,0)")).alias("print"))
-    buckets = buckets.where("n > 2 and low < high").groupBy("n", "print").agg(F.min("band").alias("band"))
-    return labelled.join(buckets, "band").select("band", "doc_id", "component", "n")
+    buckets = buckets.where("n > 2 and low < high").groupBy("n", "print").agg(F.min(F.struct("turn", "band"))["band"].alias("band"))
+    return labelled.join(buckets, "band").select("turn", "band", "doc_id", "component", "n")
+
+
+def common_counts(left: list[np.ndarray], right: list[np.ndarray], width: int = 4096) -> np.ndarray:
+    """Sizes of the intersections of all left with all right sets, by matrix products over slices of the shared items."""
+    both = np.intersect1d(np.unique(np.concatenate(left)), np.unique(np.concatenate(right)), assume_unique=True)
+    out = np.zeros((len(left), len(right)), np.float32)
+
+    def table(sets: list[np.ndarray], items: np.ndarray) -> np.ndarray:
+        rows = np.zeros((len(sets), len(items)), np.float32)
+        for i, s in enumerate(sets):
+            rows[i, np.searchsorted(items, np.intersect1d(s, items, assume_unique=True))] = 1
+        return rows
+
+    for at in range(0, len(both), width):
+        items = both[at : at + width]
+        out += table(left, items) @ table(right, items).T
+    return out.astype(np.int64)
+
+
+def spanning(pairs: list[tuple[int, int]], labels: list[int]) -> list[int]:
+    """Positions of the pairs that join two sets still apart, members with one label being together."""
+    parent: dict[int, int] = {}
+
+    def find(v: int) -> int:
+        while parent.setdefault(v, v) != v:
+            parent[v] = parent[parent[v]]
+            v = parent[v]
+        return v
+
+    out = []
+    for at, (i, j) in enumerate(pairs):
+        a, b = find(labels[i]), find(labels[j])
+        if a != b:
+            parent[a] = b
+            out.append(at)
+    return out
+
 
+def _in_blocks(mixed: DataFrame, pool: DataFrame, n_hashes: int, rows_per_band: int, batch: int, least: list[int], size: int, percent: int) -> DataFrame:
+    """Verified links (a, b) between components within a bucket, found block against block.
 
-def _in_blocks(mixed: DataFrame, pool: DataFrame, n_hashes: int, batch: int, least: list[int]) -> DataFrame:
-    """Candidate pairs (a, b) of different components within a bucket, found block against block."""
+    A pair is met in the first band that it shares. A task holds two blocks, and gives at most
+    as many links as it has members: the links that join components still apart in it.
+    """
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     rows = mixed.withColumn("of", F.pmod(F.xxhash64("doc_id"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    rows = rows.select("band", F.least("of", "other").alias("lo"), F.greatest("of", "other").alias("hi"), "of", "doc_id", "component")
-    rows = rows.join(pool.select("doc_id", "sig"), "doc_id")
+    rows = rows.select("turn", "band", F.least("of", "other").alias("lo"), F.greatest("of", "other").alias("hi"), "of", "doc_id", "component")
+    rows = rows.join(pool.select("doc_id", "sig", "text"), "doc_id")
 
     def compare(group: pa.Table) -> pa.Table:
-        lo, hi, of = group["lo"][0].as_py(), group["hi"][0].as_py(), group["of"].to_numpy()
+        turn, lo, hi, of = group["turn"][0].as_py(), group["lo"][0].as_py(), group["hi"][0].as_py(), group["of"].to_numpy()
         ids, comp = group["doc_id"].to_numpy(), group["component"].to_numpy()
         sig = _matrix(group["sig"].combine_chunks(), n_hashes)
-        found_a, found_b = [], []
-        right = np.flatnonzero(of == hi)
+        bands = sig[:, : turn * rows_per_band].reshape(len(sig), turn, rows_per_band)
+        right, pairs = np.flatnonzero(of == hi), []
         for i in np.flatnonzero(of == lo):
             j = right[(comp[right] != comp[i]) & ((ids[right] > ids[i]) | (lo != hi))]
+            j = j[~(bands[j] == bands[i]).all(axis=2).any(axis=1)]
             j = j[alive_pairs(np.broadcast_to(sig[i], (len(j), n_hashes)), sig[j], batch, least)]
-            found_a.append(np.minimum(ids[i], ids[j]))
-            found_b.append(np.maximum(ids[i], ids[j]))
-        return pa.table({"a": pa.array(np.concatenate(found_a or [np.empty(0, np.int64)])), "b": pa.array(np.concatenate(found_b or [np.empty(0, np.int64)]))})
-
-    return rows.groupBy("band", "lo", "hi").applyInArrow(compare, "a bigint, b bigint").distinct()
+            pairs.append(np.column_stack([np.full(len(j), i), j]))
+        pairs = np.concatenate(pairs) if pairs else np.empty((0, 2), np.int64)
+        if len(pairs):
+            raws = group["text"].combine_chunks()
+            one, other = np.unique(pairs[:, 0]), np.unique(pairs[:, 1])
+            sets = {int(i): shingle_set(raws[int(i)].as_buffer().to_pybytes() if raws[int(i)].is_valid else None, size) for i in np.union1d(one, other)}
+            common = common_counts([sets[i] for i in one.tolist()], [sets[i] for i in other.tolist()])
+            common = common[np.searchsorted(one, pairs[:, 0]), np.searchsorted(other, pairs[:, 1])]
+            sizes = np.array([len(sets[i]) if i in sets else 0 for i in range(len(ids))])
+            pairs = pairs[100 * common >= percent * (sizes[pairs[:, 0]] + sizes[pairs[:, 1]] - common)]
+            pairs = pairs[spanning(pairs.tolist(), comp.tolist())]
+        return pa.table({"a": pa.array(ids[pairs[:, 0]], pa.int64()), "b": pa.array(ids[pairs[:, 1]], pa.int64())})
+
+    return rows.groupBy("turn", "band", "lo", "hi").applyInArrow(compare, "a bigint, b bigint").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5, percent: int = 80,
@@ -188,7 +238,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     leaders = filled.join(classes.select(F.col("leader").alias("doc_id"), *sets), ["doc_id", *sets]).select("doc_id", "sig").distinct()
     banded = _bands(leaders, bands, band_rows)
     shared = banded.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
-    members = cut(banded.join(shared, "band").select("band", "doc_id"))
+    members = cut(banded.join(shared, "band").select("turn", "band", "doc_id"))
     wanted = members.select("doc_id").distinct()
     texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text")).join(wanted, "doc_id", "left_semi")
     pool = cut(leaders.join(wanted, "doc_id").join(texts, "doc_id").select("doc_id", "sig", "text"))
@@ -206,10 +256,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         if turn < STAR_ROUNDS:
             leads = mixed.groupBy("band").agg(F.min(F.struct(F.xxhash64("doc_id", F.lit(turn)).alias("h"), F.col("doc_id").alias("lead"), F.col("component").alias("of"))).alias("s"))
             pairs = mixed.join(leads, "band").where("component <> s.of").select(F.least("doc_id", "s.lead").alias("a"), F.greatest("doc_id", "s.lead").alias("b")).distinct()
-            tested = _tested(pairs, pool, n_hashes, batch, least)
+            more = _linked(_tested(pairs, pool, n_hashes, batch, least), pool, shingle_words, percent)
         else:
-            tested = _in_blocks(mixed, pool, n_hashes, batch, least)
-        found = cut(found.unionByName(_linked(tested, pool, shingle_words, percent)))
+            more = _in_blocks(mixed, pool, n_hashes, band_rows, batch, least, shingle_words, percent)
+        found = cut(found.unionByName(more))
     labels = connected_components(vertices, links.unionByName(found))
     sized = signed.select("doc_id", "n_shingles").distinct()
     out = sized.join(labels.select(F.col("v").alias("doc_id"), "component"), "doc_id", "left")
