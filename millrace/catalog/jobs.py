@@ -8,13 +8,15 @@ from millrace.operators import geo
 from millrace.operators.sampling import split_by_hash
 from millrace.plans import feature_report, order_features, passengers, species, text_classify
 
-K = "service_order_id"
+K = "order_day"
 _JSON = "json_extract_string(case when json_valid(estimate_snap) then estimate_snap end, '$.{0}')"
 _RATES = "min(driver_add_rate) as {0}min_add_rate, min(customer_add_rate) as {0}min_bidding_rate, max(driver_add_rate) as {0}max_add_rate, max(customer_add_rate) as {0}max_bidding_rate"
 _NAMES = ["min_add_rate", "min_bidding_rate", "max_add_rate", "max_bidding_rate"]
 _PRICE = ("case when {0} is not distinct from 0 then coalesce(cast(trunc(cast(json_extract_string(case when json_valid(estimate_snap) then estimate_snap end, "
           "'$.estimate_price.\"' || cast(car_type_id as varchar) || '\"') as double)) as int), 0) else {0} end")
 ORDER_SQL = f"""
+, service_order as (select *, concat(dt, '/', service_order_id) as {K} from service_order_days), order_ext as (select *, concat(dt, '/', service_order_id) as {K} from order_ext_days),
+  dispatch_detail as (select *, concat(dt, '/', service_order_id) as {K} from dispatch_days)
 , cum as (select {K}, round, cast(sum(max(batch)) over (partition by {K} order by round) as bigint) as cum from dispatch_detail group by 1, 2),
   agg as (select {K}, max(round) as total_round, min(round) as init_round, min(dispatch_time) as first_dispatch_time, max(dispatch_time) as last_dispatch_time,
     coalesce(max(driver_add_rate), 0) as top_add, coalesce(max(customer_add_rate), 0) as top_bid from dispatch_detail group by 1),
@@ -31,7 +33,7 @@ ORDER_SQL = f"""
   accd as (select {K}, count(driver_id) as n, avg(distance) as m from (select *, row_number() over (partition by {K}, driver_id order by round desc, batch desc, tie desc, distance desc) as rn from dispatch_detail where accept_status = 1) x where rn = 1 group by 1),
   base as (select o.*, estimate_snap, coalesce(nullif(expect_end_time, 0), case when cast({_JSON.format('time_length')} as int) > 0 then expect_start_time + cast({_JSON.format('time_length')} as int) end) as e_end
     from service_order o left join order_ext e on o.{K} = e.{K} where o.{K} in (select {K} from dispatch_detail))
-select o.{K}, user_id, o.driver_id, product_type_id, fixed_product_id, total_amount, start_time, end_time, expect_start_latitude, expect_start_longitude,
+select o.service_order_id, user_id, o.driver_id, product_type_id, fixed_product_id, total_amount, start_time, end_time, expect_start_latitude, expect_start_longitude,
   coalesce(expect_end_latitude, cast({_JSON.format('end_latitude')} as double)) as expect_end_latitude, coalesce(expect_end_longitude, cast({_JSON.format('end_longitude')} as double)) as expect_end_longitude,
   expect_start_time, cast(isodow(epoch_ms(expect_start_time * 1000)) as int) as expect_start_day_of_week, cast(hour(epoch_ms(expect_start_time * 1000)) as int) as expect_start_hour_of_day,
   e_end as expect_end_time, cast(isodow(epoch_ms(e_end * 1000)) as int) as expect_end_day_of_week, cast(hour(epoch_ms(e_end * 1000)) as int) as expect_end_hour_of_day,
@@ -46,16 +48,16 @@ select o.{K}, user_id, o.driver_id, product_type_id, fixed_product_id, total_amo
   case when l.driver_add_rate > 0 then l.driver_add_rate else top_add end as final_add_rate, case when l.customer_add_rate > 0 then l.customer_add_rate else top_bid end as final_bidding_rate,
   ct.cum as total_batch, case when init_round = 1 then 1 else ci.cum + 1 end as init_batch, far.fb as first_response_batch,
   coalesce(case when far.nr <> 0 and far.fb > 1 then far.fb - 1 end, ct.cum) as max_no_accept_batch, coalesce(br, 0) as first_bidding_round, coalesce(bbatch, 0) as frist_bidding_batch, brate as frist_bidding_min_rate,
-  coalesce(accd.n, 0) as sum_accept_driver, round(accd.m, 6) as mean_accept_driver_distance, create_time, actual_time_length, time_length, confirm_time, arrival_time, dt
+  coalesce(accd.n, 0) as sum_accept_driver, round(accd.m, 6) as mean_accept_driver_distance, create_time, actual_time_length, time_length, confirm_time, arrival_time, o.dt
 from base o left join agg on agg.{K} = o.{K} left join i0 on i0.{K} = o.{K} left join i1 on i1.{K} = o.{K} left join drv on drv.{K} = o.{K} left join far on far.{K} = o.{K}
   left join fav on fav.{K} = o.{K} left join na on na.{K} = o.{K} left join fbc on fbc.{K} = o.{K} left join accd on accd.{K} = o.{K}
   left join lastd l on l.{K} = o.{K} and l.driver_id is not distinct from o.driver_id
   left join cum ct on ct.{K} = o.{K} and ct.round = agg.total_round left join cum ci on ci.{K} = o.{K} and ci.round = agg.init_round"""
 
 
-@query("order_features", ORDER_SQL, "service_order order_ext dispatch_detail")
+@query("order_features", ORDER_SQL, "service_order_days order_ext_days dispatch_days")
 def _(t):
-    out = order_features.build(t.service_order, t.order_ext, t.dispatch_detail)
+    out = order_features.build(t.service_order_days, t.order_ext_days, t.dispatch_days)
     return out.withColumns({c: F.round(c, 6) for c in ("deadhead_distance", "mean_driver_distance", "mean_accept_driver_distance")})
 
 

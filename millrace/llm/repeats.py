@@ -31,8 +31,8 @@ from millrace.llm.run_index import LONGEST, RunIndex
 from millrace.llm.texts import raw_texts
 from millrace.session import cut
 
-BATCH_BYTES = 4 << 20
-RANGE_BYTES = 4 << 20  # of text per range of keys
+BATCH_BYTES = 2 << 20
+RANGE_BYTES = 2 << 20  # of text per range of keys
 _C1, _C2, _C3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _LAST_ID = np.iinfo(np.int64).max
 
@@ -101,7 +101,7 @@ def _packed(docs: DataFrame, text_col: str) -> DataFrame:
 
         def pack() -> pa.RecordBatch:
             sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, held[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            with pa.ipc.new_stream(sink, held[0].schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=9))) as out:
                 out.write_table(pa.Table.from_batches(held).combine_chunks())
             return pa.RecordBatch.from_arrays([pa.array([part + number], pa.int64()), pa.array([size], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["batch", "size", "rows"])
 
@@ -205,7 +205,7 @@ def _sent(batches: DataFrame, answers: DataFrame, bits: int, span: int, gram: in
                 for r, a, b in zip(to.tolist(), start.tolist(), [*start[1:].tolist(), len(keys)]):
                     part = slice(a, b)
                     body = b"".join([strings[j] for j in range(a, b) if not known[j]])
-                    yield pa.RecordBatch.from_arrays([pa.array([r], pa.int64()), pa.array([name], pa.int64()), *[pa.array([x.tobytes()], pa.binary()) for x in (ids[part], first[part], count[part].astype(np.uint8), known[part])], pa.array([body], pa.binary())],
+                    yield pa.RecordBatch.from_arrays([pa.array([r], pa.int64()), pa.array([name], pa.int64()), *[pa.array([x.tobytes()], pa.binary()) for x in (ids[part], first[part].astype(np.uint32), count[part].astype(np.uint8), known[part])], pa.array([body], pa.binary())],
                                                       names=["range", "batch", "ids", "firsts", "counts", "known", "bytes"])
 
     replies = answers.groupBy("batch").agg(F.collect_list(F.struct("range", "n", "shared")).alias("replies"))
@@ -217,7 +217,7 @@ def _marked(sent: DataFrame, span: int) -> DataFrame:
 
     def mark(group: pa.Table) -> pa.Table:
         column = lambda name, kind: np.concatenate([np.frombuffer(b, kind) for b in group[name].to_pylist()])
-        ids, first, count, known = column("ids", np.int64), column("firsts", np.int64), column("counts", np.uint8).astype(np.int64), column("known", bool)
+        ids, first, count, known = column("ids", np.int64), column("firsts", np.uint32).astype(np.int64), column("counts", np.uint8).astype(np.int64), column("known", bool)
         batch = np.repeat(group["batch"].to_numpy(), [len(b) // 8 for b in group["ids"].to_pylist()])
         body, asked = b"".join(group["bytes"].to_pylist()), np.flatnonzero(~known)
         ends = np.cumsum(count[asked] + span - 1)

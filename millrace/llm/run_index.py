@@ -25,8 +25,8 @@ def _ranked(keys: np.ndarray, alone: np.ndarray | None = None) -> tuple[np.ndarr
     np.not_equal(ordered[1:], ordered[:-1], out=fresh[1:])
     if alone is not None:
         fresh |= alone[order]
-    rank = np.empty(len(keys), np.int64)
-    rank[order] = np.cumsum(fresh) - 1
+    rank = np.empty(len(keys), np.int32)
+    rank[order] = np.cumsum(fresh, dtype=np.int32) - 1
     return order, rank
 
 
@@ -42,10 +42,11 @@ class RunIndex:
         inside[self.starts + self.lengths] = False
         text[:n][inside] = data
         self.text, self.n = text, n
-        owner = np.repeat(np.arange(len(lengths)), self.lengths + 1)
-        self.left = (self.starts + self.lengths)[owner] - np.arange(n)  # characters before the separator
-        symbols = np.zeros(n + 7, np.uint64)
-        symbols[:n][inside] = data.astype(np.uint64) + np.uint64(1)
+        owner = np.repeat(np.arange(len(lengths), dtype=np.int32), self.lengths + 1)
+        self.left = ((self.starts + self.lengths)[owner] - np.arange(n)).astype(np.int32)  # characters before the separator
+        symbols = np.zeros(n + 7, np.uint16)
+        symbols[:n][inside] = data.astype(np.uint16) + np.uint16(1)
+        del inside
         # Seven symbols of nine bits; what follows a separator does not count, so such suffixes stand alone.
         key = np.zeros(n, np.uint64)
         for j in range(7):
@@ -56,18 +57,19 @@ class RunIndex:
         while width <= LONGEST:
             if 2 * width > span and self.half is None:
                 self.half = (rank, width)
-            following = np.zeros(n, np.int64)
-            following[: max(n - width, 0)] = rank[width:]
-            order, rank = _ranked(rank.astype(np.uint64) << np.uint64(32) | following.astype(np.uint64), self.left < 2 * width)
+            key = rank.astype(np.uint64) << np.uint64(32)
+            key[: max(n - width, 0)] |= rank[width:].astype(np.uint64)
+            order, rank = _ranked(key, self.left < 2 * width)
             width *= 2
-        self._compress(order, symbols[:n].astype(np.int64), owner)
+        del key
+        self._compress(order, symbols[:n], owner)
 
     def _compress(self, places: np.ndarray, symbols: np.ndarray, owner: np.ndarray) -> None:
         n = self.n
         bwt = symbols[places - 1]
         first = np.flatnonzero(np.r_[True, bwt[1:] != bwt[:-1]])
         last = np.r_[first[1:], n] - 1
-        self.run_start, self.run_char = first, bwt[first]
+        self.run_start, self.run_char = first, bwt[first].astype(np.int64)
         self.head, self.tail = places[first], places[last]
         self.run_last = last
         by_char = np.argsort(self.run_char, kind="stable")
@@ -81,7 +83,7 @@ class RunIndex:
         one, two = rank[places], rank[np.minimum(places + self.span - width, n - 1)]
         whole = self.left[places] >= self.span
         fresh = np.r_[True, (one[1:] != one[:-1]) | (two[1:] != two[:-1]) | ~whole[1:] | ~whole[:-1]]
-        self.group = np.cumsum(fresh) - 1
+        self.group = np.cumsum(fresh, dtype=np.int32) - 1
         self.first_owner = np.minimum.reduceat(owner[places], np.flatnonzero(fresh))
 
     @property

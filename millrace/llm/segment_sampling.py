@@ -2,8 +2,7 @@
 
 Pieces of a SentencePiece model get unigram probabilities trained on the corpus: distinct
 chunks are counted in Spark, each is encoded once, and piece counts are added up. The lattice
-of a text is a chain of small lattices, one per chunk, because no piece crosses the start of a
-run of spaces or a line end.
+of a text is a chain of small lattices, cut where no piece holds both neighbours.
 
 Sampling without replacement is an A*-like search over sets of segmentations. A set is "the
 first words as in path r, the word at j other than what was taken there, the rest free". Its
@@ -13,8 +12,8 @@ bounds all members exactly. The best set gives the next segmentation, its other
 into one set per later word. The best score left over after k samples is the threshold t of
 the inclusion probabilities 1 - exp(-exp(log p - t)).
 
-Chunk lattices are cached per worker; drawing, scoring and decoding run over the words of many
-documents at once. Every random number is a hash of (row key, seed, sample, word, step), so a
+Building the lattices of distinct chunks, drawing, scoring and decoding run over the words of
+many documents at once. Every random number is a hash of (row key, seed, sample, word, step), so a
 row's samples depend neither on its partition nor on other rows.
 """
 
@@ -34,8 +33,7 @@ from millrace.llm.texts import over_batches
 
 SPACE = "▁"
 CHUNK = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
-BATCH_CHARS = 1_000_000  # characters sampled side by side in a task; a longer text goes alone
-CACHED = 200_000  # chunk lattices kept by a worker
+BATCH_CHARS = 2_000_000  # characters sampled side by side in a task; a longer text goes alone
 
 
 def chunks(text: str) -> list[str]:
@@ -89,18 +87,23 @@ def log_probabilities(counts: DataFrame, model: str, smoothing: float = 1.0) ->
     return np.log(total / total.sum())
 
 
+_M1, _M2, _G = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
+
+
 class Lattices:
     """Lattices of chunks as flat edge tables, each with one conditional probability per edge.
 
-    A lattice is (edges, firsts): edges of one place stand together, most probable first, as
-    (conditional probability up to and with this edge, log of the edge's own conditional
-    probability, places ahead, code); a place without pieces gets its UTF-8 bytes as one edge.
-    The log-probability of a path is the sum of its edges' conditional logs.
+    A text is cut wherever no piece holds the two characters side by side, so no piece is lost.
+    Edges of one place stand together, most probable first, as (conditional probability up to
+    and with this edge, log of the edge's own conditional probability, places ahead, code); a
+    character without a piece gets its UTF-8 bytes as one edge. The log-probability of a path
+    is the sum of its edges' conditional logs. Numbers of a chunk depend on that chunk alone.
     """
 
     def __init__(self, model: str, logs: np.ndarray, temperature: float):
         sp = _processor(model)
-        self.pieces: dict[str, int] = {}
+        self.logs = logs / temperature
+        pieces: dict[str, int] = {}
         self.bytes = [0] * 256
         texts: list[bytes] = [b""] * sp.get_piece_size()
         for i in range(sp.get_piece_size()):
@@ -110,71 +113,120 @@ class Lattices:
                 self.bytes[value] = i
                 texts[i] = bytes([value])
             elif not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)):
-                self.pieces[name] = i
+                pieces[name] = i
                 texts[i] = name.replace(SPACE, " ").encode()
-        self.logs = logs / temperature
-        self.longest = max(map(len, self.pieces))
-        # Codes: a piece id, or from `first_run` on a run of byte pieces.
-        self.first_run = len(texts)
-        self.runs: dict[str, int] = {}
+        self.texts, self.longest = texts, max(map(len, pieces))
+        # Codes: a piece id, or beyond them a character as a run of byte pieces.
+        self.runs: dict[int, int] = {}
         self.code_ids: list[tuple[int, ...]] = [(i,) for i in range(len(texts))]
-        self.texts = texts
-        self.known: dict[str, tuple[int, bytes, bytes, bytes, bytes, bytes]] = {}
-
-    def _fallback(self, char: str) -> tuple[int, float]:
-        if char not in self.runs:
-            self.runs[char] = len(self.code_ids)
-            self.code_ids.append(tuple(self.bytes[b] for b in char.encode()))
-        code = self.runs[char]
-        return code, float(sum(self.logs[i] for i in self.code_ids[code]))
-
-    def build(self, chunk: str) -> tuple[int, bytes, bytes, bytes, bytes, bytes]:
-        """(places, first edge of each place, cumulated, logs, steps, codes) as packed arrays."""
-        n, pieces, logs = len(chunk), self.pieces, self.logs
-        after = [0.0] * (n + 1)
-        firsts, cumulated, own, steps, codes = [0] * n, [], [], [], []
-        table: list[list[tuple[float, int, int]]] = []
-        for i in range(n - 1, -1, -1):
-            edges = []
-            for j in range(i + 1, min(n, i + self.longest) + 1):
-                if (code := pieces.get(chunk[i:j])) is not None:
-                    edges.append((logs[code] + after[j], j - i, code))
-            if chunk[i] not in pieces:
-                code, log = self._fallback(chunk[i])
-                edges.append((log + after[i + 1], 1, code))
-            edges.sort(reverse=True)
-            top = edges[0][0]
-            after[i] = top + math.log(sum([math.exp(e[0] - top) for e in edges])) if len(edges) > 1 else top
-            table.append(edges)
-        for i in range(n):
-            firsts[i], run, edges, here = len(cumulated), 0.0, table[n - 1 - i], after[i]
-            for log, step, code in edges:
-                run += math.exp(log - here)
-                cumulated.append(run)
-                own.append(log - here)
-                steps.append(step)
-                codes.append(code)
-            cumulated[-1] = 2.0
-        return (n, np.array(firsts, np.int32).tobytes(), np.array(cumulated).tobytes(), np.array(own).tobytes(), np.array(steps, np.int32).tobytes(), np.array(codes, np.int32).tobytes())
-
-    def gather(self, names: list[str]) -> dict[str, np.ndarray]:
-        """The lattices of distinct chunks laid out one after another; firsts point to edges."""
-        if len(self.known) > CACHED:
-            self.known.clear()
-        found = []
-        for name in names:
-            lattice = self.known.get(name)
-            if lattice is None:
-                lattice = self.known[name] = self.build(name)
-            found.append(lattice)
-        sizes = np.array([f[0] for f in found], np.int64)
-        edges = np.array([len(f[5]) // 4 for f in found], np.int64)
-        first = np.frombuffer(b"".join([f[1] for f in found]), np.int32) + np.repeat(np.cumsum(edges) - edges, sizes)
-        joined = [np.frombuffer(b"".join([f[k] for f in found]), t) for k, t in ((2, np.float64), (3, np.float64), (4, np.int32), (5, np.int32))]
-        return {"place": np.cumsum(sizes) - sizes, "size": sizes, "first": first, "cumulated": joined[0], "log": joined[1], "step": joined[2], "code": joined[3]}
-
-
-_M1, _M2, _G = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
+        self.code_logs = list(self.logs)
+        # Characters of pieces by number; 0 is any other.
+        letters = sorted(set("".join(pieces)), key=lambda c: (c != SPACE, c))
+        self.letter = np.zeros(0x110000, np.int32)
+        self.letter[[ord(c) for c in letters]] = np.arange(1, len(letters) + 1)
+        self.radix = len(letters) + 1
+        pairs = {(int(self.letter[ord(x)]), int(self.letter[ord(y)])) for p in pieces for x, y in zip(p, p[1:])}
+        self.pairs = np.unique(np.array([x * self.radix + y for x, y in pairs], np.int64))
+        # A trie of the pieces as sorted (node, letter) keys.
+        nodes, ends, edges = {"": 0}, [-1], []
+        for name in sorted(pieces):
+            for k in range(1, len(name) + 1):
+                if name[:k] not in nodes:
+                    nodes[name[:k]] = len(ends)
+                    edges.append((nodes[name[: k - 1]] * self.radix + int(self.letter[ord(name[k - 1])]), len(ends)))
+                    ends.append(-1)
+            ends[nodes[name]] = pieces[name]
+        edges.sort()
+        self.keys, self.child = (np.array(c, np.int64) for c in zip(*edges))
+        self.ends = np.array(ends, np.int64)
+
+    def split(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(code points, start of each chunk, chunks per text) of texts that are not empty."""
+        points = np.frombuffer("".join([SPACE + t for t in texts]).replace(" ", SPACE).encode("utf-32-le"), np.uint32).astype(np.int64)
+        letters = self.letter[points].astype(np.int64)
+        key = letters[:-1] * self.radix + letters[1:]
+        joined = self.pairs[np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)] == key
+        begins = np.cumsum([0, *[len(t) + 1 for t in texts]])
+        fresh = np.r_[True, ~joined]
+        fresh[begins[:-1]] = True
+        starts = np.flatnonzero(fresh)
+        return points, starts, np.diff(np.searchsorted(starts, begins))
+
+    def distinct(self, points: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(first chunk of each kind, kind of each chunk), by a 64-bit hash of the code points."""
+        sizes = np.diff(np.r_[starts, len(points)])
+        at = np.arange(len(points)) - np.repeat(starts, sizes)
+        parts = (points.astype(np.uint64) + (at.astype(np.uint64) << np.uint64(21))) * _G
+        parts = (parts ^ (parts >> np.uint64(31))) * _M1
+        parts ^= parts >> np.uint64(29)
+        _, first, kind = np.unique(np.add.reduceat(parts, starts) * _M2 + sizes.astype(np.uint64), return_index=True, return_inverse=True)
+        return first, kind
+
+    def _fallback(self, point: int) -> int:
+        if point not in self.runs:
+            ids = tuple(self.bytes[b] for b in chr(point).encode())
+            self.runs[point] = len(self.code_ids)
+            self.code_ids.append(ids)
+            self.code_logs.append(float(sum(self.logs[i] for i in ids)))
+        return self.runs[point]
+
+    def gather(self, points: np.ndarray, sizes: np.ndarray) -> dict[str, np.ndarray]:
+        """The lattices of chunks that stand one after another; `place` is a chunk's first place, `first` a place's first edge."""
+        n = len(points)
+        place = np.cumsum(sizes) - sizes
+        left = np.repeat(place + sizes, sizes) - np.arange(n)
+        letters, node, active = self.letter[points].astype(np.int64), np.zeros(n, np.int64), np.arange(n)
+        found, single = [], np.zeros(n, bool)
+        for step in range(1, self.longest + 1):
+            active = active[left[active] >= step]
+            key = node[active] * self.radix + letters[active + step - 1]
+            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            hit = self.keys[at] == key
+            active, at = active[hit], at[hit]
+            node[active] = self.child[at]
+            piece = self.ends[node[active]]
+            whole = piece >= 0
+            found.append((active[whole], np.full(int(whole.sum()), step), piece[whole]))
+            if step == 1:
+                single[active[whole]] = True
+        bare = np.flatnonzero(~single)
+        found.append((bare, np.ones(len(bare), np.int64), np.array([self._fallback(int(p)) for p in points[bare]], np.int64)))
+        of, step, code = (np.concatenate(c) for c in zip(*found))
+        # From the last place of all chunks to the first: log of the sum over the paths ahead.
+        order = np.argsort((left[of] << 36) + (of << 6) + step)
+        of, step, code = of[order], step[order], code[order]
+        log = np.array(self.code_logs)[code]
+        chunk = np.repeat(np.arange(len(sizes)), sizes)
+        after, slot = np.zeros(n + len(sizes)), np.arange(n) + chunk  # one more slot per chunk for its end
+        target, value = slot[of] + step, np.empty(len(of))
+        depth = left[of]
+        bounds = np.flatnonzero(np.r_[True, depth[1:] != depth[:-1], True])
+        heads = np.r_[True, of[1:] != of[:-1]]
+        for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+            value[a:b] = log[a:b] + after[target[a:b]]
+            head = np.flatnonzero(heads[a:b])
+            top = np.maximum.reduceat(value[a:b], head)
+            size = np.diff(np.r_[head, b - a])
+            after[slot[of[a:b][head]]] = top + np.log(np.add.reduceat(np.exp(value[a:b] - np.repeat(top, size)), head))
+        own = value - after[slot[of]]
+        share = np.exp(own)
+        order = np.argsort((of << 36) + ((1 << 29) - (share * (1 << 29)).astype(np.int64) << 6) + step)
+        of, step, code, own, share = of[order], step[order], code[order], own[order], share[order]
+        first = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
+        count = np.diff(np.r_[first, len(of)])
+        cumulated = np.empty(len(of))
+        run, edge = np.zeros(n), first.copy()
+        for k in range(int(count.max(initial=0))):
+            here = np.flatnonzero(count > k)
+            run[here] += share[edge[here] + k]
+            cumulated[edge[here] + k] = run[here]
+        cumulated[first + count - 1] = 2.0
+        return {"place": place, "size": sizes, "first": first, "cumulated": cumulated, "log": own, "step": step, "code": code}
+
+    def of_names(self, names: list[str]) -> dict[str, np.ndarray]:
+        """The lattices of some chunks given as strings."""
+        points = np.frombuffer("".join(names).encode("utf-32-le"), np.uint32).astype(np.int64)
+        return self.gather(points, np.array([len(w) for w in names], np.int64))
 
 
 def uniform(key: np.ndarray) -> np.ndarray:
@@ -225,26 +277,33 @@ def walk(lattices: dict[str, np.ndarray], kind: np.ndarray, key: np.ndarray) ->
 
 def other_path(lattices: dict[str, np.ndarray], kind: int, barred: list[tuple[int, ...]], key: int) -> tuple[tuple[int, ...], float]:
     """A path of one word drawn among those not barred, and its log-probability."""
-    place, left, step, path, total = int(lattices["place"][kind]), int(lattices["size"][kind]), 0, [], 0.0
-    while left:
-        first = int(lattices["first"][place])
-        end = first
-        while lattices["cumulated"][end] < 2.0:
-            end += 1
+    base, left = int(lattices["place"][kind]), int(lattices["size"][kind])
+    firsts = lattices["first"][base : base + left].tolist()
+    last = firsts[-1]
+    while lattices["cumulated"][last] < 2.0:
+        last += 1
+    firsts.append(last + 1)
+    low = firsts[0]
+    logs, steps = lattices["log"][low : last + 1].tolist(), lattices["step"][low : last + 1].tolist()
+    draws = uniform(mixed(key, np.arange(left))).tolist()
+    at, path, total = 0, [], 0.0
+    while at < left:
+        depth = len(path)
         weights = []
-        for edge in range(first, end + 1):
-            lost = sum(math.exp(sum(lattices["log"][e] for e in b[step + 1 :])) for b in barred if b[step] == edge)
-            weights.append(math.exp(lattices["log"][edge]) * max(0.0, 1.0 - lost))
-        at = float(uniform(mixed(key, step))[0]) * sum(weights)
-        edge = first
-        for edge, weight in zip(range(first, end + 1), weights):
-            at -= weight
-            if at <= 0 and weight > 0:
-                break
-        barred = [b for b in barred if b[step] == edge]
-        path.append(edge)
-        total += float(lattices["log"][edge])
-        place, left, step = place + int(lattices["step"][edge]), left - int(lattices["step"][edge]), step + 1
+        for edge in range(firsts[at], firsts[at + 1]):
+            lost = sum([math.exp(sum([logs[e - low] for e in b[depth + 1 :]])) for b in barred if b[depth] == edge])
+            weights.append(math.exp(logs[edge - low]) * max(0.0, 1.0 - lost))
+        mark, pick = draws[depth] * sum(weights), firsts[at]
+        for edge, weight in enumerate(weights, firsts[at]):
+            if weight > 0:
+                pick = edge
+                mark -= weight
+                if mark <= 0:
+                    break
+        barred = [b for b in barred if b[depth] == pick]
+        path.append(pick)
+        total += logs[pick - low]
+        at += steps[pick - low]
     return tuple(path), total
 
 
@@ -390,14 +449,14 @@ def _lattices(model: str, logs: np.ndarray, temperature: float) -> Lattices:
 
 
 def _sampled(lattices: Lattices, ids: list, texts: list, k: int, seed: int) -> pa.RecordBatch:
-    split = [chunks(t) if t else [] for t in texts]
-    filled = [i for i, words in enumerate(split) if words]
-    numbers: dict[str, int] = {}
-    kind = np.array([numbers.setdefault(w, len(numbers)) for i in filled for w in split[i]], np.int64)
-    rows: list[tuple] = [(i, 0, b"", 0.0, 0.0, 1.0, True) for i, words in enumerate(split) if not words]
+    filled = [i for i, t in enumerate(texts) if t]
+    rows: list[tuple] = [(i, 0, b"", 0.0, 0.0, 1.0, True) for i, t in enumerate(texts) if not t]
     if filled:
-        laid = lattices.gather(list(numbers))
-        sizes = np.array([len(split[i]) for i in filled], np.int64)
+        points, starts, sizes = lattices.split([texts[i] for i in filled])
+        first, kind = lattices.distinct(points, starts)
+        lengths = np.diff(np.r_[starts, len(points)])[first]
+        flat = np.repeat(starts[first] - (np.cumsum(lengths) - lengths), lengths) + np.arange(int(lengths.sum()))
+        laid = lattices.gather(points[flat], lengths)
         keys = mixed(np.array([ids[i] or 0 for i in filled], np.int64), seed, sizes)
         *ranks, last = sample_words(laid, kind, sizes, keys, k)
         ends = np.cumsum(sizes)

@@ -1,9 +1,10 @@
 """Order feature build: one row per ride order with what its dispatch rounds reveal.
 
-The dispatch details are read once into two grouped tables: per (order, round) and per
-(order, driver). The running batch total and the previous round come from a range-partitioned
-running total, so an order with very many details never sits in one task. Everything else is
-a second combined aggregation per order and joins of tables that hold one row per order.
+Every step is keyed by (day, order), so an order seen on two days is two orders. The dispatch
+details are scanned twice, each time with a combined aggregation: into one row per round, and
+into one row per driver, which is written as three later steps read it. The running batch total
+and the previous round come from a range-partitioned running total, so an order with very many
+details never sits in one task. Everything else joins tables with one row per day and order.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from millrace.functions import scalars as s
 from millrace.operators import joins
 from millrace.operators.ordered import running
 from millrace.operators.rows import first_positive
+from millrace.session import cut
 from millrace.sources.tables import write_partitions
 
 # fixed values: output columns in table order; the partition column follows them
@@ -32,6 +34,7 @@ mean_accept_driver_distance create_time actual_time_length time_length confirm_t
 """.split()
 
 KEY = "service_order_id"
+DAY_KEYS = ("dt", KEY)
 # (name, function, input column) of the four rate summaries every look-back needs
 RATES = [("min_add_rate", F.min, "driver_add_rate"), ("min_bidding_rate", F.min, "customer_add_rate"),
          ("max_add_rate", F.max, "driver_add_rate"), ("max_bidding_rate", F.max, "customer_add_rate")]
@@ -43,9 +46,9 @@ ESTIMATE = "distance int, time_length int, end_latitude double, end_longitude do
 
 def order_base(orders: DataFrame, ext: DataFrame) -> DataFrame:
     """Orders with calendar fields, flags and the estimates from their extension row."""
-    one_ext = joins.one_per_key(ext.select(KEY, "estimate_snap"), [KEY])
-    parsed = one_ext.select(KEY, F.from_json("estimate_snap", ESTIMATE).alias("est"))
-    merged = joins.left_nullsafe(orders, parsed, {KEY: KEY})
+    one_ext = joins.one_per_key(ext.select(*DAY_KEYS, "estimate_snap"), list(DAY_KEYS))
+    parsed = one_ext.select(*DAY_KEYS, F.from_json("estimate_snap", ESTIMATE).alias("est"))
+    merged = joins.left_nullsafe(orders, parsed, {k: k for k in DAY_KEYS})
     length = F.col("est.time_length")
     end = F.coalesce(first_positive(F.col("expect_end_time")), F.when(length > 0, F.col("expect_start_time") + length))
     merged = merged.withColumns({
@@ -65,7 +68,7 @@ def order_base(orders: DataFrame, ext: DataFrame) -> DataFrame:
     return merged.withColumns({**priced, **calendar}).drop("est")
 
 
-def round_table(details: DataFrame) -> DataFrame:
+def round_table(details: DataFrame, keys: tuple[str, ...] = DAY_KEYS) -> DataFrame:
     """One row per (order, round) with everything later steps need, the running batch total
     and the previous round of the order."""
     accepted, first_wave = F.col("accept_status") == 1, (F.col("round") == 1) & (F.col("batch") == 1)
@@ -76,8 +79,8 @@ def round_table(details: DataFrame) -> DataFrame:
         sums.append(fn(column).alias(name))
         sums.append(fn(F.when(first_wave, F.col(column))).alias(f"wave_{name}"))
         sums.append(fn(F.when(accepted, F.col(column))).alias(f"accept_{name}"))
-    rounds = details.groupBy(KEY, "round").agg(*sums)
-    return running(rounds, [KEY], ["round"], {
+    rounds = details.groupBy(*keys, "round").agg(*sums)
+    return running(rounds, list(keys), ["round"], {
         "cum_batch": ("sum", F.col("batch").cast("bigint"), True),
         "prev": ("max", F.struct(F.col("round").alias("round"), F.col("max_add_rate").alias("max_add_rate")), False)})
 
@@ -88,14 +91,14 @@ def _at_first(condition: Column | None, fields: dict[str, Column]) -> Column:
     return F.min(row if condition is None else F.when(condition, row))
 
 
-def order_summary(rounds: DataFrame) -> DataFrame:
+def order_summary(rounds: DataFrame, keys: tuple[str, ...] = DAY_KEYS) -> DataFrame:
     """Round table to one row per order."""
     has_prev = F.col("prev.round") == F.col("round") - 1
     before = F.when(has_prev, F.col("cum_batch") - F.col("batch"))
     accept = {"batch": F.col("accept_batch"), "before": before, "time": F.col("accept_time"),
               "prev_rate": F.when(has_prev, F.col("prev.max_add_rate"))}
     accept.update({n: F.col(f"accept_{n}") for n, _, _ in RATES})
-    grouped = rounds.groupBy(KEY).agg(
+    grouped = rounds.groupBy(*keys).agg(
         F.max("round").alias("total_round"), F.min("first_time").alias("first_dispatch_time"), F.max("last_time").alias("last_dispatch_time"),
         F.max("max_add_rate").alias("top_add_rate"), F.max("max_bidding_rate").alias("top_bidding_rate"),
         F.sum("batch").alias("total_batch"),
@@ -120,33 +123,32 @@ def order_summary(rounds: DataFrame) -> DataFrame:
     for n, _, _ in RATES:
         out[f"init_{n}"] = s.positive_or(F.col(f"wave_{n}"), F.coalesce(f"init.{n}", F.lit(0.0)))
         out[f"first_response_{n}"] = F.when(F.col("acc").isNotNull(), F.coalesce(f"acc.{n}", F.lit(0.0)))
-    return grouped.select(KEY, "total_round", "total_batch", "first_dispatch_time", "last_dispatch_time", *[v.alias(k) for k, v in out.items()])
+    return grouped.select(*keys, "total_round", "total_batch", "first_dispatch_time", "last_dispatch_time", *[v.alias(k) for k, v in out.items()])
 
 
 def batch_positions(details: DataFrame) -> DataFrame:
     """Batch positions counted across rounds, one row per order."""
-    return order_summary(round_table(details))
+    return order_summary(round_table(details, (KEY,)), (KEY,))
 
 
 def last_driver_rows(details: DataFrame) -> DataFrame:
-    """The latest detail of each (order, driver), and its latest accepted detail."""
+    """The latest detail of each (day, order, driver), and its latest accepted detail."""
     order = F.struct("round", "batch", "tie", "distance", "driver_add_rate", "customer_add_rate")
-    last = details.groupBy(KEY, "driver_id").agg(
+    last = details.groupBy(*DAY_KEYS, "driver_id").agg(
         F.max(order).alias("last"), F.max(F.when(F.col("accept_status") == 1, F.struct("round", "batch", "tie", "distance"))).alias("acc"))
-    return last.select(KEY, "driver_id", F.col("last.distance").alias("final_distance"), F.col("last.driver_add_rate").alias("last_add_rate"),
+    return last.select(*DAY_KEYS, "driver_id", F.col("last.distance").alias("final_distance"), F.col("last.driver_add_rate").alias("last_add_rate"),
                        F.col("last.customer_add_rate").alias("last_bidding_rate"), F.col("acc").isNotNull().alias("accepted"), F.col("acc.distance").alias("accept_distance"))
 
 
 def build(orders: DataFrame, ext: DataFrame, details: DataFrame) -> DataFrame:
     """All feature columns for the orders that have dispatch details on their day's load."""
-    kept = joins.keep_matching(orders, details, KEY)
-    drivers = last_driver_rows(details)
-    per_order = drivers.groupBy(KEY).agg(
+    drivers = cut(last_driver_rows(details))
+    per_order = drivers.groupBy(*DAY_KEYS).agg(
         F.count("driver_id").alias("sum_valid_driver"), F.avg("final_distance").alias("mean_driver_distance"),
         F.count(F.when(F.col("accepted"), F.col("driver_id"))).alias("sum_accept_driver"), F.avg("accept_distance").alias("mean_accept_driver_distance"))
-    out = order_base(kept, ext)
-    for table, keys in ((order_summary(round_table(details)), [KEY]), (per_order, [KEY]),
-                        (drivers.drop("accepted", "accept_distance"), [KEY, "driver_id"])):
+    # One row per day and order with details: this join also drops the orders without.
+    out = order_base(orders, ext).join(per_order, list(DAY_KEYS))
+    for table, keys in ((order_summary(round_table(details)), DAY_KEYS), (drivers.drop("accepted", "accept_distance"), (*DAY_KEYS, "driver_id"))):
         out = joins.left_nullsafe(out, table, {k: k for k in keys})
     distance = F.col("final_distance")
     out = out.withColumns({
@@ -164,6 +166,8 @@ def build(orders: DataFrame, ext: DataFrame, details: DataFrame) -> DataFrame:
     return out.select(*OUTPUT, "dt")
 
 
-def run(orders: DataFrame, ext: DataFrame, details: DataFrame, path: str) -> None:
-    """Build all days in one plan and replace exactly their partitions."""
-    write_partitions(build(orders, ext, details), path, "dt")
+def run(orders: DataFrame, ext: DataFrame, details: DataFrame, path: str) -> DataFrame:
+    """Build all days in one plan, replace exactly their partitions, and read the table back."""
+    built = build(orders, ext, details)
+    write_partitions(built, path, "dt")
+    return built.sparkSession.read.schema(built.schema).parquet(path).select(*built.columns)

@@ -121,6 +121,16 @@ select c_custkey as passenger_id, case when c_custkey % 2 = 0 then 'female' else
     "labelled": "select d.doc_id, d.text, d.lang, l.quality as label from documents d join labels l on d.doc_id = l.doc_id",
 }
 
+# The order tables by day: partly filled orders come again on the next day, with the details of their open lines.
+_DAY = "cast(o_orderdate as date) as dt"
+_AGAIN = "(select * from orders where o_orderstatus = 'P') o2"
+for _name in ("service_order", "order_ext"):
+    _again = VIEWS["service_order"] if _name == "service_order" else VIEWS["order_ext"].replace("where o_orderstatus <> 'P'", "")
+    VIEWS[f"{_name}_days"] = VIEWS[_name] + " union all " + _again.replace(_DAY, _DAY.replace(" as dt", " + 1 as dt")).replace("from orders", f"from {_AGAIN}").strip()
+VIEWS["dispatch_days"] = VIEWS["dispatch_detail"].replace(" from lineitem", f""",
+  case when o_orderstatus = 'P' and l_linestatus = 'O' then cast(o_orderdate as date) + 1 else cast(o_orderdate as date) end as dt
+  from lineitem join orders on o_orderkey = l_orderkey""")
+
 
 def view_sql(name: str, dialect: str) -> str:
     words = DIALECT[dialect]

@@ -101,7 +101,7 @@ def test_token_files(spark, monkeypatch):
 
 def all_paths(lattices, name):
     """{ids: probability} of every segmentation of one chunk."""
-    laid = lattices.gather([name])
+    laid = lattices.of_names([name])
     out = {}
 
     def go(place, p, ids):
@@ -123,7 +123,7 @@ def test_samples_are_distinct_and_follow_the_model():
     logs = np.log(np.random.default_rng(5).dirichlet(np.ones(32000)))
     lattices = Lattices(PIECES, logs, 1.0)
     words = ["▁the", "▁an", "\n"]
-    laid = lattices.gather(words)
+    laid = lattices.of_names(words)
     n = 6000
     kind = np.tile(np.arange(3), n)
     *ranks, last = sample_words(laid, kind, np.full(n, 3), np.arange(n).astype(np.uint64), 4)
@@ -153,7 +153,7 @@ def test_samples_are_distinct_and_follow_the_model():
 def test_all_segmentations_are_found_when_few():
     lattices = Lattices(PIECES, np.full(32000, -math.log(32000)), 6.0)
     name = "▁the"
-    laid, paths = lattices.gather([name]), all_paths(lattices, name)
+    laid, paths = lattices.of_names([name]), all_paths(lattices, name)
     *ranks, last = sample_words(laid, np.zeros(1, np.int64), np.ones(1, np.int64), np.array([9], np.uint64), len(paths) + 3)
     found = [tuple(laid["code"][r["edges"]].tolist()) for r in ranks if len(r["docs"])]
     assert sorted(found) == sorted(paths) and last["left"][0] == -np.inf
@@ -190,3 +190,30 @@ def test_trained_counts_equal_the_models_own_encoding(spark):
     got = {r["piece"]: r["n"] for r in segment_sampling.piece_counts(df, PIECES).collect()}
     assert got == Counter(i for t in texts for i in sp.encode(t))
     assert all("".join(chunks(t)) == "▁" + t.replace(" ", "▁") for t in texts if t)
+
+
+def test_cuts_lose_no_segmentation():
+    """The chain of cut chunks has as many segmentations as the whole text, counted piece by piece."""
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    pieces = {sp.id_to_piece(i) for i in range(sp.get_piece_size()) if not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i))}
+    lattices = Lattices(PIECES, np.full(32000, -math.log(32000)), 1.0)
+    for text in [t for t in TEXTS if t] + ["the.\nThe, (x)!! 12:30 naïvely"]:
+        whole = "▁" + text.replace(" ", "▁")
+        ways = [1] + [0] * len(whole)
+        for end in range(1, len(whole) + 1):
+            ways[end] = sum(ways[a] for a in range(max(0, end - 16), end) if whole[a:end] in pieces or end - a == 1)
+        points, starts, sizes = lattices.split([text])
+        assert "".join(map(chr, points)) == whole and sizes.tolist() == [len(starts)]
+        product = 1
+        for a, b in zip(starts, [*starts[1:], len(whole)]):
+            product *= len(all_paths(lattices, whole[a:b])) if b - a < 14 else ways_of(whole[a:b], pieces)
+        assert product == ways[-1]
+
+
+def ways_of(text, pieces):
+    ways = [1] + [0] * len(text)
+    for end in range(1, len(text) + 1):
+        ways[end] = sum(ways[a] for a in range(max(0, end - 16), end) if text[a:end] in pieces or end - a == 1)
+    return ways[-1]

@@ -139,11 +139,36 @@ def test_order_features_edge_cases(spark):
     assert (two["first_response_round"], two["first_response_batch"], two["max_no_accept_max_add_rate"]) == (3, None, 0.0)
 
 
-def test_order_features_keep_one_row_per_order(spark, given):
-    orders = given.service_order
-    out = order_features.build(orders, given.order_ext, given.dispatch_detail)
-    want = orders.join(given.dispatch_detail, "service_order_id", "left_semi").count()
+def test_order_features_keep_one_row_per_day_and_order(spark, given):
+    orders, details = given.service_order_days, given.dispatch_days
+    out = order_features.build(orders, given.order_ext_days, details)
+    want = orders.join(details, ["dt", "service_order_id"], "left_semi").count()
     assert len(order_features.OUTPUT) == 63 and out.count() == want
+    assert out.select("service_order_id").distinct().count() < want  # some orders come on two days
+
+
+def test_order_features_run_replaces_only_its_days(spark, given, tmp_path):
+    days = [r[0] for r in given.service_order_days.select("dt").distinct().orderBy("dt").limit(5).collect()]
+    some = lambda df, k: df.where(df["dt"].isin(days[:k] if k > 0 else days[k:]))
+    path, tables = str(tmp_path / "orders"), (given.service_order_days, given.order_ext_days, given.dispatch_days)
+    whole = order_features.run(*[some(df, 5) for df in tables], path)
+    before = sorted(map(str, whole.collect()))
+    assert before == sorted(map(str, order_features.build(*[some(df, 5) for df in tables]).collect())) and before
+    again = order_features.run(*[some(df, -2) for df in tables], path)
+    assert sorted(map(str, again.collect())) == before
+
+
+def test_order_features_scan_details_twice(spark, given):
+    seen = []
+    original = order_features.cut
+    order_features.cut = lambda df: seen.append(df._jdf.queryExecution().optimizedPlan().toString()) or original(df)
+    try:
+        out = order_features.build(given.service_order_days, given.order_ext_days, given.dispatch_days)
+    finally:
+        order_features.cut = original
+    plans = [*seen, out._jdf.queryExecution().optimizedPlan().toString()]
+    # the round table is written inside the running total, the driver table here
+    assert sum(p.count("l_extendedprice") > 0 for p in plans) <= 2
 
 
 @pytest.mark.parametrize("name", ["order_features", "join_left_nullsafe", "join_left_composite", "halfhour_counts", "radius_join", "nearest_codebook", "roc_mean", "tfidf", "running_sum"])
