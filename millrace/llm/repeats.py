@@ -33,6 +33,7 @@ from millrace.session import cut
 
 BATCH_BYTES = 2 << 20
 RANGE_BYTES = 2 << 20  # of text per range of keys
+SLICE = 1 << 15  # windows that are hashed together
 _C1, _C2, _C3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _LAST_ID = np.iinfo(np.int64).max
 
@@ -77,7 +78,8 @@ def segments(data: np.ndarray, lengths: np.ndarray, span: int, gram: int) -> tup
     empty = np.empty(0, np.int64)
     if len(data) < span:
         return empty.astype(np.uint64), empty, empty, empty
-    keys = window_minima(gram_hashes(data, gram), span - gram + 1)
+    # Slice by slice, so that the arrays stay in a core's cache.
+    keys = np.concatenate([window_minima(gram_hashes(data[a : a + SLICE + span - 1], gram), span - gram + 1) for a in range(0, len(data) - span + 1, SLICE)])
     ends = np.cumsum(lengths)
     doc = np.repeat(np.arange(len(lengths)), lengths)[: len(keys)]
     inside = np.arange(len(keys)) + span <= ends[doc]
@@ -90,7 +92,10 @@ def segments(data: np.ndarray, lengths: np.ndarray, span: int, gram: int) -> tup
     pieces = -(-count // most)
     nth = np.arange(int(pieces.sum())) - np.repeat(np.cumsum(pieces) - pieces, pieces)
     first, count = np.repeat(first, pieces) + nth * most, np.minimum(np.repeat(count, pieces) - nth * most, most)
-    return keys[first], doc[first], at[first], count
+    # Minima crowd at the low end; mixed anew (one to one) they spread over the ranges.
+    spread = keys[first] * _C2
+    spread = (spread ^ (spread >> np.uint64(32))) * _C3
+    return spread ^ (spread >> np.uint64(29)), doc[first], at[first], count
 
 
 def _packed(docs: DataFrame, text_col: str) -> DataFrame:

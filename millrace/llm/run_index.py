@@ -3,7 +3,8 @@
 The strings are laid out one after another with separators that differ from each other. The
 Burrows-Wheeler transform of the text is kept as runs, with the text positions of the first and
 the last row of each run. A pattern is streamed from its end: where the row's run has the next
-character, the row moves by the run's own offset; elsewhere it jumps to the last row of the run
+character, the row moves by the run's own offset, and its new run is found from the run where
+that offset leads; elsewhere it jumps to the last row of the run
 above or the first row of the run below that has it, whichever continues the pattern longer.
 So for every position of the pattern one of its longest matches is known by row and place.
 All patterns are streamed side by side.
@@ -16,18 +17,22 @@ import numpy as np
 LONGEST = 111  # bytes of a string; with its separator it fits the last round of sorting
 
 
-def _ranked(keys: np.ndarray, alone: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Order of the keys and the rank of each; equal keys share a rank unless marked as standing alone."""
-    order = np.argsort(keys, kind="stable")
-    fresh = np.empty(len(keys), bool)
+def _first_order(key: np.ndarray, ended: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order of the suffixes by their first symbols, and where a group of equals starts.
+
+    Suffixes whose separator is among these symbols are in their final order: by place, and alone.
+    """
+    order = np.argsort(key)
+    fresh = np.empty(len(key), bool)
     fresh[:1] = True
-    ordered = keys[order]
+    ordered = key[order]
     np.not_equal(ordered[1:], ordered[:-1], out=fresh[1:])
-    if alone is not None:
-        fresh |= alone[order]
-    rank = np.empty(len(keys), np.int32)
-    rank[order] = np.cumsum(fresh, dtype=np.int32) - 1
-    return order, rank
+    del ordered
+    slots = np.flatnonzero(ended[order])
+    within = np.argsort((np.cumsum(fresh, dtype=np.int64)[slots] << 32) | order[slots])
+    order[slots] = order[slots][within]
+    fresh[slots] = True
+    return order, fresh
 
 
 class RunIndex:
@@ -52,16 +57,29 @@ class RunIndex:
         for j in range(7):
             part = np.where(self.left > j, symbols[j : n + j], 0) if j else symbols[:n]
             key = key << np.uint64(9) | part.astype(np.uint64)
-        order, rank = _ranked(key, self.left < 7)
+        order, fresh = _first_order(key, self.left < 7)
+        del key
+        # The rank of a suffix is the slot where its group of equals starts.
+        rank = np.empty(n, np.int32)
+        rank[order] = np.maximum.accumulate(np.where(fresh, np.arange(n, dtype=np.int32), 0))
         self.half, width = None, 7
         while width <= LONGEST:
             if 2 * width > span and self.half is None:
-                self.half = (rank, width)
-            key = rank.astype(np.uint64) << np.uint64(32)
-            key[: max(n - width, 0)] |= rank[width:].astype(np.uint64)
-            order, rank = _ranked(key, self.left < 2 * width)
+                self.half = (rank.copy(), width)
+            # Only groups of several are sorted on, by the rank of what follows.
+            single = fresh.copy()
+            single[:-1] &= fresh[1:]
+            slots = np.flatnonzero(~single)
+            if len(slots):
+                item = order[slots]
+                key = rank[item].astype(np.int64) << 32 | rank[np.minimum(item + width, n - 1)]
+                by = np.argsort(key)
+                item, key = item[by], key[by]
+                order[slots] = item
+                head = np.r_[True, key[1:] != key[:-1]]
+                fresh[slots] = head
+                rank[item] = np.maximum.accumulate(np.where(head, slots, 0))
             width *= 2
-        del key
         self._compress(order, symbols[:n], owner)
 
     def _compress(self, places: np.ndarray, symbols: np.ndarray, owner: np.ndarray) -> None:
@@ -77,6 +95,7 @@ class RunIndex:
         base = np.empty(len(first), np.int64)
         base[by_char] = np.cumsum(sizes) - sizes  # rows are sorted by first symbol, so runs of a symbol fill its rows in order
         self.base = base
+        self.next_run = np.searchsorted(first, base, "right") - 1  # the run that holds the row of the run's first symbol
         self.by_char, self.keys = by_char, self.run_char[by_char] * (n + 1) + by_char
         # Rows that agree in the first `span` bytes form a group; of each the smallest owner is kept.
         rank, width = self.half
@@ -105,16 +124,17 @@ class RunIndex:
 
     def matches(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Stream every string; (string, offset, row) of all its places with a match of `span` bytes."""
-        row = np.zeros(len(self.lengths), np.int64)
+        row, held = np.zeros(len(self.lengths), np.int64), np.zeros(len(self.lengths), np.int64)
         place = np.full(len(self.lengths), self.head[0], np.int64)
         live = np.arange(len(self.lengths))
         ends = self.starts + self.lengths
+        edge = np.r_[self.run_start, self.n + 1]
         found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for t in range(1, int(self.lengths.max(initial=0)) + 1):
             live = live[self.lengths[live] >= t]
             at = ends[live] - t
             char = self.text[at].astype(np.int64) + 1
-            run = np.searchsorted(self.run_start, row[live], "right") - 1
+            run = held[live]
             miss = np.flatnonzero(self.run_char[run] != char)
             target, where = row[live], place[live]
             if len(miss):
@@ -132,7 +152,13 @@ class RunIndex:
                 run[miss] = np.where(rise, up, down)
                 target[miss] = np.where(rise, self.run_last[up], self.run_start[down])
                 where[miss] = np.where(rise, self.tail[up], self.head[down])
-            row[live] = self.base[run] + target - self.run_start[run]
+            to = self.base[run] + target - self.run_start[run]
+            run = self.next_run[run]
+            behind = np.flatnonzero(to >= edge[run + 1])
+            while len(behind):
+                run[behind] += 1
+                behind = behind[to[behind] >= edge[run[behind] + 1]]
+            row[live], held[live] = to, run
             place[live] = where - 1
             if t >= self.span:
                 found.append((live, at, row[live], place[live]))
