@@ -141,6 +141,14 @@ class _Batch:
         self.ids = self.rows.column(id_col).combine_chunks().cast(pa.int64()).fill_null(_LAST_ID).to_numpy(zero_copy_only=False)
 
 
+def _shrunk(body: bytes) -> bytes:
+    return pa.Codec("zstd", compression_level=6).compress(body, asbytes=True)
+
+
+def _grown(body: bytes, size: int) -> bytes:
+    return pa.Codec("zstd").decompress(body, size, asbytes=True) if size else b""
+
+
 def _ranges(keys: np.ndarray, bits: int) -> np.ndarray:
     return (keys >> np.uint64(64 - bits)).astype(np.int64)
 
@@ -162,17 +170,17 @@ def _asked(batches: DataFrame, bits: int, span: int, gram: int, id_col: str, tex
                 keys = keys[first]
                 to, start = np.unique(_ranges(keys, bits), return_index=True)
                 stop = np.r_[start[1:], len(keys)]
-                # The range gives the leading bits; the next 48 tell keys apart well enough for a first look.
-                low = ((keys << np.uint64(bits)) >> np.uint64(16)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
+                # The range gives the leading bits; the next 40 tell keys apart well enough for a first look.
+                low = ((keys << np.uint64(bits)) >> np.uint64(24)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
                 yield pa.RecordBatch.from_arrays([pa.array(to, pa.int64()), pa.array(np.full(len(to), name), pa.int64()),
                                                   pa.array([low[a:b].tobytes() for a, b in zip(start, stop)], pa.binary()),
                                                   pa.array([np.packbits(several[a:b]).tobytes() for a, b in zip(start, stop)], pa.binary())], names=["range", "batch", "keys", "several"])
 
     def answer(group: pa.Table) -> pa.Table:
         raws = group["keys"].to_pylist()
-        sizes = np.array([len(r) // 6 for r in raws])
+        sizes = np.array([len(r) // 5 for r in raws])
         wide = np.zeros((int(sizes.sum()), 8), np.uint8)
-        wide[:, :6] = np.frombuffer(b"".join(raws), np.uint8).reshape(-1, 6)
+        wide[:, :5] = np.frombuffer(b"".join(raws), np.uint8).reshape(-1, 5)
         keys = wide.view("<u8").ravel()
         ordered = np.sort(keys)
         twice = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
@@ -210,7 +218,7 @@ def _sent(batches: DataFrame, answers: DataFrame, bits: int, span: int, gram: in
                 for r, a, b in zip(to.tolist(), start.tolist(), [*start[1:].tolist(), len(keys)]):
                     part = slice(a, b)
                     body = b"".join([strings[j] for j in range(a, b) if not known[j]])
-                    yield pa.RecordBatch.from_arrays([pa.array([r], pa.int64()), pa.array([name], pa.int64()), *[pa.array([x.tobytes()], pa.binary()) for x in (ids[part], first[part].astype(np.uint32), count[part].astype(np.uint8), known[part])], pa.array([body], pa.binary())],
+                    yield pa.RecordBatch.from_arrays([pa.array([r], pa.int64()), pa.array([name], pa.int64()), *[pa.array([x.tobytes()], pa.binary()) for x in (ids[part], first[part].astype(np.uint32), count[part].astype(np.uint8), known[part])], pa.array([_shrunk(body)], pa.binary())],
                                                       names=["range", "batch", "ids", "firsts", "counts", "known", "bytes"])
 
     replies = answers.groupBy("batch").agg(F.collect_list(F.struct("range", "n", "shared")).alias("replies"))
@@ -224,7 +232,10 @@ def _marked(sent: DataFrame, span: int) -> DataFrame:
         column = lambda name, kind: np.concatenate([np.frombuffer(b, kind) for b in group[name].to_pylist()])
         ids, first, count, known = column("ids", np.int64), column("firsts", np.uint32).astype(np.int64), column("counts", np.uint8).astype(np.int64), column("known", bool)
         batch = np.repeat(group["batch"].to_numpy(), [len(b) // 8 for b in group["ids"].to_pylist()])
-        body, asked = b"".join(group["bytes"].to_pylist()), np.flatnonzero(~known)
+        asked, sizes = np.flatnonzero(~known), np.where(known, 0, count + span - 1)
+        rows = np.cumsum([0, *[len(b) // 8 for b in group["ids"].to_pylist()]])
+        whole = np.r_[0, np.cumsum(sizes)][rows]
+        body = b"".join([_grown(b, int(n)) for b, n in zip(group["bytes"].to_pylist(), np.diff(whole))])
         ends = np.cumsum(count[asked] + span - 1)
         strings = [body[a:b] for a, b in zip((ends - count[asked] - span + 1).tolist(), ends.tolist())]
         order = np.argsort(ids[asked], kind="stable")
