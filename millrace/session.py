@@ -14,6 +14,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # A skewed join that feeds an aggregation on the same key is still split.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Rows hold whole texts; a batch of these must fit beside the work on it.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
 }
 
 
