@@ -33,7 +33,10 @@ from millrace.llm.texts import over_batches
 
 SPACE = "▁"
 CHUNK = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
-BATCH_CHARS = 2_000_000  # characters sampled side by side in a task; a longer text goes alone
+BATCH_CHARS = 1_000_000  # characters sampled side by side in a task; a longer text goes alone
+COUNTED = 300_000  # chunks that a task counts before it passes them on
+LOW = 512
+KEPT_EDGES = 3_000_000  # edges of chunk lattices kept by a worker; it starts anew beyond them
 
 
 def chunks(text: str) -> list[str]:
@@ -55,14 +58,23 @@ def _processor(path: str):
 def piece_counts(docs: DataFrame, model: str, text_col: str = "text") -> DataFrame:
     """(piece, n): how often the model's own encoding of all texts uses each piece."""
 
-    def count(batch: pa.RecordBatch) -> pa.RecordBatch:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: Counter = Counter()
-        for text in batch.column(0).to_pylist():
-            if text:
-                found.update(chunks(text))
-        return pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], names=["chunk", "n"])
 
-    counted = over_batches(docs.select(F.col(text_col).alias("text")), count, "chunk string, n bigint").groupBy("chunk").agg(F.sum("n").alias("n"))
+        def rows() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], names=["chunk", "n"])
+
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                if text:
+                    found.update(chunks(text))
+                if len(found) > COUNTED:
+                    yield rows()
+                    found.clear()
+        if found:
+            yield rows()
+
+    counted = docs.select(F.col(text_col).alias("text")).mapInArrow(count, "chunk string, n bigint").groupBy("chunk").agg(F.sum("n").alias("n"))
 
     def encode(batch: pa.RecordBatch) -> pa.RecordBatch:
         sp = _processor(model)
@@ -127,6 +139,10 @@ class Lattices:
         self.radix = len(letters) + 1
         pairs = {(int(self.letter[ord(x)]), int(self.letter[ord(y)])) for p in pieces for x, y in zip(p, p[1:])}
         self.pairs = np.unique(np.array([x * self.radix + y for x, y in pairs], np.int64))
+        self.low_pairs = np.zeros((LOW, LOW), bool)  # of the first letters, which most texts are made of
+        for x, y in pairs:
+            if x < LOW and y < LOW:
+                self.low_pairs[x, y] = True
         # A trie of the pieces as sorted (node, letter) keys.
         nodes, ends, edges = {"": 0}, [-1], []
         for name in sorted(pieces):
@@ -139,28 +155,55 @@ class Lattices:
         edges.sort()
         self.keys, self.child = (np.array(c, np.int64) for c in zip(*edges))
         self.ends = np.array(ends, np.int64)
+        self.roots = np.full(self.radix, -1, np.int64)
+        roots = self.keys < self.radix
+        self.roots[self.keys[roots]] = self.child[roots]
+        self._forget()
+
+    def _forget(self) -> None:
+        self.prints, self.kinds = np.empty(0, np.uint64), np.empty(0, np.int64)
+        self.laid = {k: np.empty(0, t) for k, t in (("place", np.int64), ("size", np.int32), ("first", np.int32), ("cumulated", float), ("log", float), ("step", np.int32), ("code", np.int32))}
 
     def split(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(code points, start of each chunk, chunks per text) of texts that are not empty."""
         points = np.frombuffer("".join([SPACE + t for t in texts]).replace(" ", SPACE).encode("utf-32-le"), np.uint32).astype(np.int64)
         letters = self.letter[points].astype(np.int64)
-        key = letters[:-1] * self.radix + letters[1:]
-        joined = self.pairs[np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)] == key
+        low = np.minimum(letters, LOW - 1)
+        joined = self.low_pairs[low[:-1], low[1:]]
+        high = np.flatnonzero((letters[:-1] >= LOW) | (letters[1:] >= LOW))
+        key = letters[high] * self.radix + letters[high + 1]
+        joined[high] = self.pairs[np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)] == key
         begins = np.cumsum([0, *[len(t) + 1 for t in texts]])
         fresh = np.r_[True, ~joined]
         fresh[begins[:-1]] = True
         starts = np.flatnonzero(fresh)
         return points, starts, np.diff(np.searchsorted(starts, begins))
 
-    def distinct(self, points: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(first chunk of each kind, kind of each chunk), by a 64-bit hash of the code points."""
+    def known(self, points: np.ndarray, starts: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray]:
+        """(lattices of all chunks met so far, kind of each chunk); chunks are told apart by a 64-bit hash."""
+        if len(self.laid["step"]) > KEPT_EDGES:
+            self._forget()
         sizes = np.diff(np.r_[starts, len(points)])
         at = np.arange(len(points)) - np.repeat(starts, sizes)
         parts = (points.astype(np.uint64) + (at.astype(np.uint64) << np.uint64(21))) * _G
         parts = (parts ^ (parts >> np.uint64(31))) * _M1
         parts ^= parts >> np.uint64(29)
-        _, first, kind = np.unique(np.add.reduceat(parts, starts) * _M2 + sizes.astype(np.uint64), return_index=True, return_inverse=True)
-        return first, kind
+        prints, first, kind = np.unique(np.add.reduceat(parts, starts) * _M2 + sizes.astype(np.uint64), return_index=True, return_inverse=True)
+        where = np.minimum(np.searchsorted(self.prints, prints), max(len(self.prints) - 1, 0))
+        new = np.flatnonzero(self.prints[where] != prints) if len(self.prints) else np.arange(len(prints))
+        if len(new):
+            own = first[new]
+            lengths = sizes[own]
+            flat = np.repeat(starts[own] - (np.cumsum(lengths) - lengths), lengths) + np.arange(int(lengths.sum()))
+            more, have = self.gather(points[flat], lengths), len(self.laid["size"])
+            shift = {"place": len(self.laid["first"]), "first": len(self.laid["step"])}
+            self.laid = {k: np.concatenate([v, (more[k] + shift.get(k, 0)).astype(v.dtype)]) for k, v in self.laid.items()}
+            self.prints = np.concatenate([self.prints, prints[new]])
+            self.kinds = np.concatenate([self.kinds, have + np.arange(len(new))])
+            order = np.argsort(self.prints)
+            self.prints, self.kinds = self.prints[order], self.kinds[order]
+            where = np.searchsorted(self.prints, prints)
+        return self.laid, self.kinds[where][kind]
 
     def _fallback(self, point: int) -> int:
         if point not in self.runs:
@@ -179,11 +222,15 @@ class Lattices:
         found, single = [], np.zeros(n, bool)
         for step in range(1, self.longest + 1):
             active = active[left[active] >= step]
-            key = node[active] * self.radix + letters[active + step - 1]
-            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            hit = self.keys[at] == key
-            active, at = active[hit], at[hit]
-            node[active] = self.child[at]
+            if step == 1:
+                ahead = self.roots[letters]
+                hit = ahead >= 0
+            else:
+                key = node[active] * self.radix + letters[active + step - 1]
+                at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+                hit, ahead = self.keys[at] == key, self.child[at]
+            active = active[hit]
+            node[active] = ahead[hit]
             piece = self.ends[node[active]]
             whole = piece >= 0
             found.append((active[whole], np.full(int(whole.sum()), step), piece[whole]))
@@ -248,6 +295,17 @@ def mixed(*parts: np.ndarray | int) -> np.ndarray:
     return out
 
 
+_MASK = (1 << 64) - 1
+
+
+def draw(key: int) -> float:
+    """The same as `uniform`, for one whole number."""
+    z = key * int(_G) & _MASK
+    z = (z ^ (z >> 30)) * int(_M1) & _MASK
+    z = (z ^ (z >> 27)) * int(_M2) & _MASK
+    return (((z ^ (z >> 31)) >> 12) + 0.5) * 2.0**-52
+
+
 def walk(lattices: dict[str, np.ndarray], kind: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Draw a path for each word: (edges in word order, edges per word, log-probability per word)."""
     place, left = lattices["place"][kind], lattices["size"][kind].copy()
@@ -285,7 +343,6 @@ def other_path(lattices: dict[str, np.ndarray], kind: int, barred: list[tuple[in
     firsts.append(last + 1)
     low = firsts[0]
     logs, steps = lattices["log"][low : last + 1].tolist(), lattices["step"][low : last + 1].tolist()
-    draws = uniform(mixed(key, np.arange(left))).tolist()
     at, path, total = 0, [], 0.0
     while at < left:
         depth = len(path)
@@ -293,7 +350,7 @@ def other_path(lattices: dict[str, np.ndarray], kind: int, barred: list[tuple[in
         for edge in range(firsts[at], firsts[at + 1]):
             lost = sum([math.exp(sum([logs[e - low] for e in b[depth + 1 :]])) for b in barred if b[depth] == edge])
             weights.append(math.exp(logs[edge - low]) * max(0.0, 1.0 - lost))
-        mark, pick = draws[depth] * sum(weights), firsts[at]
+        mark, pick = draw(key + depth) * sum(weights), firsts[at]
         for edge, weight in enumerate(weights, firsts[at]):
             if weight > 0:
                 pick = edge
@@ -326,9 +383,9 @@ def sample_words(lattices: dict[str, np.ndarray], kind: np.ndarray, sizes: np.nd
     waiting: list[list[tuple]] = [[] for _ in range(n)]  # sets of a document: (score, path, word, barred)
     alive, score = np.arange(n), -np.log(-np.log(uniform(mixed(keys, 1))))
     since, barred_at = np.zeros(n, np.int64), [()] * n
-    out = []
+    out, spot = [], mixed(keys[doc], word)
     for rank in range(k):
-        edges, counts, logs = walk(lattices, kind, mixed(keys[doc], 2 + rank, word))
+        edges, counts, logs = walk(lattices, kind, mixed(spot, 2 * rank))
         if rank:
             edges, counts, logs = _merged(paths, chosen, doc, word, since, replaced, start, edges, counts, logs)
         at = np.cumsum(counts) - counts
@@ -346,7 +403,7 @@ def sample_words(lattices: dict[str, np.ndarray], kind: np.ndarray, sizes: np.nd
                     gone = math.fsum(math.exp(float(lattices["log"][list(b)].sum())) for b in barred_at[i]) + math.exp(logs[w])
                     rest[w] = math.log(1.0 - gone) if gone < 1.0 - 1e-12 else -math.inf
             rest[rest < -27.0] = -np.inf  # a word with one segmentation, up to rounding
-            sets = np.where(np.isfinite(rest), cut_gumbel(before + rest, score[doc], uniform(mixed(keys[doc], 1000 + rank, word))), -np.inf)
+            sets = np.where(np.isfinite(rest), cut_gumbel(before + rest, score[doc], uniform(spot * _M2 + np.uint64(2 * rank + 1))), -np.inf)
         sets[(word < since[doc]) | ~np.isin(doc, alive)] = -np.inf
         for _ in range(k - rank):
             top = np.maximum.reduceat(sets, start)
@@ -362,11 +419,12 @@ def sample_words(lattices: dict[str, np.ndarray], kind: np.ndarray, sizes: np.nd
             del held[k - rank :]
         if rank + 1 < k:
             score, since, chosen, replaced, barred_at = np.full(n, -np.inf), np.zeros(n, np.int64), np.zeros(n, np.int64), {}, [()] * n
+            restarts = mixed(keys, 2000 + rank).tolist()
             for i, held in enumerate(waiting):
                 if held:
                     score[i], chosen[i], since[i], barred_at[i] = held.pop(0)
                     w = int(start[i] + since[i])
-                    replaced[w] = other_path(lattices, int(kind[w]), list(barred_at[i]), int(mixed(keys[i], 2000 + rank)[0]))
+                    replaced[w] = other_path(lattices, int(kind[w]), list(barred_at[i]), restarts[i])
             alive = np.flatnonzero(np.isfinite(score))
     out.append({"left": np.array([held[0][0] if held else -np.inf for held in waiting])})
     return out
@@ -453,10 +511,7 @@ def _sampled(lattices: Lattices, ids: list, texts: list, k: int, seed: int) -> p
     rows: list[tuple] = [(i, 0, b"", 0.0, 0.0, 1.0, True) for i, t in enumerate(texts) if not t]
     if filled:
         points, starts, sizes = lattices.split([texts[i] for i in filled])
-        first, kind = lattices.distinct(points, starts)
-        lengths = np.diff(np.r_[starts, len(points)])[first]
-        flat = np.repeat(starts[first] - (np.cumsum(lengths) - lengths), lengths) + np.arange(int(lengths.sum()))
-        laid = lattices.gather(points[flat], lengths)
+        laid, kind = lattices.known(points, starts)
         keys = mixed(np.array([ids[i] or 0 for i in filled], np.int64), seed, sizes)
         *ranks, last = sample_words(laid, kind, sizes, keys, k)
         ends = np.cumsum(sizes)
