@@ -1,9 +1,9 @@
-"""Byte-level BPE of whole texts with the tokenizers library and a cache of text chunks.
+"""Byte-level BPE of whole texts with the tokenizers library and two caches.
 
-The pre-tokenizer never lets a token hold a space that follows a visible character together
-with that character. So a text can be cut before every single space between two visible
-characters, and the tokens of the chunks are the tokens of the text. Frequent chunks are
-encoded once per worker.
+No token crosses a border that the pre-tokenizer sets, so the tokens of a text are those of its
+pieces one after another. Texts are first cut before single spaces between two visible
+characters, which are such borders; frequent chunks are known as a whole. Other chunks are cut
+into the pre-tokenizer's own pieces, and pieces not yet known go to the library.
 """
 
 from __future__ import annotations
@@ -11,54 +11,84 @@ from __future__ import annotations
 import re
 
 import numpy as np
+import regex
 
-CHUNKS = 400_000  # cached chunks of a worker; the cache starts anew beyond it
+CHUNKS = 150_000  # entries of a cache; when it is full it becomes the older one, from which entries in use are taken over
 _CUT = re.compile(r" (?<=\S )(?=\S)")
+# Fixed value: the pattern of the byte-level pre-tokenizer.
+_PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
 
 
 class ChunkEncoder:
-    """Ids, and if asked for character spans, of whole texts."""
+    """Ids and character spans of whole texts."""
 
-    def __init__(self, path: str, spans: bool = False):
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.encoder = Tokenizer.from_file(path)
-        special = self.encoder.get_added_tokens_decoder().values()
-        self.special = [t.content for t in special]
-        self.spans = spans
-        self.known: dict[str, bytes | tuple[bytes, bytes, bytes]] = {}
+        self.special = [t.content for t in self.encoder.get_added_tokens_decoder().values()]
+        self.known, self.older = {}, {}  # chunk: ids as bytes
+        self.pieces, self.older_pieces = {}, {}
+        # A byte-level token is written with one character per byte.
+        vocabulary = self.encoder.get_vocab(with_added_tokens=True)
+        self.sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, i in vocabulary.items():
+            self.sizes[i] = len(token.encode() if token in self.special else token)
+
+    def _encoded(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text; words with a space in front are pieces also side by side, and go as one text."""
+        words = [t for t in texts if t[0] == " " and t[1:].isalpha()]
+        found = {}
+        if words:
+            e = self.encoder.encode("".join(words), add_special_tokens=False)
+            ends = np.searchsorted(np.array(e.word_ids), np.arange(len(words)), "right").tolist()
+            raw = np.array(e.ids, np.uint32).tobytes()
+            found = {w: raw[4 * a : 4 * b] for w, a, b in zip(words, [0, *ends[:-1]], ends)}
+        rest = [t for t in texts if t not in found]
+        found.update(zip(rest, [np.array(e.ids, np.uint32).tobytes() for e in self.encoder.encode_batch_fast(rest, add_special_tokens=False)]))
+        return [found[t] for t in texts]
 
     def _learn(self, chunks: list[str]) -> None:
-        if self.spans:
-            for chunk, e in zip(chunks, self.encoder.encode_batch(chunks, add_special_tokens=False)):
-                at = np.array(e.offsets, np.uint32).reshape(-1, 2)
-                self.known[chunk] = (np.array(e.ids, np.uint32).tobytes(), at[:, 0].tobytes(), at[:, 1].tobytes())
-        else:
-            for chunk, e in zip(chunks, self.encoder.encode_batch_fast(chunks, add_special_tokens=False)):
-                self.known[chunk] = np.array(e.ids, np.uint32).tobytes()
+        cut = [_PIECES.findall(c) for c in chunks]
+        pieces, older, missing = self.pieces, self.older_pieces, []
+        for p in {p for c in cut for p in c if p not in pieces}:
+            if p in older:
+                pieces[p] = older[p]
+            else:
+                missing.append(p)
+        if missing:
+            pieces.update(zip(missing, self._encoded(missing)))
+        for chunk, parts in zip(chunks, cut):
+            self.known[chunk] = b"".join([pieces[p] for p in parts])
 
-    def _chunks(self, text: str) -> list[str]:
+    def ids(self, text: str | None) -> np.ndarray:
+        if not text:
+            return np.empty(0, np.uint32)
         if any(s in text for s in self.special):  # special tokens are found before the text is cut
-            chunks = [text]
-        else:
-            first, *rest = _CUT.split(text)
-            chunks = [first, *[" " + r for r in rest]]
+            return np.frombuffer(self._encoded([text])[0], np.uint32)
         if len(self.known) > CHUNKS:
-            self.known.clear()
-        if missing := [c for c in set(chunks) if c not in self.known]:
+            self.older, self.known = self.known, {}
+        if len(self.pieces) > CHUNKS:
+            self.older_pieces, self.pieces = self.pieces, {}
+        first, *rest = _CUT.split(text)
+        chunks = [first, *[" " + r for r in rest]]
+        known, older, missing = self.known, self.older, []
+        for c in {c for c in chunks if c not in known}:
+            if c in older:
+                known[c] = older[c]
+            else:
+                missing.append(c)
+        if missing:
             self._learn(missing)
-        return chunks
-
-    def ids(self, text: str | None) -> np.ndarray:
-        known = self.known
-        chunks = self._chunks(text) if text else []
         return np.frombuffer(b"".join([known[c] for c in chunks]), np.uint32)
 
     def tokens(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """ids, first characters and ends of all tokens; tokens of one character's bytes share its span."""
-        chunks = self._chunks(text) if text else []
-        found = [self.known[c] for c in chunks]
-        ids, starts, ends = (np.frombuffer(b"".join([f[k] for f in found]), np.uint32) for k in range(3))
-        base = np.cumsum([0, *map(len, chunks)])[:-1] if chunks else np.empty(0, np.int64)
-        shift = np.repeat(base, [len(f[0]) // 4 for f in found])
-        return ids, starts + shift, ends + shift
+        ids = self.ids(text)
+        ends = np.cumsum(self.sizes[ids])
+        starts = ends - self.sizes[ids]
+        if text and not text.isascii():
+            raw = np.frombuffer(text.encode(), np.uint8)
+            char = np.cumsum((raw & 0xC0) != 0x80) - 1
+            starts, ends = char[starts], char[ends - 1] + 1
+        return ids, starts, ends

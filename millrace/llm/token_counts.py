@@ -97,5 +97,5 @@ _ENCODERS: dict[str, ChunkEncoder] = {}
 def _encoder(path: str) -> ChunkEncoder:
     """One encoder per worker, kept between tasks."""
     if path not in _ENCODERS:
-        _ENCODERS[path] = ChunkEncoder(path, spans=True)
+        _ENCODERS[path] = ChunkEncoder(path)
     return _ENCODERS[path]

@@ -42,7 +42,7 @@ def packed_ids(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, text_c
         if tokenizer not in _ENCODERS:
             _ENCODERS[tokenizer] = ChunkEncoder(tokenizer)
         encoder, end = _ENCODERS[tokenizer], np.array([end_id], np.uint32)
-        part, seq, first, held, docs_held, lengths = 0, 0, 0, [], [], []
+        part, seq, first, size, held, docs_held, lengths = 0, 0, 0, 0, [], [], []
 
         def block() -> pa.RecordBatch:
             ids = np.concatenate(held)
@@ -55,9 +55,10 @@ def packed_ids(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, text_c
                 held += [encoder.ids(text), end]
                 docs_held.append(doc)
                 lengths.append(len(held[-2]) + 1)
-                if (size := sum(lengths)) >= BLOCK_IDS:
+                size += lengths[-1]
+                if size >= BLOCK_IDS:
                     yield block()
-                    seq, first, held, docs_held, lengths = seq + 1, first + size, [], [], []
+                    seq, first, size, held, docs_held, lengths = seq + 1, first + size, 0, [], [], []
         if held:
             yield block()
 
@@ -70,8 +71,13 @@ def id_counts(blocks: DataFrame) -> DataFrame:
     """(id, n) over all blocks."""
 
     def count(batch: pa.RecordBatch) -> pa.RecordBatch:
-        ids, n = np.unique(np.concatenate([np.frombuffer(b, "<u4") for b in batch.column(0).to_pylist()]), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(ids.astype(np.int64)), pa.array(n.astype(np.int64))], names=["id", "n"])
+        n = np.zeros(0, np.int64)
+        for raw in batch.column(0).to_pylist():
+            more = np.bincount(np.frombuffer(raw, "<u4"))
+            n, more = (n, more) if len(n) >= len(more) else (more, n)
+            n[: len(more)] += more
+        ids = np.flatnonzero(n)
+        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(n[ids], pa.int64())], names=["id", "n"])
 
     return over_batches(blocks.select("ids"), count, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
 
