@@ -5,21 +5,26 @@ window of that length has a key, the smallest hash of its shorter grams, so equa
 equal keys; neighbours mostly share theirs, so a text is cut into segments of windows with one
 key. Documents are packed into batches, and equal keys meet by key range:
 
-1. Every batch sends its distinct keys, and learns by one bit per key which of them other
-   batches or several of its own documents have.
-2. Segments with such a key go to the key's range; of equal segments in a batch only that of
-   the smallest id is sent, the others are marked at once.
+1. Every batch sends its distinct keys with the bytes behind each, rounded up to a power of
+   two, and learns by one bit per key which of them other batches or several of its own
+   documents have. A range whose shared keys hold more than RANGE_LIMIT calls the heaviest
+   of them crowded, until the rest is within it.
+2. Segments with a shared key go to the key's range; of equal segments in a batch only that of
+   the smallest id is sent, the others stay behind and take over its answer.
 3. A range builds the run-length index of its distinct segments and streams them through it.
    Where a window's match group starts in a smaller id, the window is marked.
-4. Marks come back to the batch, where the bytes they cover are cut out.
+4. Windows with a crowded key go by a second key, the 128-bit digest of the whole window: once
+   per batch, without text, to ranges of digests. There the smallest id marks all others.
+5. Marks come back to the batch, where the bytes they cover are cut out.
 
-Hot passages are thus sent once per batch, and no group grows with one passage alone. Batches
-and ranges are bounded by bytes; a longer document is a batch of its own.
+So a range holds at most RANGE_LIMIT bytes of text, however many documents share a key, and a
+digest meets itself at most once per batch. A longer document is a batch of its own.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +38,7 @@ from millrace.session import cut
 
 BATCH_BYTES = 2 << 20
 RANGE_BYTES = 2 << 20  # of text per range of keys
+RANGE_LIMIT = 8 << 20  # of segments in a range; heavier keys are split by whole windows
 SLICE = 1 << 15  # windows that are hashed together
 _C1, _C2, _C3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _LAST_ID = np.iinfo(np.int64).max
@@ -154,19 +160,20 @@ def _ranges(keys: np.ndarray, bits: int) -> np.ndarray:
 
 
 def _asked(batches: DataFrame, bits: int, span: int, gram: int, id_col: str, text_col: str) -> DataFrame:
-    """(batch, range, shared): one bit per distinct key of a batch, in ascending order."""
+    """(batch, range, n, shared, crowded): bits of the distinct keys of a batch, in ascending order."""
 
     def ask(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in stream:
             for name, packed in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist()):
                 held = _Batch(packed, id_col, text_col)
-                keys, doc, _, _ = segments(held.data, held.lengths, span, gram)
+                keys, doc, _, count = segments(held.data, held.lengths, span, gram)
                 order = np.argsort(keys, kind="stable")
-                keys, doc = keys[order], held.ids[doc[order]]
+                keys, doc, size = keys[order], held.ids[doc[order]], count[order] + span - 1
                 first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.empty(0, np.int64)
                 if not len(first):
                     continue
                 several = np.minimum.reduceat(doc, first) != np.maximum.reduceat(doc, first)
+                weight = np.ceil(np.log2(np.add.reduceat(size, first))).astype(np.uint8)
                 keys = keys[first]
                 to, start = np.unique(_ranges(keys, bits), return_index=True)
                 stop = np.r_[start[1:], len(keys)]
@@ -174,7 +181,8 @@ def _asked(batches: DataFrame, bits: int, span: int, gram: int, id_col: str, tex
                 low = ((keys << np.uint64(bits)) >> np.uint64(24)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
                 yield pa.RecordBatch.from_arrays([pa.array(to, pa.int64()), pa.array(np.full(len(to), name), pa.int64()),
                                                   pa.array([low[a:b].tobytes() for a, b in zip(start, stop)], pa.binary()),
-                                                  pa.array([np.packbits(several[a:b]).tobytes() for a, b in zip(start, stop)], pa.binary())], names=["range", "batch", "keys", "several"])
+                                                  pa.array([np.packbits(several[a:b]).tobytes() for a, b in zip(start, stop)], pa.binary()),
+                                                  pa.array([weight[a:b].tobytes() for a, b in zip(start, stop)], pa.binary())], names=["range", "batch", "keys", "several", "weights"])
 
     def answer(group: pa.Table) -> pa.Table:
         raws = group["keys"].to_pylist()
@@ -186,114 +194,186 @@ def _asked(batches: DataFrame, bits: int, span: int, gram: int, id_col: str, tex
         twice = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
         own = np.concatenate([np.unpackbits(np.frombuffer(s, np.uint8), count=n) for s, n in zip(group["several"].to_pylist(), sizes)]).astype(bool)
         shared = np.isin(keys, twice) | own
+        crowded = np.zeros(len(keys), bool)
+        mass = np.left_shift(1, np.frombuffer(b"".join(group["weights"].to_pylist()), np.uint8)[shared].astype(np.int64))
+        if mass.sum() > RANGE_LIMIT:
+            names, number = np.unique(keys[shared], return_inverse=True)
+            per_key = np.bincount(number, weights=mass)
+            order = np.argsort(per_key, kind="stable")
+            crowded[shared] = np.isin(number, order[np.cumsum(per_key[order]) > RANGE_LIMIT])
         at = np.cumsum(sizes) - sizes
-        return pa.table({"batch": group["batch"], "range": group["range"], "n": pa.array(sizes, pa.int64()),
-                         "shared": pa.array([np.packbits(shared[a : a + n]).tobytes() for a, n in zip(at, sizes)], pa.binary())})
+        bits_of = lambda flags: pa.array([np.packbits(flags[a : a + n]).tobytes() for a, n in zip(at, sizes)], pa.binary())
+        return pa.table({"batch": group["batch"], "range": group["range"], "n": pa.array(sizes, pa.int64()), "shared": bits_of(shared),
+                         "crowded": bits_of(crowded) if crowded.any() else pa.nulls(len(sizes), pa.binary())})
 
-    sent = batches.select("batch", "rows").mapInArrow(ask, "range bigint, batch bigint, keys binary, several binary")
-    return sent.groupBy("range").applyInArrow(answer, "batch bigint, range bigint, n bigint, shared binary")
+    sent = batches.select("batch", "rows").mapInArrow(ask, "range bigint, batch bigint, keys binary, several binary, weights binary")
+    return sent.groupBy("range").applyInArrow(answer, "batch bigint, range bigint, n bigint, shared binary, crowded binary")
 
 
-_SENT = "range bigint, batch bigint, ids binary, firsts binary, counts binary, known binary, bytes binary"
+_SENT = "range bigint, batch bigint, ids binary, firsts binary, counts binary, origins binary, bytes binary"
+
+
+def _sent_row(to: int, batch: int, body: bytes = b"", **columns: np.ndarray) -> pa.RecordBatch:
+    values = [columns.get(name, np.empty(0)).tobytes() for name in ("ids", "firsts", "counts", "origins")]
+    return pa.RecordBatch.from_arrays([pa.array([to], pa.int64()), pa.array([batch], pa.int64()), *[pa.array([v], pa.binary()) for v in (*values, body)]],
+                                      names=["range", "batch", "ids", "firsts", "counts", "origins", "bytes"])
+
+
+def _stay(batch: int, ids: np.ndarray, first: np.ndarray, count: np.ndarray, origin: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Rows for the batch itself on what equals another place of it, its origin, and is not sent.
+
+    With a larger id than the origin it is marked; with the same id it is marked where the origin is.
+    """
+    known = ids[origin] < ids
+    alike = ~known & (origin != np.arange(len(ids)))
+    firsts, counts = first.astype(np.uint32), count.astype(np.uint8)
+    if known.any():
+        yield _sent_row(-1 - batch, batch, firsts=firsts[known], counts=counts[known])
+    if alike.any():
+        yield _sent_row(-1 - batch, batch, firsts=firsts[alike], counts=counts[alike], origins=firsts[origin[alike]])
+
+
+def _digests(raw: bytes, at: np.ndarray, span: int) -> np.ndarray:
+    """(n, 2) words of the 128-bit digests of the windows that start at these places."""
+    parts = [b"".join([blake2b(raw[a : a + span], digest_size=16).digest() for a in at[k : k + SLICE].tolist()]) for k in range(0, len(at), SLICE)]
+    return np.frombuffer(b"".join(parts), "<u8").reshape(-1, 2)
+
+
+def _runs(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The places of all windows of runs."""
+    return np.arange(int(count.sum())) + np.repeat(first - (np.cumsum(count) - count), count)
 
 
 def _sent(batches: DataFrame, answers: DataFrame, bits: int, span: int, gram: int, id_col: str, text_col: str) -> DataFrame:
-    """Segments with shared keys by range. `known` segments are marked already and come without bytes."""
+    """Segments with shared keys by range, windows with crowded keys by digest from range 1 << bits on.
+
+    Negative ranges hold what one batch has to tell itself.
+    """
 
     def send(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in stream:
             for name, packed, replies in zip(*(c.to_pylist() for c in rows.columns)):
                 held = _Batch(packed, id_col, text_col)
                 keys, doc, first, count = segments(held.data, held.lengths, span, gram)
-                shared = np.concatenate([np.unpackbits(np.frombuffer(r["shared"], np.uint8), count=r["n"]) for r in sorted(replies, key=lambda r: r["range"])]).astype(bool)
+                replies = sorted(replies, key=lambda r: r["range"])
+                shared = np.concatenate([np.unpackbits(np.frombuffer(r["shared"], np.uint8), count=r["n"]) for r in replies]).astype(bool)
+                crowded = np.concatenate([np.zeros(r["n"], np.uint8) if r["crowded"] is None else np.unpackbits(np.frombuffer(r["crowded"], np.uint8), count=r["n"]) for r in replies]).astype(bool)
                 _, number = np.unique(keys, return_inverse=True)
                 pick = np.flatnonzero(shared[number])
                 pick = pick[np.lexsort((first[pick], held.ids[doc[pick]], keys[pick]))]
-                keys, ids, first, count = keys[pick], held.ids[doc[pick]], first[pick], count[pick]
+                keys, ids, first, count, split = keys[pick], held.ids[doc[pick]], first[pick], count[pick], crowded[number[pick]]
                 raw = held.data.tobytes()
                 strings = [raw[a:b] for a, b in zip(first.tolist(), (first + count + span - 1).tolist())]
-                least: dict[bytes, int] = {}
-                known = np.array([least.setdefault(s, i) < i for s, i in zip(strings, ids.tolist())], bool)
-                to, start = np.unique(_ranges(keys, bits), return_index=True)
-                for r, a, b in zip(to.tolist(), start.tolist(), [*start[1:].tolist(), len(keys)]):
-                    part = slice(a, b)
-                    body = b"".join([strings[j] for j in range(a, b) if not known[j]])
-                    yield pa.RecordBatch.from_arrays([pa.array([r], pa.int64()), pa.array([name], pa.int64()), *[pa.array([x.tobytes()], pa.binary()) for x in (ids[part], first[part].astype(np.uint32), count[part].astype(np.uint8), known[part])], pa.array([_shrunk(body)], pa.binary())],
-                                                      names=["range", "batch", "ids", "firsts", "counts", "known", "bytes"])
-
-    replies = answers.groupBy("batch").agg(F.collect_list(F.struct("range", "n", "shared")).alias("replies"))
+                met: dict[bytes, int] = {}
+                origin = np.array([met.setdefault(s, j) for j, s in enumerate(strings)], np.int64)  # the smallest id comes first
+                yield from _stay(name, ids, first, count, origin)
+                own = origin == np.arange(len(origin))
+                go = np.flatnonzero(own & ~split)
+                to, start = np.unique(_ranges(keys[go], bits), return_index=True)
+                for r, part in zip(to.tolist(), np.split(go, start[1:])):
+                    yield _sent_row(r, name, _shrunk(b"".join([strings[j] for j in part.tolist()])), ids=ids[part], firsts=first[part].astype(np.uint32), counts=count[part].astype(np.uint8))
+                del met, strings
+                go = np.flatnonzero(own & split)
+                if not len(go):
+                    continue
+                at, ids = _runs(first[go], count[go]), np.repeat(ids[go], count[go])
+                order = np.lexsort((at, ids))
+                at, ids = at[order], ids[order]
+                digest = _digests(raw, at, span)
+                order = np.lexsort((digest[:, 1], digest[:, 0]))  # stable: the smallest id of equals comes first
+                at, ids, digest = at[order], ids[order], digest[order]
+                fresh = np.r_[True, (digest[1:] != digest[:-1]).any(axis=1)]
+                yield from _stay(name, ids, at, np.ones(len(at), np.int64), np.flatnonzero(fresh)[np.cumsum(fresh) - 1])
+                at, ids, digest = at[fresh], ids[fresh], digest[fresh]
+                to, start = np.unique(_ranges(digest[:, 0], bits), return_index=True)
+                for r, part in zip(to.tolist(), np.split(np.arange(len(at)), start[1:])):
+                    yield _sent_row((1 << bits) + r, name, digest[part].tobytes(), ids=ids[part], firsts=at[part].astype(np.uint32))
+
+    replies = answers.groupBy("batch").agg(F.collect_list(F.struct("range", "n", "shared", "crowded")).alias("replies"))
     return batches.join(replies, "batch").select("batch", "rows", "replies").mapInArrow(send, _SENT)
 
 
-def _marked(sent: DataFrame, span: int) -> DataFrame:
-    """(batch, firsts, counts): runs of marked windows, as places in the batch."""
+def _marks(names: np.ndarray, firsts: np.ndarray, counts: np.ndarray) -> pa.Table:
+    order = np.lexsort((firsts, names))
+    names, firsts, counts = names[order], firsts[order].astype(np.uint32), counts[order].astype(np.uint32)
+    which, start = np.unique(names, return_index=True)
+    stop = np.r_[start[1:], len(names)].astype(np.int64)
+    return pa.table({"batch": pa.array(which, pa.int64()), "firsts": pa.array([firsts[a:b].tobytes() for a, b in zip(start, stop)], pa.binary()),
+                     "counts": pa.array([counts[a:b].tobytes() for a, b in zip(start, stop)], pa.binary()), "origins": pa.array([b""] * len(which), pa.binary())})
+
+
+def _marked(sent: DataFrame, bits: int, span: int) -> DataFrame:
+    """(batch, firsts, counts, origins): runs of marked windows as places in the batch; with origins, marked where these are."""
 
     def mark(group: pa.Table) -> pa.Table:
+        to = group["range"][0].as_py()
+        if to < 0:
+            counts = [np.frombuffer(b, np.uint8).astype(np.uint32).tobytes() for b in group["counts"].to_pylist()]
+            return pa.table({"batch": group["batch"], "firsts": group["firsts"], "counts": pa.array(counts, pa.binary()), "origins": group["origins"]})
         column = lambda name, kind: np.concatenate([np.frombuffer(b, kind) for b in group[name].to_pylist()])
-        ids, first, count, known = column("ids", np.int64), column("firsts", np.uint32).astype(np.int64), column("counts", np.uint8).astype(np.int64), column("known", bool)
-        batch = np.repeat(group["batch"].to_numpy(), [len(b) // 8 for b in group["ids"].to_pylist()])
-        asked, sizes = np.flatnonzero(~known), np.where(known, 0, count + span - 1)
-        rows = np.cumsum([0, *[len(b) // 8 for b in group["ids"].to_pylist()]])
-        whole = np.r_[0, np.cumsum(sizes)][rows]
+        ids, first = column("ids", np.int64), column("firsts", np.uint32).astype(np.int64)
+        rows = [len(b) // 8 for b in group["ids"].to_pylist()]
+        batch = np.repeat(group["batch"].to_numpy(), rows)
+        if to >= 1 << bits:
+            digest = column("bytes", "<u8").reshape(-1, 2)
+            order = np.lexsort((ids, digest[:, 1], digest[:, 0]))
+            fresh = np.flatnonzero(np.r_[True, (digest[order[1:]] != digest[order[:-1]]).any(axis=1)])
+            least = np.repeat(ids[order[fresh]], np.diff(np.r_[fresh, len(order)]))
+            hits = order[least < ids[order]]
+            return _marks(batch[hits], first[hits], np.ones(len(hits), np.int64))
+        count = column("counts", np.uint8).astype(np.int64)
+        whole = np.r_[0, np.cumsum(count + span - 1)][np.cumsum([0, *rows])]
         body = b"".join([_grown(b, int(n)) for b, n in zip(group["bytes"].to_pylist(), np.diff(whole))])
-        ends = np.cumsum(count[asked] + span - 1)
-        strings = [body[a:b] for a, b in zip((ends - count[asked] - span + 1).tolist(), ends.tolist())]
-        order = np.argsort(ids[asked], kind="stable")
+        ends = np.cumsum(count + span - 1)
+        strings = [body[a:b] for a, b in zip((ends - count - span + 1).tolist(), ends.tolist())]
+        order = np.argsort(ids, kind="stable")
         numbers: dict[bytes, int] = {}
-        owner, of = [], np.empty(len(asked), np.int64)
+        owner, of = [], np.empty(len(ids), np.int64)
         for j in order.tolist():  # ascending ids: the first to bring a string owns it
             number = numbers.setdefault(strings[j], len(numbers))
             if number == len(owner):
-                owner.append(int(ids[asked[j]]))
+                owner.append(int(ids[j]))
             of[j] = number
-        out_batch, out_first, out_count = [batch[known]], [first[known]], [count[known]]
-        if numbers:
-            owners, texts = np.array(owner), list(numbers)
-            lengths = np.array([len(t) for t in texts])
-            index = RunIndex(np.frombuffer(b"".join(texts), np.uint8), lengths, span)
-            string, offset, row = index.matches()
-            # Owners ascend, so the smallest owner number of a group has the smallest id.
-            earlier = owners[index.first_owner[index.group[row]]]
-            width = int(lengths.max()) - span + 1
-            earliest = np.full((len(texts), width), _LAST_ID)
-            earliest[string, offset] = earlier
-            own = ids[asked]
-            hits = earliest[of] < own[:, None]
-            hits[np.arange(width) >= count[asked][:, None]] = False
-            edge = np.diff(np.pad(hits, ((0, 0), (1, 1))).astype(np.int8), axis=1)
-            who, begin = np.nonzero(edge == 1)
-            _, end = np.nonzero(edge == -1)
-            out_batch.append(batch[asked][who])
-            out_first.append(first[asked][who] + begin)
-            out_count.append(end - begin)
-        names, firsts, counts = np.concatenate(out_batch), np.concatenate(out_first), np.concatenate(out_count)
-        order = np.lexsort((firsts, names))
-        names, firsts, counts = names[order], firsts[order], counts[order]
-        which, start = np.unique(names, return_index=True)
-        stop = np.r_[start[1:], len(names)].astype(np.int64)
-        return pa.table({"batch": pa.array(which, pa.int64()), "firsts": pa.array([firsts[a:b].tobytes() for a, b in zip(start, stop)], pa.binary()),
-                         "counts": pa.array([counts[a:b].astype(np.int64).tobytes() for a, b in zip(start, stop)], pa.binary())})
-
-    return sent.groupBy("range").applyInArrow(mark, "batch bigint, firsts binary, counts binary")
+        owners, texts = np.array(owner), list(numbers)
+        lengths = np.array([len(t) for t in texts])
+        index = RunIndex(np.frombuffer(b"".join(texts), np.uint8), lengths, span)
+        string, offset, row = index.matches()
+        # Owners ascend, so the smallest owner number of a group has the smallest id.
+        earlier = owners[index.first_owner[index.group[row]]]
+        width = int(lengths.max()) - span + 1
+        earliest = np.full((len(texts), width), _LAST_ID)
+        earliest[string, offset] = earlier
+        hits = earliest[of] < ids[:, None]
+        hits[np.arange(width) >= count[:, None]] = False
+        edge = np.diff(np.pad(hits, ((0, 0), (1, 1))).astype(np.int8), axis=1)
+        who, begin = np.nonzero(edge == 1)
+        _, end = np.nonzero(edge == -1)
+        return _marks(batch[who], first[who] + begin, end - begin)
+
+    return sent.groupBy("range").applyInArrow(mark, "batch bigint, firsts binary, counts binary, origins binary")
 
 
 def _finished(docs: DataFrame, schema: str, finish: Callable[[pa.Table, list[bytes], list[list[dict]], list[bytes]], pa.Table], id_col: str, text_col: str, span: int, gram: int) -> DataFrame:
     batches = cut(_packed(docs, text_col))
     total = batches.agg(F.sum("size")).first()[0] or 0
     bits = max(4, int(total // RANGE_BYTES).bit_length())
-    marks = _marked(_sent(batches, _asked(batches, bits, span, gram, id_col, text_col), bits, span, gram, id_col, text_col), span)
-    per_batch = marks.groupBy("batch").agg(F.collect_list(F.struct("firsts", "counts")).alias("marks"))
+    marks = _marked(_sent(batches, _asked(batches, bits, span, gram, id_col, text_col), bits, span, gram, id_col, text_col), bits, span)
+    per_batch = marks.groupBy("batch").agg(F.collect_list(F.struct("firsts", "counts", "origins")).alias("marks"))
 
     def apply(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in stream:
             for packed, marked in zip(*(c.to_pylist() for c in rows.columns)):
                 held = _Batch(packed, id_col, text_col)
-                change = np.zeros(len(held.data) + 1, np.int64)
-                for m in marked or ():
-                    firsts, counts = np.frombuffer(m["firsts"], np.int64), np.frombuffer(m["counts"], np.int64)
-                    np.add.at(change, firsts, 1)
-                    np.add.at(change, firsts + counts + span - 1, -1)
-                gone = np.cumsum(change[:-1]) > 0
+                hit = np.zeros(len(held.data) + 2, bool)  # windows; none at either end
+                marks = [[np.frombuffer(m[c], np.uint32).astype(np.int64) for c in ("firsts", "counts", "origins")] for m in marked or ()]
+                copies = [m for m in marks if len(m[2])]
+                for firsts, counts, origins in [m for m in marks if not len(m[2])] + copies + copies:  # a segment's origin may have windows with origins
+                    hit[_runs(firsts, counts) + 1] = hit[_runs(origins, counts) + 1] if len(origins) else True
+                edge = np.diff(hit.astype(np.int8))
+                change = np.zeros(len(held.data) + span, np.int64)
+                change[np.flatnonzero(edge == 1)] += 1
+                change[np.flatnonzero(edge == -1) + span - 1] -= 1
+                gone = np.cumsum(change[: len(held.data)]) > 0
                 spans, kept, raws, at = [], [], [], 0
                 for n in held.lengths.tolist():
                     own, bytes_ = gone[at : at + n], held.data[at : at + n]

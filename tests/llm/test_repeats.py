@@ -57,6 +57,40 @@ def test_repeats_match_brute_force(spark, monkeypatch, span, gram):
     assert mine == brute(rows, span)
 
 
+@pytest.mark.parametrize("limit", [0, 1500])
+def test_crowded_keys_match_brute_force(spark, monkeypatch, limit):
+    monkeypatch.setattr(repeats, "BATCH_BYTES", 1500)
+    monkeypatch.setattr(repeats, "RANGE_LIMIT", limit, raising=False)
+    rows = corpus()
+    df = spark.createDataFrame([(t, i) for i, t in rows], "text string, doc_id bigint").repartition(3)
+    got = repeats.repeated_spans(df).collect()
+    mine = sorted(((r["doc_id"], r["n_bytes"], sum(s["end"] - s["start"] for s in r["spans"]), len(r["spans"]), hashlib.sha256(r["kept"]).hexdigest()) for r in got), key=repr)
+    assert mine == brute(rows, 50)
+
+
+def test_no_range_grows_with_a_phrase_in_every_document(spark, monkeypatch):
+    limit = 8000
+    monkeypatch.setattr(repeats, "BATCH_BYTES", 4000)
+    monkeypatch.setattr(repeats, "RANGE_LIMIT", limit, raising=False)
+    rng = random.Random(5)
+    noise = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(60))
+    line = "the very same line in each of these texts"
+    rows = [(i, noise() + line + noise() + ("\n" + noise() * 2 if i % 7 else "")) for i in range(600)]
+    rows += [(1000 + i, "copy: " + rows[i][1] + noise()) for i in range(0, 600, 40)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    bits = 4
+    batches = repeats.cut(repeats._packed(df, "text"))
+    answers = repeats._asked(batches, bits, 50, 24, "doc_id", "text")
+    size = {}
+    for r in repeats._sent(batches, answers, bits, 50, 24, "doc_id", "text").collect():
+        if 0 <= r["range"] < 1 << bits:
+            size[r["range"]] = size.get(r["range"], 0) + sum(n + 49 for n in r["counts"])
+    assert max(size.values(), default=0) <= limit
+    got = repeats.repeated_spans(df).collect()
+    mine = sorted(((r["doc_id"], r["n_bytes"], sum(s["end"] - s["start"] for s in r["spans"]), len(r["spans"]), hashlib.sha256(r["kept"]).hexdigest()) for r in got), key=repr)
+    assert mine == brute(rows, 50)
+
+
 def test_cut_texts_keep_all_columns(spark):
     said = "é" * 40 + " and more of the same kind of words in here"
     df = spark.createDataFrame([(1, said, "a", 5), (2, "so: " + said, None, 6), (3, None, "c", None)], "doc_id bigint, text string, rows string, size bigint")
