@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.operators.clustering import mahalanobis2
@@ -161,3 +161,103 @@ def boosted_prediction(df: DataFrame, boosted: list, name: str = "prediction") -
     for tree, vote in boosted:
         scored = tree.transform(scored).withColumn("_vote", F.col("_vote") + F.when(F.col("prediction") > 0, vote).otherwise(-vote)).drop("prediction", "rawPrediction", "probability")
     return scored.withColumn(name, F.when(F.col("_vote") > 0, 1.0).otherwise(0.0)).drop("_vote")
+
+
+# --- learners on sparse rows (key, i, value) with 0/1 labels (key, label) --------
+
+def sparse_perceptron(entries: DataFrame, labels: DataFrame, key: str, passes: int = 10) -> tuple[DataFrame, float]:
+    """((i, coef), intercept) of the averaged perceptron updates, with weights as rows."""
+    signed = cut(labels.select(key, F.when(F.col("label") > 0, 1.0).otherwise(-1.0).alias("y")))
+    n, intercept, weights = signed.count(), 0.0, None
+    for _ in range(passes):
+        wrong = signed
+        if weights is not None:
+            margins = _margins(entries, key, weights)
+            wrong = cut(signed.join(margins, key, "left").where(F.col("y") * (F.coalesce("margin", F.lit(0.0)) + intercept) <= 0).select(key, "y"))
+        step = entries.join(wrong, key).groupBy("i").agg((F.sum(F.col("value") * F.col("y")) / n).alias("coef"))
+        intercept += (wrong.agg(F.sum("y")).first()[0] or 0.0) / n
+        weights = cut(step if weights is None else weights.unionByName(step).groupBy("i").agg(F.sum("coef").alias("coef")))
+    return weights, intercept
+
+
+def _margins(entries: DataFrame, key: str, weights: DataFrame) -> DataFrame:
+    return entries.join(weights, "i").groupBy(key).agg(F.sum(F.col("value") * F.col("coef")).alias("margin"))
+
+
+def sparse_perceptron_prediction(entries: DataFrame, keys: DataFrame, key: str, weights: DataFrame, intercept: float) -> DataFrame:
+    margin = F.coalesce("margin", F.lit(0.0)) + intercept
+    return keys.join(_margins(entries, key, weights), key, "left").select(key, F.when(margin > 0, 1.0).otherwise(0.0).alias("prediction"))
+
+
+def sparse_centroid(train: DataFrame, labels: DataFrame, test: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """(key, prediction): the class with the nearest mean, ties to the smaller label; means stay rows."""
+    sizes = labels.groupBy("label").agg(F.count("*").alias("c"))
+    means = cut(train.join(labels, key).groupBy("label", "i").agg(F.sum("value").alias("s")).join(sizes, "label").select("label", "i", (F.col("s") / F.col("c")).alias("mean")))
+    squares = means.groupBy("label").agg(F.sum(F.col("mean") * F.col("mean")).alias("square"))
+    every = keys.crossJoin(F.broadcast(sizes.select("label").join(squares, "label", "left")))
+    shared = test.join(means, "i").groupBy(key, "label").agg(F.sum(F.col("value") * F.col("mean")).alias("dot"))
+    distance = F.coalesce("square", F.lit(0.0)) - 2 * F.coalesce("dot", F.lit(0.0))  # the row's own length is the same for all classes
+    best = every.join(shared, [key, "label"], "left").groupBy(key).agg(F.min(F.struct(distance.alias("d"), F.col("label"))).alias("b"))
+    return best.select(key, F.col("b.label").alias("prediction"))
+
+
+def _binned(entries: DataFrame, key: str) -> DataFrame:
+    """Values in 32 bins, four to each power of two below 1; absent values are below all bins."""
+    return entries.where("value > 0").select(key, "i", F.greatest(F.lit(0), F.least(F.lit(31), F.floor(4 * F.log2("value")) + 32)).cast("int").alias("bin"))
+
+
+def _descended(state: DataFrame, binned: DataFrame, key: str, splits: DataFrame) -> DataFrame:
+    """State (key, tree, node, ...) after splits (tree, node, i, at): bins from `at` on go to 2 node + 1."""
+    right = binned.join(F.broadcast(splits), "i").where("bin >= at").select(key, "tree", "node", F.lit(1).alias("right"))
+    inner = F.broadcast(splits.select("tree", "node", F.lit(True).alias("inner")))
+    moved = state.join(inner, ["tree", "node"], "left").join(right, [key, "tree", "node"], "left")
+    return cut(moved.withColumn("node", F.when(F.col("inner"), F.col("node") * 2 + F.coalesce("right", F.lit(0))).otherwise(F.col("node"))).drop("inner", "right"))
+
+
+def sparse_forest(entries: DataFrame, labels: DataFrame, key: str, size: int, trees: int = 20, depth: int = 5, seed: int = 0) -> dict:
+    """Random forest: Poisson bootstrap, sqrt(size) columns drawn per node, Gini gain over 32 bins.
+
+    All trees grow a level at once. Only (tree, node) totals and splits reach the driver, so the
+    number of columns is not bounded.
+    """
+    binned = cut(_binned(entries, key))
+    spark = entries.sparkSession
+    u = F.pmod(F.xxhash64(key, "tree", F.lit(seed)), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    shares = np.cumsum([np.exp(-1.0) / f for f in (1, 1, 2, 6, 24, 120, 720, 5040)])
+    draws = sum((F.when(u >= float(s), 1.0).otherwise(0.0) for s in shares), F.lit(0.0))
+    state = labels.crossJoin(spark.range(trees).select(F.col("id").cast("int").alias("tree"))).withColumn("weight", draws).where("weight > 0")
+    state = cut(state.withColumn("node", F.lit(1)))
+    levels = []
+    totals = lambda: state.groupBy("tree", "node").agg(F.sum("weight").alias("n"), F.sum(F.col("weight") * F.col("label")).alias("p")).collect()
+    gini = lambda n, p: (p * p + (n - p) * (n - p)) / n
+    for level in range(depth):
+        mixed = [(r["tree"], r["node"], r["n"], r["p"]) for r in totals() if r["node"] >= 1 << level and 0 < r["p"] < r["n"]]
+        if not mixed or not size:
+            break
+        open_nodes = F.broadcast(spark.createDataFrame(mixed, "tree int, node int, all_n double, all_p double"))
+        draw = F.pmod(F.xxhash64("tree", "node", "id", F.lit(seed)), F.lit(size)).cast("int")
+        drawn = spark.range(int(np.ceil(np.sqrt(size)))).crossJoin(open_nodes.select("tree", "node")).select("tree", "node", draw.alias("i")).distinct()
+        seen = binned.join(drawn, "i").join(state, [key, "tree", "node"])
+        cells = seen.groupBy("tree", "node", "i", "bin").agg(F.sum("weight").alias("n"), F.sum(F.col("weight") * F.col("label")).alias("p"))
+        upward = Window.partitionBy("tree", "node", "i").orderBy(F.desc("bin"))  # at most 32 rows
+        above = cells.select("tree", "node", "i", "bin", F.sum("n").over(upward).alias("n"), F.sum("p").over(upward).alias("p")).join(open_nodes, ["tree", "node"]).where("n < all_n")
+        n, p, all_n, all_p = (F.col(c) for c in ("n", "p", "all_n", "all_p"))
+        gain = gini(n, p) + gini(all_n - n, all_p - p) - gini(all_n, all_p)
+        best = above.withColumn("gain", gain).where("gain > 1e-9").groupBy("tree", "node").agg(F.max(F.struct("gain", (-F.col("i")).alias("i"), "bin")).alias("b"))
+        splits = [(r["tree"], r["node"], -r["b"]["i"], r["b"]["bin"]) for r in best.collect()]
+        if not splits:
+            break
+        levels.append(splits)
+        state = _descended(state, binned, key, spark.createDataFrame(splits, "tree int, node int, i int, at int"))
+    return {"levels": levels, "leaves": [(r["tree"], r["node"], r["p"] / r["n"]) for r in totals()]}
+
+
+def sparse_forest_prediction(entries: DataFrame, keys: DataFrame, key: str, forest: dict) -> DataFrame:
+    """(key, prediction) by the mean of the trees' class shares."""
+    spark = entries.sparkSession
+    leaves = F.broadcast(spark.createDataFrame(forest["leaves"], "tree int, node int, share double"))
+    binned = cut(_binned(entries, key))
+    state = keys.crossJoin(leaves.select("tree").distinct()).withColumn("node", F.lit(1))
+    for splits in forest["levels"]:
+        state = _descended(state, binned, key, spark.createDataFrame(splits, "tree int, node int, i int, at int"))
+    return state.join(leaves, ["tree", "node"]).groupBy(key).agg(F.when(F.avg("share") > 0.5, 1.0).otherwise(0.0).alias("prediction"))

@@ -2,20 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
-from pyspark.ml.classification import LinearSVC, LogisticRegression, NaiveBayes, RandomForestClassifier
-from pyspark.ml.feature import IDF, CountVectorizerModel, Normalizer
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.classification import LinearSVC, LogisticRegression, NaiveBayes
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators import evaluate, text
-from millrace.operators.features import to_array
-from millrace.operators.models import averaged_learner, linear_prediction, nearest_centroid
+from millrace.operators.models import sparse_centroid, sparse_forest, sparse_forest_prediction, sparse_perceptron, sparse_perceptron_prediction
+from millrace.operators.ordered import dense_index
+from millrace.session import cut
 
 
-def chi2_terms(weights: DataFrame, labels: DataFrame, key: str, k: int) -> list[str]:
-    """The k terms whose summed weights differ most between the classes (chi-square)."""
+def chi2_terms(weights: DataFrame, labels: DataFrame, key: str, k: int) -> DataFrame:
+    """(term): the k terms whose summed weights differ most between the classes (chi-square)."""
     joined = weights.join(labels, key)
     observed = joined.groupBy("term", "label").agg(F.sum("weight").alias("o"))
     shares = labels.groupBy("label").agg(F.count("*").alias("c"))
@@ -26,44 +25,62 @@ def chi2_terms(weights: DataFrame, labels: DataFrame, key: str, k: int) -> list[
     scored = observed.join(per_term, "term").join(shares, "label").groupBy("term").agg(
         F.sum((F.col("o") - gap) * (F.col("o") - gap) / gap).alias("seen"), F.sum(gap).alias("covered"), F.first("all_o").alias("all_o"))
     ranked = scored.select("term", (F.col("seen") + F.col("all_o") - F.col("covered")).alias("chi2")).orderBy(F.desc("chi2"), "term")
-    return [r["term"] for r in ranked.limit(k).collect()]
+    return ranked.limit(k).select("term")
 
 
-def run(train: DataFrame, test: DataFrame, key: str = "doc_id", terms: int = 500) -> DataFrame:
-    """(model, n_test, accuracy, f1, density) for each classifier."""
+def shaped(counts: DataFrame, key: str, vocabulary: DataFrame) -> DataFrame:
+    """(key, i, value): n * idf of the vocabulary's terms (term, i, idf), scaled to unit length per document."""
+    weighted = counts.join(vocabulary, "term").select(key, "i", (F.col("n") * F.col("idf")).alias("w"))
+    weighted = cut(weighted)
+    norms = weighted.groupBy(key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    return cut(weighted.join(norms, key).select(key, "i", F.when(F.col("norm") > 0, F.col("w") / F.col("norm")).otherwise(0.0).alias("value")))
+
+
+def _vectors(entries: DataFrame, labels: DataFrame, key: str, size: int) -> DataFrame:
+    """(key, label, features, flags) with sparse vectors; a document without a known term has empty ones."""
+    sparse = F.udf(lambda i, v: Vectors.sparse(size, i or [], v or []), VectorUDT())
+    rows = entries.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("i", "value"))).alias("e"))
+    ones = F.transform("e", lambda x: F.lit(1.0))
+    return labels.join(rows, key, "left").select(key, "label", sparse("e.i", "e.value").alias("features"), sparse("e.i", ones).alias("flags"))
+
+
+def run(train: DataFrame, test: DataFrame, key: str = "doc_id", terms: int | None = None) -> DataFrame:
+    """(model, n_test, accuracy, f1, density) for each classifier, on all terms of the training documents.
+
+    With `terms`, only so many terms of the highest chi-square are kept. Terms are numbered
+    without passing through the driver, and documents are sparse rows; the linear and Bayes
+    models hold a few numbers per term on the driver, all others keep terms as rows.
+    """
     spark = train.sparkSession
-    counts = text.term_counts(train, key, text.words(F.col("text")))
-    weights = text.tfidf(counts, key, train.count(), sublinear=True)
-    vocabulary = chi2_terms(weights, train.select(key, "label"), key, terms)
-    tokens = lambda df: df.select(key, F.col("label").cast("double").alias("label"), text.words(F.col("text")).alias("tokens"))
-    counter = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="tokens", outputCol="tf")
-    shaping = Pipeline(stages=[counter, IDF(inputCol="tf", outputCol="idf"), Normalizer(inputCol="idf", outputCol="features")]).fit(tokens(train))
-    ready = shaping.transform(tokens(train)).select(key, "label", "tf", "features").cache()
-    held = shaping.transform(tokens(test)).select(key, "label", "tf", "features").cache()
+    counted = lambda df: cut(text.term_counts(df, key, text.words(F.col("text"))))
+    counts, labels, held_labels = counted(train), *(cut(df.select(key, F.col("label").cast("double").alias("label"))) for df in (train, test))
+    documents = labels.count()
+    names = counts.select("term")
+    if terms is not None:
+        names = cut(chi2_terms(text.tfidf(counts, key, documents, sublinear=True), labels, key, terms))
+    idf = F.log((documents + 1.0) / (F.col("df") + 1.0))
+    vocabulary = cut(dense_index(names, "term", "i").join(text.document_frequency(counts), "term").select("term", F.col("i").cast("int").alias("i"), idf.alias("idf")))
+    size = vocabulary.count()
+    entries, held_entries = shaped(counts, key, vocabulary), shaped(counted(test), key, vocabulary)
+    ready, held = cut(_vectors(entries, labels, key, size)), cut(_vectors(held_entries, held_labels, key, size))
     learners = {
         "logistic l2": LogisticRegression(regParam=0.01, maxIter=15), "logistic l1": LogisticRegression(regParam=0.01, elasticNetParam=1.0, maxIter=15),
         "linear svc": LinearSVC(regParam=0.01, maxIter=15), "multinomial bayes": NaiveBayes(smoothing=0.01),
-        "bernoulli bayes": NaiveBayes(smoothing=0.01, modelType="bernoulli", featuresCol="flags"), "random forest": RandomForestClassifier(numTrees=20, maxDepth=5, seed=0)}
-    flags = lambda df: df.withColumn("flags", _binary("tf"))
+        "bernoulli bayes": NaiveBayes(smoothing=0.01, modelType="bernoulli", featuresCol="flags")}
     out = []
     for name, learner in learners.items():
-        model = learner.fit(flags(ready) if name == "bernoulli bayes" else ready)
-        scored = model.transform(flags(held) if name == "bernoulli bayes" else held)
-        out.append((name, *_scores(scored), _density(model)))
-    arrays = lambda df: df.select(key, "label", to_array("features").alias("v"))
-    w = averaged_learner(arrays(ready), "v", "label", "perceptron", passes=5)
-    out.append(("perceptron", *_scores(arrays(held).withColumn("prediction", linear_prediction("v", w).cast("double"))), float((w[:-1] != 0).mean())))
-    centroid = nearest_centroid(arrays(ready), arrays(held), key, "v", "label")
-    out.append(("nearest centroid", *_scores(held.select(key, "label").join(centroid, key)), None))
-    ready.unpersist()
-    held.unpersist()
+        model = learner.fit(ready)
+        out.append((name, *_scores(model.transform(held)), _density(model)))
+    judged = lambda prediction: _scores(held_labels.join(prediction, key))
+    forest = sparse_forest(entries, labels, key, size, trees=20, depth=5)
+    out.append(("random forest", *judged(sparse_forest_prediction(held_entries, held_labels.select(key), key, forest)), None))
+    weights, intercept = sparse_perceptron(entries, labels, key, passes=5)
+    used = weights.where("coef != 0").count() / max(size, 1)
+    out.append(("perceptron", *judged(sparse_perceptron_prediction(held_entries, held_labels.select(key), key, weights, intercept)), used))
+    out.append(("nearest centroid", *judged(sparse_centroid(entries, labels, held_entries, held_labels.select(key), key)), None))
     return spark.createDataFrame(out, "model string, n_test bigint, accuracy double, f1 double, density double")
 
 
-def _binary(column: str):
-    return array_to_vector(F.transform(to_array(column), lambda v: F.when(v > 0, 1.0).otherwise(0.0)))
-
-
 def _scores(scored: DataFrame) -> tuple[int, float, float]:
     row = evaluate.class_report(scored, "label", "prediction").where("class = 'avg / total'").first()
     return row["support"], row["recall"], row["f1"]
