@@ -36,3 +36,8 @@ def _rank_sql(rounds):
 @query("pagerank", _rank_sql(6), "links")
 def _(t):
     return graph.pagerank(t.links, rounds=6, early_stop=False).withColumn("score", rounded(F.col("score"), 10))
+
+
+@query("pagerank_converged")
+def _(t):
+    return graph.pagerank(t.links)

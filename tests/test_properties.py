@@ -183,6 +183,15 @@ def test_text_models_beat_the_majority(spark):
     assert got["accuracy"].max() >= labels.value_counts(normalize=True).iloc[0] - 0.05
 
 
+def test_converged_scores_are_a_fixed_point(spark):
+    got = run(spark, "pagerank_converged").set_index("node")["score"]
+    links = catalog.Inputs(spark, SF_DIR).links.select("src", "dst").distinct().toPandas()
+    out = links.groupby("src").size()
+    new = links.assign(s=got[links["src"]].to_numpy() / out[links["src"]].to_numpy()).groupby("dst")["s"].sum().reindex(got.index).fillna(0)
+    loose = got[~got.index.isin(out.index)].sum()
+    assert np.abs(0.85 * new + (0.85 * loose + 0.15 * got.sum()) / len(got) - got).max() < len(got) * 1e-10 * got.max()
+
+
 def test_species_scores(spark):
     got = run(spark, "species_model")
     assert got["species"].is_unique and got["auc"].dropna().between(0, 1).all()
