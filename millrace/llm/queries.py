@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm import chat_format, containment, host_quality, near_dedup, repeats, segment_sampling, sharding, token_counts, token_files, url_filter
+from millrace.llm import (alignment, chat_format, containment, host_quality, near_dedup, packing, prefix_trie, repeats, segment_sampling, sharding, token_counts, token_files,
+                          url_filter)
 from millrace.llm.registry import CHECKS, QUERIES, query  # noqa: F401
 
 
@@ -141,3 +142,39 @@ def op4(read) -> DataFrame:
     found = repeats.repeated_spans(read("documents"), span=50)
     removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda a, s: a + s["end"] - s["start"])
     return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op11_packing")
+def op11(read) -> DataFrame:
+    pieces = packing.pack_documents(read("documents"), tokenizer_path("byte_bpe_50k.json"), capacity=1024)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "sequence_tokens", "sequence_cost")
+
+
+# CRC-32 of a decimal number, bit by bit.
+CRC = """xor(list_reduce(list_prepend(4294967295::bigint, list_transform(range(1, length(conv_id::varchar) + 1), lambda i: ascii((conv_id::varchar)[i])::bigint)),
+         lambda c, x: list_reduce(list_prepend(xor(c, x), range(8)), lambda v, k: xor(v >> 1, 3988292384 * (v & 1)))), 4294967295)"""
+
+
+@query("op12_prefix_trie", sql=rf"""
+with own as (select conv_id, coalesce(role, '') r, coalesce(text, '') t, row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) place
+             from conversations where conv_id is not null),
+h as (select conv_id, conv_id - conv_id % 20 base, {CRC} % 4 h from (select distinct conv_id from own)),
+b as (select h.conv_id, o.place d, o.r, o.t from h join own o on o.conv_id = h.base and o.place <= h.h
+      union all select h.conv_id, 4 + o.place, o.r, o.t from h join own o on o.conv_id = h.conv_id and o.place > h.h),
+s as (select h.conv_id, coalesce(list(struct_pack(r := r, t := t) order by d) filter (d is not null), []) ts from h left join b using (conv_id) group by 1),
+p as (select conv_id, ts, unnest(range(0, len(ts) + 1)) d from s),
+n as (select d, ts[1 : d] key, min(conv_id) conv_id, count(*) n, coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (len(ts) = d), '') ends from p group by 1, 2),
+c as (select d - 1 d, key[1 : d - 1] key, count(*) children from n where d > 0 group by 1, 2),
+f as (select n.*, coalesce(children, 0) children, case when d = 0 then 0 else (n - 1) * len(regexp_extract_all(key[d].t, '[^ 	-]+')) end saved from n left join c using (d, key)),
+u as (select f.key[1 : e] key, e d, count_if(children = 0) leaves, sum(saved) saved from (select *, unnest(range(0, d + 1)) e from f) f group by 1, 2)
+select f.conv_id, f.d::bigint as depth, o.conv_id parent_conv_id, f.n n_convs, f.children::bigint n_children, leaves::bigint n_leaves, u.saved::bigint saved_tokens, sha256(f.ends) ends_sha256
+from f join u using (d, key) left join n o on o.d = f.d - 1 and o.key = f.key[1 : f.d - 1]
+""")
+def op12(read) -> DataFrame:
+    return prefix_trie.prefix_trie(read("conversations")).drop("leader")
+
+
+@query("op13_alignment")
+def op13(read) -> DataFrame:
+    found, _ = alignment.align(read("documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
