@@ -35,6 +35,7 @@ from millrace.session import cut, drop_cut
 
 LOW = 2**63 - 25  # a prime below 2 ** 63, so that sums of hashes become digests of one long
 BATCHES = 200
+CARRIED = 4096  # turns up to which a waiting conversation carries its digests, 16 bytes each
 _EMPTY = hashlib.sha256(b"").hexdigest()
 
 
@@ -71,100 +72,124 @@ def prefixes(turns: DataFrame) -> DataFrame:
     return cut(summed.select("conv_id", "depth", *[(F.col(s) % F.lit(LOW).cast("decimal(20,0)")).cast("bigint").alias(d) for s, d in (("s1", "d1"), ("s2", "d2"))], "n_words", "upto"))
 
 
-def _at(prefix: DataFrame, conv: str, depth: str, names: list[str]) -> DataFrame:
-    """The digests of all prefixes under new names, to be joined on (conv, depth)."""
-    return prefix.select(F.col("conv_id").alias(conv), F.col("depth").alias(depth), F.col("d1").alias(names[0]), F.col("d2").alias(names[1]))
+def _carrying(waiting: DataFrame, prefix: DataFrame) -> DataFrame:
+    """The waiting conversations with the digests of all their prefixes as two arrays, for those of at most CARRIED turns."""
+    rows = prefix.join(waiting.select(F.col("s").alias("conv_id")), "conv_id", "left_semi").groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("depth", "d1", "d2"))).alias("z"))
+    return waiting.join(rows.select(F.col("conv_id").alias("s"), F.col("z.d1").alias("o1"), F.col("z.d2").alias("o2")), "s")
 
 
-def _edges(marks: DataFrame, starts: DataFrame) -> DataFrame:
-    """(rep, a, b) of all compacted nodes: the marks of a leader cut its turns after the start into edges."""
-    before = F.lag("b").over(Window.partitionBy("rep").orderBy("b"))
-    return marks.withColumn("last", before).join(starts.select("rep", "start"), "rep").select("rep", F.coalesce("last", "start").alias("a"), "b")
+def _own(state: DataFrame, depth: Column, prefix: DataFrame, names: list[str]) -> DataFrame:
+    """Add each conversation's digest at `depth` under two names, null where there is none: from its arrays, or from the table of prefixes."""
+    if "o1" in state.columns:
+        at = (F.when(depth > 0, depth) - 1).cast("int")
+        return state.withColumns({names[0]: F.get("o1", at), names[1]: F.get("o2", at)})
+    table = prefix.select(F.col("conv_id").alias("s"), F.col("depth").alias("at"), F.col("d1").alias(names[0]), F.col("d2").alias(names[1]))
+    return state.withColumn("at", depth).join(table, ["s", "at"], "left").drop("at")
 
 
-def _probed(edges: DataFrame, prefix: DataFrame) -> DataFrame:
-    """Each edge three times: by the prefix of its first depth (first), of its handle (handle) and of its end (end)."""
+def _table(marks: DataFrame, prefix: DataFrame) -> DataFrame:
+    """One row per compacted node (rep, start, a, b) with the digests of its first depth, its handle and its end.
+
+    marks are (rep, start, b): the nodes on the turns of each leader, which cut them into edges.
+    """
+    a = F.coalesce(F.lag("b").over(Window.partitionBy("rep").orderBy("b")), F.col("start"))
     kinds = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), d.alias("depth")) for k, d in (("first", F.col("a") + 1), ("handle", fattest(F.col("a"), F.col("b"))), ("end", F.col("b")))]))
-    rows = edges.select("rep", "a", "b", kinds.alias("k")).select("rep", "a", "b", "k.kind", "k.depth")
-    return cut(rows.join(_at(prefix, "rep", "depth", ["d1", "d2"]), ["rep", "depth"]))
+    rows = marks.select("rep", "start", a.alias("a"), "b").select("rep", "start", "a", "b", kinds.alias("k")).select("rep", "start", "a", "b", "k.kind", "k.depth")
+    told = rows.join(prefix.select(F.col("conv_id").alias("rep"), "depth", "d1", "d2"), ["rep", "depth"])
+    pick = lambda kind, column: F.max(F.when(F.col("kind") == kind, F.col(column))).alias(f"{kind}_{column}")
+    columns = [pick(k, c) for k, c in (("first", "d1"), ("first", "d2"), ("handle", "depth"), ("handle", "d1"), ("handle", "d2"), ("end", "d1"), ("end", "d2"))]
+    return cut(told.groupBy("rep", "start", "a", "b").agg(*columns))
 
 
-def _probe(state: DataFrame, prefix: DataFrame, table: DataFrame, depth: Column) -> DataFrame:
-    """Look up each conversation's prefix at `depth` (below 1: nothing) and add (h_rep, h_a, h_b) of the node found, else nulls.
+def _probe(state: DataFrame, prefix: DataFrame, table: DataFrame, kind: str, depth: Column) -> DataFrame:
+    """Look up each conversation's prefix at `depth` (below 1: nothing) and add the node found there (h_*), else nulls.
 
     Rows that look for nothing keep keys of their own, so that no key is shared by all of them.
     """
-    asked = state.withColumn("at", depth).join(_at(prefix, "s", "at", ["p1", "p2"]), ["s", "at"], "left")
+    asked = _own(state.withColumn("f", depth), F.col("f"), prefix, ["p1", "p2"])
     asked = asked.withColumn("p1", F.coalesce("p1", "s")).withColumn("p2", F.coalesce("p2", F.lit(-1).cast("bigint")))
-    nodes = table.select(F.col("depth").alias("at"), F.col("d1").alias("p1"), F.col("d2").alias("p2"), F.col("rep").alias("h_rep"), F.col("a").alias("h_a"), F.col("b").alias("h_b"))
-    return asked.join(nodes, ["at", "p1", "p2"], "left").drop("at")
+    found = table.select((F.col("a") + 1 if kind == "first" else F.col("handle_depth")).alias("f"), F.col(f"{kind}_d1").alias("p1"), F.col(f"{kind}_d2").alias("p2"),
+                         *[F.col(c).alias(f"h_{c}") for c in ("rep", "start", "a", "b")], F.col("end_d1").alias("h_e1"), F.col("end_d2").alias("h_e2"))
+    return asked.join(found, ["f", "p1", "p2"], "left").drop("p1", "p2")
+
+
+_NODE = ["rep", "start", "a", "b", "e1", "e2"]
 
 
-def exits(waiting: DataFrame, probed: DataFrame, prefix: DataFrame, probes: int) -> DataFrame:
-    """(s, size, rep, a, b): the node where each waiting conversation leaves the trie.
+def exits(waiting: DataFrame, table: DataFrame, prefix: DataFrame, probes: int) -> DataFrame:
+    """(s, size, rep, start, a, b, lcp, n1, n2): the node where each waiting conversation leaves the trie, how many turns it shares, and its next digest.
 
-    waiting has (s, size, l_rep, l): s shares l turns with the trie and they end at a node of
-    l_rep; `probes` covers the widest search, the bits of l xor size. Where nothing follows,
-    the exit is that node's end, with a = b.
+    waiting has (s, size, rep, start, l), and the arrays of `_carrying` if its rows carry them:
+    s shares l turns with the trie and they end at a node of rep. `probes` covers the widest
+    search, the bits of l xor size. Where nothing follows, the exit is that node's end, with
+    a = b. n1 and n2 are 0 where the conversation ends at its exit.
     """
-    handles, firsts = probed.where("kind = 'handle'"), probed.where("kind = 'first'")
-    state = waiting.select("s", "size", "l_rep", F.col("l").alias("l_a"), F.col("l").alias("l_b"), F.col("size").alias("r"))
+    arrays = [c for c in ("o1", "o2") if c in waiting.columns]
+    null = F.lit(None).cast("bigint")
+    state = waiting.select("s", "size", *arrays, "rep", "start", F.col("l").alias("a"), F.col("l").alias("b"), null.alias("e1"), null.alias("e2"), F.col("size").alias("r"))
+    hit = F.col("h_rep").isNotNull()
     for _ in range(probes):
-        active = F.col("l_b") < F.col("r")
-        at = F.when(active, fattest(F.col("l_b"), F.col("r"))).otherwise(F.lit(-1).cast("bigint"))
-        hit = F.col("h_rep").isNotNull()
-        state = _probe(state.withColumn("f", at), prefix, handles, F.col("f")).select(
-            "s", "size", F.when(hit, F.col("h_rep")).otherwise(F.col("l_rep")).alias("l_rep"), F.when(hit, F.col("h_a")).otherwise(F.col("l_a")).alias("l_a"),
-            F.when(hit, F.col("h_b")).otherwise(F.col("l_b")).alias("l_b"), F.when(hit | (F.col("f") < 0), F.col("r")).otherwise(F.col("f") - 1).alias("r"))
-    # The last hit is the exit itself, or the exit hangs below its end.
-    ends = probed.where("kind = 'end'").select(F.col("rep").alias("e_rep"), F.col("b").alias("e_b"), "d1", "d2")
-    state = state.join(_at(prefix, "s", "at", ["p1", "p2"]).withColumnRenamed("s", "s_"), (F.col("s") == F.col("s_")) & (F.col("l_b") == F.col("at")), "left").drop("s_", "at")
-    state = state.join(ends, (F.col("l_rep") == F.col("e_rep")) & (F.col("l_b") == F.col("e_b")), "left")
-    whole = (F.col("l_b") == 0) | F.coalesce((F.col("p1") == F.col("d1")) & (F.col("p2") == F.col("d2")), F.lit(False))
-    state = state.select("s", "size", "l_rep", "l_a", "l_b", whole.alias("whole"))
-    state = _probe(state, prefix, firsts, F.when(F.col("whole") & (F.col("l_b") < F.col("size")), F.col("l_b") + 1).otherwise(F.lit(-1).cast("bigint")))
-    below = F.col("h_rep").isNotNull()
-    return cut(state.select("s", "size", F.when(below, F.col("h_rep")).otherwise(F.col("l_rep")).alias("rep"),
-                             F.when(below, F.col("h_a")).when(F.col("whole"), F.col("l_b")).otherwise(F.col("l_a")).alias("a"), F.when(below, F.col("h_b")).otherwise(F.col("l_b")).alias("b")))
-
-
-def shared_turns(found: DataFrame, prefix: DataFrame) -> DataFrame:
-    """Add lcp, the turns a conversation shares with the trie, and its next digest n1, n2 (zeros where it ends)."""
+        at = F.when(F.col("b") < F.col("r"), fattest(F.col("b"), F.col("r"))).otherwise(F.lit(-1).cast("bigint"))
+        state = _probe(state, prefix, table, "handle", at).select("s", "size", *arrays, *[F.when(hit, F.col(f"h_{c}")).otherwise(F.col(c)).alias(c) for c in _NODE],
+                                                                  F.when(hit | (F.col("f") < 0), F.col("r")).otherwise(F.col("f") - 1).alias("r"))
+    # The last hit is the exit itself, or the exit hangs below its end. Without a hit, the known node is shared whole.
+    state = _own(state, F.col("b"), prefix, ["q1", "q2"])
+    whole = F.col("e1").isNull() | F.coalesce((F.col("q1") == F.col("e1")) & (F.col("q2") == F.col("e2")), F.lit(False))
+    state = state.withColumn("whole", whole).drop("q1", "q2", "r")
+    state = _probe(state, prefix, table, "first", F.when(F.col("whole") & (F.col("b") < F.col("size")), F.col("b") + 1).otherwise(F.lit(-1).cast("bigint")))
+    from_a = F.when(hit, F.col("h_a")).when(F.col("whole"), F.col("b")).otherwise(F.col("a"))
+    found = cut(state.select("s", "size", *arrays, *[F.when(hit, F.col(f"h_{c}")).otherwise(F.col(c)).alias(c) for c in ("rep", "start", "b")], from_a.alias("a")))
     # Equal prefixes along the exit's edge; they end where the conversation leaves it.
     reach = found.where("a < b").withColumn("to", F.least("b", "size"))
-    mine = reach.join(prefix.select(F.col("conv_id").alias("s"), "depth", "d1", "d2"), "s").where("depth > a and depth <= to").select("s", "rep", "depth", "d1", "d2")
+    if arrays:
+        mine = reach.select("s", "rep", F.explode(F.arrays_zip(F.sequence(F.col("a") + 1, F.col("to")).alias("depth"), F.slice("o1", (F.col("a") + 1).cast("int"), (F.col("to") - F.col("a")).cast("int")).alias("d1"),
+                                                               F.slice("o2", (F.col("a") + 1).cast("int"), (F.col("to") - F.col("a")).cast("int")).alias("d2"))).alias("z")).select("s", "rep", "z.depth", "z.d1", "z.d2")
+    else:
+        mine = reach.join(prefix.select(F.col("conv_id").alias("s"), "depth", "d1", "d2"), "s").where("depth > a and depth <= to").select("s", "rep", "depth", "d1", "d2")
     shared = mine.join(prefix.select(F.col("conv_id").alias("rep"), "depth", "d1", "d2"), ["rep", "depth", "d1", "d2"]).groupBy("s").agg(F.count("*").alias("n"))
-    told = found.join(shared, "s", "left").select("s", "size", "rep", "a", "b", (F.col("a") + F.coalesce("n", F.lit(0).cast("bigint"))).alias("lcp"))
-    told = told.withColumn("next", F.col("lcp") + 1).join(_at(prefix, "s", "next", ["n1", "n2"]), ["s", "next"], "left")
-    return told.drop("next").fillna({"n1": 0, "n2": 0})
+    told = found.join(shared, "s", "left").withColumn("lcp", F.col("a") + F.coalesce("n", F.lit(0).cast("bigint")))
+    told = _own(told, F.col("lcp") + 1, prefix, ["n1", "n2"]).fillna({"n1": 0, "n2": 0})
+    left = cut(told.select("s", "size", *arrays, "rep", "start", "a", "b", "lcp", "n1", "n2"))
+    drop_cut(found)
+    return left
 
 
 def build(sequences: DataFrame, prefix: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(edges, starts, placed) of the trie of the given distinct sequences (s, size), size > 0.
 
-    edges: (rep, a, b); starts: (rep, start, parent), where a leader's first edge hangs;
-    placed: (s, rep, b), the node at which each sequence ends. The root is (0, 0).
+    edges: (rep, start, a, b); starts: (rep, parent), the leader on whose turns a leader's first
+    edge hangs; placed: (s, rep, b), the node at which each sequence ends. The root is (0, 0).
+    Sequences of at most CARRIED turns carry their digests, longer ones look them up by joins.
     """
-    spark = sequences.sparkSession
-    waiting = cut(sequences.select("s", "size", F.lit(0).cast("bigint").alias("l_rep"), F.lit(0).cast("bigint").alias("l")))
-    marks, starts = spark.createDataFrame([], "rep bigint, b bigint"), spark.createDataFrame([], "rep bigint, start bigint, parent bigint")
-    placed = spark.createDataFrame([], "s bigint, rep bigint, b bigint")
+    spark, zero = sequences.sparkSession, F.lit(0).cast("bigint")
+    first = sequences.select("s", "size", zero.alias("rep"), zero.alias("start"), zero.alias("l"))
+    short, long = cut(_carrying(first.where(F.col("size") <= CARRIED), prefix)), cut(first.where(F.col("size") > CARRIED))
+    marks, starts, placed = (spark.createDataFrame([], t) for t in ("rep bigint, start bigint, b bigint", "rep bigint, parent bigint", "s bigint, rep bigint, b bigint"))
     for _ in range(BATCHES):
-        left_over = waiting.agg(F.count("*").alias("n"), F.max(F.length(F.bin(F.col("l").bitwiseXOR(F.col("size"))))).alias("probes")).first()
-        if not left_over["n"]:
-            return cut(_edges(marks, starts)), starts, placed
-        probed = _probed(_edges(marks, starts), prefix)
-        found = exits(waiting, probed, prefix, left_over["probes"])
-        left = cut(shared_turns(found, prefix))
-        drop_cut(probed, waiting, found)
+        sizes = short.select("l", "size", F.lit(True).alias("short")).unionByName(long.select("l", "size", F.lit(False).alias("short")))
+        left_over = {r["short"]: r["probes"] for r in sizes.groupBy("short").agg(F.max(F.length(F.bin(F.col("l").bitwiseXOR(F.col("size"))))).alias("probes")).collect()}
+        table = _table(marks, prefix)
+        if not left_over:
+            return table.select("rep", "start", "a", "b"), starts, placed
+        found = [(waiting, exits(waiting, table, prefix, left_over[kind]) if kind in left_over else None) for kind, waiting in ((True, short), (False, long))]
+        plain = ["s", "size", "rep", "start", "a", "b", "lcp", "n1", "n2"]
+        every = [f.select(*plain) for _, f in found if f is not None]
+        left = every[0] if len(every) == 1 else every[0].unionByName(every[1])
         leads = left.where("lcp < size").groupBy("rep", "lcp", "n1", "n2").agg(F.min(F.struct(F.xxhash64("s").alias("h"), "s", "size")).alias("lead"))
-        leads = cut(leads.select("rep", "lcp", "n1", "n2", "lead.s", "lead.size"))
+        leads = cut(leads.select("rep", "lcp", "lead.s", "lead.size"))
         # Inside an edge, what leaves or ends there cuts it.
-        cuts = left.where("lcp > 0 and lcp < b").select("rep", F.col("lcp").alias("b")).distinct()
-        marks = marks.unionByName(cuts).unionByName(leads.select(F.col("s").alias("rep"), F.col("size").alias("b")))
-        starts = starts.unionByName(leads.select(F.col("s").alias("rep"), F.col("lcp").alias("start"), F.col("rep").alias("parent")))
+        cuts = left.where("lcp > 0 and lcp < b").select("rep", "start", F.col("lcp").alias("b")).distinct()
+        marks = marks.unionByName(cuts).unionByName(leads.select(F.col("s").alias("rep"), F.col("lcp").alias("start"), F.col("size").alias("b")))
+        starts = starts.unionByName(leads.select(F.col("s").alias("rep"), F.col("rep").alias("parent")))
         placed = placed.unionByName(left.where("lcp = size").select("s", "rep", F.col("size").alias("b"))).unionByName(leads.select("s", F.col("s").alias("rep"), F.col("size").alias("b")))
-        waiting = cut(left.where("lcp < size").join(leads.select("s"), "s", "left_anti").select("s", "size", F.col("rep").alias("l_rep"), F.col("lcp").alias("l")))
+        drop_cut(table)
+        again = []
+        for waiting, f in found:
+            kept = [c for c in ("o1", "o2") if c in waiting.columns]
+            again.append(cut(f.where("lcp < size").join(leads.select("s"), "s", "left_anti").select("s", "size", "rep", "start", F.col("lcp").alias("l"), *kept)) if f is not None else waiting)
+            if f is not None:
+                drop_cut(waiting)
+        short, long = again
     raise RuntimeError("insertion did not settle")
 
 

@@ -121,7 +121,9 @@ def brute_trie(rows):
 COLUMNS = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
 
 
-def test_trie(spark):
+@pytest.mark.parametrize("carried", [4096, 5])
+def test_trie(spark, monkeypatch, carried):
+    monkeypatch.setattr(prefix_trie, "CARRIED", carried)
     rng = random.Random(3)
     rows = []
     for c in [*range(40), 100, 101, 102, 119, 7000]:
