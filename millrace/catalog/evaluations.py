@@ -1,18 +1,17 @@
 """Model selection and evaluation."""
 
-from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression, NaiveBayes, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
-from pyspark.ml.feature import PCA, UnivariateFeatureSelector
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from millrace.catalog import query
 from millrace.functions.scalars import rounded
 from millrace.operators import evaluate as e
-from millrace.operators import sampling, selection, text, tuning
+from millrace.operators import prefix_search, sampling, selection, text, tuning
 from millrace.operators.features import to_vector
 from millrace.operators.ordered import number_rows
+from millrace.operators.sparse import Learner
 
 PREDICTED = "case when l_linestatus = 'F' then 'A' when l_tax > 0.04 then 'R' else 'N' end"
 
@@ -43,25 +42,25 @@ def _(t):
 
 @query("grid_search")
 def _(t):
-    learner = LogisticRegression(featuresCol="reduced", maxIter=8)
-    pipe = Pipeline(stages=[])
-    kbest = UnivariateFeatureSelector(featuresCol="features", outputCol="reduced", labelCol="label", selectionMode="numTopFeatures")
-    kbest.setFeatureType("continuous").setLabelType("categorical")
-    candidates = []
-    for k in (6,):
-        for reducer in (PCA(k=k, inputCol="features", outputCol="reduced"), kbest.copy({kbest.selectionThreshold: k})):
-            for c in (0.001, 0.1):
-                candidates.append({pipe.stages: [reducer, learner.copy({learner.regParam: c})]})
-    # one candidate at a time: the JVM's pure-Java SVD is not safe to call from several threads
-    table, _best = tuning.search(vectors(t), "vec_id", pipe, candidates, accuracy(), 2, parallelism=1)
-    return table
+    """Reducer, size and cost: 36 candidates in 3 folds."""
+    rows = t.embeddings.select("vec_id", "label", F.transform("embedding", lambda x: x.cast("double")).alias("v"))
+    lows = rows.select(F.array_min("v").alias("m")).agg(F.min("m")).first()[0] or 0.0
+    return prefix_search.search_vectors(rows.withColumn("v", F.transform("v", lambda x: x - F.lit(lows))), "vec_id", "v", "label", [2, 4, 8], [1, 10, 100, 1000])
+
+
+@query("grid_search_text")
+def _(t):
+    """Largest document frequency, n-grams, penalty and its weight: 24 candidates in 3 folds."""
+    learners = prefix_search.with_costs(Learner("sgd"), [1e-5, 1e-6], [0.0, 0.15])
+    return prefix_search.search_text(t.labelled, "doc_id", "label", [1, 2], [0.5, 0.75, 1.0], learners)
 
 
 @query("random_search")
 def _(t):
-    forest = RandomForestClassifier(seed=3)
-    candidates = tuning.draw_candidates({forest.maxDepth: [3, 5], forest.numTrees: (5, 15), forest.minInstancesPerNode: (1, 11), forest.impurity: ["gini", "entropy"]}, 4)
-    table, _best = tuning.search(vectors(t), "vec_id", forest, candidates, accuracy(), 2)
+    """20 draws in 3 folds."""
+    forest = RandomForestClassifier(seed=3, numTrees=20)
+    choices = {forest.maxDepth: [3, 10], forest.featureSubsetStrategy: [str(n) for n in range(1, 11)], forest.minInstancesPerNode: (1, 10), forest.bootstrap: [True, False], forest.impurity: ["gini", "entropy"]}
+    table, _best = tuning.search(vectors(t), "vec_id", forest, tuning.draw_candidates(choices, 20), accuracy(), 3)
     return table
 
 
