@@ -9,13 +9,14 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.regression import GBTRegressor, IsotonicRegression, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import functions as F
 
 from millrace.catalog import query
 from millrace.catalog.evaluations import accuracy, vectors
 from millrace.functions.scalars import rounded
 from millrace.operators import features, models, sampling, selection, text, tuning
+from millrace.operators.isotonic import isotonic_fit
 from millrace.operators.sampling import split_by_hash
 
 SPLIT = """, e as (select vec_id, label, embedding::double[] as v, cast('0x' || substr(md5('0:' || cast(vec_id as varchar)), 1, 15) as bigint) / 1152921504606846976.0e0 < 0.7 as is_train from embeddings)"""
@@ -49,13 +50,13 @@ def _(t):
     return t.spark.createDataFrame(rows, "name string, ridge double, elastic_net double")
 
 
-@query("isotonic")
+@query("isotonic", """
+, p as (select l_quantity::double as x, count(*) as w, sum(l_extendedprice) as t from lineitem group by 1),
+  c as (select x, sum(w) over (order by x) as w, sum(t) over (order by x) as t, sum(w) over (order by x) - w as w0, sum(t) over (order by x) - t as t0 from p),
+  m as (select i.x as x, j.x as j, min((k.t - j.t0) / (k.w - j.w0)) as low from c i join c j on j.x <= i.x join c k on k.x >= i.x group by 1, 2)
+select x as boundary, round(max(low), 4) + 0.0 as fitted from m group by 1""")
 def _(t):
-    # equal positions are pooled first: the fit is the same and sees one row per distinct value
-    data = t.lineitem.groupBy(F.col("l_quantity").alias("features")).agg(F.avg("l_extendedprice").alias("label"), F.count("*").cast("double").alias("w"))
-    model = IsotonicRegression(weightCol="w").fit(data)
-    rows = list(zip(map(float, model.boundaries), map(float, model.predictions)))
-    return t.spark.createDataFrame(rows, "boundary double, fitted double")
+    return isotonic_fit(t.lineitem, "l_quantity", "l_extendedprice").withColumn("fitted", rounded(F.col("fitted"), 4))
 
 
 @query("boosted_regression")

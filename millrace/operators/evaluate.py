@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from millrace.operators.features import as_doubles, dot
 from millrace.operators.ordered import running
 from millrace.operators.sampling import unit_number
-from millrace.session import bounded_collect, cut
+from millrace.session import bounded_collect, cut, drop_cut
 
 
 def roc_points(scored: DataFrame, keys: list[str], score: str, positive: str) -> DataFrame:
@@ -113,54 +113,74 @@ def regression_scores(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     return df.agg(F.avg(e * e).alias("mse"), (1 - F.sum(e * e) / (F.var_pop(y) * F.count("*"))).alias("r2"))
 
 
-def _expected_information(a: int, b: int, n: int, step: int = 1_000_000) -> float:
-    """Expected mutual-information share of one table cell under random labels."""
-    low, high = max(1, a + b - n), min(a, b)
-    first = max(0, a + b - n)
+TERMS = 65_536  # summands of the expected information that one row stands for
+
+
+def _log_share(k: float, a: int, b: int, n: int) -> float:
+    """Log-probability that two random groups of a and b of n rows share k."""
     g = math.lgamma
-    log_p = g(a + 1) + g(b + 1) + g(n - a + 1) + g(n - b + 1) - g(n + 1) - g(first + 1) - g(a - first + 1) - g(b - first + 1) - g(n - a - b + first + 1)
-    total, at = 0.0, first
-    while at <= high:
-        k = np.arange(at, min(at + step, high + 1), dtype="float64")
-        up = np.log(np.maximum(a - k, 1e-300)) + np.log(np.maximum(b - k, 1e-300)) - np.log(k + 1) - np.log(np.maximum(n - a - b + k + 1, 1e-300))
-        logs = log_p + np.concatenate([[0.0], np.cumsum(up)[:-1]])
-        used = k >= low
-        total += float((k[used] / n * np.log(n * k[used] / (a * float(b))) * np.exp(logs[used])).sum())
-        log_p = logs[-1] + up[-1]
-        at += step
-    return total
+    return g(a + 1) + g(b + 1) + g(n - a + 1) + g(n - b + 1) - g(n + 1) - g(k + 1) - g(a - k + 1) - g(b - k + 1) - g(n - a - b + k + 1)
+
+
+def _information_of_range(a: int, b: int, n: int, low: int, terms: int = TERMS) -> float:
+    """Summands low .. low + terms - 1 of the expected information of groups of a and b rows; 0 where all of them underflow."""
+    high = min(low + terms - 1, a, b)
+    mode = (a + 1.0) * (b + 1.0) / (n + 2.0)
+    if _log_share(min(max(mode, low), high), a, b, n) < -760.0:  # the largest term of the range
+        return 0.0
+    k = np.arange(low, high + 1, dtype="float64")
+    up = np.log(a - k[:-1]) + np.log(b - k[:-1]) - np.log(k[:-1] + 1) - np.log(n - a - b + k[:-1] + 1)
+    logs = _log_share(low, a, b, n) + np.concatenate([[0.0], np.cumsum(up)])
+    return float((k / n * np.log(n * k / (a * float(b))) * np.exp(logs)).sum())
+
+
+def expected_information(sizes_a: DataFrame, sizes_b: DataFrame, n: int) -> float:
+    """Expected mutual information of random groupings; sizes are (a, ma) and (b, mb) with how many groups have them.
+
+    Distinct sizes are paired, at most about the root of 2 n on either side, and each pair is
+    cut into ranges of TERMS summands, so a row's work is bounded however large its groups are.
+    """
+    terms = TERMS
+    low = F.greatest(F.lit(1).cast("bigint"), F.col("a") + F.col("b") - F.lit(n))
+    ranges = sizes_a.crossJoin(sizes_b).select("a", "b", (F.col("ma") * F.col("mb")).alias("m"), F.explode(F.sequence(low, F.least("a", "b"), F.lit(terms).cast("bigint"))).alias("low"))
+
+    @F.pandas_udf("double")
+    def summed(a: pd.Series, b: pd.Series, low: pd.Series) -> pd.Series:
+        return pd.Series([_information_of_range(int(x), int(y), n, int(k), terms) for x, y, k in zip(a, b, low)], dtype="float64")
+
+    return ranges.repartition("a", "b", "low").agg(F.sum(summed("a", "b", "low") * F.col("m"))).first()[0] or 0.0
 
 
 def cluster_scores(df: DataFrame, truth: str, cluster: str) -> DataFrame:
     """Homogeneity, completeness, V-measure, adjusted Rand and adjusted mutual information
-    (normalised by the larger entropy), all from the contingency table."""
-    table = cut(df.groupBy(F.col(truth).alias("c"), F.col(cluster).alias("k")).agg(F.count("*").alias("n")))
-    rows, cols = table.groupBy("c").agg(F.sum("n").alias("a")), table.groupBy("k").agg(F.sum("n").alias("b"))
-    n = table.agg(F.sum("n")).first()[0]
-    size = F.lit(float(n))
-    entropy = lambda v: -F.sum(F.col(v) / size * F.log(F.col(v) / size))
-    twos = lambda v: F.sum(F.col(v) * (F.col(v) - 1) / 2.0)
-    hc, pc = rows.agg(entropy("a"), twos("a")).first()
-    hk, pk = cols.agg(entropy("b"), twos("b")).first()
-    filled = table.join(rows, "c").join(cols, "k")
-    mi, pairs = filled.agg(F.sum(F.col("n") / size * F.log(F.col("n") * size / (F.col("a") * F.col("b")))), twos("n")).first()
+    (normalised by the larger entropy), all from the contingency table.
 
-    @F.pandas_udf("double")
-    def expected(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([_expected_information(int(x), int(y), int(n)) for x, y in zip(a, b)], dtype="float64")
-
-    # class sizes repeat; each pair of sizes is worked out once, on the executors
-    sizes_a, sizes_b = rows.groupBy("a").agg(F.count("*").alias("ma")), cols.groupBy("b").agg(F.count("*").alias("mb"))
-    few = bounded_collect(sizes_b.orderBy("b"), 100_000, "cluster sizes")
-    matched = sizes_a.withColumn("s", F.explode(F.array(*[F.struct(F.lit(r["b"]).alias("b"), F.lit(r["mb"]).alias("mb")) for r in few])))
-    spread = matched.select("a", "ma", "s.*").repartition("a", "b")
-    emi = spread.agg(F.sum(expected("a", "b") * F.col("ma") * F.col("mb"))).first()[0]
+    Entropies and information are differences of sums of v ln v over the table and its two
+    margins, so one pass of grouped counts gives them without a join.
+    """
+    table = cut(df.groupBy(F.col(truth).alias("c"), F.col(cluster).alias("k")).agg(F.count("*").alias("v")))
+    rows, cols = table.groupBy("c").agg(F.sum("v").alias("v")), table.groupBy("k").agg(F.sum("v").alias("v"))
+    sides = [t.select(F.lit(name).alias("side"), "v") for name, t in (("cells", table), ("rows", rows), ("cols", cols))]
+    sums = sides[0].unionByName(sides[1]).unionByName(sides[2]).groupBy("side", "v").agg(F.count("*").alias("m"))
+    sums = cut(sums)
+    totals = sums.groupBy("side").agg(F.sum(F.col("v") * F.col("m")).alias("n"), F.sum(F.col("m") * F.col("v") * F.log("v")).alias("logs"), F.sum(F.col("m") * F.col("v") * (F.col("v") - 1) / 2.0).alias("pairs"))
+    by_side = {r["side"]: r for r in totals.collect()}
+    if not by_side:
+        return df.sparkSession.createDataFrame([(1.0, 1.0, 1.0, 1.0, 1.0)], "homogeneity double, completeness double, v_measure double, ari double, ami double")
+    n = by_side["cells"]["n"]
+    logs = {side: r["logs"] / n for side, r in by_side.items()}
+    hc, hk = math.log(n) - logs["rows"], math.log(n) - logs["cols"]
+    mi = math.log(n) + logs["cells"] - logs["rows"] - logs["cols"]
+    pairs, pc, pk = (by_side[s]["pairs"] for s in ("cells", "rows", "cols"))
+    sizes = lambda side, v, m: sums.where(F.col("side") == side).select(F.col("v").alias(v), F.col("m").alias(m))
+    emi = expected_information(sizes("rows", "a", "ma"), sizes("cols", "b", "mb"), n)
     homogeneity = mi / hc if hc else 1.0
     completeness = mi / hk if hk else 1.0
     v = 2 * homogeneity * completeness / (homogeneity + completeness) if homogeneity + completeness else 0.0
-    by_chance, top = pc * pk / (n * (n - 1) / 2.0), (pc + pk) / 2.0
+    by_chance, top = pc * pk / max(n * (n - 1) / 2.0, 1.0), (pc + pk) / 2.0
     ari = (pairs - by_chance) / (top - by_chance) if top != by_chance else 1.0
     ami = (mi - emi) / (max(hc, hk) - emi) if max(hc, hk) != emi else 1.0
+    drop_cut(table, sums)
     return df.sparkSession.createDataFrame([(homogeneity, completeness, v, ari, ami)],
                                            "homogeneity double, completeness double, v_measure double, ari double, ami double")
 
