@@ -15,8 +15,9 @@ from millrace.session import cut
 
 # A codebook up to this many numbers is sent to every task as a whole.
 CODEBOOK_NUMBERS = 1_000_000
-# Rows of either side that one task compares at a time.
+# Rows of either side that one task compares at a time, and most blocks of rows whose shapes go to every task.
 BLOCK = 2_000
+MAX_BLOCKS = 500_000
 
 
 def distances_to(vector: Column, codebook: np.ndarray) -> Column:
@@ -104,20 +105,124 @@ def _compare(k: int, slice_rows: int = 512):
     return compare
 
 
+def _pivots(rows: DataFrame, count: int) -> np.ndarray:
+    """`count` rows drawn by the hash of their ids, without repeats of a vector."""
+    drawn = rows.select("vector", F.xxhash64("row_id", F.lit(7)).alias("h"), "row_id").orderBy("h", "row_id").limit(count)
+    return np.unique(np.array([r["vector"] for r in drawn.collect()], "float64"), axis=0)
+
+
+def _to_pivots(vectors: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    square = (vectors * vectors).sum(axis=1)[:, None] + (pivots * pivots).sum(axis=1) - 2 * vectors @ pivots.T
+    return np.sqrt(np.maximum(square, 0.0))
+
+
+def metric_blocks(rows: DataFrame, pivots: np.ndarray, size: int) -> tuple[DataFrame, pd.DataFrame]:
+    """(row_id, vector, block) and one row per block: its pivot, nearest and farthest distance, and rows.
+
+    A row belongs to the cell of its nearest pivot; a cell is cut by distance into rings of at
+    most `size` rows, also where a cell holds most rows.
+    """
+    @F.pandas_udf("cell int, far double")
+    def nearest(vectors: pd.Series) -> pd.DataFrame:
+        if vectors.empty:
+            return pd.DataFrame({"cell": pd.Series(dtype="int32"), "far": pd.Series(dtype="float64")})
+        far = _to_pivots(np.stack(vectors.to_numpy()).astype("float64"), pivots)
+        return pd.DataFrame({"cell": far.argmin(axis=1).astype("int32"), "far": far.min(axis=1)})
+
+    placed = rows.select("row_id", "vector", nearest("vector").alias("n")).select("row_id", "vector", F.col("n.cell").alias("cell"), F.col("n.far").alias("far"))
+    numbered = number_rows(placed, ["far", "row_id"], "at", ["cell"])
+    ringed = cut(numbered.select("row_id", "vector", "far", "cell", F.floor((F.col("at") - 1) / size).cast("int").alias("ring")))
+    shapes = ringed.groupBy("cell", "ring").agg(F.min("far").alias("low"), F.max("far").alias("high"), F.count("*").alias("n")).toPandas()  # at most MAX_BLOCKS and the pivots
+    shapes = shapes.sort_values(["cell", "ring"]).reset_index(drop=True)
+    names = rows.sparkSession.createDataFrame(shapes.reset_index()[["cell", "ring", "index"]])
+    return ringed.join(F.broadcast(names), ["cell", "ring"]).select("row_id", "vector", F.col("index").cast("int").alias("block")), shapes
+
+
+def _own_block(far: np.ndarray, shapes: pd.DataFrame, k: int) -> np.ndarray:
+    """The block with k rows or more that a query most likely shares with its nearest rows; -1 if no block has k."""
+    cell, low, high = (shapes[c].to_numpy() for c in ("cell", "low", "high"))
+    full = np.flatnonzero(shapes["n"].to_numpy() >= k)
+    if not len(full):
+        return np.full(len(far), -1)
+    gap = np.maximum(np.maximum(low[full] - far[:, cell[full]], far[:, cell[full]] - high[full]), 0.0) + 1e-3 * far[:, cell[full]]
+    return full[gap.argmin(axis=1)]
+
+
+def _allowed(far: np.ndarray, bound: np.ndarray, pivots: np.ndarray, shapes: pd.DataFrame) -> np.ndarray:
+    """Which blocks can hold a row within each query's bound: by the ring, and by the plane between the query's pivot and the cell's."""
+    cell, low, high = (shapes[c].to_numpy() for c in ("cell", "low", "high"))
+    to = far[:, cell]
+    gap = np.maximum(low - to, to - high)
+    own = far.argmin(axis=1)
+    between = _to_pivots(pivots[own], pivots)[:, cell]
+    plane = np.where(between > 0, (to**2 - far.min(axis=1)[:, None] ** 2) / np.maximum(2 * between, 1e-300), -np.inf)
+    slack = 1e-9 * (1.0 + to + far.max(axis=1)[:, None])
+    return np.maximum(gap, plane) <= bound[:, None] + slack
+
+
+def visits(queries: DataFrame, rows: DataFrame, k: int, size: int = BLOCK) -> tuple[DataFrame, DataFrame, int]:
+    """((query_id, vector, block) to be visited, (row_id, vector, block), number of blocks), vectors being arrays of doubles.
+
+    A first pass compares each query with one block near it; the k-th distance found there
+    bounds the second pass, which visits every block that the triangle inequality allows. Where
+    no block holds k rows, all blocks are visited.
+    """
+    total, width = rows.count(), len((rows.first() or {"vector": [0.0]})["vector"])
+    size = max(size, math.ceil(total / MAX_BLOCKS))
+    pivots = _pivots(rows, max(1, min(math.ceil(total / size), CODEBOOK_NUMBERS // max(width, 1))))
+    blocks, shapes = metric_blocks(rows, pivots, size)
+    kind = queries.schema["query_id"].dataType.simpleString()
+
+    def spread(chosen, columns: list[str]):
+        def run(batches):
+            for batch in batches:
+                step = max(1, 4_000_000 // max(len(shapes), len(pivots)))
+                for at in range(0, len(batch), step):
+                    part = batch.iloc[at : at + step]
+                    far = _to_pivots(np.stack(part["vector"].to_numpy()).astype("float64"), pivots)
+                    which, block = chosen(part, far)
+                    yield part.iloc[which][columns].assign(block=block.astype("int32"))
+        return run
+
+    def first(part, far):
+        block = _own_block(far, shapes, k)
+        which = np.flatnonzero(block >= 0)
+        return which, block[which]
+
+    near = _tiles(queries.mapInPandas(spread(first, ["query_id", "vector"]), f"query_id {kind}, vector array<double>, block int"), blocks, k, kind)
+    bounds = near.groupBy("query_id").agg(F.max("distance").alias("bound"))
+    asked = cut(queries.join(bounds, "query_id", "left").withColumn("bound", F.coalesce("bound", F.lit(float("inf")))))
+
+    def second(part, far):
+        return np.nonzero(_allowed(far, part["bound"].to_numpy(), pivots, shapes))
+
+    found = asked.mapInPandas(spread(second, ["query_id", "vector"]), f"query_id {kind}, vector array<double>, block int")
+    return cut(found), blocks, len(shapes)
+
+
+def _tiles(asked: DataFrame, blocks: DataFrame, k: int, kind: str) -> DataFrame:
+    """(query_id, row_id, distance): the k best of each visited block; a block with many visitors is compared in several tasks."""
+    crowds = asked.groupBy("block").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
+    left = asked.join(F.broadcast(crowds), "block").withColumn("turn", F.pmod(F.xxhash64("query_id"), F.col("parts")).cast("int"))
+    right = blocks.join(F.broadcast(crowds), "block").withColumn("turn", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    return left.select("query_id", "vector", "block", "turn").groupBy("block", "turn").cogroup(right.select("row_id", "vector", "block", "turn").groupBy("block", "turn")).applyInPandas(
+        _compare(k), f"query_id {kind}, row_id bigint, distance double")
+
+
 def nearest_rows(queries: DataFrame, rows: DataFrame, k: int) -> DataFrame:
     """Exact k nearest `rows` (row_id, vector) of each of `queries` (query_id, vector), with ranks from 1.
 
-    Both sides are cut into blocks of about BLOCK rows by hash. Every pair of blocks is one
-    tile: a matrix product, of which each query keeps at most k rows. A rank limit, applied
-    before the last shuffle too, leaves the k best of all tiles. Ties go to the lower row id.
+    Rows lie in blocks around pivots (see `visits`); a query meets the blocks that may hold one
+    of its k nearest. Every block and its visitors are matrix products, of which each query
+    keeps at most k rows. A rank limit, applied before the last shuffle too, leaves the k best.
+    Ties go to the lower row id. Vectors are not null and of one length.
     """
-    row_blocks, query_blocks = (max(1, math.ceil(df.count() / BLOCK)) for df in (rows, queries))
-    as_doubles = F.col("vector").cast("array<double>").alias("vector")
-    block = lambda key, n: F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = queries.select("query_id", as_doubles, block("query_id", query_blocks).alias("q"), every(row_blocks).alias("r"))
-    right = rows.select("row_id", as_doubles, block("row_id", row_blocks).alias("r"), every(query_blocks).alias("q"))
     kind = queries.schema["query_id"].dataType.simpleString()
-    tiles = left.groupBy("q", "r").cogroup(right.groupBy("q", "r")).applyInPandas(_compare(k), f"query_id {kind}, row_id bigint, distance double")
+    as_doubles = F.col("vector").cast("array<double>").alias("vector")
+    queries, rows = queries.select("query_id", as_doubles), rows.select("row_id", as_doubles)
+    if rows.count() <= BLOCK:  # one block, which every query visits
+        asked, blocks = (df.withColumn("block", F.lit(0)) for df in (queries, rows))
+    else:
+        asked, blocks, _ = visits(cut(queries), cut(rows), k)
     order = Window.partitionBy("query_id").orderBy("distance", "row_id")
-    return tiles.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return _tiles(asked, blocks, k, kind).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
