@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from itertools import product
 
 import numpy as np
 import pandas as pd
@@ -76,101 +77,119 @@ def match_centres(first: list[tuple], second: list[tuple]) -> dict:
 
 # --- DBSCAN ------------------------------------------------------------------
 
-# cells a point's neighbours can be in when a cell's diagonal is eps
-_OFFSETS = [(i, j) for i in range(-2, 3) for j in range(-2, 3) if abs(i) + abs(j) < 4 and (i, j) != (0, 0)]
+KEYED_AXES = 4  # axes by which cells look for their neighbours; the others only filter
 
 
-def _box_gaps() -> tuple[Column, Column]:
-    """Smallest and largest squared distance between boxes a and b."""
-    def axis(c):
-        gap = F.greatest(F.col(f"b.lo{c}") - F.col(f"a.hi{c}"), F.col(f"a.lo{c}") - F.col(f"b.hi{c}"), F.lit(0.0))
-        far = F.greatest(F.col(f"b.hi{c}") - F.col(f"a.lo{c}"), F.col(f"a.hi{c}") - F.col(f"b.lo{c}"))
-        return gap * gap, far * far
+def _names(prefix: str, axes: list[str]) -> list[str]:
+    return [f"{prefix}_{c}" for c in axes]
 
-    (gx, fx), (gy, fy) = axis("x"), axis("y")
-    return gx + gy, fx + fy
 
+def _box_gaps(axes: list[str]) -> tuple[Column, Column]:
+    """Smallest and largest squared distance between boxes a and b, structs of low and high values per axis."""
+    near, far = F.lit(0.0), F.lit(0.0)
+    for c in axes:
+        gap = F.greatest(F.col(f"b.lo_{c}") - F.col(f"a.hi_{c}"), F.col(f"a.lo_{c}") - F.col(f"b.hi_{c}"), F.lit(0.0))
+        reach = F.greatest(F.col(f"b.hi_{c}") - F.col(f"a.lo_{c}"), F.col(f"a.hi_{c}") - F.col(f"b.lo_{c}"))
+        near, far = near + gap * gap, far + reach * reach
+    return near, far
 
-def _cell_edges(core: DataFrame, eps: float, side: float, levels: int = 30) -> DataFrame:
-    """Neighbouring cells (a, b) that hold core points within eps of each other.
+
+def _neighbour_cells(cells: DataFrame, axes: list[str], eps: float) -> DataFrame:
+    """(a, b), a < b: cells whose bounding boxes are within eps of each other.
+
+    A cell is narrower than eps, so lower corners of neighbours differ by less than 2 eps on
+    every axis: they lie in the same or in touching cubes of that side. Only the widest axes
+    make the cubes, so their number does not grow with the dimensions.
+    """
+    spread = cells.agg(*[(F.max(f"hi_{c}") - F.min(f"lo_{c}")).alias(c) for c in axes]).first()
+    widest = sorted(axes, key=lambda c: -(spread[c] or 0.0))[:KEYED_AXES]
+    box = F.struct("v", *_names("lo", axes), *_names("hi", axes))
+    keyed = cells.select(box.alias("box"), *[F.floor(F.col(f"lo_{c}") / (2 * eps)).alias(f"k_{c}") for c in widest])
+    shifts = F.array(*[F.struct(*[F.lit(s).alias(f"s_{c}") for s, c in zip(shift, widest)]) for shift in product((-1, 0, 1), repeat=len(widest)) if shift >= (0,) * len(widest)])
+    left = keyed.withColumn("shift", F.explode(shifts)).select(F.col("box").alias("a"), *[(F.col(f"k_{c}") + F.col(f"shift.s_{c}")).alias(f"k_{c}") for c in widest],
+                                                              F.expr(" and ".join(f"shift.s_{c} = 0" for c in widest)).alias("same"))
+    both = left.join(keyed.withColumnRenamed("box", "b"), _names("k", widest)).where((F.col("a.v") < F.col("b.v")) | ~F.col("same"))
+    near, _ = _box_gaps(axes)
+    return both.where(near <= eps * eps).select(F.least("a.v", "b.v").alias("a"), F.greatest("a.v", "b.v").alias("b"))
+
+
+def _cell_edges(core: DataFrame, pairs: DataFrame, axes: list[str], eps: float, side: float, levels: int = 30) -> DataFrame:
+    """Those pairs of cells (a, b) that hold core points within eps of each other.
 
     Bounding boxes of ever finer sub-cells decide: boxes that are certainly close make an
     edge, boxes that are certainly apart are dropped, and only undecided ones are refined.
     A box around one point is always decided, so this is exact without comparing all pairs.
     """
-    def boxes(level: int) -> DataFrame:
-        fine = side / (4 ** level)
-        sub = [F.floor((F.col(c) - F.col(f"g{c}") * side) / fine).alias(f"s{c}") for c in "xy"] if level else [F.lit(0).cast("bigint").alias(f"s{c}") for c in "xy"]
-        return core.groupBy("gx", "gy", *sub).agg(*[f(c).alias(f"{n}{c}") for c in "xy" for n, f in (("lo", F.min), ("hi", F.max))])
-
-    eps2 = eps * eps
-    forward = [o for o in _OFFSETS if o > (0, 0)]
-    cells = boxes(0)
-    pairs = cells.alias("a").withColumn("o", F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in forward])))
-    pairs = pairs.withColumn("nx", F.col("gx") + F.col("o.i")).withColumn("ny", F.col("gy") + F.col("o.j")).drop("o")
-    pairs = pairs.select(F.struct("gx", "gy", "sx", "sy", "lox", "hix", "loy", "hiy").alias("a"), "nx", "ny")
-    other = cells.select(F.struct("gx", "gy", "sx", "sy", "lox", "hix", "loy", "hiy").alias("b"), F.col("gx").alias("nx"), F.col("gy").alias("ny"))
-    open_pairs = pairs.join(other, ["nx", "ny"]).select("a", "b")
-    found = None
+    eps2, subs = eps * eps, _names("s", axes)
+    shape = F.struct("v", *subs, *_names("lo", axes), *_names("hi", axes))
+
+    def boxes(points: DataFrame, level: int) -> DataFrame:
+        fine = side / (4**level)
+        sub = [F.floor((F.col(c) - F.floor(F.col(c) / side) * side) / fine).alias(s) if level else F.lit(0).cast("bigint").alias(s) for c, s in zip(axes, subs)]
+        return points.groupBy("v", *sub).agg(*[f(c).alias(f"{n}_{c}") for c in axes for n, f in (("lo", F.min), ("hi", F.max))])
+
+    cells = boxes(core, 0).select(F.col("v"), shape.alias("n"))
+    open_pairs = pairs.join(cells.select(F.col("v").alias("a"), F.col("n").alias("box_a")), "a").join(cells.select(F.col("v").alias("b"), F.col("n").alias("box_b")), "b").select(F.col("box_a").alias("a"), F.col("box_b").alias("b"))
+    found, near_far = None, _box_gaps(axes)
     for level in range(levels):
-        near, far = _box_gaps()
+        near, far = near_far
         judged = cut(open_pairs.where(near <= eps2).select("a", "b", (far <= eps2).alias("sure")))
-        sure = judged.where("sure").select(F.struct("a.gx", "a.gy").alias("ca"), F.struct("b.gx", "b.gy").alias("cb")).distinct()
+        sure = judged.where("sure").select(F.col("a.v").alias("ca"), F.col("b.v").alias("cb")).distinct()
         found = sure if found is None else found.unionByName(sure)
-        unsure = judged.where("not sure").withColumn("ca", F.struct("a.gx", "a.gy")).withColumn("cb", F.struct("b.gx", "b.gy"))
-        unsure = cut(unsure.join(sure, ["ca", "cb"], "left_anti"))
+        unsure = judged.where("not sure").withColumn("ca", F.col("a.v")).withColumn("cb", F.col("b.v"))
+        unsure = cut(unsure.join(sure, ["ca", "cb"], "left_anti").select("a", "b"))
         if unsure.isEmpty():
-            return found
-        finer = cut(boxes(level + 1))
-        shape = F.struct("gx", "gy", "sx", "sy", "lox", "hix", "loy", "hiy")
-        parent = [F.floor(F.col(f"s{c}") / 4).alias(f"p{c}") for c in "xy"]
-        halves = finer.select(shape.alias("n"), F.col("gx"), F.col("gy"), *parent)
-        left = unsure.select("a", "b").join(halves, (F.col("a.gx") == F.col("gx")) & (F.col("a.gy") == F.col("gy")) & (F.col("a.sx") == F.col("px")) & (F.col("a.sy") == F.col("py")))
-        left = left.select(F.col("n").alias("a"), "b")
-        both = left.join(halves, (F.col("b.gx") == F.col("gx")) & (F.col("b.gy") == F.col("gy")) & (F.col("b.sx") == F.col("px")) & (F.col("b.sy") == F.col("py")))
-        open_pairs = both.select("a", F.col("n").alias("b"))
+            return found.select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+        wanted = unsure.select(F.col("a.v").alias("v")).unionByName(unsure.select(F.col("b.v").alias("v"))).distinct()
+        halves = boxes(core.join(wanted, "v", "left_semi"), level + 1).select(shape.alias("n"), "v", *[F.floor(F.col(s) / 4).alias(s) for s in subs])
+        halves = cut(halves)
+        inside = lambda side_: [F.col("v") == F.col(f"{side_}.v"), *[F.col(s) == F.col(f"{side_}.{s}") for s in subs]]
+        left = unsure.join(halves, inside("a")).select(F.col("n").alias("a"), "b")
+        open_pairs = left.join(halves, inside("b")).select("a", F.col("n").alias("b"))
     raise RuntimeError("cell pairs stayed undecided")
 
 
-def dbscan(points: DataFrame, eps: float, min_samples: int) -> DataFrame:
-    """Density clusters of (point_id, x, y): (point_id, cluster, is_core).
+def dbscan(points: DataFrame, eps: float, min_samples: int, axes: tuple[str, ...] = ("x", "y")) -> DataFrame:
+    """Density clusters of (point_id, axes..): (point_id, cluster, is_core), in any number of dimensions.
 
     The cluster is the smallest core point id in it, -1 for noise; a border point joins the
     smallest cluster that reaches it. Equal points count as one weighted node; a cell has
     diagonal eps, so cells with enough rows are core without comparing their points, and core
-    points of one cell always belong together. Only points of sparse cells are compared.
+    points of one cell always belong together. Only points of sparse cells are compared, with
+    those of cells whose bounding boxes are within eps. Points with a null coordinate are noise.
     """
-    side = eps / math.sqrt(2) * (1 - 1e-9)
-    nodes = points.groupBy("x", "y").agg(F.min("point_id").alias("node"), F.count("*").alias("w"))
-    nodes = cut(nodes.withColumn("gx", F.floor(F.col("x") / side)).withColumn("gy", F.floor(F.col("y") / side)))
-    weights = nodes.groupBy("gx", "gy").agg(F.sum("w").alias("cell_w"))
-    weighed = nodes.join(weights, ["gx", "gy"])
-    sparse = weighed.where(F.col("cell_w") < min_samples)
-    offsets = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in _OFFSETS])
-    looking = sparse.select(F.col("node").alias("at"), F.col("x").alias("ax"), F.col("y").alias("ay"), "gx", "gy", F.explode(offsets).alias("o"))
-    looking = looking.select("at", "ax", "ay", (F.col("gx") + F.col("o.i")).alias("gx"), (F.col("gy") + F.col("o.j")).alias("gy"))
-    gap2 = (F.col("x") - F.col("ax")) * (F.col("x") - F.col("ax")) + (F.col("y") - F.col("ay")) * (F.col("y") - F.col("ay"))
-    reached = looking.join(nodes, ["gx", "gy"]).where(gap2 <= eps * eps)
+    axes = list(axes)
+    side = eps / math.sqrt(len(axes)) * (1 - 1e-9)
+    known = points.select("point_id", *[F.col(c).cast("double").alias(c) for c in axes]).dropna(subset=axes)
+    nodes = known.groupBy(*axes).agg(F.min("point_id").alias("node"), F.count("*").alias("w"))
+    nodes = cut(nodes.select("node", "w", *axes, *[F.floor(F.col(c) / side).alias(f"g_{c}") for c in axes]))
+    grid = _names("g", axes)
+    cells = cut(nodes.groupBy(*grid).agg(F.min("node").alias("v"), F.sum("w").alias("cell_w"), *[f(c).alias(f"{n}_{c}") for c in axes for n, f in (("lo", F.min), ("hi", F.max))]))
+    nodes = cut(nodes.join(cells.select(*grid, "v", "cell_w"), grid).select("node", "w", "v", "cell_w", *axes))
+    pairs = cut(_neighbour_cells(cells, axes, eps))
+    around = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    gap2 = sum(((F.col(c) - F.col(f"at_{c}")) * (F.col(c) - F.col(f"at_{c}")) for c in axes), F.lit(0.0))
+    asking = lambda rows: rows.select(F.col("node").alias("at"), F.col("v").alias("a"), *[F.col(c).alias(f"at_{c}") for c in axes])
+    looking = asking(nodes.where(F.col("cell_w") < min_samples)).join(around, "a")
+    reached = looking.join(nodes.select(F.col("v").alias("b"), "w", *axes), "b").where(gap2 <= eps * eps)
     outside = reached.groupBy("at").agg(F.sum("w").alias("near_w"))
-    judged = weighed.join(outside, F.col("node") == F.col("at"), "left").drop("at")
-    flagged = cut(judged.withColumn("is_core", F.col("cell_w") + F.coalesce("near_w", F.lit(0)) >= min_samples).drop("near_w"))
+    judged = nodes.join(outside, F.col("node") == F.col("at"), "left")
+    flagged = cut(judged.select("node", "v", *axes, (F.col("cell_w") + F.coalesce("near_w", F.lit(0)) >= min_samples).alias("is_core")))
     core = flagged.where("is_core")
-    cells = cut(core.groupBy("gx", "gy").agg(F.min("node").alias("v")))
-    edges = _cell_edges(core, eps, side)
-    named = lambda side_: cells.select(F.struct("gx", "gy").alias(f"c{side_}"), F.col("v").alias(side_))
-    linked = edges.join(named("a"), "ca").join(named("b"), "cb").select("a", "b")
-    labels = cells.join(connected_components(cells.select("v"), linked), "v").select("gx", "gy", "component")
-    core_labels = core.join(labels, ["gx", "gy"])
+    named = cut(core.groupBy("v").agg(F.min("node").alias("least")))
+    edges = _cell_edges(core, pairs, axes, eps, side)
+    linked = edges.join(named.select(F.col("v").alias("a"), F.col("least").alias("la")), "a").join(named.select(F.col("v").alias("b"), F.col("least").alias("lb")), "b").select(F.col("la").alias("a"), F.col("lb").alias("b"))
+    labels = named.join(connected_components(named.select(F.col("least").alias("v")), linked).select(F.col("v").alias("least"), "component"), "least").select("v", "component")
+    core_labels = core.join(labels, "v")
     # a border point's own cell may hold core points too
-    here = [F.struct(F.lit(0).alias("i"), F.lit(0).alias("j"))]
-    everywhere = F.array(*here, *[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in _OFFSETS])
-    edge_points = flagged.where("not is_core").select(F.col("node").alias("at"), F.col("x").alias("ax"), F.col("y").alias("ay"), "gx", "gy", F.explode(everywhere).alias("o"))
-    edge_points = edge_points.select("at", "ax", "ay", (F.col("gx") + F.col("o.i")).alias("gx"), (F.col("gy") + F.col("o.j")).alias("gy"))
-    border = edge_points.join(core_labels.select("gx", "gy", "x", "y", "component"), ["gx", "gy"]).where(gap2 <= eps * eps)
+    border = asking(flagged.where("not is_core"))
+    border = border.join(around, "a").unionByName(border.withColumn("b", F.col("a")))
+    border = border.join(core_labels.select(F.col("v").alias("b"), "component", *axes), "b").where(gap2 <= eps * eps)
     border = border.groupBy("at").agg(F.min("component").alias("component"))
     assigned = core_labels.select("node", "component").unionByName(border.select(F.col("at").alias("node"), "component"))
-    placed = flagged.join(assigned, "node", "left").select("x", "y", "is_core", F.coalesce("component", F.lit(-1)).cast("bigint").alias("cluster"))
-    return points.join(placed, ["x", "y"]).select("point_id", "cluster", "is_core")
+    placed = flagged.join(assigned, "node", "left").select(*[F.col(c).alias(f"at_{c}") for c in axes], "is_core", F.coalesce("component", F.lit(-1)).cast("bigint").alias("cluster"))
+    same = [F.col(c).cast("double") == F.col(f"at_{c}") for c in axes]
+    return points.join(placed, same, "left").select("point_id", F.coalesce("cluster", F.lit(-1).cast("bigint")).alias("cluster"), F.coalesce("is_core", F.lit(False)).alias("is_core"))
 
 
 # --- outliers ----------------------------------------------------------------

@@ -41,6 +41,21 @@ def test_dbscan_with_copies_and_a_hot_area(spark):
     assert (got["cluster"].to_numpy() == want).all()
 
 
+@pytest.mark.parametrize("dims", [1, 3, 8])
+def test_dbscan_in_more_dimensions(spark, dims):
+    rng = np.random.default_rng(dims)
+    x = np.vstack([rng.uniform(0, 3, (150, dims)), rng.normal(1.0, 0.08, (120, dims)), rng.normal(2.2, 0.1, (80, dims)), np.repeat(rng.uniform(0, 3, (2, dims)), 20, axis=0)])
+    axes = tuple(f"p{i}" for i in range(dims))
+    rows = [(i, *map(float, p)) for i, p in enumerate(x)] + [(1000, *[None] * dims)]
+    points = spark.createDataFrame(rows, "point_id bigint, " + ", ".join(f"{a} double" for a in axes))
+    eps = {1: 0.02, 3: 0.25, 8: 0.45}[dims]
+    got = clustering.dbscan(points, eps, 5, axes).toPandas().set_index("point_id").sort_index()
+    want, core = brute_dbscan(x, eps, 5)
+    assert core.any() and not core.all()
+    assert (got["is_core"].to_numpy()[:-1] == core).all() and (got["cluster"].to_numpy()[:-1] == want).all()
+    assert got.loc[1000, "cluster"] == -1
+
+
 def test_components_of_random_edges_and_a_chain(spark):
     rng = np.random.default_rng(5)
     edges = [(int(a), int(b)) for a, b in rng.integers(0, 300, (220, 2))] + [(i, i + 1) for i in range(300, 360)]
