@@ -1,7 +1,8 @@
-"""Counts, sums and cross products of vector rows: added up per partition, then merged.
+"""Counts, means and centred cross products of vector rows: per partition, then merged.
 
 Everything built on mean and covariance (components, discriminants, envelopes, factors)
-starts from these, so the rows are read once and only d x d numbers reach the driver.
+starts from these, so the rows are read once and only d x d numbers reach the driver. Cross
+products are taken around means, never as raw sums, so a large mean costs no digits.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.features import as_doubles
-from millrace.session import bounded_collect
+from millrace.session import bounded_collect, cut, drop_cut
 
 # Most groups whose moments are brought to the driver.
 MAX_GROUPS = 2_000
@@ -26,21 +27,33 @@ MAX_GROUPS = 2_000
 @dataclass
 class Moments:
     n: float
-    total: np.ndarray
-    cross: np.ndarray
+    mean: np.ndarray
+    centred: np.ndarray  # summed cross products around the mean
 
     @property
-    def mean(self) -> np.ndarray:
-        return self.total / self.n
+    def total(self) -> np.ndarray:
+        return self.n * self.mean
+
+    @property
+    def cross(self) -> np.ndarray:
+        return self.centred + self.n * np.outer(self.mean, self.mean)
 
     def scatter(self) -> np.ndarray:
-        return self.cross - np.outer(self.total, self.total) / self.n
+        return self.centred
 
     def covariance(self, ddof: int = 1) -> np.ndarray:
-        return self.scatter() / max(self.n - ddof, 1)
+        return self.centred / max(self.n - ddof, 1)
 
     def __add__(self, other: Moments) -> Moments:
-        return Moments(self.n + other.n, self.total + other.total, self.cross + other.cross)
+        n, gap = self.n + other.n, other.mean - self.mean
+        return Moments(n, self.mean + gap * (other.n / n), self.centred + other.centred + np.outer(gap, gap) * (self.n * other.n / n))
+
+
+def moments_of(x: np.ndarray) -> Moments:
+    """Moments of rows in memory."""
+    mean = x[0] + (x - x[0]).mean(axis=0)
+    centred = x - mean
+    return Moments(float(len(x)), mean, centred.T @ centred)
 
 
 def _reduced(rows: DataFrame, keys: list[str], columns: list[str]) -> list:
@@ -72,19 +85,27 @@ def grouped_moments(df: DataFrame, vector: str, group: str | None = None) -> dic
         held: dict = {}
         for batch in batches:
             for g, part in batch.groupby("_g"):
-                x = np.stack(part["_v"].to_numpy())
-                n, s, c = held.get(g, (0.0, 0.0, 0.0))
-                held[g] = (n + len(x), s + x.sum(axis=0), c + x.T @ x)
+                m = moments_of(np.stack(part["_v"].to_numpy()))
+                held[g] = held[g] + m if g in held else m
         if held:
-            yield pd.DataFrame({"_g": list(held), "n": [[float(n)] for n, _, _ in held.values()], "s": [s for _, s, _ in held.values()],
-                                "c": [c.ravel() for _, _, c in held.values()]})
+            yield pd.DataFrame({"_g": list(held), "n": [m.n for m in held.values()], "mean": [m.mean for m in held.values()], "centred": [m.centred.ravel() for m in held.values()]})
 
     kind = rows.schema["_g"].dataType.simpleString()
-    parts = rows.mapInPandas(per_partition, f"_g {kind}, n array<double>, s array<double>, c array<double>")
+    parts = cut(rows.mapInPandas(per_partition, f"_g {kind}, n double, mean array<double>, centred array<double>"))
+    # Partitions are added around one mean of their group, from which all of theirs are near.
+    near = {r["_g"]: np.array(r["near"]) for r in bounded_collect(parts.groupBy("_g").agg(F.first("mean").alias("near")), MAX_GROUPS, "groups with sums")}
+
+    def around(batches):
+        for batch in batches:
+            gaps = [np.asarray(m) - near[g] for g, m in zip(batch["_g"], batch["mean"])]
+            yield pd.DataFrame({"_g": batch["_g"], "n": [[n] for n in batch["n"]], "s": [n * d for n, d in zip(batch["n"], gaps)],
+                                "c": [np.asarray(c) + n * np.outer(d, d).ravel() for n, c, d in zip(batch["n"], batch["centred"], gaps)]})
+
     out = {}
-    for r in _reduced(parts, ["_g"], ["n", "s", "c"]):
-        s = r["s"].toArray()
-        out[r["_g"] if group else None] = Moments(float(r["n"][0]), s, r["c"].toArray().reshape(len(s), len(s)))
+    for r in _reduced(parts.mapInPandas(around, f"_g {kind}, n array<double>, s array<double>, c array<double>"), ["_g"], ["n", "s", "c"]):
+        n, s, c = float(round(r["n"][0])), r["s"].toArray(), r["c"].toArray()
+        out[r["_g"] if group else None] = Moments(n, near[r["_g"]] + s / n, c.reshape(len(s), len(s)) - np.outer(s, s) / n)
+    drop_cut(parts)
     return out
 
 

@@ -24,11 +24,11 @@ def _long(df: DataFrame, columns: list[str], label: str) -> DataFrame:
 
 
 def _class_sums(df: DataFrame, columns: list[str], label: str) -> DataFrame:
-    """n, sum and sum of squares per (feature, class); features as rows only after grouping."""
-    sums = [f(c).alias(f"{n}_{c}") for c in columns for n, f in (("s", F.sum), ("q", lambda c: F.sum(F.col(c) * F.col(c))))]
+    """n, sum, mean and variance per (feature, class); features as rows only after grouping."""
+    sums = [f(c).alias(f"{n}_{c}") for c in columns for n, f in (("s", F.sum), ("m", F.avg), ("v", F.var_pop))]
     wide = df.select(F.col(label).alias("_y"), *[F.col(c).cast("double").alias(c) for c in columns]).groupBy("_y").agg(F.count("*").alias("n"), *sums)
-    cells = ", ".join(f"'{c}', `s_{c}`, `q_{c}`" for c in columns)
-    return wide.selectExpr("_y", "n", f"stack({len(columns)}, {cells}) as (name, s, q)")
+    cells = ", ".join(f"'{c}', `s_{c}`, `m_{c}`, `v_{c}`" for c in columns)
+    return wide.selectExpr("_y", "n", f"stack({len(columns)}, {cells}) as (name, s, mean, variance)")
 
 
 def chi2_rank(df: DataFrame, columns: list[str], label: str) -> DataFrame:
@@ -69,12 +69,14 @@ def mutual_info_rank(df: DataFrame, columns: list[str], label: str, bins: int =
 
 
 def anova_f(df: DataFrame, columns: list[str], label: str) -> DataFrame:
-    """One-way F statistic per feature from class sums."""
+    """One-way F statistic per feature, from class means around the mean of all and class variances."""
     sums = _class_sums(df, columns, label)
-    folded = sums.groupBy("name").agg(
-        F.sum("n").alias("n"), F.count("*").alias("k"), F.sum("s").alias("s"), F.sum("q").alias("q"), F.sum(F.col("s") * F.col("s") / F.col("n")).alias("between"))
-    between = F.col("between") - F.col("s") * F.col("s") / F.col("n")
-    within = F.col("q") - F.col("between")
+    # Means are added around the first class's, so a large mean costs no digits.
+    base = sums.groupBy("name").agg(F.min_by("mean", "_y").alias("base"))
+    centre = sums.join(base, "name").groupBy("name").agg((F.first("base") + F.sum(F.col("n") * (F.col("mean") - F.col("base"))) / F.sum("n")).alias("centre"))
+    gap = F.col("mean") - F.col("centre")
+    folded = sums.join(centre, "name").groupBy("name").agg(F.sum("n").alias("n"), F.count("*").alias("k"), F.sum(F.col("n") * F.col("variance")).alias("within"), F.sum(F.col("n") * gap * gap).alias("between"))
+    between, within = F.col("between"), F.col("within")
     dof1, dof2 = F.col("k") - 1, F.col("n") - F.col("k")
     scored = folded.select("name", F.try_divide(between / dof1, within / dof2).alias("f"), dof1.alias("dof1"), dof2.alias("dof2"))
     return scored.withColumn("pvalue", tails.as_column(tails.f_tail, F.col("f"), F.col("dof1"), F.col("dof2"))).orderBy(F.desc("f"), "name")

@@ -184,3 +184,27 @@ def test_plans_have_no_pair_joins_and_no_single_task_windows(spark, name):
     for i, line in enumerate(lines):
         if "Window [" in line and any("SinglePartition" in x for x in lines[i + 1:i + 4]):
             assert "_b#" in line  # only the totals of whole partitions meet in one place
+
+
+def test_moments_keep_their_digits_around_a_large_mean(spark):
+    """Mean 1e6 and unit variance, as a whole, per group and in the F statistic."""
+    import numpy as np
+    import pandas as pd
+
+    from millrace.operators import moments, selection
+
+    rng = np.random.default_rng(8)
+    x, g = rng.normal(0, 1, (600, 3)), rng.integers(0, 4, 600)
+    x[:, 1] += g * 0.3
+    df = spark.createDataFrame(pd.DataFrame({"v": list(x + 1e6), "g": g, "a": x[:, 0] + 1e6, "b": x[:, 1] + 1e6})).repartition(7)
+    assert np.allclose(moments.moments(df, "v").covariance(), np.cov(x.T), rtol=1e-6, atol=1e-8)
+    groups = moments.grouped_moments(df, "v", "g")
+    for c in range(4):
+        assert groups[c].n == (g == c).sum() and np.allclose(groups[c].covariance(), np.cov(x[g == c].T), rtol=1e-6, atol=1e-8)
+    joined = groups[0] + groups[1]
+    assert np.allclose(joined.covariance(), np.cov(x[g < 2].T), rtol=1e-6, atol=1e-8) and np.allclose(joined.mean, x[g < 2].mean(axis=0) + 1e6)
+    for r in selection.anova_f(df, ["a", "b"], "g").collect():
+        y = x[:, 0 if r["name"] == "a" else 1]
+        within = sum(((y[g == c] - y[g == c].mean()) ** 2).sum() for c in range(4))
+        between = sum((g == c).sum() * (y[g == c].mean() - y.mean()) ** 2 for c in range(4))
+        assert abs(r["f"] / ((between / 3) / (within / 596)) - 1) < 1e-6
