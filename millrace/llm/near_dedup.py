@@ -28,7 +28,9 @@ from millrace.llm.texts import list_column, over_batches, raw_texts, shingle_set
 from millrace.operators.components import connected_components
 from millrace.session import cut
 
-BLOCK = 256  # members of a bucket that one task compares at a time
+BLOCK = 256  # members outside a bucket's largest component that one task compares at a time
+CHUNK = 1024  # members of the largest component that meet a block of the others
+BLOCK_BYTES = 1 << 24  # texts of a block or a chunk, unless one is longer
 STAR_ROUNDS = 3
 
 
@@ -179,33 +181,62 @@ def spanning(pairs: list[tuple[int, int]], labels: list[int]) -> list[int]:
     return out
 
 
+def _block_rows(mixed: DataFrame, pool: DataFrame) -> DataFrame:
+    """(turn, band, kind, lo, hi, minor, of, doc_id, component): which members of a bucket meet in which task.
+
+    Only members outside the bucket's largest component, the minor ones, have anything to be
+    compared with: blocks of them meet each other (kind 0) and chunks of the largest component
+    (kind 1). So a member of the largest component is sent once per block of minor ones. Blocks
+    and chunks are bounded by members and by bytes.
+    """
+    sized = mixed.join(pool.select("doc_id", "bytes"), "doc_id")
+    parts = sized.groupBy("band", "component").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"))
+    largest = parts.groupBy("band").agg(F.sum("n").alias("all_n"), F.sum("bytes").alias("all_bytes"), F.max(F.struct("n", "bytes", "component")).alias("top"))
+    count = lambda n, most, size: F.greatest(F.ceil(n / most), F.ceil(size / BLOCK_BYTES), F.lit(1)).cast("int")
+    plan = largest.select("band", F.col("top.component").alias("major"), count(F.col("all_n") - F.col("top.n"), BLOCK, F.col("all_bytes") - F.col("top.bytes")).alias("blocks"),
+                          count(F.col("top.n"), CHUNK, F.col("top.bytes")).alias("chunks"))
+    placed = mixed.join(plan, "band").withColumn("minor", F.col("component") != F.col("major"))
+    placed = placed.withColumn("of", F.pmod(F.xxhash64("doc_id"), F.when(F.col("minor"), F.col("blocks")).otherwise(F.col("chunks"))).cast("int"))
+    task = lambda kind, lo, hi: F.struct(F.lit(kind).alias("kind"), lo.alias("lo"), hi.alias("hi"))
+    blocks, chunks = F.sequence(F.lit(0), F.col("blocks") - 1), F.sequence(F.lit(0), F.col("chunks") - 1)
+    among = F.concat(F.transform(blocks, lambda y: task(0, F.least("of", y), F.greatest("of", y))), F.transform(chunks, lambda z: task(1, F.col("of"), z)))
+    tasks = F.when(F.col("minor"), among).otherwise(F.transform(blocks, lambda x: task(1, x, F.col("of"))))
+    return placed.select("turn", "band", "minor", "of", "doc_id", "component", F.explode(tasks).alias("t")).select("turn", "band", "t.kind", "t.lo", "t.hi", "minor", "of", "doc_id", "component")
+
+
 def _in_blocks(mixed: DataFrame, pool: DataFrame, n_hashes: int, rows_per_band: int, batch: int, least: list[int], size: int, percent: int) -> DataFrame:
     """Verified links (a, b) between components within a bucket, found block against block.
 
-    A pair is met in the first band that it shares. A task holds two blocks, and gives at most
-    as many links as it has members: the links that join components still apart in it.
+    A pair is met in the first band that it shares. A task holds two blocks of signatures and
+    sorted shingle hashes, and gives at most as many links as it has members: the links that
+    join components still apart in it.
     """
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    rows = mixed.withColumn("of", F.pmod(F.xxhash64("doc_id"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    rows = rows.select("turn", "band", F.least("of", "other").alias("lo"), F.greatest("of", "other").alias("hi"), "of", "doc_id", "component")
-    rows = rows.join(pool.select("doc_id", "sig", "text"), "doc_id")
+    wanted = pool.join(mixed.select("doc_id").distinct(), "doc_id", "left_semi")
+
+    def shingled(rows: pa.RecordBatch) -> pa.RecordBatch:
+        sets = [shingle_set(raw, size).view(np.int64) for raw in raw_texts(rows.column(2))]
+        return pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), list_column(sets, pa.int64())], names=["doc_id", "sig", "shingles"])
+
+    ready = over_batches(wanted.select("doc_id", "sig", "text"), shingled, "doc_id bigint, sig array<int>, shingles array<bigint>")
+    rows = _block_rows(mixed, pool).join(ready, "doc_id")
 
     def compare(group: pa.Table) -> pa.Table:
-        turn, lo, hi, of = group["turn"][0].as_py(), group["lo"][0].as_py(), group["hi"][0].as_py(), group["of"].to_numpy()
+        turn, kind, lo, hi = (group[c][0].as_py() for c in ("turn", "kind", "lo", "hi"))
+        of, minor = group["of"].to_numpy(), group["minor"].to_numpy(zero_copy_only=False)
         ids, comp = group["doc_id"].to_numpy(), group["component"].to_numpy()
         sig = _matrix(group["sig"].combine_chunks(), n_hashes)
         bands = sig[:, : turn * rows_per_band].reshape(len(sig), turn, rows_per_band)
-        right, pairs = np.flatnonzero(of == hi), []
-        for i in np.flatnonzero(of == lo):
-            j = right[(comp[right] != comp[i]) & ((ids[right] > ids[i]) | (lo != hi))]
+        left, right, pairs = np.flatnonzero(minor & (of == lo)), np.flatnonzero(minor & (of == hi)) if kind == 0 else np.flatnonzero(~minor), []
+        for i in left:
+            j = right[(comp[right] != comp[i]) & ((ids[right] > ids[i]) | (kind == 1) | (lo != hi))]
             j = j[~(bands[j] == bands[i]).all(axis=2).any(axis=1)]
             j = j[alive_pairs(np.broadcast_to(sig[i], (len(j), n_hashes)), sig[j], batch, least)]
             pairs.append(np.column_stack([np.full(len(j), i), j]))
         pairs = np.concatenate(pairs) if pairs else np.empty((0, 2), np.int64)
         if len(pairs):
-            raws = group["text"].combine_chunks()
+            shingles = group["shingles"].combine_chunks()
             one, other = np.unique(pairs[:, 0]), np.unique(pairs[:, 1])
-            sets = {int(i): shingle_set(raws[int(i)].as_buffer().to_pybytes() if raws[int(i)].is_valid else None, size) for i in np.union1d(one, other)}
+            sets = {int(i): shingles[int(i)].values.to_numpy().view(np.uint64) for i in np.union1d(one, other)}
             common = common_counts([sets[i] for i in one.tolist()], [sets[i] for i in other.tolist()])
             common = common[np.searchsorted(one, pairs[:, 0]), np.searchsorted(other, pairs[:, 1])]
             sizes = np.array([len(sets[i]) if i in sets else 0 for i in range(len(ids))])
@@ -213,7 +244,7 @@ def _in_blocks(mixed: DataFrame, pool: DataFrame, n_hashes: int, rows_per_band:
             pairs = pairs[spanning(pairs.tolist(), comp.tolist())]
         return pa.table({"a": pa.array(ids[pairs[:, 0]], pa.int64()), "b": pa.array(ids[pairs[:, 1]], pa.int64())})
 
-    return rows.groupBy("turn", "band", "lo", "hi").applyInArrow(compare, "a bigint, b bigint").distinct()
+    return rows.groupBy("turn", "band", "kind", "lo", "hi").applyInArrow(compare, "a bigint, b bigint").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5, percent: int = 80,
@@ -241,7 +272,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = cut(banded.join(shared, "band").select("turn", "band", "doc_id"))
     wanted = members.select("doc_id").distinct()
     texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text")).join(wanted, "doc_id", "left_semi")
-    pool = cut(leaders.join(wanted, "doc_id").join(texts, "doc_id").select("doc_id", "sig", "text"))
+    pool = cut(leaders.join(wanted, "doc_id").join(texts, "doc_id").select("doc_id", "sig", "text", F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("bytes")))
     vertices = filled.select(F.col("doc_id").alias("v")).distinct()
     links = led.where("doc_id <> leader").select(F.col("leader").alias("a"), F.col("doc_id").alias("b"))
     pool_ids = wanted.select(F.col("doc_id").alias("v"))

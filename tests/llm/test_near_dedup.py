@@ -98,3 +98,19 @@ def test_common_counts():
     sets = [np.unique(rng.integers(0, 500, rng.integers(1, 300)).astype(np.uint64)) for _ in range(20)]
     want = [[len(np.intersect1d(a, b)) for b in sets[12:]] for a in sets[:12]]
     assert common_counts(sets[:12], sets[12:], width=37).tolist() == want
+
+
+def test_large_group_sends_few_rows(spark, monkeypatch):
+    """One large component and some members outside it: rows grow with the members, not with their square."""
+    monkeypatch.setattr(near_dedup, "BLOCK", 8)
+    monkeypatch.setattr(near_dedup, "CHUNK", 32)
+    n, minor = 2000, 6
+    mixed = spark.range(n).selectExpr("0 as turn", "7L as band", "id as doc_id", f"if(id < {minor}, id, {minor}L) as component", f"{n}L as n")
+    pool = spark.range(n).selectExpr("id as doc_id", "100L as bytes")
+    rows = near_dedup._block_rows(mixed, pool).collect()
+    assert len(rows) <= n + minor * (1 + n // 32 + 1)
+    tasks = {}
+    for r in rows:
+        tasks.setdefault((r["kind"], r["lo"], r["hi"]), []).append(r)
+    met = {(a["doc_id"], b["doc_id"]) for (kind, lo, hi), held in tasks.items() for a in held if a["minor"] for b in held if a["doc_id"] != b["doc_id"]}
+    assert met == {(a, b) for a in range(minor) for b in range(n) if a != b}
