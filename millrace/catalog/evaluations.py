@@ -10,7 +10,6 @@ from millrace.functions.scalars import rounded
 from millrace.operators import evaluate as e
 from millrace.operators import prefix_search, sampling, selection, text, tuning
 from millrace.operators.features import to_vector
-from millrace.operators.ordered import number_rows
 from millrace.operators.sparse import Learner
 
 PREDICTED = "case when l_linestatus = 'F' then 'A' when l_tax > 0.04 then 'R' else 'N' end"

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.components import connected_components
-from millrace.operators.features import as_doubles, dot, literal_vector, matrix_map, random_fourier
+from millrace.operators.features import as_doubles, matrix_map, random_fourier
 from millrace.operators.moments import moments, partition_sum
 from millrace.operators.neighbours import nearest_of
 from millrace.operators.ordered import quantiles

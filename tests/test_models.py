@@ -244,14 +244,6 @@ def test_text_models_use_every_term(spark):
     docs = spark.createDataFrame([(n, *r) for n, r in enumerate(rows)], "doc_id bigint, text string, label int, part string")
     train, test = docs.where("part = 'train'"), docs.where("part = 'test'")
     got = {r["model"]: r for r in text_classify.run(train, test).collect()}
-    assert len(got) == 8 and all(r["n_test"] == 700 for r in got.values())
-    for name in ("logistic l2", "linear svc", "multinomial bayes", "bernoulli bayes", "perceptron", "nearest centroid"):
+    assert len(got) == 14 and all(r["n_test"] == 700 for r in got.values())
+    for name in ("svc l2", "sgd l2", "ridge", "multinomial bayes", "bernoulli bayes", "passive aggressive", "perceptron", "nearest centroid"):
         assert got[name]["accuracy"] > 0.99, name
-
-
-def test_sparse_forest_finds_a_column(spark):
-    labels = spark.createDataFrame([(k, float(k % 2)) for k in range(400)], "doc_id bigint, label double")
-    entries = spark.createDataFrame([(k, 3, 0.9 if k % 2 else 0.1) for k in range(400)] + [(k, k % 3, 0.5) for k in range(400)], "doc_id bigint, i int, value double")
-    forest = models.sparse_forest(entries, labels, "doc_id", 4, trees=20, depth=3)
-    found = models.sparse_forest_prediction(entries, labels.select("doc_id"), "doc_id", forest).join(labels, "doc_id")
-    assert found.count() == 400 and found.where("prediction != label").count() <= 20
