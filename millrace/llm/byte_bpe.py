@@ -68,6 +68,7 @@ class WholeTexts:
             import tiktoken
 
             self.bytes = token_bytes(spec["model"]["vocab"], added)
+            self.sizes = np.array([len(b) for b in self.bytes], np.int64)
             ranks = {self.bytes[i]: i for token, i in spec["model"]["vocab"].items() if token not in added}
             self.ranks = tiktoken.Encoding("from-file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=added)
         self.special = set() if plain else set(added)
@@ -82,3 +83,18 @@ class WholeTexts:
             except ValueError:  # a run of white space too long for the rank encoder's pattern
                 pass
         return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
+
+    def tokens(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, first characters and ends of all tokens; tokens within one character share its span."""
+        if not text or self.ranks is None:
+            found = self.library.encode(text or "", add_special_tokens=False)
+            spans = np.array(found.offsets, np.int64).reshape(-1, 2)
+            return np.array(found.ids, np.uint32), spans[:, 0], spans[:, 1]
+        ids = self.ids(text)
+        ends = np.cumsum(self.sizes[ids])
+        starts = ends - self.sizes[ids]
+        if not text.isascii():
+            raw = np.frombuffer(text.encode(), np.uint8)
+            char = np.cumsum((raw & 0xC0) != 0x80) - 1
+            starts, ends = char[starts], char[ends - 1] + 1
+        return ids, starts, ends

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.bpe import ChunkEncoder
+from millrace.llm.byte_bpe import WholeTexts
 from millrace.llm.texts import over_batches
 
 RULES = ("first", "most", "share")
@@ -91,11 +91,11 @@ def section_tokens(docs: DataFrame, tokenizer: str, rule: str = "most", id_col:
     return over_batches(rows, count, f"doc_id bigint, section bigint, n_tokens {kind}")
 
 
-_ENCODERS: dict[str, ChunkEncoder] = {}
+_ENCODERS: dict[str, WholeTexts] = {}
 
 
-def _encoder(path: str) -> ChunkEncoder:
+def _encoder(path: str) -> WholeTexts:
     """One encoder per worker, kept between tasks."""
     if path not in _ENCODERS:
-        _ENCODERS[path] = ChunkEncoder(path)
+        _ENCODERS[path] = WholeTexts(path)
     return _ENCODERS[path]

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.bpe import ChunkEncoder
+from millrace.llm.byte_bpe import WholeTexts
 from millrace.llm.texts import list_column, over_batches
 from millrace.session import cut, scratch_path
 
@@ -29,7 +29,7 @@ CHECKPOINT = 256
 MAX_BITS = 16
 VOCABULARY = 1_000_000  # ids above this are refused, as counts and code are held in one place
 
-_ENCODERS: dict[str, ChunkEncoder] = {}
+_ENCODERS: dict[str, WholeTexts] = {}
 _BLOCKS = "part int, seq bigint, first bigint, doc_ids array<bigint>, lengths array<bigint>"
 
 
@@ -40,7 +40,7 @@ def packed_ids(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, text_c
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if tokenizer not in _ENCODERS:
-            _ENCODERS[tokenizer] = ChunkEncoder(tokenizer)
+            _ENCODERS[tokenizer] = WholeTexts(tokenizer)
         encoder, end = _ENCODERS[tokenizer], np.array([end_id], np.uint32)
         part, seq, first, size, held, docs_held, lengths = 0, 0, 0, 0, [], [], []
 
@@ -132,11 +132,10 @@ class Coder:
         size = int(ids.max()) + 1 if len(ids) else 1
         codes, self.bits = canonical(ids, bits), np.zeros(size, np.uint8)
         self.bits[ids] = bits
+        self.codes = np.zeros(size, np.uint64)
+        self.codes[ids] = codes.astype(np.uint64)
         left = np.zeros(size, np.uint32)
         left[ids] = codes << (self.width - bits)
-        shifts = np.arange(self.width - 1, -1, -1, dtype=np.uint32)
-        self.rows = ((left[:, None] >> shifts) & np.uint32(1)).astype(np.uint8)
-        self.used = np.arange(self.width) < self.bits[:, None]
         order = np.argsort(left[ids], kind="stable")
         self.symbols = np.repeat(ids[order].astype(np.uint32), 1 << (self.width - bits[order]))
         self.symbols = np.concatenate([self.symbols, np.zeros((1 << self.width) - len(self.symbols), np.uint32)])
@@ -144,10 +143,23 @@ class Coder:
 
     def encode(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
         """Payload and the bit offset of every CHECKPOINT-th id."""
-        ends = np.cumsum(self.bits[ids], dtype=np.int64)
-        offsets = np.concatenate([[0], ends])[:-1][::CHECKPOINT] if len(ids) else np.empty(0, np.int64)
-        stretches = [np.packbits(self.rows[ids][self.used[ids]])] if len(ids) else [np.empty(0, np.uint8)]
-        return stretches[0].tobytes(), offsets
+        if not len(ids):
+            return b"", np.empty(0, np.int64)
+        bits, codes = self.bits[ids].astype(np.int64), self.codes[ids]
+        ends = np.cumsum(bits)
+        starts = ends - bits
+        # Codes are laid into words of 64 bits from the high end; one that crosses a border leaves its rest to the next word.
+        word, room = starts >> 6, 64 - (starts & 63) - bits
+        crossing = np.flatnonzero(room < 0)
+        shift = np.maximum(room, 0).astype(np.uint64)
+        laid = codes << shift
+        over = (-room[crossing]).astype(np.uint64)
+        laid[crossing] = codes[crossing] >> over
+        first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
+        words = np.zeros(int(word[-1]) + 2, np.uint64)
+        words[word[first]] = np.add.reduceat(laid, first)
+        words[word[crossing] + 1] |= codes[crossing] << (np.uint64(64) - over)
+        return words.byteswap().tobytes()[: (int(ends[-1]) + 7) // 8], starts[::CHECKPOINT]
 
     def decode(self, payload: bytes, offsets: np.ndarray, count: int) -> np.ndarray:
         """The ids of a block; each step decodes one id of all stretches."""
