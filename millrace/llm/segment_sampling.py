@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -162,7 +163,7 @@ class Lattices:
 
     def _forget(self) -> None:
         self.prints, self.kinds = np.empty(0, np.uint64), np.empty(0, np.int64)
-        self.laid = {k: np.empty(0, t) for k, t in (("place", np.int64), ("size", np.int32), ("first", np.int32), ("cumulated", float), ("log", float), ("step", np.int32), ("code", np.int32))}
+        self.laid = {k: np.empty(0, t) for k, t in (("place", np.int64), ("size", np.int32), ("sole", bool), ("first", np.int32), ("cumulated", float), ("log", float), ("of", np.int32), ("step", np.int32), ("code", np.int32))}
 
     def split(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(code points, start of each chunk, chunks per text) of texts that are not empty."""
@@ -196,7 +197,7 @@ class Lattices:
             lengths = sizes[own]
             flat = np.repeat(starts[own] - (np.cumsum(lengths) - lengths), lengths) + np.arange(int(lengths.sum()))
             more, have = self.gather(points[flat], lengths), len(self.laid["size"])
-            shift = {"place": len(self.laid["first"]), "first": len(self.laid["step"])}
+            shift = {"place": len(self.laid["first"]), "of": len(self.laid["first"]), "first": len(self.laid["step"])}
             self.laid = {k: np.concatenate([v, (more[k] + shift.get(k, 0)).astype(v.dtype)]) for k, v in self.laid.items()}
             self.prints = np.concatenate([self.prints, prints[new]])
             self.kinds = np.concatenate([self.kinds, have + np.arange(len(new))])
@@ -214,7 +215,7 @@ class Lattices:
         return self.runs[point]
 
     def gather(self, points: np.ndarray, sizes: np.ndarray) -> dict[str, np.ndarray]:
-        """The lattices of chunks that stand one after another; `place` is a chunk's first place, `first` a place's first edge."""
+        """The lattices of chunks that stand one after another; `place` is a chunk's first place, `first` a place's first edge, `of` an edge's place."""
         n = len(points)
         place = np.cumsum(sizes) - sizes
         left = np.repeat(place + sizes, sizes) - np.arange(n)
@@ -268,7 +269,8 @@ class Lattices:
             run[here] += share[edge[here] + k]
             cumulated[edge[here] + k] = run[here]
         cumulated[first + count - 1] = 2.0
-        return {"place": place, "size": sizes, "first": first, "cumulated": cumulated, "log": own, "step": step, "code": code}
+        return {"place": place, "size": sizes, "first": first, "cumulated": cumulated, "log": own, "of": of, "step": step, "code": code,
+                "sole": ~np.logical_or.reduceat(count > 1, place)}
 
     def of_names(self, names: list[str]) -> dict[str, np.ndarray]:
         """The lattices of some chunks given as strings."""
@@ -333,34 +335,79 @@ def walk(lattices: dict[str, np.ndarray], kind: np.ndarray, key: np.ndarray) ->
     return out, counts, logs
 
 
+class Barred:
+    """Some segmentations of one word as a trie, and the log-probability of all others at each of its nodes.
+
+    Another segmentation leaves the trie at some node by an edge that the trie does not have, so
+    its mass is a sum over such edges; one less the mass of the barred ones would cancel.
+    """
+
+    def __init__(self, lattices: dict[str, np.ndarray], paths: list[tuple[int, ...]]):
+        self.log, self.ends = lattices["log"], lattices["cumulated"]
+        self.nodes: list[tuple[int, int, dict[int, int]]] = []  # first edge of the place, edge after its last, {edge: node}
+        waiting = [(paths, 0, -1)]
+        while waiting:
+            group, depth, parent = waiting.pop()
+            children: dict[int, list] = {}
+            for path in group:
+                if len(path) > depth:
+                    children.setdefault(path[depth], []).append(path)
+            at = len(self.nodes)
+            if not children:  # the end of a barred path
+                self.nodes.append((0, 0, {}))
+            else:
+                low = next(iter(children))
+                high = low
+                while low and self.ends[low - 1] < 2.0:
+                    low -= 1
+                while self.ends[high] < 2.0:
+                    high += 1
+                self.nodes.append((low, high + 1, dict.fromkeys(children, -1)))
+            if parent >= 0:
+                self.nodes[parent][2][group[0][depth - 1]] = at
+            waiting += [(below, depth + 1, at) for below in children.values()]
+        self.rest = [-math.inf] * len(self.nodes)
+        for at in reversed(range(len(self.nodes))):  # children come after their parents
+            weights = self.weights(at)
+            top = max(weights, default=-math.inf)
+            if top > -math.inf:
+                self.rest[at] = top + math.log(sum([math.exp(w - top) for w in weights]))
+
+    def weights(self, at: int) -> list[float]:
+        """Log-mass of what is not barred behind each edge of a node."""
+        low, high, children = self.nodes[at]
+        out = self.log[low:high].tolist()
+        for edge, below in children.items():
+            out[edge - low] += self.rest[below]
+        return out
+
+
 def other_path(lattices: dict[str, np.ndarray], kind: int, barred: list[tuple[int, ...]], key: int) -> tuple[tuple[int, ...], float]:
     """A path of one word drawn among those not barred, and its log-probability."""
     base, left = int(lattices["place"][kind]), int(lattices["size"][kind])
-    firsts = lattices["first"][base : base + left].tolist()
-    last = firsts[-1]
-    while lattices["cumulated"][last] < 2.0:
-        last += 1
-    firsts.append(last + 1)
-    low = firsts[0]
-    logs, steps = lattices["log"][low : last + 1].tolist(), lattices["step"][low : last + 1].tolist()
-    at, path, total = 0, [], 0.0
+    trie, node, at, path, total = Barred(lattices, barred), 0, 0, [], 0.0
     while at < left:
-        depth = len(path)
-        weights = []
-        for edge in range(firsts[at], firsts[at + 1]):
-            lost = sum([math.exp(sum([logs[e - low] for e in b[depth + 1 :]])) for b in barred if b[depth] == edge])
-            weights.append(math.exp(logs[edge - low]) * max(0.0, 1.0 - lost))
-        mark, pick = draw(key + depth) * sum(weights), firsts[at]
-        for edge, weight in enumerate(weights, firsts[at]):
-            if weight > 0:
+        if node >= 0:
+            low, high, children = trie.nodes[node]
+            weights = trie.weights(node)
+        else:
+            low = high = int(lattices["first"][base + at])
+            while lattices["cumulated"][high] < 2.0:
+                high += 1
+            high, children, weights = high + 1, {}, lattices["log"][low : high + 1].tolist()
+        top = max(weights)
+        share = [math.exp(w - top) for w in weights]
+        mark, pick = draw(key + len(path)) * sum(share), low
+        for edge, part in enumerate(share, low):
+            if part > 0:
                 pick = edge
-                mark -= weight
+                mark -= part
                 if mark <= 0:
                     break
-        barred = [b for b in barred if b[depth] == pick]
+        node = children.get(pick, -1)
         path.append(pick)
-        total += logs[pick - low]
-        at += steps[pick - low]
+        total += float(lattices["log"][pick])
+        at += int(lattices["step"][pick])
     return tuple(path), total
 
 
@@ -396,13 +443,12 @@ def sample_words(lattices: dict[str, np.ndarray], kind: np.ndarray, sizes: np.nd
         before = np.cumsum(logs) - logs
         before -= before[start][doc]
         with np.errstate(divide="ignore", invalid="ignore"):
-            rest = np.log(-np.expm1(np.minimum(logs, 0.0)))
+            rest = _rest_of_words(lattices, kind, edges, at, counts, logs)
             for i in alive:
                 if barred_at[i]:
                     w = start[i] + since[i]
-                    gone = math.fsum(math.exp(float(lattices["log"][list(b)].sum())) for b in barred_at[i]) + math.exp(logs[w])
-                    rest[w] = math.log(1.0 - gone) if gone < 1.0 - 1e-12 else -math.inf
-            rest[rest < -27.0] = -np.inf  # a word with one segmentation, up to rounding
+                    gone = math.fsum([math.exp(min(logs[w], 0.0)), *[math.exp(float(lattices["log"][list(b)].sum())) for b in barred_at[i]]])
+                    rest[w] = math.log1p(-gone) if gone < 0.999 else Barred(lattices, [*barred_at[i], tuple(edges[at[w] : at[w] + counts[w]].tolist())]).rest[0]
             sets = np.where(np.isfinite(rest), cut_gumbel(before + rest, score[doc], uniform(spot * _M2 + np.uint64(2 * rank + 1))), -np.inf)
         sets[(word < since[doc]) | ~np.isin(doc, alive)] = -np.inf
         for _ in range(k - rank):
@@ -430,6 +476,50 @@ def sample_words(lattices: dict[str, np.ndarray], kind: np.ndarray, sizes: np.nd
     return out
 
 
+NEAR_SURE = -1e-3  # log-probability above which one less it would lose digits
+
+
+def _others(lattices: dict[str, np.ndarray], edges: np.ndarray) -> np.ndarray:
+    """For each edge the log of the summed probability of the other edges at its place."""
+    log, first = lattices["log"][edges], lattices["first"]
+    out = np.log(-np.expm1(np.minimum(log, NEAR_SURE)))
+    near = np.flatnonzero(log > NEAR_SURE)
+    if len(near):  # summed up, as one less a probability near one loses digits
+        place = lattices["of"][edges[near]].astype(np.int64)
+        begin = first[place].astype(np.int64)
+        n = np.append(first, len(lattices["log"]))[place + 1] - begin
+        at = np.cumsum(n) - n
+        beside = np.repeat(begin - at, n) + np.arange(int(n.sum()))
+        value = np.where(beside == np.repeat(edges[near], n), -np.inf, lattices["log"][beside])
+        top = np.maximum.reduceat(value, at)
+        top = np.where(np.isfinite(top), top, 0.0)
+        out[near] = top + np.log(np.add.reduceat(np.exp(value - np.repeat(top, n)), at))
+    return out
+
+
+def _rest_of_words(lattices: dict[str, np.ndarray], kind: np.ndarray, edges: np.ndarray, at: np.ndarray, counts: np.ndarray, logs: np.ndarray) -> np.ndarray:
+    """Log-probability of all segmentations of each word but the one taken.
+
+    Where that one is nearly sure, it is the sum, over its steps, of leaving it there; else one
+    less its probability has all digits.
+    """
+    rest = np.log(-np.expm1(np.minimum(logs, NEAR_SURE)))
+    near = logs > NEAR_SURE
+    rest[near] = -np.inf
+    near = np.flatnonzero(near & ~lattices["sole"][kind])
+    if len(near):
+        n = counts[near]
+        begin = np.cumsum(n) - n
+        own = edges[np.repeat(at[near] - begin, n) + np.arange(int(n.sum()))]
+        log = lattices["log"][own]
+        upto = np.cumsum(log) - log
+        leaving = upto - np.repeat(upto[begin], n) + _others(lattices, own)
+        top = np.maximum.reduceat(leaving, begin)
+        top = np.where(np.isfinite(top), top, 0.0)
+        rest[near] = top + np.log(np.add.reduceat(np.exp(leaving - np.repeat(top, n)), begin))
+    return rest
+
+
 def _merged(paths: list, chosen: np.ndarray, doc: np.ndarray, word: np.ndarray, since: np.ndarray, replaced: dict, start: np.ndarray, edges: np.ndarray, counts: np.ndarray, logs: np.ndarray) -> tuple:
     """Words before the divergence from the chosen path, the word there as replaced, later ones as drawn."""
     pool = [edges, *[p[0] for p in paths], np.array([e for path, _ in replaced.values() for e in path], np.int64)]
@@ -466,9 +556,9 @@ def sample_segmentations(docs: DataFrame, model: str, k: int = 3, seed: int = 0,
 
     ids are little-endian unsigned 32-bit piece ids. Ranks 0 to k - 1 fall by perturbed score;
     inclusion is the probability that the sample holds this segmentation, given the threshold.
-    A text with fewer than k segmentations gives them all, with inclusion 1 for each if none
-    is left; what is left of a word below 2e-12 of its probability counts as nothing, as
-    doubles cannot tell. `exact` says whether decoding the ids gives the text back; it does unless the
+    A text with fewer than k segmentations gives them all, with inclusion 1 for each. Masses
+    are sums of what is left, never one less what is taken, so a segmentation is found however
+    improbable it is. `exact` says whether decoding the ids gives the text back; it does unless the
     text holds the character U+2581, which stands for a space and is decoded as one. A null or
     empty text has one segmentation, without ids. Rows are keyed by id and text: repeated rows
     give equal samples, each for itself, null ids count as 0; an empty table gives no rows.
@@ -512,7 +602,7 @@ def _sampled(lattices: Lattices, ids: list, texts: list, k: int, seed: int) -> p
     if filled:
         points, starts, sizes = lattices.split([texts[i] for i in filled])
         laid, kind = lattices.known(points, starts)
-        keys = mixed(np.array([ids[i] or 0 for i in filled], np.int64), seed, sizes)
+        keys = mixed(np.array([ids[i] or 0 for i in filled], np.int64), seed, np.array([xxhash.xxh3_64_intdigest(texts[i].encode()) for i in filled], np.uint64))
         *ranks, last = sample_words(laid, kind, sizes, keys, k)
         ends = np.cumsum(sizes)
         table = _byte_table(lattices.texts)

@@ -12,15 +12,15 @@ import pytest
 from tokenizers import Tokenizer
 
 from millrace.llm import segment_sampling, token_counts, token_files
-from millrace.llm.bpe import ChunkEncoder
+from millrace.llm.byte_bpe import WholeTexts
 from millrace.llm.segment_sampling import Lattices, chunks, cut_gumbel, sample_words
 
 BYTES, PIECES = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 TEXTS = ["", " ", "Hello there, it's 1 2 34!", "a  b   c \n\n d\t e ", " lead", "trail ", "x\x1c y \x85 z", "naïve 日本語 🎉 e\u0301 ", "don't\u00a0stop 's", "<|endoftext|> a <|endoftext|>b", "a <|endoftext|>", "\n a", "1 000 000", "▁ a▁b"]
 
 
-def test_chunks_give_the_library_tokens():
-    whole, encoder = Tokenizer.from_file(BYTES), ChunkEncoder(BYTES)
+def test_whole_texts_give_the_library_tokens():
+    whole, encoder = Tokenizer.from_file(BYTES), WholeTexts(BYTES)
     rng = random.Random(1)
     pool = " \n\tab'sé日1,.\u00a0\x1c"
     for text in TEXTS + ["".join(rng.choice(pool) for _ in range(rng.randint(0, 40))) for _ in range(400)]:
@@ -158,6 +158,45 @@ def test_all_segmentations_are_found_when_few():
     assert sorted(found) == sorted(paths) and last["left"][0] == -np.inf
 
 
+@pytest.mark.parametrize("name", ["▁the", "▁king", "▁house"])
+def test_improbable_segmentations_are_found(name):
+    """One piece has all but 1e-30 of the probability; the others still come, each once."""
+    processor = segment_sampling._processor(PIECES)
+    logs = np.full(32000, -80.0)
+    logs[processor.piece_to_id(name)] = 0.0
+    lattices = Lattices(PIECES, logs, 1.0)
+    laid, paths = lattices.of_names([name]), all_paths(lattices, name)
+    assert len(paths) >= 8
+    for k in (3, len(paths) - 1, len(paths), len(paths) + 2):
+        *ranks, last = sample_words(laid, np.zeros(4, np.int64), np.ones(4, np.int64), np.arange(4, dtype=np.uint64), k)
+        for doc in range(4):
+            found = []
+            for r in ranks:
+                here = np.repeat(np.arange(4), r["counts"]) == doc
+                if doc in r["docs"]:
+                    found.append(tuple(laid["code"][r["edges"][here]].tolist()))
+            assert len(set(found)) == len(found) == min(k, len(paths)) and set(found) <= set(paths)
+        assert np.isfinite(last["left"]).all() == (k < len(paths))
+
+
+def test_mass_of_what_is_not_barred():
+    logs = np.log(np.random.default_rng(6).dirichlet(np.ones(32000)))
+    lattices = Lattices(PIECES, logs, 1.0)
+    laid = lattices.of_names(["▁the"])
+    paths = {}
+    for seed in range(400):
+        edges, _, log = segment_sampling.walk(laid, np.zeros(1, np.int64), np.array([seed * 977], np.uint64))
+        paths[tuple(edges.tolist())] = math.exp(log[0])
+    some = sorted(paths)[:3]
+    assert math.exp(segment_sampling.Barred(laid, some).rest[0]) == pytest.approx(1 - sum(paths[p] for p in some))
+    drawn = Counter(segment_sampling.other_path(laid, 0, some, i * 7919)[0] for i in range(4000))
+    assert not set(drawn) & set(some)
+    for path, p in paths.items():
+        if path not in some:
+            q = p / (1 - sum(paths[s] for s in some))
+            assert abs(drawn[path] / 4000 - q) < 4.5 * math.sqrt(q * (1 - q) / 4000) + 1e-3
+
+
 def test_cut_gumbel_stays_below():
     u = np.random.default_rng(1).random(10000)
     got = cut_gumbel(np.full(10000, -3.0), np.full(10000, -2.5), u)
@@ -178,6 +217,9 @@ def test_sampling_texts(spark):
     texts = {r["text"] for r in segment_sampling.decode_samples(samples.where("doc_id = 7"), PIECES).collect()}
     assert texts == {TEXTS[7]}
     assert segment_sampling.sample_segmentations(df.limit(0), PIECES).collect() == []
+    pair = spark.createDataFrame([(None, "the house"), (None, "the king"), (None, "the house")], "doc_id bigint, text string")
+    scores = [r["score"] for r in segment_sampling.sample_segmentations(pair, PIECES, k=1, logs=np.full(32000, -math.log(32000))).collect()]
+    assert len(scores) == 3 and len(set(scores)) == 2  # rows are keyed by their texts too
 
 
 def test_trained_counts_equal_the_models_own_encoding(spark):
