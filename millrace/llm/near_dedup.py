@@ -301,8 +301,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_one_of_each(docs: DataFrame, **options) -> DataFrame:
     """The documents that near_duplicates keeps, with all their columns.
 
-    Each id stays once, so of rows repeated whole one is left; rows without an id all stay.
+    Each id stays once: of rows with one id the one with the smallest text stays, a null text
+    counting as empty, and rows equal in text too are one row. Rows without an id all stay.
     """
+    text, others = options.get("text_col", "text"), [c for c in docs.columns if c != "doc_id"]
     verdicts = near_duplicates(docs, **options).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    named = docs.where("doc_id is not null").join(verdicts, F.col("doc_id") == F.col("_kept_id"), "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where("doc_id is null"))
+    named = docs.where("doc_id is not null").join(verdicts, F.col("doc_id") == F.col("_kept_id"), "left_semi")
+    first = named.groupBy("doc_id").agg(F.min_by(F.struct(*[F.col(c) for c in others]), F.coalesce(text, F.lit(""))).alias("_row"))
+    return first.select(*[F.col("doc_id") if c == "doc_id" else F.col("_row")[c].alias(c) for c in docs.columns]).unionByName(docs.where("doc_id is null"))

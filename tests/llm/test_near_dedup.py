@@ -114,3 +114,10 @@ def test_large_group_sends_few_rows(spark, monkeypatch):
         tasks.setdefault((r["kind"], r["lo"], r["hi"]), []).append(r)
     met = {(a["doc_id"], b["doc_id"]) for (kind, lo, hi), held in tasks.items() for a in held if a["minor"] for b in held if a["doc_id"] != b["doc_id"]}
     assert met == {(a, b) for a in range(minor) for b in range(n) if a != b}
+
+
+def test_rows_that_share_an_id_keep_the_smallest_text(spark):
+    df = spark.createDataFrame([(5, "b text", 1), (5, "a text", 2), (6, None, 3), (6, "x", 4), (5, "a text", 2)], "doc_id bigint, text string, n int")
+    for parts in (1, 4):
+        got = near_dedup.keep_one_of_each(df.repartition(parts))
+        assert sorted(tuple(r) for r in got.collect()) == [(5, "a text", 2), (6, None, 3)] and got.columns == df.columns
