@@ -48,3 +48,20 @@ def test_stages(spark):
     assert set(texts[4]) == {i for i, t in texts[3].items() if not any(s and 100 * len(s & shingles(t)) >= 80 * len(s) for s in items)}
     last = corpus_pipeline.STAGES[-1][1](spark, docs, SF_DIR).toPandas()
     assert set(last["doc_id"]) == set(texts[4]) and last["exact"].all() and not last.duplicated(["doc_id", "ids_crc32", "n_pieces"]).any()
+
+
+def test_odd_rows_pass_every_stage(spark):
+    """Null ids and texts, empty texts, repeated rows, columns that helpers use themselves, and an empty table."""
+    words = " ".join(f"word{k} of the text" for k in range(40))
+    rows = [(1, words, "en", "a", 9, 7), (1, words, "en", "a", 9, 7), (2, words, "en", None, 9, 7), (None, words, None, "a", 0, 7), (None, None, "en", "a", 0, 7), (3, "", "en", "a", 0, 7), (4, None, "en", "b", 0, 7),
+            (5, words.upper() + " x", "en", "b", 1, 7)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint, component bigint")
+    for given in (docs, docs.limit(0)):
+        ids = []
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            columns, given = given.columns, cut(stage(spark, given, SF_DIR))
+            assert given.columns == columns, name
+            ids.append(sorted((r["doc_id"] or 0) for r in given.collect()))
+        last = corpus_pipeline.STAGES[-1][1](spark, given, SF_DIR).collect()
+        assert {r["doc_id"] for r in last} <= {r["doc_id"] for r in given.collect()}
+        assert set(ids[1]) <= set(ids[0]) and ids[2] == ids[1] and set(ids[3]) <= set(ids[2])
