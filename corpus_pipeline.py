@@ -16,25 +16,30 @@ from millrace.sources.fixtures import table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that fail no rule of their own and whose host is not judged bad; null and empty texts have too few words and go, of rows that share an id all stay where one passes; an empty table stays empty."""
     prepare(spark)
     return host_quality.keep_good(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near copies (5 words, 80 of 100); rows without an id, and texts without words, have no copies and stay; of rows that share an id the smallest text stays."""
     prepare(spark)
     return near_dedup.keep_one_of_each(docs, shingle_words=5, percent=80)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the 50-byte passages that a document of a smaller id holds too; no document goes, null texts stay null, other columns stay as they are."""
     prepare(spark)
     return repeats.without_repeats(docs, span=50)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item (80 of 100 of its 5-word shingles); null and empty texts hold none and stay."""
     return containment.drop_contaminated(docs, table(prepare(spark), sf_dir, "benchmark"), shingle_words=5, percent=80)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Three sampled segmentations per document, as sizes, checksums and scores; a null or empty text has one without pieces."""
     prepare(spark)
     return sampled_digest(docs)
 
