@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 
 from pyspark.ml import Estimator
@@ -11,6 +12,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.sampling import folds, unit_number
+from millrace.session import cut, drop_cut
+
+# Rows that one task of a fit takes at least.
+TASK_ROWS = 2_500
 
 
 def cross_val_scores(df: DataFrame, key: str, estimator: Estimator, evaluator: Evaluator, k: int, label: str | None = None) -> DataFrame:
@@ -24,11 +29,14 @@ def cross_val_scores(df: DataFrame, key: str, estimator: Estimator, evaluator: E
 def search(df: DataFrame, key: str, estimator: Estimator, candidates: list[dict], evaluator: Evaluator, k: int, parallelism: int = 4):
     """Cross-validate every candidate on the same stable folds.
 
-    Returns (table of candidate, mean, std, rank; best fitted model).
+    Returns (table of candidate, mean, std, rank; best fitted model). A fit runs tens of small
+    jobs, so its rows lie in as many partitions as they fill, whatever the shuffle width.
     """
-    data = folds(df, key, k).cache()
+    placed = cut(folds(df, key, k))
+    data = placed.coalesce(max(1, math.ceil(placed.count() / TASK_ROWS))).cache()
     model = CrossValidator(estimator=estimator, estimatorParamMaps=candidates, evaluator=evaluator, numFolds=k, foldCol="fold", parallelism=parallelism).fit(data)
     data.unpersist()
+    drop_cut(placed)
     sign = 1 if evaluator.isLargerBetter() else -1
     order = sorted(range(len(candidates)), key=lambda i: -sign * model.avgMetrics[i])
     name = lambda m: ", ".join(sorted(f"{p.name}={_short(v)}" for p, v in m.items()))
