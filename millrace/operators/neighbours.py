@@ -18,6 +18,8 @@ CODEBOOK_NUMBERS = 1_000_000
 # Rows of either side that one task compares at a time, and most blocks of rows whose shapes go to every task.
 BLOCK = 2_000
 MAX_BLOCKS = 500_000
+# Most numbers of a distance table, or of the vectors in a batch, that a Python task holds at once.
+BATCH_NUMBERS = 1_000_000
 
 
 def distances_to(vector: Column, codebook: np.ndarray) -> Column:
@@ -160,6 +162,25 @@ def _allowed(far: np.ndarray, bound: np.ndarray, pivots: np.ndarray, shapes: pd.
     return np.maximum(gap, plane) <= bound[:, None] + slack
 
 
+def _spread(chosen, columns: list[str], pivots: np.ndarray, blocks: int):
+    """Batches of queries with the blocks chosen for them. A query may visit every block, so batches are
+    bounded by the numbers they hold, not by queries."""
+    rows_out = max(1, BATCH_NUMBERS // max(pivots.shape[1], 1))
+
+    def run(batches):
+        for batch in batches:
+            step = max(1, BATCH_NUMBERS // max(blocks, len(pivots)))
+            for at in range(0, len(batch), step):
+                part = batch.iloc[at : at + step]
+                far = _to_pivots(np.stack(part["vector"].to_numpy()).astype("float64"), pivots)
+                which, block = chosen(part, far)
+                for cut_at in range(0, len(which), rows_out):
+                    own = slice(cut_at, cut_at + rows_out)
+                    yield part.iloc[which[own]][columns].assign(block=block[own].astype("int32"))
+
+    return run
+
+
 def visits(queries: DataFrame, rows: DataFrame, k: int, size: int = BLOCK) -> tuple[DataFrame, DataFrame, int]:
     """((query_id, vector, block) to be visited, (row_id, vector, block), number of blocks), vectors being arrays of doubles.
 
@@ -174,15 +195,7 @@ def visits(queries: DataFrame, rows: DataFrame, k: int, size: int = BLOCK) -> tu
     kind = queries.schema["query_id"].dataType.simpleString()
 
     def spread(chosen, columns: list[str]):
-        def run(batches):
-            for batch in batches:
-                step = max(1, 4_000_000 // max(len(shapes), len(pivots)))
-                for at in range(0, len(batch), step):
-                    part = batch.iloc[at : at + step]
-                    far = _to_pivots(np.stack(part["vector"].to_numpy()).astype("float64"), pivots)
-                    which, block = chosen(part, far)
-                    yield part.iloc[which][columns].assign(block=block.astype("int32"))
-        return run
+        return _spread(chosen, columns, pivots, len(shapes))
 
     def first(part, far):
         block = _own_block(far, shapes, k)
