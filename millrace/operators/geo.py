@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.session import cut
+from millrace.session import cut, drop_cut
 
 # fixed values
 EARTH_KM = 6371
@@ -37,24 +37,56 @@ def destination(lat: Column, lng: Column, bearing: Column, metres: Column) -> tu
     return F.degrees(lat2), F.degrees(lng2)
 
 
+def _unit(lat: Column, lng: Column) -> list[Column]:
+    p, q = F.radians(lat), F.radians(lng)
+    return [F.cos(p) * F.cos(q), F.cos(p) * F.sin(q), F.sin(p)]
+
+
 def _cube(lat: Column, lng: Column, edge: float) -> list[Column]:
     """Cell of a point on the unit sphere in a grid of cubes; it knows no pole and no date line."""
-    p, q = F.radians(lat), F.radians(lng)
-    return [F.floor(c / edge) for c in (F.cos(p) * F.cos(q), F.cos(p) * F.sin(q), F.sin(p))]
+    return [F.floor(c / edge) for c in _unit(lat, lng)]
+
+
+# Candidate pairs that one task of a radius join compares, about.
+TASK_PAIRS = 2_000_000
+# Places of one finest cell that a search compares one by one, and most halvings of a cell.
+LEAF_PLACES, MOST_LEVELS = 32, 30
+STEPS = [(i, j, k) for i in (-1, 0, 1) for j in (-1, 0, 1) for k in (-1, 0, 1)]
+
+
+def _edge(metres: float) -> float:
+    """Chord of a radius on the unit sphere, the edge of the cubes that points look around in."""
+    return max(2 * math.sin(min(metres / (EARTH_KM * 2000), math.pi / 2)) * (1 + 1e-9), 1e-12)
+
+
+def _around(points: DataFrame, columns: list[str], edge: float) -> DataFrame:
+    """(columns.., _plat, _plng, _x, _y, _z): each point once per cube around its own."""
+    x, y, z = _cube(F.col("lat"), F.col("lng"), edge)
+    steps = F.array(*[F.struct(*[F.lit(d).alias(n) for n, d in zip("ijk", step)]) for step in STEPS])
+    near = points.select(*columns, F.col("lat").alias("_plat"), F.col("lng").alias("_plng"), x.alias("_x0"), y.alias("_y0"), z.alias("_z0"), F.explode(steps).alias("_s"))
+    return near.select(*columns, "_plat", "_plng", (F.col("_x0") + F.col("_s.i")).alias("_x"), (F.col("_y0") + F.col("_s.j")).alias("_y"), (F.col("_z0") + F.col("_s.k")).alias("_z"))
 
 
 def pairs_within(points: DataFrame, places: DataFrame, metres: float) -> DataFrame:
     """(point_id, place columns.., distance) for all places within the radius.
 
     Both sides meet in cubes whose edge is the chord of the radius; a point looks into the
-    27 cubes around its own, of which the sphere's surface crosses about nine.
+    27 cubes around its own, of which the sphere's surface crosses about nine. The pairs of a
+    cube are counted before they are made: points of a crowded cube are dealt to parts, and
+    as many tasks share all parts as the pairs need, however few files the points come from.
     """
-    edge = max(2 * math.sin(min(metres / (EARTH_KM * 2000), math.pi / 2)) * (1 + 1e-9), 1e-12)
+    edge = _edge(metres)
+    near = _around(points, ["point_id"], edge)
     x, y, z = _cube(F.col("lat"), F.col("lng"), edge)
-    steps = F.array(*[F.struct(*[F.lit(d).alias(n) for n, d in zip("ijk", (i, j, k))]) for i in (-1, 0, 1) for j in (-1, 0, 1) for k in (-1, 0, 1)])
-    near = points.select("point_id", F.col("lat").alias("_plat"), F.col("lng").alias("_plng"), x.alias("_x0"), y.alias("_y0"), z.alias("_z0"), F.explode(steps).alias("_s"))
-    near = near.select("point_id", "_plat", "_plng", (F.col("_x0") + F.col("_s.i")).alias("_x"), (F.col("_y0") + F.col("_s.j")).alias("_y"), (F.col("_z0") + F.col("_s.k")).alias("_z"))
-    joined = near.join(places.withColumns({"_x": x, "_y": y, "_z": z}), ["_x", "_y", "_z"])
+    placed = places.withColumns({"_x": x, "_y": y, "_z": z})
+    cell = ["_x", "_y", "_z"]
+    crowds = near.groupBy(*cell).agg(F.count("*").alias("_points")).join(placed.groupBy(*cell).agg(F.count("*").alias("_places")), cell)
+    crowds = cut(crowds.select(*cell, "_places", (F.col("_points") * F.col("_places")).alias("_pairs")))
+    total = crowds.agg(F.sum("_pairs")).first()[0] or 0
+    parts = F.ceil(F.col("_pairs") / TASK_PAIRS).cast("int")
+    dealt = near.join(crowds.select(*cell, parts.alias("_parts")), cell).withColumn("_part", F.pmod(F.xxhash64("point_id", "_plat", "_plng"), F.col("_parts")))
+    dealt = dealt.repartition(min(1 + total // TASK_PAIRS * 2, 100_000), *cell, "_part").drop("_part", "_parts")
+    joined = dealt.join(placed, cell)
     distance = haversine(F.col("_plat"), F.col("_plng"), F.col("lat"), F.col("lng"))
     return joined.withColumn("distance", distance).where(F.col("distance") <= metres).drop("_x", "_y", "_z", "_plat", "_plng")
 
@@ -66,10 +98,48 @@ def radius_join(points: DataFrame, places: DataFrame, metres: float) -> DataFram
     return pairs.unionByName(alone, allowMissingColumns=True)
 
 
+def nearest_within(points: DataFrame, roads: DataFrame, metres: float) -> DataFrame:
+    """(lat, lng, near: struct of distance, place_id and heading) of the points that have a road within the radius.
+
+    Cubes are halved until few roads share one. A point starts with the cubes of the radius
+    join and goes down: one road of each cube tells how far the nearest can be at most, and
+    cubes that cannot reach into that distance are left. The roads of the last cubes are
+    measured one by one, so crowds farther away are never met.
+    """
+    edge, spot, cell = _edge(metres), ["_plat", "_plng"], ["_x", "_y", "_z"]
+    known = roads.where(F.col("lat").isNotNull() & F.col("lng").isNotNull()).groupBy("lat", "lng").agg(F.min(F.struct("place_id", "heading")).alias("first"))
+    cubes = [c / edge for c in _unit(F.col("lat"), F.col("lng"))]
+    at = lambda level: [F.floor(c * float(1 << level)).alias(n) for c, n in zip(cubes, cell)]
+    known, levels = cut(known), 0
+    while levels < MOST_LEVELS and (known.groupBy(*at(levels)).count().agg(F.max("count")).first()[0] or 0) > LEAF_PLACES:
+        levels += 2
+
+    def within(found: DataFrame, level: int) -> DataFrame:
+        """Of the cubes with one road each, those that may hold the nearest; half a millimetre for rounding."""
+        span = 2000 * EARTH_KM * math.asin(min(1.0, math.sqrt(3) * edge / (1 << level) / 2)) * (1 + 1e-9) + 5e-4
+        far = found.withColumn("_d", haversine(F.col("_plat"), F.col("_plng"), F.col("rep.lat"), F.col("rep.lng")))
+        bound = F.least(F.min("_d").over(Window.partitionBy(*spot)), F.lit(float(metres)))
+        return far.withColumn("_bound", bound).where(F.col("_d") - span <= F.col("_bound")).select(*spot, *cell)
+
+    nodes = lambda level: known.groupBy(*at(level)).agg(F.min(F.struct("lat", "lng")).alias("rep"))
+    asked = points.where(F.col("lat").isNotNull() & F.col("lng").isNotNull()).select("lat", "lng").distinct()
+    front = cut(within(_around(asked, [], edge).join(nodes(0), cell), 0))
+    for level in range(1, levels + 1):
+        up = [F.shiftright(c, 1).alias(f"{c}0") for c in cell]
+        children = nodes(level).select("rep", *cell, *up)
+        held = front
+        front = cut(within(held.withColumnsRenamed({c: f"{c}0" for c in cell}).join(children, [f"{c}0" for c in cell]), level))
+        drop_cut(held)
+    last = front.join(known.select(*at(levels), "lat", "lng", "first"), cell)
+    distance = haversine(F.col("_plat"), F.col("_plng"), F.col("lat"), F.col("lng"))
+    near = F.struct("distance", F.col("first.place_id").alias("place_id"), F.col("first.heading").alias("heading"))
+    return last.withColumn("distance", distance).where(F.col("distance") <= metres).groupBy(F.col("_plat").alias("lat"), F.col("_plng").alias("lng")).agg(F.min(near).alias("near"))
+
+
 def snap_to_nearest(points: DataFrame, roads: DataFrame, metres: float) -> DataFrame:
     """Move each point by its distance to the nearest road, against the road's heading."""
-    nearest = pairs_within(points, roads, metres).groupBy("point_id").agg(
-        F.min(F.struct("distance", "place_id", "heading")).alias("near"))
+    found = nearest_within(points, roads, metres)
+    nearest = points.select("point_id", "lat", "lng").join(found, ["lat", "lng"]).groupBy("point_id").agg(F.min("near").alias("near"))
     bearing = F.element_at(F.array(*[F.lit((b + 180) % 360) for b in HEADINGS]), F.col("near.heading") + 1)
     lat, lng = destination(F.col("lat"), F.col("lng"), bearing, F.col("near.distance"))
     return points.join(nearest, "point_id", "left").select(

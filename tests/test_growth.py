@@ -6,7 +6,7 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
-from millrace.operators import neighbours, tuning
+from millrace.operators import geo, neighbours, tuning
 
 FITTED_ON = []
 
@@ -44,3 +44,43 @@ def test_queries_that_visit_every_block_leave_in_bounded_batches():
     assert max(len(p) for p in parts) * 64 <= neighbours.BATCH_NUMBERS
     seen = pd.concat([p[["query_id", "block"]] for p in parts])
     assert len(seen) == 200 * blocks and not seen.duplicated().any()
+
+
+def _counted_rows(df):
+    """Largest number of output rows of a join in the plan, after running it."""
+    df.collect()
+    found, todo = [], [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        if "AdaptiveSparkPlan" in node.nodeName():
+            todo.append(node.executedPlan())
+            continue
+        if "Join" in node.nodeName() and node.metrics().contains("numOutputRows"):
+            found.append(node.metrics().apply("numOutputRows").value())
+        todo += [node.children().apply(i) for i in range(node.children().size())] + ([node.plan()] if "QueryStage" in node.nodeName() else [])
+    return max(found, default=0)
+
+
+def _globe(spark, n, name, step):
+    lat, lng = 39 + F.col("id") * step % 1009 / 50000, 116 + F.col("id") * step * 7 % 997 / 50000
+    return spark.range(n).select(F.col("id").alias(name), lat.alias("lat"), lng.alias("lng"))
+
+
+def test_a_crowd_of_roads_is_not_measured_one_by_one(spark):
+    points = _globe(spark, 300, "point_id", 37).unionByName(spark.createDataFrame([(900, 10.0, 10.0), (901, None, 1.0), (None, 39.0, 116.0), (5, 39.01, 116.01)], "point_id bigint, lat double, lng double"))
+    roads = _globe(spark, 3000, "place_id", 91).withColumn("heading", (F.col("place_id") % 8).cast("int"))
+    found = geo.nearest_within(points, roads, 4000.0)
+    assert _counted_rows(found) <= 100 * 300  # all pairs would be 900,000
+    got = {r["point_id"]: r["road_id"] for r in geo.snap_to_nearest(points, roads, 4000.0).collect()}
+    far = geo.haversine(F.col("lat"), F.col("lng"), F.col("rlat"), F.col("rlng"))
+    pairs = points.crossJoin(roads.select("place_id", F.col("lat").alias("rlat"), F.col("lng").alias("rlng"))).withColumn("d", far).where("d <= 4000 and point_id is not null")
+    want = {r["point_id"]: r["n"]["place_id"] for r in pairs.groupBy("point_id").agg(F.min(F.struct("d", "place_id")).alias("n")).collect()}
+    assert got == want | {900: None, 901: None, None: None}
+
+
+def test_pairs_of_one_crowded_cube_are_shared_by_tasks(spark, monkeypatch):
+    monkeypatch.setattr(geo, "TASK_PAIRS", 1000)
+    points, places = (_globe(spark, 200, n, 37).select(n, (F.col("lat") / 1e3 + 39).alias("lat"), (F.col("lng") / 1e3 + 116).alias("lng")).coalesce(1) for n in ("point_id", "place_id"))
+    pairs = geo.pairs_within(points, places, 50_000.0)
+    shares = [r["count"] for r in pairs.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(shares) == 40_000 and max(shares) <= 8_000
