@@ -7,6 +7,7 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,24 +40,39 @@ def distances_to(vector: Column, codebook: np.ndarray) -> Column:
     return measure(vector)
 
 
+def _squared_gaps(data: np.ndarray, book: np.ndarray) -> np.ndarray:
+    """Squared distances of all rows to all codebook rows; short vectors are summed up column by column."""
+    if book.shape[1] >= 8:
+        gaps = data[:, None, :] - book[None, :, :]
+        return (gaps * gaps).sum(axis=2)
+    out = np.zeros((len(data), len(book)))
+    for j in range(book.shape[1]):
+        gap = data[:, j, None] - book[None, :, j]
+        gap *= gap
+        out += gap
+    return out
+
+
 def nearest_of(vector: Column, codebook: list[tuple]) -> Column:
     """struct(dist2, id) of the closest of (id, vector) entries; ties go to the lower id."""
     ordered = sorted(codebook, key=lambda e: e[0])
     ids, book = np.array([i for i, _ in ordered], dtype="int64"), np.array([[float(x) for x in v] for _, v in ordered])
-    per_slice = max(1, 2_000_000 // max(book.size, 1))
-
-    @F.pandas_udf("dist2 double, id bigint")
-    def closest(rows: pd.Series) -> pd.DataFrame:
-        if rows.empty:
-            return pd.DataFrame({"dist2": pd.Series(dtype="float64"), "id": pd.Series(dtype="int64")})
-        data, dist, best = np.stack(rows.to_numpy()).astype("float64"), [], []
+    # Rows of one slice: its distances stay in the processor's cache where vectors are short.
+    per_slice = max(1, (100_000 if book.shape[1] < 8 else 2_000_000) // max(book.size, 1))
+
+    @F.arrow_udf("dist2 double, id bigint")
+    def closest(rows: pa.Array) -> pa.Array:
+        if not len(rows):
+            return pa.StructArray.from_arrays([pa.array([], pa.float64()), pa.array([], pa.int64())], ["dist2", "id"])
+        if rows.null_count or len(set(np.diff(rows.offsets.to_numpy()))) > 1:
+            raise ValueError("vectors must not be null and must have one length")
+        data, dist, best = rows.flatten().to_numpy(zero_copy_only=False).astype("float64").reshape(len(rows), -1), [], []
         for at in range(0, len(data), per_slice):
-            gaps = data[at:at + per_slice, None, :] - book[None, :, :]
-            d = (gaps * gaps).sum(axis=2)
+            d = _squared_gaps(data[at:at + per_slice], book)
             pick = d.argmin(axis=1)
             best.append(ids[pick])
             dist.append(d[np.arange(len(pick)), pick])
-        return pd.DataFrame({"dist2": np.concatenate(dist), "id": np.concatenate(best)})
+        return pa.StructArray.from_arrays([pa.array(np.concatenate(dist), from_pandas=True), pa.array(np.concatenate(best))], ["dist2", "id"])
 
     return closest(vector)
 
