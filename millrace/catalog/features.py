@@ -108,8 +108,7 @@ COUNTS = TOKENS + ", cnt as (select doc_id, term, count(*) as n from (select doc
 select doc_id, term, n from cnt where term in (select term from voc)""")
 def _(t):
     tokens = text.with_pairs(text.without(text.words(F.col("text")), STOP))
-    counts = text.term_counts(t.documents, "doc_id", tokens)
-    return text.limit_vocabulary(counts, t.documents.count(), min_df=2, max_df=0.95, max_features=1000).select("doc_id", "term", "n")
+    return text.top_counts(t.documents, "doc_id", tokens, t.documents.count(), min_df=2, max_df=0.95, max_features=1000).select("doc_id", "term", "n")
 
 
 @query("tfidf", COUNTS + """, wt as (select doc_id, term, n * (ln((1.0e0 + (select count(*) from documents)) / (1 + df)) + 1) as w from cnt join fr using (term))

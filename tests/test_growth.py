@@ -1,12 +1,15 @@
 """What a query needs must not grow faster than its input."""
 
+import tracemalloc
+
 import numpy as np
 import pandas as pd
+from pyspark.ml.feature import CountVectorizer
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
-from millrace.operators import geo, neighbours, tuning
+from millrace.operators import geo, neighbours, sparse, text, tuning
 
 FITTED_ON = []
 
@@ -84,3 +87,50 @@ def test_pairs_of_one_crowded_cube_are_shared_by_tasks(spark, monkeypatch):
     pairs = geo.pairs_within(points, places, 50_000.0)
     shares = [r["count"] for r in pairs.groupBy(F.spark_partition_id()).count().collect()]
     assert sum(shares) == 40_000 and max(shares) <= 8_000
+
+
+def test_short_vectors_meet_a_codebook_without_a_third_axis(spark):
+    rng = np.random.default_rng(2)
+    data, book = rng.random((2000, 3)), rng.random((64, 3))
+    tracemalloc.start()
+    near = neighbours._squared_gaps(data, book)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    want = ((data[:, None, :] - book[None, :, :]) ** 2).sum(axis=2)
+    assert np.array_equal(near, want) and peak < 4 * near.nbytes  # seven times with the axis
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(data[:50])], "id int, v array<double>")
+    got = {r["id"]: (r["b"]["id"], r["b"]["dist2"]) for r in rows.select("id", neighbours.nearest_of(F.col("v"), list(enumerate(book.tolist()))).alias("b")).collect()}
+    assert got == {i: (int(want[i].argmin()), float(want[i].min())) for i in range(50)}
+
+
+def test_a_short_vocabulary_is_found_without_counting_every_term(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"every {'one ' * 9}word{i} " + " ".join(f"w{j}" for j in range(i % 7 + 1))) for i in range(60)] + [(0, "every w1 w1"), (None, "w2 w2"), (61, None)], "doc_id int, text string")
+    tokens = text.words(F.col("text"))
+    want = text.limit_vocabulary(text.term_counts(docs, "doc_id", tokens), 63, 2, 0.9, 3)
+    met, plain = [], text.term_counts
+    monkeypatch.setattr(text, "term_counts", lambda *a: met.append(plain(*a).select("term").distinct().count()) or plain(*a))
+    got = text.top_counts(docs, "doc_id", tokens, 63, 2, 0.9, 3)
+    assert sorted(map(str, got.select("doc_id", "term", "n").collect())) == sorted(map(str, want.select("doc_id", "term", "n").collect()))
+    assert met == [6]
+    text.top_counts(docs, "doc_id", tokens, 63, 50, 0.1, 3).count()  # too few pass: all terms are met at last
+    assert met[1:] == [6, 48, plain(docs, "doc_id", tokens).select("term").distinct().count()]
+
+
+def test_a_share_of_documents_keeps_no_tokens(spark):
+    docs = spark.createDataFrame([(["aa", "bb"],), (["aa"],), (["aa", "cc", "bb"],), (["cc", "dd"],)], "tokens array<string>")
+    fit = lambda most: CountVectorizer(inputCol="tokens", outputCol="tf", minDF=2, maxDF=most).fit(docs).vocabulary
+    assert text.largest_df(docs, 0.5) == 2.0 and text.largest_df(docs.limit(1), 0.5) == 0.5
+    assert fit(text.largest_df(docs, 0.5)) == fit(0.5)
+
+
+def test_pairs_of_blocks_are_not_shuffled(spark):
+    rng = np.random.default_rng(3)
+    entries = [("", k, int(i), float(rng.random())) for k in range(40) for i in rng.choice(30, 5, replace=False)]
+    rows = spark.createDataFrame(entries, "run string, key bigint, i bigint, value double")
+    labels = spark.range(40).select(F.lit("").alias("run"), F.col("id").alias("key"), (F.col("id") % 2).cast("double").alias("label"))
+    packed = sparse.blocks(rows, labels, "key")
+    votes = sparse.knn_votes(packed, packed, 1)
+    assert {r["key"]: r["prediction"] for r in votes.collect()} == {k: float(k % 2) for k in range(40)}
+    plan = votes._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.index("MapInPandas"):].split("Initial Plan")[0]
+    assert "CartesianProduct" in below and "Exchange" not in below
