@@ -182,6 +182,29 @@ def test_sparse_svd_matches_numpy(spark):
     assert np.abs(left.T @ left - np.eye(2)).max() < 1e-8
 
 
+@pytest.mark.parametrize("size", [1 << 19, 60, 15])
+def test_products_shuffle_a_row_per_block_and_column(spark, monkeypatch, size):
+    monkeypatch.setattr(decomposition, "BLOCK_ENTRIES", size)
+    rng = np.random.default_rng(5)
+    a = rng.random((30, 20)) * (rng.random((30, 20)) < 0.5)
+    a[7] = rng.random(20)  # stays in long form where blocks hold 15 entries
+    entries = spark.createDataFrame([(str(i), f"t{j}", float(a[i, j])) for i in range(30) for j in range(20) if a[i, j]] + [(None, "t3", 9.0)], "row string, col string, v double")
+    right = spark.createDataFrame([(f"t{j}", [1.0, float(j)]) for j in range(20)], "col string, vec array<double>")
+    factors = np.stack([np.ones(20), np.arange(20.0)], axis=1)
+    scaled = np.divide(a, np.sqrt(np.outer(a.sum(axis=1), a.sum(axis=0))), where=a > 0, out=np.zeros_like(a))
+    matrix = decomposition.RowBlocks(entries)
+    got = {r["row"]: r["vec"] for r in matrix.times(right, 2).collect()}
+    assert np.allclose([got[str(i)] for i in range(30)], a @ factors) and got[None] == [9.0, 27.0]
+    found = matrix.there_and_back(right, 2).collect()
+    assert np.allclose([dict(found)[f"t{j}"] for j in range(20)], a.T @ a @ factors) and len(found) == 20
+    assert matrix._pass(right, 2, True, False).count() <= 20 * matrix.blocks.count()
+    matrix.close()
+    matrix = decomposition.RowBlocks(entries.where("row is not null"), normalised=True)
+    found = dict(matrix.there_and_back(right, 2, normalised=True).collect())
+    assert np.allclose([found[f"t{j}"] for j in range(20)], scaled.T @ scaled @ factors)
+    matrix.close()
+
+
 def test_nmf_loss_never_rises(spark):
     rng = np.random.default_rng(6)
     a = rng.random((20, 3)) @ rng.random((3, 12))
