@@ -197,6 +197,23 @@ def test_species_scores(spark):
     assert got["species"].is_unique and got["auc"].dropna().between(0, 1).all()
 
 
+def test_text_candidates_are_all_ranked(spark):
+    got = run(spark, "grid_search_text")
+    assert len(got) == 24 and got["params"].is_unique and got["mean_score"].between(0, 1).all()
+    assert (np.diff(got.sort_values("rank")["mean_score"]) <= 0).all() and set(got["rank"]) == set(range(1, 25))
+
+
+def test_runs_are_ranked_by_inertia(spark):
+    got = run(spark, "kmeans_runs").sort_values("rank")
+    assert (np.diff(got["inertia"]) >= 0).all() and (got["inertia"] > 0).all() and (got["steps"] > 0).all()
+
+
+def test_robust_envelope_flags_the_farthest(spark):
+    got = run(spark, "robust_envelope")
+    assert got["id"].is_unique and abs(got["outlier"].mean() - 0.1) < 0.02
+    assert got[got["outlier"]]["distance2"].min() > got[~got["outlier"]]["distance2"].max()
+
+
 def test_no_query_is_left_out():
     with open(__file__) as source:
         named = set(re.findall(r'"(\w+)"', source.read()))
