@@ -36,6 +36,7 @@ SPACE = "▁"
 CHUNK = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
 BATCH_CHARS = 1_000_000  # characters sampled side by side in a task; a longer text goes alone
 COUNTED = 300_000  # chunks that a task counts before it passes them on
+GATHERED = 1 << 15  # characters whose lattices are built together
 LOW = 512
 KEPT_EDGES = 3_000_000  # edges of chunk lattices kept by a worker; it starts anew beyond them
 
@@ -60,19 +61,30 @@ def piece_counts(docs: DataFrame, model: str, text_col: str = "text") -> DataFra
     """(piece, n): how often the model's own encoding of all texts uses each piece."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: Counter = Counter()
+        found: Counter = Counter()  # by what follows a space; a line end stands with the word behind it
+        other: Counter = Counter()
 
         def rows() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], names=["chunk", "n"])
+            for word in [w for w in found if w[:1] == "\n"]:
+                n = found.pop(word)
+                other["\n"] += n
+                if len(word) > 1:
+                    other[word[1:]] += n
+            names = [*[SPACE + w for w in found], *other]
+            out = pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([*found.values(), *other.values()], pa.int64())], names=["chunk", "n"])
+            found.clear()
+            other.clear()
+            return out
 
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                if text:
-                    found.update(chunks(text))
-                if len(found) > COUNTED:
+                if text and text[0] != " " and "  " not in text and SPACE not in text:
+                    found.update(text.replace("\n", " \n").split(" "))
+                elif text:
+                    other.update(chunks(text))
+                if len(found) + len(other) > COUNTED:
                     yield rows()
-                    found.clear()
-        if found:
+        if found or other:
             yield rows()
 
     counted = docs.select(F.col(text_col).alias("text")).mapInArrow(count, "chunk string, n bigint").groupBy("chunk").agg(F.sum("n").alias("n"))
@@ -133,6 +145,8 @@ class Lattices:
         self.runs: dict[int, int] = {}
         self.code_ids: list[tuple[int, ...]] = [(i,) for i in range(len(texts))]
         self.code_logs = list(self.logs)
+        self.log_table = np.empty(0)
+        self.runs_laid, self.table = None, None  # made when first needed
         # Characters of pieces by number; 0 is any other.
         letters = sorted(set("".join(pieces)), key=lambda c: (c != SPACE, c))
         self.letter = np.zeros(0x110000, np.int32)
@@ -156,14 +170,50 @@ class Lattices:
         edges.sort()
         self.keys, self.child = (np.array(c, np.int64) for c in zip(*edges))
         self.ends = np.array(ends, np.int64)
+        # Where each key stands, by its hash; the next free slot where that is taken.
+        self.slots = np.full(1 << (4 * len(self.keys)).bit_length(), -1, np.int32)
+        waiting, slot = np.arange(len(self.keys)), self._slot(self.keys)
+        while len(waiting):
+            free = self.slots[slot[waiting]] < 0
+            self.slots[slot[waiting[free]]] = waiting[free]
+            waiting = waiting[self.slots[slot[waiting]] != waiting]
+            slot[waiting] = (slot[waiting] + 1) % len(self.slots)
         self.roots = np.full(self.radix, -1, np.int64)
         roots = self.keys < self.radix
         self.roots[self.keys[roots]] = self.child[roots]
         self._forget()
 
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        return (key.astype(np.uint64) * _G >> np.uint64(65 - len(self.slots).bit_length())).astype(np.int64)
+
+    def _ahead(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(places of those keys that the trie has, nodes they lead to)."""
+        slot = self._slot(key)
+        at = self.slots[slot]
+        astray = np.flatnonzero((at >= 0) & (self.keys[at] != key))
+        while len(astray):
+            slot[astray] = (slot[astray] + 1) % len(self.slots)
+            at[astray] = self.slots[slot[astray]]
+            astray = astray[(at[astray] >= 0) & (self.keys[at[astray]] != key[astray])]
+        hit = np.flatnonzero(at >= 0)
+        return hit, self.child[at[hit]]
+
     def _forget(self) -> None:
         self.prints, self.kinds = np.empty(0, np.uint64), np.empty(0, np.int64)
-        self.laid = {k: np.empty(0, t) for k, t in (("place", np.int64), ("size", np.int32), ("sole", bool), ("first", np.int32), ("cumulated", float), ("log", float), ("of", np.int32), ("step", np.int32), ("code", np.int32))}
+        self.room = {k: np.empty(0, t) for k, t in (("place", np.int64), ("size", np.int32), ("sole", bool), ("first", np.int32), ("cumulated", float), ("log", float), ("of", np.int32), ("step", np.int32), ("code", np.int32))}
+        self.laid = dict(self.room)
+
+    def _lay(self, more: dict[str, np.ndarray]) -> None:
+        """Put lattices behind those held, in room that doubles when it is used up."""
+        shift = {"place": len(self.laid["first"]), "of": len(self.laid["first"]), "first": len(self.laid["step"])}
+        for k, new in more.items():
+            have = len(self.laid[k])
+            end = have + len(new)
+            if end > len(self.room[k]):
+                self.room[k] = np.empty(max(2 * end, 1024), self.room[k].dtype)
+                self.room[k][:have] = self.laid[k]
+            np.add(new, shift[k], out=self.room[k][have:end], casting="unsafe") if k in shift else np.copyto(self.room[k][have:end], new, casting="unsafe")
+            self.laid[k] = self.room[k][:end]
 
     def split(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(code points, start of each chunk, chunks per text) of texts that are not empty."""
@@ -193,16 +243,17 @@ class Lattices:
         where = np.minimum(np.searchsorted(self.prints, prints), max(len(self.prints) - 1, 0))
         new = np.flatnonzero(self.prints[where] != prints) if len(self.prints) else np.arange(len(prints))
         if len(new):
-            own = first[new]
-            lengths = sizes[own]
-            flat = np.repeat(starts[own] - (np.cumsum(lengths) - lengths), lengths) + np.arange(int(lengths.sum()))
-            more, have = self.gather(points[flat], lengths), len(self.laid["size"])
-            shift = {"place": len(self.laid["first"]), "of": len(self.laid["first"]), "first": len(self.laid["step"])}
-            self.laid = {k: np.concatenate([v, (more[k] + shift.get(k, 0)).astype(v.dtype)]) for k, v in self.laid.items()}
-            self.prints = np.concatenate([self.prints, prints[new]])
-            self.kinds = np.concatenate([self.kinds, have + np.arange(len(new))])
-            order = np.argsort(self.prints)
-            self.prints, self.kinds = self.prints[order], self.kinds[order]
+            own, have = first[new], len(self.laid["size"])
+            # Slice by slice, so that the arrays stay in a core's cache.
+            upto = np.cumsum(sizes[own])
+            for part in np.split(own, np.flatnonzero(np.diff(upto // GATHERED)) + 1):
+                lengths = sizes[part]
+                flat = np.repeat(starts[part] - (np.cumsum(lengths) - lengths), lengths) + np.arange(int(lengths.sum()))
+                self._lay(self.gather(points[flat], lengths))
+            # Both are in order, so the new ones go between those held.
+            at = np.searchsorted(self.prints, prints[new])
+            self.prints = np.insert(self.prints, at, prints[new])
+            self.kinds = np.insert(self.kinds, at, have + np.arange(len(new)))
             where = np.searchsorted(self.prints, prints)
         return self.laid, self.kinds[where][kind]
 
@@ -222,28 +273,30 @@ class Lattices:
         letters, node, active = self.letter[points].astype(np.int64), np.zeros(n, np.int64), np.arange(n)
         found, single = [], np.zeros(n, bool)
         for step in range(1, self.longest + 1):
-            active = active[left[active] >= step]
+            on = np.flatnonzero(left[active] >= step)
+            active, node = active[on], node[on]
             if step == 1:
                 ahead = self.roots[letters]
-                hit = ahead >= 0
+                hit = np.flatnonzero(ahead >= 0)
+                ahead = ahead[hit]
             else:
-                key = node[active] * self.radix + letters[active + step - 1]
-                at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-                hit, ahead = self.keys[at] == key, self.child[at]
-            active = active[hit]
-            node[active] = ahead[hit]
-            piece = self.ends[node[active]]
-            whole = piece >= 0
-            found.append((active[whole], np.full(int(whole.sum()), step), piece[whole]))
+                hit, ahead = self._ahead(node * self.radix + letters[active + step - 1])
+            active, node = active[hit], ahead
+            piece = self.ends[node]
+            whole = np.flatnonzero(piece >= 0)
+            found.append((active[whole], np.full(len(whole), step), piece[whole]))
             if step == 1:
                 single[active[whole]] = True
         bare = np.flatnonzero(~single)
         found.append((bare, np.ones(len(bare), np.int64), np.array([self._fallback(int(p)) for p in points[bare]], np.int64)))
         of, step, code = (np.concatenate(c) for c in zip(*found))
         # From the last place of all chunks to the first: log of the sum over the paths ahead.
-        order = np.argsort((left[of] << 36) + (of << 6) + step)
+        wide = max(n - 1, 0).bit_length() + 6
+        order = order_of((left[of] << wide) + (of << 6) + step, wide + int(left.max(initial=0)).bit_length())
         of, step, code = of[order], step[order], code[order]
-        log = np.array(self.code_logs)[code]
+        if len(self.log_table) < len(self.code_logs):
+            self.log_table = np.array(self.code_logs)
+        log = self.log_table[code]
         chunk = np.repeat(np.arange(len(sizes)), sizes)
         after, slot = np.zeros(n + len(sizes)), np.arange(n) + chunk  # one more slot per chunk for its end
         target, value = slot[of] + step, np.empty(len(of))
@@ -258,7 +311,8 @@ class Lattices:
             after[slot[of[a:b][head]]] = top + np.log(np.add.reduceat(np.exp(value[a:b] - np.repeat(top, size)), head))
         own = value - after[slot[of]]
         share = np.exp(own)
-        order = np.argsort((of << 36) + ((1 << 29) - (share * (1 << 29)).astype(np.int64) << 6) + step)
+        # In the order of steps already, so equal shares keep it.
+        order = order_of((of << 31) + ((1 << 29) - (share * (1 << 29)).astype(np.int64)), wide + 25)
         of, step, code, own, share = of[order], step[order], code[order], own[order], share[order]
         first = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
         count = np.diff(np.r_[first, len(of)])
@@ -278,6 +332,14 @@ class Lattices:
         return self.gather(points, np.array([len(w) for w in names], np.int64))
 
 
+def order_of(key: np.ndarray, bits: int) -> np.ndarray:
+    """Stable order of keys from 0 to below 2 ** bits; packed with their places, where both fit, they sort much faster."""
+    own = len(key).bit_length()
+    if bits + own > 63:
+        return np.argsort(key, kind="stable")
+    return np.sort((key << own) + np.arange(len(key))) & ((1 << own) - 1)
+
+
 def uniform(key: np.ndarray) -> np.ndarray:
     """Numbers in (0, 1) from 64-bit keys (splitmix finaliser)."""
     z = key * _G
@@ -310,24 +372,25 @@ def draw(key: int) -> float:
 
 def walk(lattices: dict[str, np.ndarray], kind: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Draw a path for each word: (edges in word order, edges per word, log-probability per word)."""
-    place, left = lattices["place"][kind], lattices["size"][kind].copy()
+    place, left = lattices["place"][kind], lattices["size"][kind]
     logs, counts = np.zeros(len(kind)), np.zeros(len(kind), np.int64)
     active, taken, owners, step = np.arange(len(kind)), [], [], 0
     while len(active):
-        u = uniform(key[active] + np.uint64(step))
-        edge = lattices["first"][place[active]].astype(np.int64)
-        behind = np.flatnonzero(u > lattices["cumulated"][edge])
+        # place, left and key are those of the active words
+        u = uniform(key + np.uint64(step))
+        edge = lattices["first"].take(place).astype(np.int64)
+        behind = np.flatnonzero(u > lattices["cumulated"].take(edge))
         while len(behind):
             edge[behind] += 1
-            behind = behind[u[behind] > lattices["cumulated"][edge[behind]]]
-        logs[active] += lattices["log"][edge]
+            behind = behind[u.take(behind) > lattices["cumulated"].take(edge.take(behind))]
+        logs[active] += lattices["log"].take(edge)
         counts[active] += 1
         taken.append(edge)
         owners.append(active)
-        ahead = lattices["step"][edge]
-        place[active] += ahead
-        left[active] -= ahead
-        active, step = active[left[active] > 0], step + 1
+        ahead = lattices["step"].take(edge)
+        left = left - ahead
+        on = np.flatnonzero(left > 0)
+        active, place, left, key, step = active.take(on), (place + ahead).take(on), left.take(on), key.take(on), step + 1
     starts = np.cumsum(counts) - counts
     out = np.empty(int(counts.sum()), np.int64)
     for depth, (edge, owner) in enumerate(zip(taken, owners)):
@@ -343,7 +406,7 @@ class Barred:
     """
 
     def __init__(self, lattices: dict[str, np.ndarray], paths: list[tuple[int, ...]]):
-        self.log, self.ends = lattices["log"], lattices["cumulated"]
+        self.log, self.of, self.first = lattices["log"], lattices["of"], lattices["first"]
         self.nodes: list[tuple[int, int, dict[int, int]]] = []  # first edge of the place, edge after its last, {edge: node}
         waiting = [(paths, 0, -1)]
         while waiting:
@@ -356,13 +419,9 @@ class Barred:
             if not children:  # the end of a barred path
                 self.nodes.append((0, 0, {}))
             else:
-                low = next(iter(children))
-                high = low
-                while low and self.ends[low - 1] < 2.0:
-                    low -= 1
-                while self.ends[high] < 2.0:
-                    high += 1
-                self.nodes.append((low, high + 1, dict.fromkeys(children, -1)))
+                place = int(self.of[next(iter(children))])
+                high = int(self.first[place + 1]) if place + 1 < len(self.first) else len(self.log)
+                self.nodes.append((int(self.first[place]), high, dict.fromkeys(children, -1)))
             if parent >= 0:
                 self.nodes[parent][2][group[0][depth - 1]] = at
             waiting += [(below, depth + 1, at) for below in children.values()]
@@ -391,10 +450,9 @@ def other_path(lattices: dict[str, np.ndarray], kind: int, barred: list[tuple[in
             low, high, children = trie.nodes[node]
             weights = trie.weights(node)
         else:
-            low = high = int(lattices["first"][base + at])
-            while lattices["cumulated"][high] < 2.0:
-                high += 1
-            high, children, weights = high + 1, {}, lattices["log"][low : high + 1].tolist()
+            first = lattices["first"][base + at : base + at + 2].tolist()
+            low, high = first if len(first) > 1 else (first[0], len(lattices["log"]))
+            children, weights = {}, lattices["log"][low:high].tolist()
         top = max(weights)
         share = [math.exp(w - top) for w in weights]
         mark, pick = draw(key + len(path)) * sum(share), low
@@ -431,10 +489,13 @@ def sample_words(lattices: dict[str, np.ndarray], kind: np.ndarray, sizes: np.nd
     alive, score = np.arange(n), -np.log(-np.log(uniform(mixed(keys, 1))))
     since, barred_at = np.zeros(n, np.int64), [()] * n
     out, spot = [], mixed(keys[doc], word)
+    living = np.ones(n, bool)
     for rank in range(k):
-        edges, counts, logs = walk(lattices, kind, mixed(spot, 2 * rank))
-        if rank:
-            edges, counts, logs = _merged(paths, chosen, doc, word, since, replaced, start, edges, counts, logs)
+        if rank:  # only words behind the divergence are drawn; a document without one keeps its first path
+            late = np.flatnonzero((word > since[doc]) & living[doc])
+            edges, counts, logs = _merged(paths, chosen, doc, word, np.where(living, since, len(kind)), replaced, late, *walk(lattices, kind[late], mixed(spot[late], 2 * rank)))
+        else:
+            edges, counts, logs = walk(lattices, kind, mixed(spot, 2 * rank))
         at = np.cumsum(counts) - counts
         paths.append((edges, at, counts, logs))
         total = np.add.reduceat(logs, start)
@@ -449,8 +510,8 @@ def sample_words(lattices: dict[str, np.ndarray], kind: np.ndarray, sizes: np.nd
                     w = start[i] + since[i]
                     gone = math.fsum([math.exp(min(logs[w], 0.0)), *[math.exp(float(lattices["log"][list(b)].sum())) for b in barred_at[i]]])
                     rest[w] = math.log1p(-gone) if gone < 0.999 else Barred(lattices, [*barred_at[i], tuple(edges[at[w] : at[w] + counts[w]].tolist())]).rest[0]
-            sets = np.where(np.isfinite(rest), cut_gumbel(before + rest, score[doc], uniform(spot * _M2 + np.uint64(2 * rank + 1))), -np.inf)
-        sets[(word < since[doc]) | ~np.isin(doc, alive)] = -np.inf
+            sets, open_ = np.full(len(kind), -np.inf), np.flatnonzero(np.isfinite(rest) & (word >= since[doc]) & living[doc])
+            sets[open_] = cut_gumbel(before[open_] + rest[open_], score[doc[open_]], uniform(spot[open_] * _M2 + np.uint64(2 * rank + 1)))
         for _ in range(k - rank):
             top = np.maximum.reduceat(sets, start)
             hit = np.flatnonzero((sets == top[doc]) & np.isfinite(sets))
@@ -471,7 +532,8 @@ def sample_words(lattices: dict[str, np.ndarray], kind: np.ndarray, sizes: np.nd
                     score[i], chosen[i], since[i], barred_at[i] = held.pop(0)
                     w = int(start[i] + since[i])
                     replaced[w] = other_path(lattices, int(kind[w]), list(barred_at[i]), restarts[i])
-            alive = np.flatnonzero(np.isfinite(score))
+            living = np.isfinite(score)
+            alive = np.flatnonzero(living)
     out.append({"left": np.array([held[0][0] if held else -np.inf for held in waiting])})
     return out
 
@@ -520,13 +582,15 @@ def _rest_of_words(lattices: dict[str, np.ndarray], kind: np.ndarray, edges: np.
     return rest
 
 
-def _merged(paths: list, chosen: np.ndarray, doc: np.ndarray, word: np.ndarray, since: np.ndarray, replaced: dict, start: np.ndarray, edges: np.ndarray, counts: np.ndarray, logs: np.ndarray) -> tuple:
-    """Words before the divergence from the chosen path, the word there as replaced, later ones as drawn."""
+def _merged(paths: list, chosen: np.ndarray, doc: np.ndarray, word: np.ndarray, since: np.ndarray, replaced: dict, late: np.ndarray, edges: np.ndarray, counts: np.ndarray, logs: np.ndarray) -> tuple:
+    """Words before the divergence from the chosen path, the word there as replaced, the `late` ones as drawn."""
     pool = [edges, *[p[0] for p in paths], np.array([e for path, _ in replaced.values() for e in path], np.int64)]
     base = np.cumsum([0, *map(len, pool)])[:-1]
-    source, size, log = base[0] + np.cumsum(counts) - counts, counts.copy(), logs.copy()
+    source, size, log = np.zeros(len(word), np.int64), np.zeros(len(word), np.int64), np.zeros(len(word))
+    source[late], size[late], log[late] = base[0] + np.cumsum(counts) - counts, counts, logs
+    before = word < since[doc]
     for r, (_, at, n, own) in enumerate(paths):
-        early = (word < since[doc]) & (chosen[doc] == r)
+        early = np.flatnonzero(before & (chosen[doc] == r))
         source[early], size[early], log[early] = base[r + 1] + at[early], n[early], own[early]
     offset = int(base[-1])
     for w, (path, own) in replaced.items():
@@ -536,16 +600,18 @@ def _merged(paths: list, chosen: np.ndarray, doc: np.ndarray, word: np.ndarray,
     return np.concatenate(pool)[flat], size, log
 
 
-def decode_ids(ids: np.ndarray, table: tuple[np.ndarray, np.ndarray, np.ndarray]) -> bytes:
-    """The text of piece ids with the space that encoding put in front, as UTF-8."""
-    flat, at, size = table
-    n = size[ids]
-    return flat[np.repeat(at[ids] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))].tobytes()
+def decode_ids(ids: np.ndarray, table: pa.Array) -> tuple[memoryview, np.ndarray]:
+    """(texts of piece ids one after another as UTF-8, with the space that encoding put in front; where each id begins, and the end)."""
+    if not len(ids):
+        return memoryview(b""), np.zeros(1, np.int64)
+    got = table.take(pa.array(ids))
+    return memoryview(got.buffers()[2] or b""), np.frombuffer(got.buffers()[1], np.int64)[: len(ids) + 1]
 
 
-def _byte_table(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    size = np.array([len(t) for t in texts], np.int64)
-    return np.frombuffer(b"".join(texts), np.uint8), np.cumsum(size) - size, size
+def _byte_table(lattices: Lattices) -> pa.Array:
+    if lattices.table is None:
+        lattices.table = pa.array(lattices.texts, pa.large_binary())
+    return lattices.table
 
 
 SCHEMA = "doc_id bigint, rank int, ids binary, log_prob double, score double, inclusion double, exact boolean"
@@ -605,18 +671,23 @@ def _sampled(lattices: Lattices, ids: list, texts: list, k: int, seed: int) -> p
         keys = mixed(np.array([ids[i] or 0 for i in filled], np.int64), seed, np.array([xxhash.xxh3_64_intdigest(texts[i].encode()) for i in filled], np.uint64))
         *ranks, last = sample_words(laid, kind, sizes, keys, k)
         ends = np.cumsum(sizes)
-        table = _byte_table(lattices.texts)
+        table, raws = _byte_table(lattices), [b" " + texts[i].encode() for i in filled]
         runs = _byte_runs(lattices)
         for rank, found in enumerate(ranks):
-            codes = laid["code"][found["edges"]].astype(np.int64)
-            pieces, per_edge = runs[0][np.repeat(runs[1][codes] - (np.cumsum(runs[2][codes]) - runs[2][codes]), runs[2][codes]) + np.arange(int(runs[2][codes].sum()))], runs[2][codes]
-            upto = np.concatenate([[0], np.cumsum(per_edge)])[np.concatenate([[0], np.cumsum(found["counts"])])[np.concatenate([[0], ends])]]
+            pieces = laid["code"][found["edges"]].astype(np.int64)
+            upto = np.concatenate([[0], np.cumsum(found["counts"])])[np.concatenate([[0], ends])]
+            if len(pieces) and pieces.max() >= len(lattices.texts):  # some are runs of byte pieces
+                size = runs[1][pieces]
+                upto = np.concatenate([[0], np.cumsum(size)])[upto]
+                pieces = runs[0][np.repeat(runs[2][pieces] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))]
+            decoded, begins = decode_ids(pieces, table)
+            coded, begins = pieces.astype("<u4").tobytes(), begins[upto].tolist()
+            upto = (4 * upto).tolist()
             for j in found["docs"].tolist():
-                own = pieces[upto[j] : upto[j + 1]]
                 log, left = float(found["log"][j]), float(last["left"][j])
                 inclusion = -math.expm1(-math.exp(min(log - left, 700.0))) if left > -math.inf else 1.0
-                exact = decode_ids(own, table) == b" " + texts[filled[j]].encode()
-                rows.append((filled[j], rank, own.astype("<u4").tobytes(), log, float(found["score"][j]), inclusion, exact))
+                exact = bytes(decoded[begins[j] : begins[j + 1]]) == raws[j]
+                rows.append((filled[j], rank, coded[upto[j] : upto[j + 1]], log, float(found["score"][j]), inclusion, exact))
     rows.sort(key=lambda r: (r[0], r[1]))
     kinds = [pa.int64(), pa.int32(), pa.binary(), pa.float64(), pa.float64(), pa.float64(), pa.bool_()]
     columns = list(zip(*rows)) if rows else [()] * 7
@@ -625,9 +696,11 @@ def _sampled(lattices: Lattices, ids: list, texts: list, k: int, seed: int) -> p
 
 
 def _byte_runs(lattices: Lattices) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Piece ids of every code, laid out one after another."""
-    size = np.array([len(c) for c in lattices.code_ids], np.int64)
-    return np.array([i for c in lattices.code_ids for i in c], np.int64), np.cumsum(size) - size, size
+    """(piece ids of every code laid out one after another, ids per code, first id of each code)."""
+    if lattices.runs_laid is None or len(lattices.runs_laid[1]) < len(lattices.code_ids):
+        size = np.fromiter(map(len, lattices.code_ids), np.int64, len(lattices.code_ids))
+        lattices.runs_laid = np.array([i for c in lattices.code_ids for i in c], np.int64), size, np.cumsum(size) - size
+    return lattices.runs_laid
 
 
 def decode_samples(samples: DataFrame, model: str) -> DataFrame:
@@ -635,8 +708,8 @@ def decode_samples(samples: DataFrame, model: str) -> DataFrame:
 
     def decode(batch: pa.RecordBatch) -> pa.RecordBatch:
         lattices = _lattices(model, np.zeros(_processor(model).get_piece_size()), 1.0)
-        table = _byte_table(lattices.texts)
-        texts = [decode_ids(np.frombuffer(raw or b"", "<u4").astype(np.int64), table)[1:] for raw in batch.column(batch.schema.get_field_index("ids")).to_pylist()]
+        table = _byte_table(lattices)
+        texts = [bytes(decode_ids(np.frombuffer(raw or b"", "<u4").astype(np.int64), table)[0][1:]) for raw in batch.column(batch.schema.get_field_index("ids")).to_pylist()]
         return pa.RecordBatch.from_arrays([*batch.columns, pa.array([t.decode(errors="replace") for t in texts], pa.string())], names=[*batch.schema.names, "text"])
 
     return over_batches(samples, decode, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in samples.schema) + ", text string")

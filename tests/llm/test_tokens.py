@@ -222,6 +222,24 @@ def test_sampling_texts(spark):
     assert len(scores) == 3 and len(set(scores)) == 2  # rows are keyed by their texts too
 
 
+def test_only_words_behind_the_divergence_are_drawn(monkeypatch):
+    drawn, walk = [], segment_sampling.walk
+    monkeypatch.setattr(segment_sampling, "walk", lambda laid, kind, key: drawn.append(len(kind)) or walk(laid, kind, key))
+    lattices = Lattices(PIECES, np.full(32000, -math.log(32000)), 1.0)
+    texts = ["several ordinary words that are told apart"] * 20
+    points, starts, sizes = lattices.split(texts)
+    laid, kind = lattices.known(points, starts)
+    sample_words(laid, kind, sizes, np.arange(1, 21, dtype=np.uint64), 3)
+    assert drawn[0] == len(kind) and max(drawn[1:]) < 0.8 * len(kind)
+
+
+def test_chunks_are_counted_by_their_words(spark):
+    texts = ["a b\nc", " a", "a  b", "a \n b ", "\n\na\n", "a▁b c", " ", "\n", "\tx \u00a0y", "", None]
+    want = Counter(i for t in texts if t for i in segment_sampling._processor(PIECES).encode(t))
+    got = {r["piece"]: r["n"] for r in segment_sampling.piece_counts(spark.createDataFrame([(t,) for t in texts], "text string"), PIECES).collect()}
+    assert got == want
+
+
 def test_trained_counts_equal_the_models_own_encoding(spark):
     import sentencepiece
 
