@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import numpy as np
 
+BLOCK = 1 << 15  # suffixes sorted together
 LONGEST = 111  # bytes of a string; with its separator it fits the last round of sorting
 
 
@@ -35,6 +36,31 @@ def _first_order(key: np.ndarray, ended: np.ndarray) -> tuple[np.ndarray, np.nda
     return order, fresh
 
 
+def _sorted_groups(items: np.ndarray, opens: np.ndarray, by: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Items sorted within groups that stand one after another, and where a group of equals starts now.
+
+    Keys are packed as (group, by, place) and sorted block by block, each in a core's cache.
+    """
+    out, head = np.empty_like(items), np.empty(len(items), bool)
+    first = np.flatnonzero(opens)
+    bits = int(by.max()).bit_length()
+    cuts = first[np.flatnonzero(np.diff(first // BLOCK)) + 1]
+    for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(items)]):
+        own = (b - a).bit_length()
+        key = np.cumsum(opens[a:b], dtype=np.int64) << bits | by[a:b]
+        if bits + 2 * own <= 63:
+            key = np.sort(key << own | np.arange(b - a))
+            place = key & ((1 << own) - 1)
+            key >>= own
+        else:
+            place = np.argsort(key)
+            key = key[place]
+        out[a:b] = items[a:b][place]
+        head[a] = True
+        np.not_equal(key[1:], key[:-1], out=head[a + 1 : b])
+    return out, head
+
+
 class RunIndex:
     """Index of byte strings of at most LONGEST bytes, given as one array and their lengths."""
 
@@ -53,11 +79,15 @@ class RunIndex:
         symbols[:n][inside] = data.astype(np.uint16) + np.uint16(1)
         del inside
         # Seven symbols of nine bits; what follows a separator does not count, so such suffixes stand alone.
-        key = np.zeros(n, np.uint64)
-        for j in range(7):
-            part = np.where(self.left > j, symbols[j : n + j], 0) if j else symbols[:n]
-            key = key << np.uint64(9) | part.astype(np.uint64)
-        order, fresh = _first_order(key, self.left < 7)
+        one = symbols.astype(np.uint64)
+        two = one[:-1] << np.uint64(9) | one[1:]
+        key = (two[:-2] << np.uint64(18) | two[2:])[:n]
+        key = (key << np.uint64(18) | two[4 : n + 4]) << np.uint64(9) | one[6 : n + 6]
+        del one, two
+        ended = self.left < 7
+        idle = (9 * (7 - self.left[ended])).astype(np.uint64)
+        key[ended] = key[ended] >> idle << idle
+        order, fresh = _first_order(key, ended)
         del key
         # The rank of a suffix is the slot where its group of equals starts.
         rank = np.empty(n, np.int32)
@@ -72,11 +102,9 @@ class RunIndex:
             slots = np.flatnonzero(~single)
             if len(slots):
                 item = order[slots]
-                key = rank[item].astype(np.int64) << 32 | rank[np.minimum(item + width, n - 1)]
-                by = np.argsort(key)
-                item, key = item[by], key[by]
+                opens = fresh[slots]
+                item, head = _sorted_groups(item, opens, rank[np.minimum(item + width, n - 1)])
                 order[slots] = item
-                head = np.r_[True, key[1:] != key[:-1]]
                 fresh[slots] = head
                 rank[item] = np.maximum.accumulate(np.where(head, slots, 0))
             width *= 2
@@ -124,19 +152,19 @@ class RunIndex:
 
     def matches(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Stream every string; (string, offset, row) of all its places with a match of `span` bytes."""
-        row, held = np.zeros(len(self.lengths), np.int64), np.zeros(len(self.lengths), np.int64)
-        place = np.full(len(self.lengths), self.head[0], np.int64)
-        live = np.arange(len(self.lengths))
-        ends = self.starts + self.lengths
-        edge = np.r_[self.run_start, self.n + 1]
+        # The longest first, so that those still streamed are the leading ones.
+        by = np.argsort(-self.lengths, kind="stable")
+        row, held = np.zeros(len(by), np.int64), np.zeros(len(by), np.int64)
+        place = np.full(len(by), self.head[0], np.int64)
+        ends, longer = (self.starts + self.lengths)[by], -self.lengths[by]
+        move, stop = self.base - self.run_start, np.r_[self.run_start[1:], self.n + 1]
         found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for t in range(1, int(self.lengths.max(initial=0)) + 1):
-            live = live[self.lengths[live] >= t]
-            at = ends[live] - t
-            char = self.text[at].astype(np.int64) + 1
-            run = held[live]
-            miss = np.flatnonzero(self.run_char[run] != char)
-            target, where = row[live], place[live]
+            live = int(np.searchsorted(longer, -t, "right"))
+            at = ends[:live] - t
+            char = self.text.take(at).astype(np.int64) + 1
+            run, target, where = held[:live], row[:live], place[:live]
+            miss = np.flatnonzero(self.run_char.take(run) != char)
             if len(miss):
                 key = char[miss] * (self.n + 1) + run[miss]
                 below = np.searchsorted(self.keys, key)
@@ -152,16 +180,15 @@ class RunIndex:
                 run[miss] = np.where(rise, up, down)
                 target[miss] = np.where(rise, self.run_last[up], self.run_start[down])
                 where[miss] = np.where(rise, self.tail[up], self.head[down])
-            to = self.base[run] + target - self.run_start[run]
-            run = self.next_run[run]
-            behind = np.flatnonzero(to >= edge[run + 1])
+            target += move.take(run)
+            run[:] = self.next_run.take(run)
+            behind = np.flatnonzero(target >= stop.take(run))
             while len(behind):
                 run[behind] += 1
-                behind = behind[to[behind] >= edge[run[behind] + 1]]
-            row[live], held[live] = to, run
-            place[live] = where - 1
+                behind = behind[target[behind] >= stop[run[behind]]]
+            where -= 1
             if t >= self.span:
-                found.append((live, at, row[live], place[live]))
+                found.append((by[:live], at, target.copy(), where.copy()))
         if not found:
             empty = np.empty(0, np.int64)
             return empty, empty, empty

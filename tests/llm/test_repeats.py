@@ -6,7 +6,7 @@ import random
 import numpy as np
 import pytest
 
-from millrace.llm import repeats
+from millrace.llm import repeats, run_index
 from millrace.llm.run_index import RunIndex
 
 
@@ -112,3 +112,17 @@ def test_run_index_finds_every_match():
             first.setdefault(t[at : at + 12], k)
     got = dict(zip(zip(string.tolist(), offset.tolist()), index.first_owner[index.group[row]].tolist()))
     assert got == {(k, at): first[t[at : at + 12]] for k, t in enumerate(texts) for at in range(len(t) - 11)}
+
+
+@pytest.mark.parametrize("top, block", [(50, 16), (1 << 52, 1024)])  # packed keys, and keys too wide to pack
+def test_groups_are_sorted_block_by_block(monkeypatch, top, block):
+    monkeypatch.setattr(run_index, "BLOCK", block)
+    rng = np.random.default_rng(3)
+    opens = np.r_[True, rng.random(499) < 0.1]
+    items, by = rng.permutation(500), rng.integers(0, top, 500)
+    got, head = run_index._sorted_groups(items, opens, by)
+    group = np.cumsum(opens)
+    order = np.lexsort((by, group))
+    assert (by[np.argsort(items)][got] == by[order]).all()
+    assert all(set(got[group == g]) == set(items[group == g]) for g in set(group))
+    assert (head == np.r_[True, (by[order][1:] != by[order][:-1]) | (group[1:] != group[:-1])]).all()
