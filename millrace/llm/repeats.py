@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.run_index import LONGEST, RunIndex
-from millrace.llm.texts import raw_texts
+from millrace.llm.texts import raw_texts, settle
 from millrace.session import cut
 
 BATCH_BYTES = 2 << 20
@@ -288,6 +288,7 @@ def _sent(batches: DataFrame, answers: DataFrame, bits: int, span: int, gram: in
                 to, start = np.unique(_ranges(digest[:, 0], bits), return_index=True)
                 for r, part in zip(to.tolist(), np.split(np.arange(len(at)), start[1:])):
                     yield _sent_row((1 << bits) + r, name, digest[part].tobytes(), ids=ids[part], firsts=at[part].astype(np.uint32))
+        settle()
 
     replies = answers.groupBy("batch").agg(F.collect_list(F.struct("range", "n", "shared", "crowded")).alias("replies"))
     return batches.join(replies, "batch").select("batch", "rows", "replies").mapInArrow(send, _SENT)
@@ -348,7 +349,10 @@ def _marked(sent: DataFrame, bits: int, span: int) -> DataFrame:
         edge = np.diff(np.pad(hits, ((0, 0), (1, 1))).astype(np.int8), axis=1)
         who, begin = np.nonzero(edge == 1)
         _, end = np.nonzero(edge == -1)
-        return _marks(batch[who], first[who] + begin, end - begin)
+        out = _marks(batch[who], first[who] + begin, end - begin)
+        del index, earliest, hits, edge, numbers, strings, texts, body
+        settle()
+        return out
 
     return sent.groupBy("range").applyInArrow(mark, "batch bigint, firsts binary, counts binary, origins binary")
 
@@ -383,6 +387,7 @@ def _finished(docs: DataFrame, schema: str, finish: Callable[[pa.Table, list[byt
                     kept.append(bytes_[~own].tobytes() if spans[-1] else raws[-1])
                     at += n
                 yield from finish(held.rows, raws, spans, kept).to_batches()
+        settle()
 
     return batches.join(per_batch, "batch", "left").select("rows", "marks").mapInArrow(apply, schema)
 

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.texts import over_batches
+from millrace.llm.texts import over_batches, settle
 
 SPACE = "▁"
 CHUNK = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
@@ -38,7 +38,7 @@ BATCH_CHARS = 1_000_000  # characters sampled side by side in a task; a longer t
 COUNTED = 300_000  # chunks that a task counts before it passes them on
 GATHERED = 1 << 15  # characters whose lattices are built together
 LOW = 512
-KEPT_EDGES = 3_000_000  # edges of chunk lattices kept by a worker; it starts anew beyond them
+KEPT_EDGES = 2_000_000  # edges of chunk lattices kept by a worker; it starts anew beyond them
 
 
 def chunks(text: str) -> list[str]:
@@ -86,6 +86,7 @@ def piece_counts(docs: DataFrame, model: str, text_col: str = "text") -> DataFra
                     yield rows()
         if found or other:
             yield rows()
+        settle()
 
     counted = docs.select(F.col(text_col).alias("text")).mapInArrow(count, "chunk string, n bigint").groupBy("chunk").agg(F.sum("n").alias("n"))
 
@@ -200,7 +201,7 @@ class Lattices:
 
     def _forget(self) -> None:
         self.prints, self.kinds = np.empty(0, np.uint64), np.empty(0, np.int64)
-        self.room = {k: np.empty(0, t) for k, t in (("place", np.int64), ("size", np.int32), ("sole", bool), ("first", np.int32), ("cumulated", float), ("log", float), ("of", np.int32), ("step", np.int32), ("code", np.int32))}
+        self.room = {k: np.empty(0, t) for k, t in (("place", np.int64), ("size", np.int32), ("sole", bool), ("first", np.int32), ("cumulated", float), ("log", float), ("of", np.int32), ("step", np.min_scalar_type(self.longest)), ("code", np.int32))}
         self.laid = dict(self.room)
 
     def _lay(self, more: dict[str, np.ndarray]) -> None:
@@ -646,6 +647,7 @@ def sample_segmentations(docs: DataFrame, model: str, k: int = 3, seed: int = 0,
                     end += 1
                 yield _sampled(lattices, ids[at:end], texts[at:end], k, seed)
                 at = end
+        settle()
 
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(run, SCHEMA)

@@ -6,6 +6,7 @@ Python alike: `bytes.split()` cuts at exactly these six bytes.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -58,6 +59,14 @@ def over_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch],
     return df.mapInArrow(run, schema)
 
 
+def settle() -> None:
+    """Give memory that is free back to the system, as workers live on and the next job's need comes on top."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def list_column(arrays: list[np.ndarray], kind: pa.DataType) -> pa.ListArray:
     """A list column of the given item type from numpy arrays."""
     offsets = np.zeros(len(arrays) + 1, np.int32)

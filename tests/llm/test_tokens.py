@@ -276,3 +276,10 @@ def ways_of(text, pieces):
     for end in range(1, len(text) + 1):
         ways[end] = sum(ways[a] for a in range(max(0, end - 16), end) if text[a:end] in pieces or end - a == 1)
     return ways[-1]
+
+
+def test_a_worker_keeps_lattices_in_bounded_memory():
+    lattices = Lattices(PIECES, np.full(32000, -math.log(32000)), 1.0)
+    lattices.known(*lattices.split(["some words to lay out"])[:2])
+    per_edge = sum(lattices.laid[k].itemsize for k in ("cumulated", "log", "of", "step", "code"))
+    assert per_edge * segment_sampling.KEPT_EDGES <= 64 << 20
