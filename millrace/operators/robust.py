@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +20,7 @@ from millrace.operators.sampling import unit_number
 from millrace.session import cut, drop_cut
 
 ACCURACY = 100_000  # of the quantile that bounds the kept rows of a concentration step
+BLOCK_VALUES = 1 << 17  # numbers measured together
 
 
 def chi2_quantile(p: float, d: int) -> float:
@@ -33,7 +37,98 @@ def _spread(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return x.mean(axis=0), cov + np.eye(len(cov)) * max(np.trace(cov) / len(cov), 1e-12) * 1e-6
 
 
-def _concentrated(rows: DataFrame, starts: list[tuple[np.ndarray, np.ndarray]], share: float) -> list[tuple[np.ndarray, np.ndarray]]:
+def _packed(rows: DataFrame) -> DataFrame:
+    """(x): vectors one after another as 64-bit floats, about BLOCK_VALUES in a block; a null value is not a number."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def block() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([b"".join(held)], pa.binary())], names=["x"])
+
+        for batch in batches:
+            if batch.num_rows:
+                values = batch.column(0).flatten().to_numpy(zero_copy_only=False)
+                held.append(np.asarray(values, np.float64).tobytes())
+                size += len(values)
+            if size >= BLOCK_VALUES:
+                yield block()
+                held, size = [], 0
+        if held:
+            yield block()
+
+    return cut(rows.select("v").mapInArrow(pack, "x binary"))
+
+
+def _matrices(batch: pd.DataFrame, width: int) -> Iterator[np.ndarray]:
+    """The vectors of each block as rows."""
+    for raw in batch["x"]:
+        yield np.frombuffer(raw, np.float64).reshape(-1, width)
+
+
+def _ordered(values: np.ndarray) -> np.ndarray:
+    """Whole numbers in the order of the floats, what is not a number behind all others."""
+    bits = np.where(np.isnan(values), np.nan, values + 0.0).view(np.int64)  # no minus zero, one kind of not a number
+    return np.where(bits < 0, ~bits, bits | np.int64(-(1 << 63))).view(np.uint64)
+
+
+def _float(number: int) -> float:
+    bits = number ^ (1 << 63) if number >> 63 else ~number & ((1 << 64) - 1)
+    return float(np.array([bits], np.uint64).view(np.float64)[0])
+
+
+def _ranked(blocks: DataFrame, distances: Callable[[np.ndarray], np.ndarray], width: int, count: int, rank: int, slack: float) -> np.ndarray:
+    """Per start the distance of this rank, at most `slack` ranks above it.
+
+    The floats are counted by their leading 16 bits, then by the next ones within the interval
+    that holds the rank, until that has one value or few enough rows. What reaches the driver is one row
+    per start and interval with rows.
+    """
+    leads, below, bounds = np.zeros(count, np.uint64), np.zeros(count, np.int64), np.full(count, np.nan)
+    open_ = list(range(count))
+    for bits in (16, 32, 48, 64):
+        still, lead = list(open_), leads.copy()
+
+        def counted(batches: Iterator[pd.DataFrame], bits: int = bits, still: list[int] = still, lead: np.ndarray = lead) -> Iterator[pd.DataFrame]:
+            for x in (x for batch in batches for x in _matrices(batch, width)):
+                every, parts = _ordered(distances(x)), []
+                for s in still:
+                    own = every[:, s]
+                    if bits > 16:
+                        own = own[own >> np.uint64(80 - bits) == lead[s]]
+                    own = np.sort(own)
+                    part = own >> np.uint64(64 - bits)
+                    at = np.flatnonzero(np.r_[True, part[1:] != part[:-1]][: len(own)])
+                    end = np.append(at[1:], len(own))[: len(at)]
+                    parts.append(pd.DataFrame({"s": s, "part": (part[at] & np.uint64(0xFFFF)).astype(np.int64), "n": end - at, "low": _signed(own[at]), "high": _signed(own[end - 1])}))
+                yield pd.concat(parts)
+
+        found = blocks.mapInPandas(counted, "s int, part bigint, n bigint, low bigint, high bigint")
+        sums = found.groupBy("s", "part").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
+        held: dict[int, list] = {}
+        for row in sums.collect():  # at most 65,536 per start
+            held.setdefault(row["s"], []).append(row)
+        open_ = []
+        for s in still:
+            for row in sorted(held[s], key=lambda r: r["part"]):
+                if below[s] + row["n"] >= rank:
+                    break
+                below[s] += row["n"]
+            bounds[s] = _float(row["high"] + (1 << 63))
+            if row["low"] != row["high"] and row["n"] > 1 + slack:
+                open_.append(s)
+                leads[s] = leads[s] << np.uint64(16) | np.uint64(row["part"])
+        if not open_:
+            break
+    return bounds
+
+
+def _signed(numbers: np.ndarray) -> np.ndarray:
+    """The same order in signed numbers, as tables know no others."""
+    return (numbers ^ np.uint64(1 << 63)).view(np.int64)
+
+
+def _concentrated(blocks: DataFrame, starts: list[tuple[np.ndarray, np.ndarray]], share: float, n: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """One concentration step of every start: mean and covariance of the share of rows nearest under it."""
     means, inverses = np.stack([m for m, _ in starts]), np.stack([np.linalg.inv(c) for _, c in starts])
     width, count = means.shape[1], len(starts)
@@ -41,25 +136,22 @@ def _concentrated(rows: DataFrame, starts: list[tuple[np.ndarray, np.ndarray]],
     def distances(x: np.ndarray) -> np.ndarray:
         return np.stack([np.einsum("ij,jk,ik->i", x - m, inv, x - m) for m, inv in zip(means, inverses)], axis=1)
 
-    @F.pandas_udf("array<double>")
-    def measured(v: pd.Series) -> pd.Series:
-        return pd.Series(list(distances(np.stack(v.to_numpy())))) if len(v) else pd.Series([], dtype=object)
-
-    near = rows.select(measured("v").alias("d")).agg(*[F.percentile_approx(F.col("d")[s], share, ACCURACY).alias(f"q{s}") for s in range(count)]).first()
-    bounds = np.array([near[f"q{s}"] for s in range(count)])
+    bounds = _ranked(blocks, distances, width, count, max(1, math.ceil(share * n)), n / ACCURACY)
 
     def sums(batch: pd.DataFrame) -> np.ndarray:
-        x, parts = np.stack(batch["v"].to_numpy()), []
-        kept = distances(x) <= bounds
-        for s in range(count):
-            own = x[kept[:, s]] - means[s]  # around the last mean, so nothing cancels
-            parts += [[len(own)], own.sum(axis=0), (own.T @ own).ravel()]
-        return np.concatenate(parts)
+        total = np.zeros(count * (1 + width + width * width))
+        for x in _matrices(batch, width):
+            kept, parts = distances(x) <= bounds, []
+            for s in range(count):
+                own = x[kept[:, s]] - means[s]  # around the last mean, so nothing cancels
+                parts += [[len(own)], own.sum(axis=0), (own.T @ own).ravel()]
+            total += np.concatenate(parts)
+        return total
 
     out = []
-    for s, row in enumerate(partition_sum(rows, sums, count * (1 + width + width * width)).reshape(count, -1)):
-        n, gap = row[0], row[1 : 1 + width] / row[0]
-        cov = row[1 + width :].reshape(width, width) / n - np.outer(gap, gap)
+    for s, row in enumerate(partition_sum(blocks, sums, count * (1 + width + width * width)).reshape(count, -1)):
+        size, gap = row[0], row[1 : 1 + width] / row[0]
+        cov = row[1 + width :].reshape(width, width) / size - np.outer(gap, gap)
         out.append((means[s] + gap, cov + np.eye(width) * max(np.trace(cov) / width, 1e-12) * 1e-9))
     return out
 
@@ -78,13 +170,15 @@ def minimum_covariance(rows: DataFrame, key: str, starts: int = 30, finalists: i
     quarter = np.array([middle[f"q{i}"] for i in range(width)])
     tries.append((quarter[:, 1], np.diag(np.maximum((quarter[:, 2] - quarter[:, 0]) / 1.349, 1e-9) ** 2)))
     size = lambda t: float(np.linalg.slogdet(t[1])[1])
+    blocks = _packed(rows)
     for _ in range(2):
-        tries = _concentrated(rows, tries, share)
+        tries = _concentrated(blocks, tries, share, n)
     tries = sorted(tries, key=size)[:finalists]
     for _ in range(most):
-        last, tries = [size(t) for t in tries], _concentrated(rows, tries, share)
+        last, tries = [size(t) for t in tries], _concentrated(blocks, tries, share, n)
         if all(abs(size(t) - b) < 1e-7 for t, b in zip(tries, last)):
             break
+    drop_cut(blocks)
     mean, cov = min(tries, key=size)
     scored = cut(rows.select(key, "v", mahalanobis2(F.col("v"), mean, np.linalg.inv(cov)).alias("d")))
     scale = scored.agg(F.percentile_approx("d", 0.5, ACCURACY)).first()[0] / chi2_quantile(0.5, width)

@@ -46,6 +46,21 @@ def test_planted_outliers_are_found(spark):
     assert np.allclose(mean, [5, -3], atol=0.3) and np.allclose(cov, [[2.0, 1.2], [1.2, 1.5]], atol=0.5)
 
 
+def test_a_concentration_step_is_bounded_by_the_exact_rank(spark, monkeypatch):
+    monkeypatch.setattr(robust, "BLOCK_VALUES", 500)
+    rng = np.random.default_rng(5)
+    x = np.round(rng.normal(0, 3, (2000, 2)), 3)
+    x[::7], x[5] = x[0], [np.nan, 1.0]
+    blocks = robust._packed(frame(spark, x))
+    assert blocks.count() > 2
+    distances = lambda v: np.stack([v[:, 0], -v[:, 1] ** 3, v[:, 0] * 0 + 7], axis=1)
+    for rank in (1, 700, 1001, 1999):
+        expected = [np.sort(d)[rank - 1] for d in distances(x).T]  # what is not a number comes last
+        assert robust._ranked(blocks, distances, 2, 3, rank, 0.0).tolist() == expected
+        near = robust._ranked(blocks, distances, 2, 3, rank, 20.0)
+        assert all(rank - 1 <= np.searchsorted(np.sort(d), v, "right") <= rank + max(20, (d == v).sum()) for d, v in zip(distances(x).T, near))
+
+
 def test_quantiles_of_chi_square():
     assert robust.chi2_quantile(0.5, 2) == pytest.approx(2 * np.log(2)) and robust.chi2_quantile(0.975, 1) == pytest.approx(5.02389, abs=1e-4)
 
