@@ -12,7 +12,9 @@ key. Documents are packed into batches, and equal keys meet by key range:
 2. Segments with a shared key go to the key's range; of equal segments in a batch only that of
    the smallest id is sent, the others stay behind and take over its answer.
 3. A range builds the run-length index of its distinct segments and streams them through it.
-   Where a window's match group starts in a smaller id, the window is marked.
+   Where a window's match group starts in a smaller id, the window is marked. Segments of
+   which no window is met twice, by a hash that equal windows share, match only themselves
+   and are left out of the index.
 4. Windows with a crowded key go by a second key, the 128-bit digest of the whole window: once
    per batch, without text, to ranges of digests. There the smallest id marks all others.
 5. Marks come back to the batch, where the bytes they cover are cut out.
@@ -87,21 +89,25 @@ def segments(data: np.ndarray, lengths: np.ndarray, span: int, gram: int) -> tup
     # Slice by slice, so that the arrays stay in a core's cache.
     keys = np.concatenate([window_minima(gram_hashes(data[a : a + SLICE + span - 1], gram), span - gram + 1) for a in range(0, len(data) - span + 1, SLICE)])
     ends = np.cumsum(lengths)
-    doc = np.repeat(np.arange(len(lengths)), lengths)[: len(keys)]
-    inside = np.arange(len(keys)) + span <= ends[doc]
-    at = np.flatnonzero(inside)
-    if not len(at):
+    opens = np.empty(len(keys), bool)
+    np.not_equal(keys[1:], keys[:-1], out=opens[1:])
+    starts = ends - lengths
+    opens[starts[starts < len(keys)]] = True
+    first = np.flatnonzero(opens)
+    doc = np.searchsorted(ends, first, "right")
+    # Windows that would reach beyond the document are none.
+    count, most = np.minimum(np.r_[first[1:], len(keys)], ends[doc] - span + 1) - first, LONGEST - span + 1
+    inside = np.flatnonzero(count > 0)
+    if not len(inside):
         return empty.astype(np.uint64), empty, empty, empty
-    keys, doc = keys[at], doc[at]
-    first = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]) | (doc[1:] != doc[:-1])])
-    count, most = np.diff(np.r_[first, len(at)]), LONGEST - span + 1
+    first, doc, count = first[inside], doc[inside], count[inside]
     pieces = -(-count // most)
     nth = np.arange(int(pieces.sum())) - np.repeat(np.cumsum(pieces) - pieces, pieces)
     first, count = np.repeat(first, pieces) + nth * most, np.minimum(np.repeat(count, pieces) - nth * most, most)
     # Minima crowd at the low end; mixed anew (one to one) they spread over the ranges.
     spread = keys[first] * _C2
     spread = (spread ^ (spread >> np.uint64(32))) * _C3
-    return spread ^ (spread >> np.uint64(29)), doc[first], at[first], count
+    return spread ^ (spread >> np.uint64(29)), np.repeat(doc, pieces), first, count
 
 
 def _packed(docs: DataFrame, text_col: str) -> DataFrame:
@@ -213,13 +219,16 @@ def _asked(batches: DataFrame, bits: int, span: int, gram: int, id_col: str, tex
 _SENT = "range bigint, batch bigint, ids binary, firsts binary, counts binary, origins binary, bytes binary"
 
 
-def _sent_row(to: int, batch: int, body: bytes = b"", **columns: np.ndarray) -> pa.RecordBatch:
-    values = [columns.get(name, np.empty(0)).tobytes() for name in ("ids", "firsts", "counts", "origins")]
-    return pa.RecordBatch.from_arrays([pa.array([to], pa.int64()), pa.array([batch], pa.int64()), *[pa.array([v], pa.binary()) for v in (*values, body)]],
-                                      names=["range", "batch", "ids", "firsts", "counts", "origins", "bytes"])
+def _sent_row(to: int, batch: int, body: bytes = b"", **columns: np.ndarray) -> tuple:
+    return to, batch, *[columns[name].tobytes() if name in columns else b"" for name in ("ids", "firsts", "counts", "origins")], body
 
 
-def _stay(batch: int, ids: np.ndarray, first: np.ndarray, count: np.ndarray, origin: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _sent_rows(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.int64(), pa.int64(), *[pa.binary()] * 5]
+    return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*rows), kinds)], names=["range", "batch", "ids", "firsts", "counts", "origins", "bytes"])
+
+
+def _stay(batch: int, ids: np.ndarray, first: np.ndarray, count: np.ndarray, origin: np.ndarray) -> Iterator[tuple]:
     """Rows for the batch itself on what equals another place of it, its origin, and is not sent.
 
     With a larger id than the origin it is marked; with the same id it is marked where the origin is.
@@ -253,47 +262,68 @@ def _sent(batches: DataFrame, answers: DataFrame, bits: int, span: int, gram: in
     def send(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in stream:
             for name, packed, replies in zip(*(c.to_pylist() for c in rows.columns)):
-                held = _Batch(packed, id_col, text_col)
-                keys, doc, first, count = segments(held.data, held.lengths, span, gram)
-                replies = sorted(replies, key=lambda r: r["range"])
-                shared = np.concatenate([np.unpackbits(np.frombuffer(r["shared"], np.uint8), count=r["n"]) for r in replies]).astype(bool)
-                crowded = np.concatenate([np.zeros(r["n"], np.uint8) if r["crowded"] is None else np.unpackbits(np.frombuffer(r["crowded"], np.uint8), count=r["n"]) for r in replies]).astype(bool)
-                _, number = np.unique(keys, return_inverse=True)
-                pick = np.flatnonzero(shared[number])
-                pick = pick[np.lexsort((first[pick], held.ids[doc[pick]], keys[pick]))]
-                keys, ids, first, count, split = keys[pick], held.ids[doc[pick]], first[pick], count[pick], crowded[number[pick]]
-                raw = held.data.tobytes()
-                strings = [raw[a:b] for a, b in zip(first.tolist(), (first + count + span - 1).tolist())]
-                met: dict[bytes, int] = {}
-                origin = np.array([met.setdefault(s, j) for j, s in enumerate(strings)], np.int64)  # the smallest id comes first
-                yield from _stay(name, ids, first, count, origin)
-                own = origin == np.arange(len(origin))
-                go = np.flatnonzero(own & ~split)
-                to, start = np.unique(_ranges(keys[go], bits), return_index=True)
-                for r, part in zip(to.tolist(), np.split(go, start[1:])):
-                    yield _sent_row(r, name, _shrunk(b"".join([strings[j] for j in part.tolist()])), ids=ids[part], firsts=first[part].astype(np.uint32), counts=count[part].astype(np.uint8))
-                del met, strings
-                go = np.flatnonzero(own & split)
-                if not len(go):
-                    continue
-                at, ids = _runs(first[go], count[go]), np.repeat(ids[go], count[go])
-                order = np.lexsort((at, ids))
-                at, ids = at[order], ids[order]
-                digest = _digests(raw, at, span)
-                order = np.lexsort((digest[:, 1], digest[:, 0]))  # stable: the smallest id of equals comes first
-                at, ids, digest = at[order], ids[order], digest[order]
-                fresh = np.r_[True, (digest[1:] != digest[:-1]).any(axis=1)]
-                yield from _stay(name, ids, at, np.ones(len(at), np.int64), np.flatnonzero(fresh)[np.cumsum(fresh) - 1])
-                at, ids, digest = at[fresh], ids[fresh], digest[fresh]
-                to, start = np.unique(_ranges(digest[:, 0], bits), return_index=True)
-                for r, part in zip(to.tolist(), np.split(np.arange(len(at)), start[1:])):
-                    yield _sent_row((1 << bits) + r, name, digest[part].tobytes(), ids=ids[part], firsts=at[part].astype(np.uint32))
+                out = list(told(name, packed, replies))
+                if out:
+                    yield _sent_rows(out)
         settle()
 
+    def told(name: int, packed: bytes, replies: list[dict]) -> Iterator[tuple]:
+        held = _Batch(packed, id_col, text_col)
+        keys, doc, first, count = segments(held.data, held.lengths, span, gram)
+        replies = sorted(replies, key=lambda r: r["range"])
+        shared = np.concatenate([np.unpackbits(np.frombuffer(r["shared"], np.uint8), count=r["n"]) for r in replies]).astype(bool)
+        crowded = np.concatenate([np.zeros(r["n"], np.uint8) if r["crowded"] is None else np.unpackbits(np.frombuffer(r["crowded"], np.uint8), count=r["n"]) for r in replies]).astype(bool)
+        _, number = np.unique(keys, return_inverse=True)
+        pick = np.flatnonzero(shared[number])
+        pick = pick[np.lexsort((first[pick], held.ids[doc[pick]], keys[pick]))]
+        keys, ids, first, count, split = keys[pick], held.ids[doc[pick]], first[pick], count[pick], crowded[number[pick]]
+        raw = held.data.tobytes()
+        strings = [raw[a:b] for a, b in zip(first.tolist(), (first + count + span - 1).tolist())]
+        met: dict[bytes, int] = {}
+        origin = np.array([met.setdefault(s, j) for j, s in enumerate(strings)], np.int64)  # the smallest id comes first
+        yield from _stay(name, ids, first, count, origin)
+        own = origin == np.arange(len(origin))
+        go = np.flatnonzero(own & ~split)
+        to, start = np.unique(_ranges(keys[go], bits), return_index=True)
+        for r, part in zip(to.tolist(), np.split(go, start[1:])):
+            yield _sent_row(r, name, _shrunk(b"".join([strings[j] for j in part.tolist()])), ids=ids[part], firsts=first[part].astype(np.uint32), counts=count[part].astype(np.uint8))
+        del met, strings
+        go = np.flatnonzero(own & split)
+        if not len(go):
+            return
+        at, ids = _runs(first[go], count[go]), np.repeat(ids[go], count[go])
+        order = np.lexsort((at, ids))
+        at, ids = at[order], ids[order]
+        digest = _digests(raw, at, span)
+        order = np.lexsort((digest[:, 1], digest[:, 0]))  # stable: the smallest id of equals comes first
+        at, ids, digest = at[order], ids[order], digest[order]
+        fresh = np.r_[True, (digest[1:] != digest[:-1]).any(axis=1)]
+        yield from _stay(name, ids, at, np.ones(len(at), np.int64), np.flatnonzero(fresh)[np.cumsum(fresh) - 1])
+        at, ids, digest = at[fresh], ids[fresh], digest[fresh]
+        to, start = np.unique(_ranges(digest[:, 0], bits), return_index=True)
+        for r, part in zip(to.tolist(), np.split(np.arange(len(at)), start[1:])):
+            yield _sent_row((1 << bits) + r, name, digest[part].tobytes(), ids=ids[part], firsts=at[part].astype(np.uint32))
+
     replies = answers.groupBy("batch").agg(F.collect_list(F.struct("range", "n", "shared", "crowded")).alias("replies"))
     return batches.join(replies, "batch").select("batch", "rows", "replies").mapInArrow(send, _SENT)
 
 
+def _met(data: np.ndarray, lengths: np.ndarray, span: int) -> np.ndarray:
+    """Which of the strings, laid out one after another, may have a window that comes again.
+
+    Equal windows have equal hashes, so a string that is left out has none.
+    """
+    hashes = np.concatenate([gram_hashes(data[a : a + SLICE + span - 1], span) for a in range(0, len(data) - span + 1, SLICE)])
+    windows = lengths - span + 1
+    hashes = hashes[_runs(np.cumsum(lengths) - lengths, windows)]
+    order = np.argsort(hashes)
+    again = hashes[order[1:]] == hashes[order[:-1]]
+    out, owner = np.zeros(len(lengths), bool), np.repeat(np.arange(len(lengths)), windows)
+    out[owner[order[1:][again]]] = True
+    out[owner[order[:-1][again]]] = True
+    return out
+
+
 def _marks(names: np.ndarray, firsts: np.ndarray, counts: np.ndarray) -> pa.Table:
     order = np.lexsort((firsts, names))
     names, firsts, counts = names[order], firsts[order].astype(np.uint32), counts[order].astype(np.uint32)
@@ -337,20 +367,22 @@ def _marked(sent: DataFrame, bits: int, span: int) -> DataFrame:
             of[j] = number
         owners, texts = np.array(owner), list(numbers)
         lengths = np.array([len(t) for t in texts])
-        index = RunIndex(np.frombuffer(b"".join(texts), np.uint8), lengths, span)
-        string, offset, row = index.matches()
-        # Owners ascend, so the smallest owner number of a group has the smallest id.
-        earlier = owners[index.first_owner[index.group[row]]]
         width = int(lengths.max()) - span + 1
-        earliest = np.full((len(texts), width), _LAST_ID)
-        earliest[string, offset] = earlier
+        earliest = np.repeat(owners[:, None], width, axis=1)
+        met = np.flatnonzero(_met(np.frombuffer(b"".join(texts), np.uint8), lengths, span))
+        if len(met):
+            index = RunIndex(np.frombuffer(b"".join([texts[j] for j in met.tolist()]), np.uint8), lengths[met], span)
+            string, offset, row = index.matches()
+            # Owners ascend, so the smallest owner number of a group has the smallest id.
+            earliest[met[string], offset] = owners[met[index.first_owner[index.group[row]]]]
+            del index
         hits = earliest[of] < ids[:, None]
         hits[np.arange(width) >= count[:, None]] = False
         edge = np.diff(np.pad(hits, ((0, 0), (1, 1))).astype(np.int8), axis=1)
         who, begin = np.nonzero(edge == 1)
         _, end = np.nonzero(edge == -1)
         out = _marks(batch[who], first[who] + begin, end - begin)
-        del index, earliest, hits, edge, numbers, strings, texts, body
+        del earliest, hits, edge, numbers, strings, texts, body
         settle()
         return out
 

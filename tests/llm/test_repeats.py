@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -126,3 +127,25 @@ def test_groups_are_sorted_block_by_block(monkeypatch, top, block):
     assert (by[np.argsort(items)][got] == by[order]).all()
     assert all(set(got[group == g]) == set(items[group == g]) for g in set(group))
     assert (head == np.r_[True, (by[order][1:] != by[order][:-1]) | (group[1:] != group[:-1])]).all()
+
+
+def test_only_strings_with_a_window_met_twice_are_indexed():
+    rng = random.Random(11)
+    shared = bytes(rng.randrange(256) for _ in range(60))
+    texts = [bytes(rng.randrange(256) for _ in range(n)) for n in (50, 70, 111, 64)] + [b"x" + shared[:50], shared[:55] + b"yyy", b"ab" * 30, shared[5:55]]
+    windows = [[t[a : a + 50] for a in range(len(t) - 49)] for t in texts]
+    count = Counter(w for own in windows for w in own)
+    got = repeats._met(np.frombuffer(b"".join(texts), np.uint8), np.array([len(t) for t in texts]), 50)
+    assert got.tolist() == [any(count[w] > 1 for w in own) for own in windows] and 0 < got.sum() < len(texts)
+
+
+def test_segments_end_with_their_documents():
+    rng = np.random.default_rng(3)
+    lengths = np.array([0, 120, 49, 50, 0, 300, 10, 200, 0])
+    data = rng.integers(97, 99, int(lengths.sum())).astype(np.uint8)
+    keys, doc, first, count = repeats.segments(data, lengths, 50, 24)
+    starts = np.cumsum(lengths) - lengths
+    got = {(d, w): k for k, d, f, c in zip(keys.tolist(), doc.tolist(), first.tolist(), count.tolist()) for w in range(f, f + c)}
+    assert sorted(got) == [(d, w) for d, (s, n) in enumerate(zip(starts.tolist(), lengths.tolist())) for w in range(s, s + n - 49)]
+    least = {w: repeats.gram_hashes(data[w : w + 50], 24).min() for _, w in got}
+    assert all((got[a] == got[b]) == (least[a[1]] == least[b[1]]) for a in got for b in got if a[1] < b[1] < a[1] + 4)
