@@ -45,10 +45,14 @@ ESTIMATE = "distance int, time_length int, end_latitude double, end_longitude do
 
 
 def order_base(orders: DataFrame, ext: DataFrame) -> DataFrame:
-    """Orders with calendar fields, flags and the estimates from their extension row."""
+    """Orders with calendar fields, flags and the estimates from their extension row.
+
+    Joined by (day, order) like all that follows, so the rows are dealt out once; an order that
+    lacks one of these has no estimates, and no details either.
+    """
     one_ext = joins.one_per_key(ext.select(*DAY_KEYS, "estimate_snap"), list(DAY_KEYS))
     parsed = one_ext.select(*DAY_KEYS, F.from_json("estimate_snap", ESTIMATE).alias("est"))
-    merged = joins.left_nullsafe(orders, parsed, {k: k for k in DAY_KEYS})
+    merged = orders.join(parsed, list(DAY_KEYS), "left")
     length = F.col("est.time_length")
     end = F.coalesce(first_positive(F.col("expect_end_time")), F.when(length > 0, F.col("expect_start_time") + length))
     merged = merged.withColumns({
@@ -146,10 +150,15 @@ def build(orders: DataFrame, ext: DataFrame, details: DataFrame) -> DataFrame:
     per_order = drivers.groupBy(*DAY_KEYS).agg(
         F.count("driver_id").alias("sum_valid_driver"), F.avg("final_distance").alias("mean_driver_distance"),
         F.count(F.when(F.col("accepted"), F.col("driver_id"))).alias("sum_accept_driver"), F.avg("accept_distance").alias("mean_accept_driver_distance"))
-    # One row per day and order with details: this join also drops the orders without.
+    # Few columns are dealt out by driver; the order's other columns wait for what its own driver did.
+    own = joins.left_nullsafe(orders.select(*DAY_KEYS, "driver_id").distinct(), drivers.drop("accepted", "accept_distance").withColumn("_met", F.lit(True)), {k: k for k in (*DAY_KEYS, "driver_id")})
+    own = own.where("_met").groupBy(*DAY_KEYS).agg(F.collect_list(F.struct("driver_id", "final_distance", "last_add_rate", "last_bidding_rate")).alias("own"))
+    # One row per day and order with details: the first join also drops the orders without.
     out = order_base(orders, ext).join(per_order, list(DAY_KEYS))
-    for table, keys in ((order_summary(round_table(details)), DAY_KEYS), (drivers.drop("accepted", "accept_distance"), (*DAY_KEYS, "driver_id"))):
-        out = joins.left_nullsafe(out, table, {k: k for k in keys})
+    for table in (order_summary(round_table(details)), own):
+        out = out.join(table, list(DAY_KEYS), "left")
+    own = F.get(F.filter("own", lambda o: o["driver_id"].eqNullSafe(F.col("driver_id"))), F.lit(0))
+    out = out.withColumn("own", own).withColumns({c: F.col(f"own.{c}") for c in ("final_distance", "last_add_rate", "last_bidding_rate")})
     distance = F.col("final_distance")
     out = out.withColumns({
         "deadhead_distance": F.when(distance > 0, distance.cast("double")).when(distance.isNull() | (distance == 0), F.col("mean_driver_distance"))

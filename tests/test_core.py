@@ -1,10 +1,14 @@
 """Ordered helpers, joins, sources and the order features on small hand-made inputs."""
 
+import os
+import time
+
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from millrace import session
 from millrace.functions import scalars, tails
 from millrace.operators import aggregates, joins, ordered, rows, sampling, windows
 from millrace.plans import order_features
@@ -208,3 +212,36 @@ def test_moments_keep_their_digits_around_a_large_mean(spark):
         within = sum(((y[g == c] - y[g == c].mean()) ** 2).sum() for c in range(4))
         between = sum((g == c).sum() * (y[g == c].mean() - y.mean()) ** 2 for c in range(4))
         assert abs(r["f"] / ((between / 3) / (within / 596)) - 1) < 1e-6
+
+
+def test_order_features_deal_orders_out_once(spark, given):
+    """Also with days, orders and drivers that are missing or come twice."""
+    orders = given.service_order_days
+    odd = orders.limit(40).withColumn("driver_id", F.lit(None).cast("bigint")).unionByName(orders.limit(30).withColumn("dt", F.lit(None).cast("date"))).unionByName(orders.limit(20))
+    details = given.dispatch_days
+    met = details.withColumn("driver_id", F.pmod("service_order_id", F.lit(97)).cast("bigint")).where("batch = 2").limit(500)
+    missing = details.limit(300).withColumn("driver_id", F.lit(None).cast("bigint")).unionByName(details.limit(50).withColumn("dt", F.lit(None).cast("date")))
+    orders, details = orders.unionByName(odd), details.unionByName(met.select(details.columns)).unionByName(missing)
+    out = order_features.build(orders, given.order_ext_days, details)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(coalesce(dt") <= 2  # both sides of the narrow join by driver; all other joins share one dealing
+    last = order_features.last_driver_rows(details)
+    want = joins.left_nullsafe(orders.join(details.select("dt", "service_order_id").distinct(), ["dt", "service_order_id"]).select("dt", "service_order_id", "driver_id"), last, {k: k for k in ("dt", "service_order_id", "driver_id")})
+    rate = lambda df, top: sorted(map(str, df.select("dt", "service_order_id", "driver_id", top).collect()))
+    best = F.when(F.col("last_add_rate") > 0, F.col("last_add_rate"))
+    got = out.join(want.select("dt", "service_order_id", F.col("driver_id").alias("_d"), best.alias("_best")).distinct(), (out["dt"] == want["dt"]) & (out["service_order_id"] == want["service_order_id"]) & out["driver_id"].eqNullSafe(F.col("_d")))
+    assert out.count() == want.count() == got.count()
+    assert got.where("_best is not null and final_add_rate <> _best").count() == 0 and got.where("_best is not null").count() > 100
+
+
+def test_cuts_leave_no_shuffle_files(spark, tmp_path):
+    blocks = lambda: {f for d, _, names in os.walk(spark.sparkContext._jsc.sc().conf().get("spark.local.dir", "/tmp")) if "blockmgr" in d for f in names if f.startswith("shuffle_")}
+    before = blocks()
+    got = session.cut(spark.range(3000).groupBy((F.col("id") % 700).alias("k")).count())
+    assert got.count() == 700 and spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+    kept = blocks() - before
+    deadline = time.time() + 10
+    while kept and time.time() < deadline:
+        time.sleep(0.2)
+        kept = blocks() - before
+    assert sum(f.endswith(".data") for f in kept) <= 8  # of the count above only
