@@ -1,10 +1,13 @@
 """Clusters, neighbours, graphs, decompositions and learners against brute force."""
 
+import os
+
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from millrace import session
 from millrace.operators import clustering, components, decomposition, evaluate, geo, graph, models, neighbours
 from millrace.operators.moments import moments
 from millrace.plans import text_classify
@@ -270,3 +273,19 @@ def test_text_models_use_every_term(spark):
     assert len(got) == 14 and all(r["n_test"] == 700 for r in got.values())
     for name in ("svc l2", "sgd l2", "ridge", "multinomial bayes", "bernoulli bayes", "passive aggressive", "perceptron", "nearest centroid"):
         assert got[name]["accuracy"] > 0.99, name
+
+
+def test_a_decomposition_leaves_only_its_result(spark):
+    """Blocks, entries and rounds of a finished decomposition are deleted, with the cuts that the caller calls spent."""
+    folder = lambda: set(os.listdir(session.scratch_root(spark).removeprefix("file:")))
+    rng = np.random.default_rng(6)
+    rows = [(int(r), f"c{c}", float(rng.integers(1, 5))) for r in range(40) for c in rng.choice(15, 6, False)]
+    entries = spark.createDataFrame(rows, "row bigint, col string, v double")
+    before, given = folder(), session.cut(entries)
+    placed, kept = decomposition.truncated_svd(given, 2, spent=True)
+    assert len(folder() - before) == 1 and placed.count() == 40 and 0 < kept <= 1
+    again, same = decomposition.truncated_svd(entries, 2)
+    assert same == pytest.approx(kept)
+    before = folder()
+    found = decomposition.cocluster(session.cut(entries.withColumn("row", F.col("row").cast("string"))), 2, spent=True)
+    assert len(folder() - before) == 2 and found.agg(F.sum("n_rows"), F.sum("n_cols")).first()[:] == (40, 15)
